@@ -1,0 +1,114 @@
+"""The reference's pipelines as DataFrame plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ridelens.functions.scalar import to_minutes
+from ridelens.operators.clean import clean_trips, cleaning_ledger, drop_all_duplicates
+from ridelens.operators.conform import canonical_id, conform_station, conform_stations
+from ridelens.operators.derive import derive_rides, derive_rides_legacy, narrow, type_timestamps, type_trips
+from ridelens.operators.geo import area_totals
+from ridelens.operators.outliers import drop_zscore
+from ridelens.operators.predicates import drop_missing
+from ridelens.operators.rollup import od_rollup, station_trips, time_rollup, time_rollup_legacy
+from ridelens.schema import LEGACY_REQUIRED_COLUMNS, CleanParams, ZScoreParams
+from ridelens.sources.files import checkpoint_table
+
+
+def clean_pipeline(
+    trips_raw: DataFrame,
+    stations_raw: DataFrame | None = None,
+    params: CleanParams = CleanParams(),
+) -> DataFrame:
+    """Type timestamps, clean, drop duplicated keys, conform start stations.
+
+    Cleaning runs before duplicate removal, as in the reference, so a key
+    whose twin was cleaned away survives.
+    """
+    typed = type_timestamps(trips_raw)
+    cleaned = clean_trips(typed, params)
+    deduped = drop_all_duplicates(cleaned, ["ride_id"])
+    if stations_raw is not None:
+        deduped = conform_station(deduped, conform_stations(stations_raw), side="start")
+    return deduped
+
+
+def rides_pipeline(
+    trips_raw: DataFrame,
+    stations_raw: DataFrame | None = None,
+    params: CleanParams = CleanParams(),
+    z: ZScoreParams = ZScoreParams(),
+    materialize: bool = False,
+) -> DataFrame:
+    """C1, derive, narrow, z-score cut on minutes.
+
+    The z-score needs the whole table twice (statistics, then the filter).
+    ``materialize=True`` writes the narrowed rides once to the checkpoint
+    folder so the upstream scan, clean and anti join run once.
+    """
+    rides = narrow(derive_rides(clean_pipeline(trips_raw, stations_raw, params)))
+    if materialize:
+        rides = checkpoint_table(rides, "rides_narrow")
+    return drop_zscore(rides, "duration", k=z.k, sd=z.sd, strict=z.strict)
+
+
+def rollup_pipeline(rides: DataFrame) -> dict[str, DataFrame]:
+    """The two rollups built from the rides."""
+    return {"time_rollup": time_rollup(rides), "od_rollup": od_rollup(rides)}
+
+
+def clean_ledger(trips_raw: DataFrame, params: CleanParams = CleanParams()) -> DataFrame:
+    """A25 over C2: rows in and out of each deleting step."""
+    typed = type_timestamps(trips_raw)
+    cleaned = clean_trips(typed, params)
+    deduped = drop_all_duplicates(cleaned, ["ride_id"])
+    rides = narrow(derive_rides(deduped))
+    trimmed = drop_zscore(rides, "duration")
+    return cleaning_ledger(
+        [("load", typed), ("clean", cleaned), ("drop_duplicates", deduped), ("zscore", trimmed)]
+    )
+
+
+def legacy_rides(trips_raw: DataFrame, fix_ids: bool = True) -> DataFrame:
+    """C4: type, drop duplicated keys, drop missing values, derive with
+    seconds and labels, z-score cut on seconds, canonical start and end ids.
+
+    Duplicates are removed *before* the missing-value delete here.
+    """
+    typed = type_trips(trips_raw.drop("source_month") if "source_month" in trips_raw.columns else trips_raw)
+    deduped = drop_all_duplicates(typed, ["ride_id"])
+    complete = drop_missing(deduped, LEGACY_REQUIRED_COLUMNS)
+    legacy = derive_rides_legacy(complete)
+    trimmed = drop_zscore(legacy, "trip_duration")
+    if not fix_ids:
+        return trimmed
+    fixed = canonical_id(trimmed, "start_station_name", "start_station_id", strategy="max")
+    return canonical_id(fixed, "end_station_name", "end_station_id", strategy="max")
+
+
+def legacy_report(legacy: DataFrame) -> dict[str, DataFrame]:
+    """The report's three frames over the legacy table.
+
+    ``data``: positive seconds, rounded half to even to minutes, R z-score
+    (sample SD, strict). ``stations``: trips and mean position per start
+    station (NA in a mean gives NA, as R's mean does). ``data_time``: A6.
+    """
+    data = (
+        legacy.select("rideable_type", "member_casual", "trip_duration")
+        .filter(F.col("trip_duration") > 0)
+        .withColumn("trip_duration", to_minutes("trip_duration", "half_even"))
+    )
+    data = drop_zscore(data, "trip_duration", k=3.0, sd="samp", strict=True)
+    return {
+        "data": data,
+        "stations": station_trips(legacy, by_member=False, drop_blank=True, na_rm=False).drop("n_trips_k"),
+        "data_time": time_rollup_legacy(legacy),
+    }
+
+
+def area_pipeline(rides: DataFrame, areas: DataFrame) -> DataFrame:
+    """Station rollup -> within-join -> trips per area, zero filled."""
+    stations = station_trips(rides, by_member=True, drop_blank=False, min_trips=0)
+    return area_totals(stations, areas)
