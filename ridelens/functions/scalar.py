@@ -31,30 +31,20 @@ def blank_to_null_text(c: Column | str) -> Column:
     return F.when(c.isNull(), F.lit("")).when(c == "NA", F.lit(None).cast("string")).otherwise(c)
 
 
-def wall_seconds_between(start: Column | str, end: Column | str) -> Column:
-    """Exact wall-clock seconds from ``start`` to ``end`` as a decimal.
+def minutes_between(start: Column | str, end: Column | str) -> Column:
+    """``TIMESTAMPDIFF(MINUTE, start, end)``: whole minutes, truncated toward zero.
 
-    Zone-less timestamps are compared as written: whole days between the
-    dates plus the difference of the times of day. No time zone is involved,
-    so a daylight-saving change of the session zone cannot shift the result.
+    Zone-less timestamps subtract to an exact day-time interval; casting it to
+    ``INTERVAL MINUTE`` drops the finer fields. No time zone is involved, so a
+    daylight-saving change of the session zone cannot shift the result, and
+    the arithmetic stays on longs inside codegen.
     """
-    a, b = as_col(start), as_col(end)
-
-    def time_of_day(t: Column) -> Column:
-        return F.hour(t) * 3600 + F.minute(t) * 60 + F.extract(F.lit("SECOND"), t)
-
-    days = F.datediff(F.to_date(b), F.to_date(a)).cast("decimal(20,6)")
-    return days * 86400 + (time_of_day(b) - time_of_day(a))
-
-
-def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """``TIMESTAMPDIFF(MINUTE, start, end)``: whole minutes, truncated toward zero."""
-    return (wall_seconds_between(start, end) / 60).cast("long")
+    return (as_col(end) - as_col(start)).cast("interval minute").cast("long")
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """``TIMESTAMPDIFF(SECOND, start, end)``: whole seconds, truncated toward zero."""
-    return wall_seconds_between(start, end).cast("long")
+    return (as_col(end) - as_col(start)).cast("interval second").cast("long")
 
 
 def member_flag(c: Column | str) -> Column:

@@ -8,26 +8,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelens.operators.predicates import any_null, both_blank, delete_where, outside_minutes
+from ridelens.operators.predicates import both_blank, delete_where, outside_minutes
 from ridelens.schema import CleanParams
 
 
-def clean_predicate(params: CleanParams = CleanParams()) -> Column:
-    """The main clean as one predicate.
+def clean_predicates(params: CleanParams = CleanParams()) -> list[Column]:
+    """The disjuncts of the main clean (F1-F4): a row is deleted when any is TRUE.
 
     The reference's ``start_station_name = NULL AND end_station_name = NULL``
     disjunct is never TRUE (F3, D1) and is left out; AND binds before OR (D2).
     """
-    return (
-        any_null(params.required)
-        | both_blank()
-        | outside_minutes(params.min_minutes_exclusive, params.max_minutes_inclusive)
-    )
+    return [
+        *[F.col(c).isNull() for c in params.required],
+        both_blank(),
+        *outside_minutes(params.min_minutes_exclusive, params.max_minutes_inclusive),
+    ]
+
+
+def clean_predicate(params: CleanParams = CleanParams()) -> Column:
+    """The main clean as a single predicate."""
+    preds = clean_predicates(params)
+    out = preds[0]
+    for p in preds[1:]:
+        out = out | p
+    return out
 
 
 def clean_trips(df: DataFrame, params: CleanParams = CleanParams()) -> DataFrame:
-    """One filter pass over the trips; Catalyst pushes the NULL tests into the scan."""
-    return delete_where(df, clean_predicate(params))
+    """One filter pass over the trips (F5). The NULL tests reach the parquet
+    scan as pushed ``IsNotNull`` filters."""
+    return delete_where(df, *clean_predicates(params))
 
 
 def _with_collation(df: DataFrame, keys: Sequence[str], collation: str | None) -> tuple[DataFrame, list[str]]:

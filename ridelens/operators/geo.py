@@ -63,20 +63,21 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
     return edges.join(bbox, "area_id").withColumn("band", F.explode(F.sequence(lo, hi)))
 
 
-def point_areas(
+def _tested(
     coords: DataFrame,
     areas: DataFrame,
-    x: str = "lng",
-    y: str = "lat",
-    band: float = DEFAULT_BAND,
-    max_broadcast_rows: int = 2_000_000,
+    x: str,
+    y: str,
+    band: float,
+    max_broadcast_rows: int,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(x, y, area_id) for every distinct coordinate strictly inside an area."""
     edges = broadcast_if_bounded(polygon_edges(areas, band), max_broadcast_rows)
     pts = (
-        coords.select(F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
-        .dropna()
-        .distinct()
+        coords.select(
+            F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"), *carry
+        )
+        .dropna(subset=["__px", "__py"])
         .withColumn("band", F.floor(F.col("__py") / band))
     )
     px, py = F.col("__px"), F.col("__py")
@@ -98,8 +99,22 @@ def point_areas(
     tested = cand.groupBy("__px", "__py", "area_id").agg(
         F.sum(F.when(crosses, 1).otherwise(0)).alias("__crossings"),
         F.max(on_edge.cast("int")).alias("__on_edge"),
+        *[F.first(c).alias(c) for c in carry],
     )
-    inside = tested.filter((F.col("__crossings") % 2 == 1) & (F.col("__on_edge") == 0))
+    return tested.filter((F.col("__crossings") % 2 == 1) & (F.col("__on_edge") == 0))
+
+
+def point_areas(
+    coords: DataFrame,
+    areas: DataFrame,
+    x: str = "lng",
+    y: str = "lat",
+    band: float = DEFAULT_BAND,
+    max_broadcast_rows: int = 2_000_000,
+) -> DataFrame:
+    """(x, y, area_id) for every distinct coordinate strictly inside an area."""
+    pts = coords.select(x, y).distinct()
+    inside = _tested(pts, areas, x, y, band, max_broadcast_rows)
     return inside.select(F.col("__px").alias(x), F.col("__py").alias(y), "area_id")
 
 
@@ -133,19 +148,22 @@ def area_totals(
     x: str = "lng",
     y: str = "lat",
     band: float = DEFAULT_BAND,
+    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Trips per area with zero for areas without trips.
 
-    Points are first summed per coordinate, so only distinct coordinates are
-    tested; totals are summed per community (``sum(na.rm = TRUE)``), merged
-    onto every area, and a missing total becomes 0.
+    Points are first summed per coordinate (partial aggregation, so a hot
+    station is one row); the coordinate sums travel through the containment
+    test, so the points are read once. Totals are summed per community
+    (``sum(na.rm = TRUE)``), merged onto every area, and a missing total
+    becomes 0.
     """
     per_coord = points.groupBy(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).agg(
         F.sum(n).alias("__n")
     )
-    hits = point_areas(per_coord, areas, x, y, band)
-    joined = per_coord.join(hits, [x, y], "inner").join(areas.select("area_id", "community"), "area_id")
-    totals = joined.groupBy("community").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias(n))
+    inside = _tested(per_coord, areas, x, y, band, max_broadcast_rows, carry=("__n",))
+    named = inside.join(areas.select("area_id", "community"), "area_id")
+    totals = named.groupBy("community").agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(n))
     return left_merge(areas.select("area_id", "community"), totals, "community").fillna({n: 0})
 
 

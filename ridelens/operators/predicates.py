@@ -14,9 +14,23 @@ from pyspark.sql import functions as F
 from ridelens.functions.scalar import as_col, minutes_between, seconds_between
 
 
-def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
-    """Keep rows where ``predicate`` is FALSE or NULL (M1)."""
-    return df.filter(~F.coalesce(predicate, F.lit(False)))
+def keep_unless(predicate: Column) -> Column:
+    """TRUE where ``predicate`` is FALSE or NULL."""
+    return ~F.coalesce(predicate, F.lit(False))
+
+
+def delete_where(df: DataFrame, predicate: Column, *more: Column) -> DataFrame:
+    """Keep rows where ``predicate`` (OR any of ``more``) is FALSE or NULL (M1).
+
+    ``DELETE WHERE p1 OR p2`` keeps a row exactly when no disjunct is TRUE,
+    so the disjuncts are given separately and kept as a conjunction: simple
+    ones (``x IS NULL`` becomes ``x IS NOT NULL``) then reach the scan as
+    pushed filters instead of hiding inside one opaque expression.
+    """
+    cond = keep_unless(predicate)
+    for p in more:
+        cond = cond & keep_unless(p)
+    return df.filter(cond)
 
 
 def any_null(cols: Iterable[str]) -> Column:
@@ -40,14 +54,14 @@ def drop_both_blank(df: DataFrame, a: str = "start_station_name", b: str = "end_
     return delete_where(df, both_blank(a, b))
 
 
-def outside_minutes(lo_exclusive: int, hi_inclusive: int, start: str = "started_at", end: str = "ended_at") -> Column:
+def outside_minutes(lo_exclusive: int, hi_inclusive: int, start: str = "started_at", end: str = "ended_at") -> list[Column]:
     minutes = minutes_between(start, end)
-    return (minutes <= lo_exclusive) | (minutes > hi_inclusive)
+    return [minutes <= lo_exclusive, minutes > hi_inclusive]
 
 
 def duration_between(df: DataFrame, lo: int = 2, hi: int = 210) -> DataFrame:
     """Keep trips of ``lo``..``hi`` whole minutes; NULL spans are kept."""
-    return delete_where(df, outside_minutes(lo - 1, hi))
+    return delete_where(df, *outside_minutes(lo - 1, hi))
 
 
 def exclude_like(df: DataFrame, col: str, patterns: Sequence[str], how: str = "all") -> DataFrame:

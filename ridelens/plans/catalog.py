@@ -21,7 +21,6 @@ from ridelens.operators.distribution import boxplot_outliers, boxplot_stats, his
 from ridelens.operators.geo import area_totals, within_join
 from ridelens.operators.outliers import drop_zscore
 from ridelens.operators.predicates import (
-    any_null,
     delete_where,
     drop_longer_than,
     drop_missing,
@@ -45,6 +44,7 @@ from ridelens.plans.pipelines import (
     clean_pipeline,
     legacy_report,
     legacy_rides,
+    rides_narrow,
     rides_pipeline,
 )
 from ridelens.schema import (
@@ -72,7 +72,7 @@ def _dedup(spark, sf_dir):
 
 
 def _rides_unfiltered(spark, sf_dir):
-    return narrow(derive_rides(_dedup(spark, sf_dir)))
+    return rides_narrow(_views(spark, sf_dir)["trips_raw"])
 
 
 def _rides(spark, sf_dir):

@@ -9,10 +9,18 @@ every query grows with the table.
 
 from __future__ import annotations
 
+import os
 import posixpath
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ridelens.schema import TRIPS_RAW
+from ridelens.session import ensure_checkpoint_dir
+from ridelens.sources.files import write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,10 +109,39 @@ def areas_from_region(region: DataFrame) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+TRIPS_TABLE_SCHEMA = T.StructType(TRIPS_RAW.fields + [T.StructField("source_month", T.StringType())])
+
+# (application, folder, events file state) -> path of the loaded trip table
+_LOADED: dict[tuple, str] = {}
+_LOCK = threading.Lock()
+
+
+def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip view written once per session as a parquet table partitioned
+    by ``source_month`` (the reference's load step, S5), then read with an
+    explicit schema. Queries on it get column pruning, pushed filters and
+    month partition pruning, as they would on a real trip table."""
+    events_path = posixpath.join(sf_dir, "events.parquet")
+    try:
+        st = os.stat(events_path)
+        stamp = (st.st_size, st.st_mtime_ns)
+    except OSError:
+        stamp = None
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp)
+    with _LOCK:
+        path = _LOADED.get(key)
+        if path is None:
+            path = posixpath.join(ensure_checkpoint_dir(spark), "tables", f"trips_raw-{uuid.uuid4().hex}")
+            write_table(trips_from_events(table(spark, sf_dir, "events")), path, partition_by=["source_month"])
+            _LOADED[key] = path
+    return spark.read.schema(TRIPS_TABLE_SCHEMA).parquet(path)
+
+
+def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
     """The three views for a scale-factor folder."""
+    trips = load_trips(spark, sf_dir) if materialize else trips_from_events(table(spark, sf_dir, "events"))
     return {
-        "trips_raw": trips_from_events(table(spark, sf_dir, "events")),
+        "trips_raw": trips,
         "stations_raw": stations_raw_from_nation(table(spark, sf_dir, "nation")),
         "areas": areas_from_region(table(spark, sf_dir, "region")),
     }

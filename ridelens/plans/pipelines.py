@@ -35,22 +35,32 @@ def clean_pipeline(
     return deduped
 
 
-def rides_pipeline(
+def rides_narrow(
     trips_raw: DataFrame,
     stations_raw: DataFrame | None = None,
     params: CleanParams = CleanParams(),
-    z: ZScoreParams = ZScoreParams(),
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
-    """C1, derive, narrow, z-score cut on minutes.
+    """C1, derive, narrow: the analysis table before the outlier cut.
 
-    The z-score needs the whole table twice (statistics, then the filter).
-    ``materialize=True`` writes the narrowed rides once to the checkpoint
-    folder so the upstream scan, clean and anti join run once.
+    ``materialize=True`` writes it once to the checkpoint folder. The z-score
+    reads its input twice (statistics, then the filter) and the duplicate-key
+    side of the anti join reads the trips again, so without the copy the
+    scan, clean and anti join would run three or four times.
     """
     rides = narrow(derive_rides(clean_pipeline(trips_raw, stations_raw, params)))
-    if materialize:
-        rides = checkpoint_table(rides, "rides_narrow")
+    return checkpoint_table(rides, "rides_narrow") if materialize else rides
+
+
+def rides_pipeline(
+    trips_raw: DataFrame,
+    stations_raw: DataFrame | None = None,
+    params: CleanParams = CleanParams(),
+    z: ZScoreParams = ZScoreParams(),
+    materialize: bool = True,
+) -> DataFrame:
+    """C1, derive, narrow, z-score cut on minutes."""
+    rides = rides_narrow(trips_raw, stations_raw, params, materialize)
     return drop_zscore(rides, "duration", k=z.k, sd=z.sd, strict=z.strict)
 
 
@@ -59,29 +69,35 @@ def rollup_pipeline(rides: DataFrame) -> dict[str, DataFrame]:
     return {"time_rollup": time_rollup(rides), "od_rollup": od_rollup(rides)}
 
 
-def clean_ledger(trips_raw: DataFrame, params: CleanParams = CleanParams()) -> DataFrame:
+def clean_ledger(trips_raw: DataFrame, params: CleanParams = CleanParams(), materialize: bool = True) -> DataFrame:
     """A25 over C2: rows in and out of each deleting step."""
     typed = type_timestamps(trips_raw)
     cleaned = clean_trips(typed, params)
     deduped = drop_all_duplicates(cleaned, ["ride_id"])
     rides = narrow(derive_rides(deduped))
+    if materialize:
+        rides = checkpoint_table(rides, "rides_narrow")
     trimmed = drop_zscore(rides, "duration")
     return cleaning_ledger(
         [("load", typed), ("clean", cleaned), ("drop_duplicates", deduped), ("zscore", trimmed)]
     )
 
 
-def legacy_rides(trips_raw: DataFrame, fix_ids: bool = True) -> DataFrame:
-    """C4: type, drop duplicated keys, drop missing values, derive with
-    seconds and labels, z-score cut on seconds, canonical start and end ids.
-
-    Duplicates are removed *before* the missing-value delete here.
-    """
+def legacy_derived(trips_raw: DataFrame, materialize: bool = True) -> DataFrame:
+    """C4 up to the derivation: type, drop duplicated keys, drop missing
+    values, derive seconds and labels. Duplicates are removed *before* the
+    missing-value delete here."""
     typed = type_trips(trips_raw.drop("source_month") if "source_month" in trips_raw.columns else trips_raw)
     deduped = drop_all_duplicates(typed, ["ride_id"])
     complete = drop_missing(deduped, LEGACY_REQUIRED_COLUMNS)
     legacy = derive_rides_legacy(complete)
-    trimmed = drop_zscore(legacy, "trip_duration")
+    return checkpoint_table(legacy, "legacy_derived") if materialize else legacy
+
+
+def legacy_rides(trips_raw: DataFrame, fix_ids: bool = True, materialize: bool = True) -> DataFrame:
+    """C4: legacy derivation, z-score cut on seconds, canonical start and end
+    ids (each a per-name map joined back on the name)."""
+    trimmed = drop_zscore(legacy_derived(trips_raw, materialize), "trip_duration")
     if not fix_ids:
         return trimmed
     fixed = canonical_id(trimmed, "start_station_name", "start_station_id", strategy="max")

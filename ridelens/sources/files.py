@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import posixpath
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,13 +135,18 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
 
 
 def checkpoint_table(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
-    """Write ``df`` under the session's shared checkpoint folder and read it
-    back: a reliable copy that cuts the lineage (S10). Survives the loss of
-    any executor, unlike a local checkpoint."""
+    """Write ``df`` as parquet under the session's shared checkpoint folder
+    and read it back: a reliable copy that cuts the lineage (S10).
+
+    Every call writes a fresh folder, so a frame read from an earlier call is
+    never overwritten by a later one. The copy survives the loss of any
+    executor, unlike a local checkpoint, and later readers get column pruning
+    and filter pushdown on it.
+    """
     spark = df.sparkSession
     root = base or ensure_checkpoint_dir(spark)
-    path = posixpath.join(root, "tables", name)
-    df.write.mode("overwrite").parquet(path)
+    path = posixpath.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
