@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.operators._plan import one_row_broadcast
@@ -26,10 +26,11 @@ def histogram(df: DataFrame, col: str = "duration", width: float = 2.0, by: Sequ
     Bins are right-closed, ``(c - w/2, c + w/2]``, with centres on multiples
     of ``width`` (a boundary at ``width/2``); the lowest bin also takes its
     lower edge (T10), which is where the global minimum goes when it sits
-    exactly on an edge. Only non-empty bins are returned.
+    exactly on an edge. Only non-empty bins are returned. The global minimum
+    is a one-column aggregate, broadcast as one row.
     """
     vc = value_counts(df, col, by)
-    lowest = one_row_broadcast(vc.agg(F.min(col).alias("__xmin")))
+    lowest = one_row_broadcast(df.agg(F.min(F.col(col).cast("double")).alias("__xmin")))
     x = F.col(col).cast("double")
     w = float(width)
     centre = F.ceil((x - w / 2.0) / w) * w
@@ -45,6 +46,36 @@ def histogram(df: DataFrame, col: str = "duration", width: float = 2.0, by: Sequ
     )
 
 
+_PROBS = (0.25, 0.5, 0.75)
+
+
+def _with_quartiles(df: DataFrame, col: str, by: list[str], approx: bool, accuracy: int) -> DataFrame:
+    """Value counts with the group's quartiles on every row.
+
+    Exact: ``percentile(x, p, count)`` evaluated as a window over the value
+    counts of each group, so the rows are aggregated once and a group costs
+    one row per distinct value, however many trips it holds. Approximate:
+    ``percentile_approx`` over the rows, joined to the value counts.
+    """
+    probs = F.array(*[F.lit(p) for p in _PROBS])
+    x = F.col(col).cast("double")
+    vc = value_counts(df, col, by)
+    if approx:
+        q = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(
+            F.percentile_approx(x, probs, accuracy).alias("__q")
+        )
+        out = vc.join(q, on=by, how="inner") if by else vc.crossJoin(one_row_broadcast(q))
+    else:
+        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+        out = vc.withColumn("__q", F.percentile(x, probs, F.col("__n")).over(w))
+    return out.select(
+        "*",
+        F.col("__q")[0].alias("lower"),
+        F.col("__q")[1].alias("middle"),
+        F.col("__q")[2].alias("upper"),
+    ).drop("__q")
+
+
 def boxplot_stats(
     df: DataFrame,
     col: str = "duration",
@@ -55,47 +86,28 @@ def boxplot_stats(
 ) -> DataFrame:
     """Five-number summary per group as a box plot draws it.
 
-    Quartiles interpolate linearly (exact ``percentile`` over the value
-    counts); whiskers are the furthest values within ``coef`` IQR of the box;
-    ``n_outliers`` counts the rest. ``approx=True`` uses ``percentile_approx``
-    on the rows, for continuous values with many distinct values.
+    Quartiles interpolate linearly (type 7); whiskers are the furthest values
+    within ``coef`` IQR of the box; ``n_outliers`` counts the rest; notches
+    are median +- 1.58 IQR / sqrt(n). ``approx=True`` uses
+    ``percentile_approx`` for continuous values with many distinct values.
     """
     by = list(by)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    if approx:
-        q = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(
-            F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("__q"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        vc = value_counts(df, col, by)
-    else:
-        vc = value_counts(df, col, by)
-        q = vc.groupBy(*by).agg(
-            F.percentile(F.col(col).cast("double"), probs, F.col("__n")).alias("__q"),
-            F.sum("__n").alias("n"),
-        )
-    q = q.select(
-        *by,
-        "n",
-        F.col("__q")[0].alias("lower"),
-        F.col("__q")[1].alias("middle"),
-        F.col("__q")[2].alias("upper"),
-    )
+    vq = _with_quartiles(df, col, by, approx, accuracy)
+    x = F.col(col).cast("double")
     iqr = F.col("upper") - F.col("lower")
     lo_fence = F.col("lower") - coef * iqr
     hi_fence = F.col("upper") + coef * iqr
-    x = F.col(col).cast("double")
-    # One row per group on the right side: the join is by the group keys.
-    whiskers = (
-        vc.join(q, on=by, how="inner")
-        .groupBy(*by)
-        .agg(
-            F.min(F.when(x >= lo_fence, x)).alias("ymin"),
-            F.max(F.when(x <= hi_fence, x)).alias("ymax"),
-            F.sum(F.when((x < lo_fence) | (x > hi_fence), F.col("__n")).otherwise(F.lit(0))).alias("n_outliers"),
-        )
+    stats = vq.groupBy(*by).agg(
+        F.sum("__n").alias("n"),
+        F.min(F.when(x >= lo_fence, x)).alias("ymin"),
+        F.any_value("lower").alias("lower"),
+        F.any_value("middle").alias("middle"),
+        F.any_value("upper").alias("upper"),
+        F.max(F.when(x <= hi_fence, x)).alias("ymax"),
+        F.sum(F.when((x < lo_fence) | (x > hi_fence), F.col("__n")).otherwise(F.lit(0))).alias("n_outliers"),
     )
-    return q.join(whiskers, on=by, how="inner").select(
+    box_iqr = F.col("upper") - F.col("lower")
+    return stats.select(
         *by,
         "n",
         "ymin",
@@ -103,8 +115,8 @@ def boxplot_stats(
         "middle",
         "upper",
         "ymax",
-        (F.col("middle") - 1.58 * iqr / F.sqrt(F.col("n"))).alias("notchlower"),
-        (F.col("middle") + 1.58 * iqr / F.sqrt(F.col("n"))).alias("notchupper"),
+        (F.col("middle") - 1.58 * box_iqr / F.sqrt(F.col("n"))).alias("notchlower"),
+        (F.col("middle") + 1.58 * box_iqr / F.sqrt(F.col("n"))).alias("notchupper"),
         "n_outliers",
     )
 
@@ -114,16 +126,15 @@ def boxplot_outliers(
     col: str = "duration",
     by: Sequence[str] = ("member", "rideable_type"),
     coef: float = 1.5,
+    approx: bool = False,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """The outliers of each box, as (group, value, count): every outlying row
     is represented, multiplicity included, without moving the rows (A23)."""
     by = list(by)
-    stats = boxplot_stats(df, col, by, coef).select(*by, "lower", "upper")
-    vc = value_counts(df, col, by)
-    iqr = F.col("upper") - F.col("lower")
+    vq = _with_quartiles(df, col, by, approx, accuracy)
     x = F.col(col).cast("double")
-    return (
-        vc.join(stats, on=by, how="inner")
-        .filter((x < F.col("lower") - coef * iqr) | (x > F.col("upper") + coef * iqr))
-        .select(*by, F.col(col).alias("value"), F.col("__n").alias("n"))
+    iqr = F.col("upper") - F.col("lower")
+    return vq.filter((x < F.col("lower") - coef * iqr) | (x > F.col("upper") + coef * iqr)).select(
+        *by, F.col(col).alias("value"), F.col("__n").alias("n")
     )
