@@ -152,13 +152,14 @@ def conflict_audit(
     )
 
 
-def _main_value(df: DataFrame, key: str, value: str, strategy: str, skip_blank: bool) -> DataFrame:
+def _main_value(df: DataFrame, key: str, value: str, strategy: str, skip_blank: bool, key_col: str | None = None) -> DataFrame:
     src = df.filter(F.col(key) != "") if skip_blank else df
+    key_col = key_col or key
     if strategy == "max":
-        return src.groupBy(key).agg(F.max(value).alias("__main"))
+        return src.groupBy(key_col).agg(F.max(value).alias("__main"))
     if strategy == "mode":
-        pairs = pair_counts(src.filter(F.col(value).isNotNull()), key, value)
-        return pairs.groupBy(key).agg(arg_max(value, "n_trips").alias("__main"))
+        pairs = pair_counts(src.filter(F.col(value).isNotNull()), key_col, value)
+        return pairs.groupBy(key_col).agg(arg_max(value, "n_trips").alias("__main"))
     raise ValueError(f"strategy must be 'max' or 'mode', not {strategy!r}")
 
 
@@ -168,6 +169,7 @@ def canonical_id(
     id_col: str = "start_station_id",
     strategy: str = "max",
     skip_blank: bool = False,
+    collation: str | None = None,
 ) -> DataFrame:
     """Set each trip's id to its name's canonical id where it differs.
 
@@ -175,8 +177,15 @@ def canonical_id(
     common id its comment describes (D15). A NULL id, a NULL name and a name
     without a non-NULL id stay as they are. The name -> id map has one row per
     name; it is joined on the name and broadcast by adaptive execution when
-    small.
+    small. ``collation`` (e.g. ``"UTF8_LCASE"``) groups names the way a
+    case-insensitive server collation would (T6).
     """
+    if collation is not None:
+        work = df.withColumn("__name_key", F.collate(F.col(name), collation))
+        main = _main_value(work, name, id_col, strategy, skip_blank, key_col="__name_key")
+        joined = work.join(main, on="__name_key", how="left")
+        fixed = F.when(F.col(id_col) != F.col("__main"), F.col("__main")).otherwise(F.col(id_col))
+        return joined.select(*[fixed.alias(c) if c == id_col else F.col(c) for c in df.columns])
     main = _main_value(df, name, id_col, strategy, skip_blank)
     joined = df.join(main, on=name, how="left")
     fixed = F.when(F.col(id_col) != F.col("__main"), F.col("__main")).otherwise(F.col(id_col))

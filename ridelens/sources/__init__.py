@@ -8,6 +8,7 @@ from ridelens.sources.files import (  # noqa: F401
     read_stations,
     read_trips,
     type_trip_text,
+    union_months,
     write_report,
     write_table,
 )

@@ -74,6 +74,24 @@ def read_trips(
     return type_trip_text(raw, strict=strict)
 
 
+def union_months(frames: Mapping[str, DataFrame] | Sequence[DataFrame], by_position: bool = False) -> DataFrame:
+    """UNION ALL of monthly frames given separately (U1); duplicates kept.
+
+    A mapping ``{"202401": df, ...}`` adds ``source_month`` from its keys.
+    ``by_position=True`` unions by column position, as ``SELECT *`` unions
+    do; the default matches columns by name. A single multi-file scan
+    (``read_trips``) is the better plan when the months are files.
+    """
+    if isinstance(frames, Mapping):
+        items = [f.withColumn("source_month", F.lit(k)) for k, f in frames.items()]
+    else:
+        items = list(frames)
+    out = items[0]
+    for f in items[1:]:
+        out = out.union(f) if by_position else out.unionByName(f)
+    return out
+
+
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """The published station list with its eight headers."""
     return spark.read.schema(STATIONS_RAW).option("header", True).csv(path)

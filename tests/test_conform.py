@@ -105,3 +105,13 @@ def test_canonical_name_with_exclusion(spark):
     )
     out = {r.x: r.start_station_name for r in canonical_name(df, exclude=["Public Rack%", "%TEMPORARY)"]).collect()}
     assert out == {1: "Station X", 2: "Station X", 3: "A", 4: "A"}
+
+
+def test_canonical_id_collation(spark):
+    df = spark.createDataFrame(
+        [("Clark St", "a", 1), ("CLARK ST", "b", 2)], "start_station_name string, start_station_id string, x int"
+    )
+    binary = {r.x: r.start_station_id for r in canonical_id(df).collect()}
+    ci = {r.x: r.start_station_id for r in canonical_id(df, collation="UTF8_LCASE").collect()}
+    assert binary == {1: "a", 2: "b"}
+    assert ci == {1: "b", 2: "b"}

@@ -123,3 +123,14 @@ def test_jdbc_options_strip_trailing_comma():
     o = jdbc_options(env)
     assert o["url"] == "jdbc:mysql://db.example:3306/bikes"
     assert (o["user"], o["password"]) == ("u", "p,")
+
+
+def test_union_months(spark):
+    from ridelens.sources import union_months
+
+    a = spark.createDataFrame([(1, "x")], "id int, v string")
+    b = spark.createDataFrame([(1, "x")], "id int, v string")
+    out = union_months({"202401": a, "202402": b})
+    assert sorted((r.id, r.source_month) for r in out.collect()) == [(1, "202401"), (1, "202402")]
+    swapped = spark.createDataFrame([("y", 2)], "v string, id int")
+    assert union_months([a, swapped]).count() == 2
