@@ -164,8 +164,10 @@ def checkpoint_table(df: DataFrame, name: str, base: str | None = None) -> DataF
     spark = df.sparkSession
     root = base or ensure_checkpoint_dir(spark)
     path = posixpath.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    schema = df.schema
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back needs no footer-inference job.
+    return spark.read.schema(schema).parquet(path)
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
