@@ -102,7 +102,9 @@ def derive_rides(trips: DataFrame, strict_coordinates: bool = False) -> DataFram
         member_flag("member_casual").alias("member"),
         bike_code("rideable_type").alias("rideable_type"),
         minutes_between("started_at", "ended_at").alias("duration"),
-        F.round(
+        # ROUND of a DOUBLE follows the C library on the reference's server:
+        # half to even.
+        F.bround(
             haversine_m("start_lng", "start_lat", "end_lng", "end_lat", strict=strict_coordinates), 0
         ).alias("distance"),
         F.hour("started_at").alias("hour"),

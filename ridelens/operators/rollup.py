@@ -29,18 +29,23 @@ _WEEKDAY_LEVELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 TIME_KEYS = ["year", "month", "weekday", "hour"]
 
 
-def time_rollup(rides: DataFrame, ordered: bool = False) -> DataFrame:
+def time_rollup(rides: DataFrame, ordered: bool = False, scale: int | None = None) -> DataFrame:
     """Trips, total and average minutes by calendar keys and segment.
 
-    ``avg_duration`` is SUM/COUNT as a double (the reference's exact decimal
-    would round it to 4 places). ``ordered=True`` sorts the result (O1); use it
-    only at a sink.
+    ``avg_duration`` is SUM/COUNT as a double; ``scale=4`` rounds it as the
+    reference's exact decimal division does (T13). ``ordered=True`` sorts the
+    result (O1); use it only at a sink.
     """
     out = (
         rides.withColumn("type", segment_label("member", "rideable_type"))
         .groupBy("year", "month", "weekday", "hour", "type", "member", "rideable_type")
         .agg(F.count(F.lit(1)).alias("n_trips"), F.sum(F.col("duration").cast("long")).alias("duration"))
-        .withColumn("avg_duration", F.col("duration") / F.col("n_trips"))
+        .withColumn(
+            "avg_duration",
+            F.col("duration") / F.col("n_trips")
+            if scale is None
+            else F.round((F.col("duration") / F.col("n_trips")).cast(f"decimal(38,{scale + 2})"), scale).cast("double"),
+        )
         .select("type", *TIME_KEYS, "member", "rideable_type", "n_trips", "duration", "avg_duration")
     )
     if ordered:

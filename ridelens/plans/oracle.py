@@ -146,7 +146,7 @@ DERIVE = f"""SELECT
   CASE WHEN member_casual = 'member' THEN TRUE ELSE FALSE END AS member,
   CASE WHEN rideable_type = 'electric_bike' THEN 1 WHEN rideable_type = 'classic_bike' THEN 2 ELSE 3 END AS rideable_type,
   date_sub('minute', started_at, ended_at) AS duration,
-  round({haversine('start_lng', 'start_lat', 'end_lng', 'end_lat')}) AS distance,
+  round_even({haversine('start_lng', 'start_lat', 'end_lng', 'end_lat')}, 0) AS distance,
   CAST(hour(started_at) AS INTEGER) AS hour,
   CAST(dayofweek(started_at) + 1 AS INTEGER) AS weekday,
   CAST(month(started_at) AS INTEGER) AS month,

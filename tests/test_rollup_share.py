@@ -111,3 +111,17 @@ def test_time_rollup_legacy_levels(spark):
     )
     out = time_rollup_legacy(df, ordered=True).collect()
     assert [(r.month, r.month_level, r.weekday_level) for r in out] == [("Jan", 1, 1), ("Feb", 2, 7)]
+
+
+def test_time_rollup_scale(spark, rides):
+    r = time_rollup(rides, scale=4).collect()
+    for row in r:
+        assert row.avg_duration == pytest.approx(round(row.duration / row.n_trips, 4))
+
+
+def test_cluster_conf():
+    from ridelens.session import cluster_conf
+
+    c = cluster_conf(100 * 1024**4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
