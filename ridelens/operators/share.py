@@ -19,13 +19,15 @@ from ridelens.functions.scalar import segment_label_raw
 def share_of_total(df: DataFrame, n: str = "n_trips", out: str = "percent") -> DataFrame:
     """n / total * 100 (W1); the total is a one-row aggregate, broadcast."""
     total = F.broadcast(df.agg(F.sum(n).alias("__total")))
-    return df.crossJoin(total).withColumn(out, F.col(n) / F.col("__total") * 100.0).drop("__total")
+    pct = F.try_divide(F.col(n).cast("double"), F.col("__total").cast("double")) * 100.0
+    return df.crossJoin(total).withColumn(out, pct).drop("__total")
 
 
 def share_within(df: DataFrame, n: str, by: Sequence[str], out: str = "percentage", digits: int | None = 2) -> DataFrame:
-    """n / sum(n) over ``by`` * 100, rounded half to even."""
+    """n / sum(n) over ``by`` * 100, rounded half to even.
+    A zero total gives NULL instead of failing."""
     w = Window.partitionBy(*by)
-    pct = F.col(n) / F.sum(n).over(w) * 100.0
+    pct = F.try_divide(F.col(n).cast("double"), F.sum(n).over(w).cast("double")) * 100.0
     return df.withColumn(out, F.bround(pct, digits) if digits is not None else pct)
 
 

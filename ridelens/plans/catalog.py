@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ridelens.functions.scalar import bike_label, haversine_m, member_label, to_minutes
 from ridelens.operators.clean import clean_trips, drop_all_duplicates, duplicate_keys, keep_in, null_audit
 from ridelens.operators.conform import canonical_id, canonical_name, conflict_audit, distinct_count
-from ridelens.operators.derive import derive_rides, derive_rides_legacy, narrow, type_timestamps, type_trips
+from ridelens.operators.derive import derive_rides, derive_rides_legacy, type_timestamps, type_trips
 from ridelens.operators.distribution import boxplot_outliers, boxplot_stats, histogram
 from ridelens.operators.geo import area_totals, within_join
 from ridelens.operators.outliers import drop_zscore

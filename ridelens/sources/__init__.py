@@ -7,6 +7,7 @@ from ridelens.sources.files import (  # noqa: F401
     read_areas,
     read_stations,
     read_trips,
+    type_errors,
     type_trip_text,
     union_months,
     write_report,

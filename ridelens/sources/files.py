@@ -37,6 +37,22 @@ def type_trip_text(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def type_errors(text_df: DataFrame, strict_cols: Sequence[str] | None = None) -> DataFrame:
+    """Per typed column, the rows whose text held a value (not blank, not
+    'NA') that typing turned into NULL: malformed numbers and timestamps
+    that a permissive read hides and the main clean would then delete (T16).
+    One global aggregate over the text columns."""
+    cols = strict_cols or [f.name for f in TRIPS_RAW.fields if f.name not in TEXT_COLUMNS]
+    aggs = []
+    for name in cols:
+        dtype = TRIPS_RAW[name].dataType
+        c = F.col(name)
+        present = c.isNotNull() & (F.trim(c) != "") & (c != "NA")
+        lost = present & c.try_cast(dtype).isNull()
+        aggs.append(F.sum(F.when(lost, 1).otherwise(0)).alias(f"{name}_malformed"))
+    return text_df.agg(*aggs)
+
+
 def _glob_of(pattern: str) -> str:
     # A glob that admits every file the regular expression can admit.
     return "*" + TRIP_FILE_SUFFIX if pattern == TRIP_FILE_REGEX else "*"

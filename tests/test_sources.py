@@ -134,3 +134,14 @@ def test_union_months(spark):
     assert sorted((r.id, r.source_month) for r in out.collect()) == [(1, "202401"), (1, "202402")]
     swapped = spark.createDataFrame([("y", 2)], "v string, id int")
     assert union_months([a, swapped]).count() == 2
+
+
+def test_type_errors_count_malformed(spark, trip_dir):
+    from ridelens.sources import type_errors
+    from ridelens.sources.files import TRIPS_TEXT
+
+    text = spark.read.schema(TRIPS_TEXT).option("header", True).csv(os.path.join(trip_dir, "2024*-divvy-tripdata.csv"))
+    r = type_errors(text).first()
+    # 'bad-time' is malformed; blank and NA coordinates are missing, not malformed.
+    assert r.ended_at_malformed == 1
+    assert r.start_lat_malformed == 0 and r.started_at_malformed == 0
