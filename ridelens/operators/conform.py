@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.operators._plan import broadcast_if_bounded
@@ -139,16 +139,25 @@ def conflict_audit(
         name_col = key if noun == "id" else value
         src = exclude_like(src, name_col, exclude, how=how)
     pairs = pair_counts(src, key, value)
-    per_key = pairs.groupBy(key).agg(
-        distinct_count(value, count_null=True).alias(f"n_distinct_{noun}s"),
-        arg_max(value, "n_trips").alias(f"most_popular_{noun}"),
-        arg_min(value, "n_trips").alias(f"less_popular_{noun}"),
-    ).filter(F.col(f"n_distinct_{noun}s") > 1)
     if not detail:
-        return per_key
-    # Both sides are aggregates keyed by ``key``; the join is on that key.
-    return per_key.join(pairs.withColumnRenamed("n_trips", "count_trips"), on=key, how="inner").select(
-        key, f"n_distinct_{noun}s", value, "count_trips", f"most_popular_{noun}", f"less_popular_{noun}"
+        return pairs.groupBy(key).agg(
+            distinct_count(value, count_null=True).alias(f"n_distinct_{noun}s"),
+            arg_max(value, "n_trips").alias(f"most_popular_{noun}"),
+            arg_min(value, "n_trips").alias(f"less_popular_{noun}"),
+        ).filter(F.col(f"n_distinct_{noun}s") > 1)
+    # Pairs are unique per (key, value), so the group statistics are window
+    # aggregates over them: one shuffle by key and no join back.
+    w = Window.partitionBy(key)
+    return (
+        pairs.select(
+            key,
+            F.count(F.lit(1)).over(w).alias(f"n_distinct_{noun}s"),
+            value,
+            F.col("n_trips").alias("count_trips"),
+            arg_max(value, "n_trips").over(w).alias(f"most_popular_{noun}"),
+            arg_min(value, "n_trips").over(w).alias(f"less_popular_{noun}"),
+        )
+        .filter(F.col(f"n_distinct_{noun}s") > 1)
     )
 
 

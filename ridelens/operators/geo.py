@@ -89,7 +89,9 @@ def _tested(
         & py.between(F.col("by0"), F.col("by1")),
     )
     straddles = (y1 > py) != (y2 > py)
-    x_cross = x1 + (py - y1) * (x2 - x1) / (y2 - y1)
+    # Horizontal edges never straddle; try_divide keeps their x-crossing NULL
+    # instead of relying on short-circuit evaluation under ANSI mode.
+    x_cross = x1 + F.try_divide((py - y1) * (x2 - x1), y2 - y1)
     crosses = straddles & (px < x_cross)
     on_edge = (
         ((x2 - x1) * (py - y1) == (y2 - y1) * (px - x1))
