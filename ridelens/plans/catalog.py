@@ -83,6 +83,11 @@ def _legacy_trimmed(spark, sf_dir):
     return legacy_rides(_views(spark, sf_dir)["trips_raw"], fix_ids=False)
 
 
+def _legacy_fixed(spark, sf_dir):
+    # The name audits and the name fix come after both id rewrites.
+    return legacy_rides(_views(spark, sf_dir)["trips_raw"], fix_ids=True)
+
+
 def _legacy_complete(spark, sf_dir):
     typed = type_trips(_views(spark, sf_dir)["trips_raw"].drop("source_month"))
     return drop_missing(drop_all_duplicates(typed, ["ride_id"]), LEGACY_REQUIRED_COLUMNS)
@@ -304,13 +309,13 @@ def q_id_conflict_end(spark, sf_dir):
 
 def q_name_conflict_start(spark, sf_dir):
     return conflict_audit(
-        _legacy_trimmed(spark, sf_dir), "start_station_id", "start_station_name", "name", exclude=[PUBLIC_RACK_PATTERN]
+        _legacy_fixed(spark, sf_dir), "start_station_id", "start_station_name", "name", exclude=[PUBLIC_RACK_PATTERN]
     )
 
 
 def q_name_conflict_end(spark, sf_dir):
     return conflict_audit(
-        _legacy_trimmed(spark, sf_dir),
+        _legacy_fixed(spark, sf_dir),
         "end_station_id",
         "end_station_name",
         "name",
@@ -338,7 +343,7 @@ def q_canonical_id_end(spark, sf_dir):
 
 def q_canonical_name(spark, sf_dir):
     return canonical_name(
-        _legacy_trimmed(spark, sf_dir),
+        _legacy_fixed(spark, sf_dir),
         "start_station_id",
         "start_station_name",
         strategy="max",

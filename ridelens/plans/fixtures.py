@@ -23,8 +23,20 @@ from ridelens.session import ensure_checkpoint_dir
 from ridelens.sources.files import write_table
 
 
+# Columns of the driver tables that the views read; a declared schema skips
+# footer inference (the files may hold more columns).
+_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in _SCHEMAS:
+        reader = reader.schema(_SCHEMAS[name])
+    return reader.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
 def _txt(c):

@@ -310,8 +310,8 @@ def area_totals(points: str) -> str:
   GROUP BY a.community) t ON a.community = t.community"""
 
 
-def audit(key: str, value: str, noun: str, where: str = "", detail: bool = False) -> str:
-    pairs = f"SELECT {key}, {value}, count(*) AS n_trips FROM ltrim {where} GROUP BY {key}, {value}"
+def audit(key: str, value: str, noun: str, where: str = "", detail: bool = False, src: str = "ltrim") -> str:
+    pairs = f"SELECT {key}, {value}, count(*) AS n_trips FROM {src} {where} GROUP BY {key}, {value}"
     ranked = f"""SELECT *,
     row_number() OVER (PARTITION BY {key} ORDER BY n_trips DESC, {value} IS NOT NULL, {value}) AS r_most,
     row_number() OVER (PARTITION BY {key} ORDER BY n_trips ASC, {value} IS NOT NULL, {value}) AS r_least,
@@ -567,18 +567,25 @@ _q("id_conflict_start", ["ltrim"], audit("start_station_name", "start_station_id
 _q("id_conflict_end", ["ltrim"], audit("end_station_name", "end_station_id", "id"))
 _q(
     "name_conflict_start",
-    ["ltrim"],
-    audit("start_station_id", "start_station_name", "name", where="WHERE start_station_name NOT LIKE 'Public Rack - %'"),
+    ["lfix_end"],
+    audit(
+        "start_station_id",
+        "start_station_name",
+        "name",
+        where="WHERE start_station_name NOT LIKE 'Public Rack - %'",
+        src="lfix_end",
+    ),
 )
 _q(
     "name_conflict_end",
-    ["ltrim"],
+    ["lfix_end"],
     audit(
         "end_station_id",
         "end_station_name",
         "name",
         where="WHERE end_station_name NOT LIKE 'Public Rack%' OR end_station_name NOT LIKE '%TEMPORARY)'",
         detail=True,
+        src="lfix_end",
     ),
 )
 _q(
@@ -592,12 +599,12 @@ _q("canonical_id_start", ["lfix_start"], "SELECT * FROM lfix_start")
 _q("canonical_id_end", ["ltrim"], "SELECT * FROM (" + _fix_id("ltrim", "end_station_name", "end_station_id") + ")")
 _q(
     "canonical_name",
-    ["ltrim"],
+    ["lfix_end"],
     """SELECT t.member_casual, t.rideable_type, t.trip_duration, t.hour_of_day, t.day_of_week, t.month, t.year,
   CASE WHEN t.start_station_name != m.main THEN m.main ELSE t.start_station_name END AS start_station_name,
   t.start_station_id, t.end_station_name, t.end_station_id, t.start_lat, t.start_lng, t.end_lat, t.end_lng
-FROM ltrim t LEFT JOIN (
-  SELECT start_station_id, max(start_station_name) AS main FROM ltrim
+FROM lfix_end t LEFT JOIN (
+  SELECT start_station_id, max(start_station_name) AS main FROM lfix_end
   WHERE start_station_name NOT LIKE 'Public Rack%' AND start_station_name NOT LIKE '%TEMPORARY)'
   GROUP BY start_station_id) m ON t.start_station_id = m.start_station_id""",
 )
