@@ -72,10 +72,17 @@ def _dedup(spark, sf_dir):
 
 
 def _rides_unfiltered(spark, sf_dir):
-    return rides_narrow(_views(spark, sf_dir)["trips_raw"])
+    # The reference derives its rides after the station-conformance update.
+    v = _views(spark, sf_dir)
+    return rides_narrow(v["trips_raw"], v["stations_raw"])
 
 
 def _rides(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return rides_pipeline(v["trips_raw"], v["stations_raw"])
+
+
+def _rides_plain(spark, sf_dir):
     return rides_pipeline(_views(spark, sf_dir)["trips_raw"])
 
 
@@ -162,7 +169,8 @@ def q_type_trips(spark, sf_dir):
 
 
 def q_derive_rides(spark, sf_dir):
-    return derive_rides(_dedup(spark, sf_dir))
+    v = _views(spark, sf_dir)
+    return derive_rides(clean_pipeline(v["trips_raw"], v["stations_raw"]))
 
 
 def q_derive_rides_legacy(spark, sf_dir):
@@ -194,7 +202,7 @@ def q_to_minutes_half_up(spark, sf_dir):
 
 
 def q_zscore_pop(spark, sf_dir):
-    return _rides(spark, sf_dir)
+    return _rides_plain(spark, sf_dir)
 
 
 def q_zscore_samp(spark, sf_dir):

@@ -173,12 +173,14 @@ def zcut(src: str, col: str, sd: str = "stddev_pop", strict: bool = False) -> st
     )
 
 
-_cte("derived", ["dedup"], DERIVE.format(src="dedup"))
+# Main path: rides derived after the station conformance, as in the reference.
+_cte("derived", ["conformed"], DERIVE.format(src="conformed"))
 _cte("rides_all", ["derived"], NARROW.format(src="derived"))
 _cte("rides", ["rides_all"], zcut("rides_all", "duration"))
-_cte("derived_c", ["conformed"], DERIVE.format(src="conformed"))
-_cte("rides_all_c", ["derived_c"], NARROW.format(src="derived_c"))
-_cte("rides_c", ["rides_all_c"], zcut("rides_all_c", "duration"))
+# Operator-level z-score check on rides without the conformance.
+_cte("derived_plain", ["dedup"], DERIVE.format(src="dedup"))
+_cte("rides_all_plain", ["derived_plain"], NARROW.format(src="derived_plain"))
+_cte("rides_plain", ["rides_all_plain"], zcut("rides_all_plain", "duration"))
 
 SEGMENT = """CASE WHEN member = TRUE AND rideable_type = 1 THEN 'M-Electric Bike'
        WHEN member = TRUE AND rideable_type = 2 THEN 'M-Classic Bike'
@@ -299,7 +301,6 @@ FROM {src} GROUP BY start_station_name, member"""
 
 _cte("st_member", ["rides"], station_rollup("rides") + " HAVING count(*) > 0")
 _cte("st_member_all", ["rides_all"], station_rollup("rides_all"))
-_cte("st_member_c", ["rides_c"], station_rollup("rides_c") + " HAVING count(*) > 0")
 
 
 def area_totals(points: str) -> str:
@@ -393,9 +394,9 @@ _q(
 )
 _q("to_minutes_half_even", ["lderived"], "SELECT trip_duration, round_even(trip_duration / 60.0, 0) AS minutes FROM lderived")
 _q("to_minutes_half_up", ["lderived"], "SELECT trip_duration, round(trip_duration / 60.0, 0) AS minutes FROM lderived")
-_q("zscore_pop", ["rides"], "SELECT * FROM rides")
+_q("zscore_pop", ["rides_plain"], "SELECT * FROM rides_plain")
 _q("zscore_samp", ["rides_all"], zcut("rides_all", "duration", sd="stddev_samp", strict=True))
-_q("rides_pipeline", ["rides_c"], "SELECT * FROM rides_c")
+_q("rides_pipeline", ["rides"], "SELECT * FROM rides")
 _q("time_rollup", ["time_rollup"], "SELECT * FROM time_rollup")
 _q(
     "od_rollup",
@@ -618,4 +619,4 @@ _q(
 FROM st_member p LEFT JOIN areas a ON p.lng > a.x0 AND p.lng < a.x1 AND p.lat > a.y0 AND p.lat < a.y1""",
 )
 _q("area_totals", ["st_member_all", "areas"], area_totals("st_member_all"))
-_q("area_pipeline", ["st_member_c", "areas"], area_totals("st_member_c"))
+_q("area_pipeline", ["st_member", "areas"], area_totals("st_member"))
