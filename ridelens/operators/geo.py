@@ -30,16 +30,34 @@ DEFAULT_BAND = 0.01  # degrees of latitude per band
 
 
 def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
-    """One row per (area, edge, band) with the area's bounding box."""
-    parts = areas.select("area_id", F.explode("polygon").alias("part"))
-    rings = parts.select("area_id", F.explode("part").alias("ring"))
+    """One row per (area, edge, band) with the area's bounding box.
+
+    The bounding box comes from the coordinate arrays of the row itself, so
+    the whole edge table is one narrow pipeline: no shuffle, no join.
+    """
+    points = F.flatten(F.flatten(F.col("polygon")))
+    xs = F.transform(points, lambda p: p[0])
+    ys = F.transform(points, lambda p: p[1])
+    parts = areas.select(
+        "area_id",
+        F.array_min(xs).alias("bx0"),
+        F.array_max(xs).alias("bx1"),
+        F.array_min(ys).alias("by0"),
+        F.array_max(ys).alias("by1"),
+        F.explode("polygon").alias("part"),
+    )
+    rings = parts.select("area_id", "bx0", "bx1", "by0", "by1", F.explode("part").alias("ring"))
     # Close a ring that does not repeat its first point.
     closed = F.when(
         F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")
     ).otherwise(F.concat(F.col("ring"), F.array(F.element_at("ring", 1))))
-    rings = rings.select("area_id", closed.alias("ring")).filter(F.size("ring") >= 2)
+    rings = rings.withColumn("ring", closed).filter(F.size("ring") >= 2)
     edges = rings.select(
         "area_id",
+        "bx0",
+        "bx1",
+        "by0",
+        "by1",
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.size("ring") - 1),
@@ -51,16 +69,10 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
                 ),
             )
         ).alias("e"),
-    ).select("area_id", "e.x1", "e.y1", "e.x2", "e.y2")
-    bbox = edges.groupBy("area_id").agg(
-        F.least(F.min("x1"), F.min("x2")).alias("bx0"),
-        F.greatest(F.max("x1"), F.max("x2")).alias("bx1"),
-        F.least(F.min("y1"), F.min("y2")).alias("by0"),
-        F.greatest(F.max("y1"), F.max("y2")).alias("by1"),
-    )
+    ).select("area_id", "bx0", "bx1", "by0", "by1", "e.x1", "e.y1", "e.x2", "e.y2")
     lo = F.floor(F.least("y1", "y2") / band)
     hi = F.floor(F.greatest("y1", "y2") / band)
-    return edges.join(bbox, "area_id").withColumn("band", F.explode(F.sequence(lo, hi)))
+    return edges.withColumn("band", F.explode(F.sequence(lo, hi)))
 
 
 def _tested(
