@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from ridelens.operators._plan import broadcast_if_bounded
 
 DEFAULT_BAND = 0.01  # degrees of latitude per band
+# About 100 bytes per edge row: at most ~50 MB is broadcast to the executors.
+MAX_EDGE_ROWS = 500_000
 
 
 def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
@@ -124,7 +126,7 @@ def point_areas(
     x: str = "lng",
     y: str = "lat",
     band: float = DEFAULT_BAND,
-    max_broadcast_rows: int = 2_000_000,
+    max_broadcast_rows: int = MAX_EDGE_ROWS,
 ) -> DataFrame:
     """(x, y, area_id) for every distinct coordinate strictly inside an area."""
     pts = coords.select(x, y).distinct()
@@ -162,7 +164,7 @@ def area_totals(
     x: str = "lng",
     y: str = "lat",
     band: float = DEFAULT_BAND,
-    max_broadcast_rows: int = 2_000_000,
+    max_broadcast_rows: int = MAX_EDGE_ROWS,
 ) -> DataFrame:
     """Trips per area with zero for areas without trips.
 

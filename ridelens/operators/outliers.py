@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelens.operators._plan import one_row_broadcast
 from ridelens.operators.predicates import delete_where
 
 
@@ -26,7 +27,7 @@ def zscore_stats(df: DataFrame, col: str, sd: str = "pop", mean_scale: int | Non
 
 def zscore(df: DataFrame, col: str, sd: str = "pop", out: str = "z", mean_scale: int | None = None) -> DataFrame:
     """Add the z-score of ``col``; SD 0 or NULL gives a NULL z."""
-    stats = F.broadcast(zscore_stats(df, col, sd, mean_scale))
+    stats = one_row_broadcast(zscore_stats(df, col, sd, mean_scale))
     return (
         df.crossJoin(stats)
         .withColumn(out, F.try_divide(F.col(col).cast("double") - F.col("__mean"), F.col("__sd")))

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.functions.scalar import segment_label_raw
+from ridelens.operators._plan import one_row_broadcast
 
 
 def share_of_total(df: DataFrame, n: str = "n_trips", out: str = "percent") -> DataFrame:
     """n / total * 100 (W1); the total is a one-row aggregate, broadcast."""
-    total = F.broadcast(df.agg(F.sum(n).alias("__total")))
+    total = one_row_broadcast(df.agg(F.sum(n).alias("__total")))
     pct = F.try_divide(F.col(n).cast("double"), F.col("__total").cast("double")) * 100.0
     return df.crossJoin(total).withColumn(out, pct).drop("__total")
 
