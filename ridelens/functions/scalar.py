@@ -144,6 +144,26 @@ def to_minutes(seconds: Column | str, mode: str = "half_even") -> Column:
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
+def exact_ratio(a: Column | str, b: Column | str, scale: int = 4) -> Column:
+    """a / b of integers rounded half away from zero to ``scale`` decimals,
+    as an exact decimal division does (T13), returned as a double.
+
+    Computed in integer arithmetic, ``sign(a) * floor((2*10^s*|a| + b) / 2b)``,
+    on DECIMAL(38,0) so large sums cannot overflow; rounding a double quotient
+    instead could round twice. NULL when b is 0 or NULL.
+    """
+    a = as_col(a).cast("decimal(38,0)")
+    b = as_col(b).cast("decimal(38,0)")
+    factor = 10**scale
+    q = F.abs(a) * F.lit(2 * factor).cast("decimal(38,0)") + b
+    d = b * F.lit(2).cast("decimal(38,0)")
+    # q >= 0 and d > 0: floor(q / d) = (q - q mod d) / d, an exact quotient.
+    units = ((q - F.pmod(q, d)) / d).cast("decimal(38,0)")
+    signed = F.when(a < 0, -units).otherwise(units)
+    # Exact decimal division by 10^s, then one correctly rounded conversion.
+    return F.when(b > 0, (signed / F.lit(factor).cast("decimal(38,0)")).cast("double"))
+
+
 def safe_ratio(a: Column | str, b: Column | str) -> Column:
     """a / b, NULL when b is 0 or NULL."""
     return F.try_divide(as_col(a).cast("double"), as_col(b).cast("double"))

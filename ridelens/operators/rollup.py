@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ridelens.functions.scalar import (
     bike_label,
+    exact_ratio,
     member_label,
     month_label,
     month_order,
@@ -44,7 +45,7 @@ def time_rollup(rides: DataFrame, ordered: bool = False, scale: int | None = Non
             "avg_duration",
             F.col("duration") / F.col("n_trips")
             if scale is None
-            else F.round((F.col("duration") / F.col("n_trips")).cast(f"decimal(38,{scale + 2})"), scale).cast("double"),
+            else exact_ratio("duration", "n_trips", scale),
         )
         .select("type", *TIME_KEYS, "member", "rideable_type", "n_trips", "duration", "avg_duration")
     )

@@ -128,6 +128,10 @@ def q_drop_all_duplicates(spark, sf_dir):
     return _dedup(spark, sf_dir)
 
 
+def q_drop_duplicates_keep_one(spark, sf_dir):
+    return drop_all_duplicates(clean_trips(_trips(spark, sf_dir)), ["ride_id"], keep="one")
+
+
 def q_keep_in(spark, sf_dir):
     cleaned = clean_trips(_trips(spark, sf_dir))
     return keep_in(cleaned, duplicate_keys(cleaned, ["ride_id"]), ["ride_id"])
@@ -221,6 +225,10 @@ def q_time_rollup(spark, sf_dir):
     return time_rollup(_rides(spark, sf_dir))
 
 
+def q_time_rollup_decimal(spark, sf_dir):
+    return time_rollup(_rides(spark, sf_dir), scale=4)
+
+
 def q_od_rollup(spark, sf_dir):
     return _round(od_rollup(_rides(spark, sf_dir)), ["duration", "s_lat", "s_lng", "e_lat", "e_lng"])
 
@@ -333,6 +341,18 @@ def q_name_conflict_end(spark, sf_dir):
     )
 
 
+def q_name_conflict_end_intended(spark, sf_dir):
+    return conflict_audit(
+        _legacy_fixed(spark, sf_dir),
+        "end_station_id",
+        "end_station_name",
+        "name",
+        exclude=[PUBLIC_RACK_PREFIX, TEMPORARY_SUFFIX],
+        how="all",
+        detail=True,
+    )
+
+
 def q_distinct_count_null(spark, sf_dir):
     t = _dedup(spark, sf_dir)
     return t.groupBy("start_station_name").agg(
@@ -349,6 +369,10 @@ def q_canonical_id_end(spark, sf_dir):
     return canonical_id(_legacy_trimmed(spark, sf_dir), "end_station_name", "end_station_id")
 
 
+def q_canonical_id_mode(spark, sf_dir):
+    return canonical_id(_legacy_trimmed(spark, sf_dir), "start_station_name", "start_station_id", strategy="mode")
+
+
 def q_canonical_name(spark, sf_dir):
     return canonical_name(
         _legacy_fixed(spark, sf_dir),
@@ -377,6 +401,14 @@ def q_within_join(spark, sf_dir):
     return _round(within_join(pts, v["areas"]), ["lng", "lat"])
 
 
+def q_within_join_rides(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    rides = _rides(spark, sf_dir).select(
+        "member", "rideable_type", "duration", "start_station_name", "start_lng", "start_lat"
+    )
+    return within_join(rides, v["areas"], x="start_lng", y="start_lat")
+
+
 def q_area_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
     pts = station_trips(_rides_unfiltered(spark, sf_dir), by_member=True, drop_blank=False)

@@ -349,6 +349,12 @@ _q(
 _q("clean_trips", ["clean"], "SELECT * FROM clean")
 _q("drop_all_duplicates", ["dedup"], "SELECT * FROM dedup")
 _q("keep_in", ["clean", "dups"], "SELECT * FROM clean WHERE ride_id IN (SELECT ride_id FROM dups)")
+# The copies of a duplicated ride are identical rows, so any kept copy is the same.
+_q(
+    "drop_duplicates_keep_one",
+    ["clean"],
+    "SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY ride_id) = 1",
+)
 _q(
     "null_audit",
     ["conformed"],
@@ -398,6 +404,15 @@ _q("zscore_pop", ["rides_plain"], "SELECT * FROM rides_plain")
 _q("zscore_samp", ["rides_all"], zcut("rides_all", "duration", sd="stddev_samp", strict=True))
 _q("rides_pipeline", ["rides"], "SELECT * FROM rides")
 _q("time_rollup", ["time_rollup"], "SELECT * FROM time_rollup")
+_q(
+    "time_rollup_decimal",
+    ["rides"],
+    f"""SELECT {SEGMENT} AS type, year, month, weekday, hour, member, rideable_type,
+  count(*) AS n_trips, CAST(sum(duration) AS BIGINT) AS duration,
+  CAST(CASE WHEN sum(duration) < 0 THEN -1 ELSE 1 END
+       * ((20000 * CAST(abs(sum(duration)) AS HUGEINT) + count(*)) // (2 * count(*))) AS DOUBLE) / 10000.0 AS avg_duration
+FROM rides GROUP BY year, month, weekday, hour, type, member, rideable_type""",
+)
 _q(
     "od_rollup",
     ["rides"],
@@ -589,6 +604,18 @@ _q(
         src="lfix_end",
     ),
 )
+_q(
+    "name_conflict_end_intended",
+    ["lfix_end"],
+    audit(
+        "end_station_id",
+        "end_station_name",
+        "name",
+        where="WHERE end_station_name NOT LIKE 'Public Rack%' AND end_station_name NOT LIKE '%TEMPORARY)'",
+        detail=True,
+        src="lfix_end",
+    ),
+)
 _q(
     "distinct_count_null",
     ["dedup"],
@@ -609,6 +636,20 @@ FROM lfix_end t LEFT JOIN (
   WHERE start_station_name NOT LIKE 'Public Rack%' AND start_station_name NOT LIKE '%TEMPORARY)'
   GROUP BY start_station_id) m ON t.start_station_id = m.start_station_id""",
 )
+_q(
+    "canonical_id_mode",
+    ["ltrim"],
+    """SELECT t.member_casual, t.rideable_type, t.trip_duration, t.hour_of_day, t.day_of_week, t.month, t.year,
+  t.start_station_name,
+  CASE WHEN t.start_station_id != m.main THEN m.main ELSE t.start_station_id END AS start_station_id,
+  t.end_station_name, t.end_station_id, t.start_lat, t.start_lng, t.end_lat, t.end_lng
+FROM ltrim t LEFT JOIN (
+  SELECT start_station_name, start_station_id AS main FROM (
+    SELECT start_station_name, start_station_id,
+      row_number() OVER (PARTITION BY start_station_name ORDER BY count(*) DESC, start_station_id) AS rn
+    FROM ltrim WHERE start_station_id IS NOT NULL GROUP BY start_station_name, start_station_id)
+  WHERE rn = 1) m ON t.start_station_name = m.start_station_name""",
+)
 _q("legacy_pipeline", ["lfix_end"], "SELECT * FROM lfix_end")
 _q("legacy_report", ["lreport"], "SELECT * FROM lreport")
 _q(
@@ -618,5 +659,12 @@ _q(
   a.area_id, a.community
 FROM st_member p LEFT JOIN areas a ON p.lng > a.x0 AND p.lng < a.x1 AND p.lat > a.y0 AND p.lat < a.y1""",
 )
+_q(
+    "within_join_rides",
+    ["rides", "areas"],
+    """SELECT r.member, r.rideable_type, r.duration, r.start_station_name, r.start_lng, r.start_lat, a.area_id, a.community
+FROM rides r LEFT JOIN areas a ON CAST(r.start_lng AS DOUBLE) > a.x0 AND CAST(r.start_lng AS DOUBLE) < a.x1
+  AND CAST(r.start_lat AS DOUBLE) > a.y0 AND CAST(r.start_lat AS DOUBLE) < a.y1""",
+)
 _q("area_totals", ["st_member_all", "areas"], area_totals("st_member_all"))
 _q("area_pipeline", ["st_member", "areas"], area_totals("st_member"))

@@ -153,3 +153,19 @@ def test_derive_rides(spark):
 def test_derive_rides_legacy(spark):
     r = derive_rides_legacy(_trip(spark)).first()
     assert (r.trip_duration, r.hour_of_day, r.day_of_week, r.month, r.year) == (630, 8, "Sun", "Mar", 2024)
+
+
+def test_exact_ratio_rounds_once(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from ridelens.functions.scalar import exact_ratio
+
+    pairs = [(7, 3), (1, 8), (5, 2), (-5, 2), (233335, 100000), (2**60, 3), (1, 0), (None, 2)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r.q for r in df.select(exact_ratio("a", "b", 4).alias("q")).collect()]
+    for (a, b), q in zip(pairs, got):
+        if a is None or b == 0:
+            assert q is None
+            continue
+        exp = (Decimal(abs(a)) / Decimal(b)).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
+        assert q == float(exp if a >= 0 else -exp)
