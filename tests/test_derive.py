@@ -169,3 +169,13 @@ def test_exact_ratio_rounds_once(spark):
             continue
         exp = (Decimal(abs(a)) / Decimal(b)).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
         assert q == float(exp if a >= 0 else -exp)
+
+
+def test_narrow_checks_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        with pytest.raises(Exception):
+            narrow(spark.createDataFrame([(300, "a")], "hour int, start_station_name string")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
