@@ -6,17 +6,15 @@ GeoJSON MultiPolygon coordinate array ``ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>``
 part. No geometry library is needed:
 
 1. every ring becomes edge rows, each copied into the latitude bands its
-   y-range touches (the bands turn the spatial test into an equi-join);
-2. the points are reduced to distinct coordinates (a hot station is one row);
-3. coordinates join the edges of their band, inside the polygon's bounding
-   box; a ray cast east counts crossings, and a point lying on an edge is
-   marked (a boundary point is not *within*);
-4. odd crossings and no boundary contact means inside (even-odd rule, which
-   handles holes and the parts of a MultiPolygon).
-
-The edge table depends on the polygons only, never on the number of points;
-it is broadcast after a row-count proof, so the points are not shuffled for
-the test.
+   y-range touches; per band, the candidate areas are gathered with their
+   bounding boxes and their edges inside the band (the band table);
+2. the band table depends on the polygons only, never on the points; after a
+   row-count proof on the edges it is broadcast;
+3. each point looks up its band (a broadcast hash join, so the points are
+   never shuffled) and keeps the candidates that contain it: an eastward ray
+   counts edge crossings (even-odd rule, which handles holes and the parts of
+   a MultiPolygon) and a point lying on an edge is not *within*. The test is
+   a higher-order function over the candidate's edges, inside codegen.
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import broadcast_if_bounded
 
 DEFAULT_BAND = 0.01  # degrees of latitude per band
 # About 100 bytes per edge row: at most ~50 MB is broadcast to the executors.
@@ -77,61 +74,49 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
     return edges.withColumn("band", F.explode(F.sequence(lo, hi)))
 
 
-def _tested(
-    coords: DataFrame,
-    areas: DataFrame,
-    x: str,
-    y: str,
-    band: float,
-    max_broadcast_rows: int,
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    edges = broadcast_if_bounded(polygon_edges(areas, band), max_broadcast_rows)
-    pts = (
-        coords.select(
-            F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"), *carry
-        )
-        .dropna(subset=["__px", "__py"])
-        .withColumn("band", F.floor(F.col("__py") / band))
-    )
-    px, py = F.col("__px"), F.col("__py")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    cand = pts.join(
-        edges,
-        (pts["band"] == edges["band"])
-        & px.between(F.col("bx0"), F.col("bx1"))
-        & py.between(F.col("by0"), F.col("by1")),
-    )
-    straddles = (y1 > py) != (y2 > py)
-    # Horizontal edges never straddle; try_divide keeps their x-crossing NULL
-    # instead of relying on short-circuit evaluation under ANSI mode.
-    x_cross = x1 + F.try_divide((py - y1) * (x2 - x1), y2 - y1)
-    crosses = straddles & (px < x_cross)
-    on_edge = (
-        ((x2 - x1) * (py - y1) == (y2 - y1) * (px - x1))
-        & px.between(F.least(x1, x2), F.greatest(x1, x2))
-        & py.between(F.least(y1, y2), F.greatest(y1, y2))
+def band_candidates(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ("community",)) -> DataFrame:
+    """One row per latitude band: the areas whose boundary touches the band,
+    each with its bounding box, attributes and the edges inside the band.
+
+    Its size is set by the polygons (edges times bands crossed), never by
+    the points; ``collect_list`` gathers at most one polygon's edges.
+    """
+    edges = polygon_edges(areas, band).join(areas.select("area_id", *attrs), "area_id")
+    per_area = edges.groupBy("band", "area_id", "bx0", "bx1", "by0", "by1", *attrs).agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
     )
-    tested = cand.groupBy("__px", "__py", "area_id").agg(
-        F.sum(F.when(crosses, 1).otherwise(0)).alias("__crossings"),
-        F.max(on_edge.cast("int")).alias("__on_edge"),
-        *[F.first(c).alias(c) for c in carry],
+    return per_area.groupBy("band").agg(
+        F.collect_list(F.struct("area_id", *attrs, "bx0", "bx1", "by0", "by1", "edges")).alias("__cands")
     )
-    return tested.filter((F.col("__crossings") % 2 == 1) & (F.col("__on_edge") == 0))
 
 
-def point_areas(
-    coords: DataFrame,
-    areas: DataFrame,
-    x: str = "lng",
-    y: str = "lat",
-    band: float = DEFAULT_BAND,
-    max_broadcast_rows: int = MAX_EDGE_ROWS,
-) -> DataFrame:
-    """(x, y, area_id) for every distinct coordinate strictly inside an area."""
-    pts = coords.select(x, y).distinct()
-    inside = _tested(pts, areas, x, y, band, max_broadcast_rows)
-    return inside.select(F.col("__px").alias(x), F.col("__py").alias(y), "area_id")
+def _contains(px, py):
+    """Predicate on a candidate struct: strictly inside by the even-odd rule."""
+
+    def crosses(e):
+        straddles = (e["y1"] > py) != (e["y2"] > py)
+        # Horizontal edges never straddle; try_divide keeps their crossing
+        # NULL instead of relying on short-circuit evaluation under ANSI.
+        x_cross = e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
+        return F.coalesce(straddles & (px < x_cross), F.lit(False))
+
+    def on_edge(e):
+        return (
+            ((e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"]))
+            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        )
+
+    def inside(a):
+        n = F.aggregate(a["edges"], F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
+        return (
+            px.between(a["bx0"], a["bx1"])
+            & py.between(a["by0"], a["by1"])
+            & (n % 2 == 1)
+            & ~F.exists(a["edges"], on_edge)
+        )
+
+    return inside
 
 
 def within_join(
@@ -142,19 +127,41 @@ def within_join(
     how: str = "left",
     band: float = DEFAULT_BAND,
     attrs: tuple[str, ...] = ("community",),
+    max_broadcast_rows: int = MAX_EDGE_ROWS,
 ) -> DataFrame:
     """Spatial join of points to the areas containing them.
 
-    ``how="left"``: a point in no area keeps NULL area attributes; a point in
-    several areas appears once per area. The per-coordinate result is joined
-    back to the points on the coordinates.
+    Every point looks up its latitude band in the broadcast band table and
+    keeps the candidates that contain it, evaluated with higher-order
+    functions inside codegen: no shuffle, no grouping, and each point row is
+    tested where it is, so duplicates keep their multiplicity. ``how="left"``:
+    a point in no area keeps NULL attributes; a point in several areas
+    appears once per area. Beyond the edge bound the band table is joined
+    with a shuffle instead (adaptive execution splits a crowded band).
     """
-    hits = point_areas(points, areas, x, y, band)
-    hits = hits.join(areas.select("area_id", *attrs), "area_id").select(
-        F.col(x).alias("__jx"), F.col(y).alias("__jy"), "area_id", *attrs
-    )
-    cond = (F.col(x).cast("double") == F.col("__jx")) & (F.col(y).cast("double") == F.col("__jy"))
-    return points.join(hits, cond, how).drop("__jx", "__jy")
+    n_edges = polygon_edges(areas, band).limit(max_broadcast_rows + 1).count()
+    cands = band_candidates(areas, band, attrs).withColumnRenamed("band", "__band")
+    if n_edges <= max_broadcast_rows:
+        cands = F.broadcast(cands)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    keyed = points.withColumn("__pband", F.floor(py / band))
+    joined = keyed.join(cands, keyed["__pband"] == cands["__band"], "left")
+    hits = F.filter(F.col("__cands"), _contains(px, py))
+    gen = F.explode_outer(hits) if how == "left" else F.explode(hits)
+    out = joined.select(*points.columns, gen.alias("__hit"))
+    return out.select(*points.columns, F.col("__hit.area_id").alias("area_id"), *[F.col(f"__hit.{a}").alias(a) for a in attrs])
+
+
+def point_areas(
+    coords: DataFrame,
+    areas: DataFrame,
+    x: str = "lng",
+    y: str = "lat",
+    band: float = DEFAULT_BAND,
+) -> DataFrame:
+    """(x, y, area_id) for every distinct coordinate strictly inside an area."""
+    pts = coords.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna().distinct()
+    return within_join(pts, areas, x, y, how="inner", band=band, attrs=()).select(x, y, "area_id")
 
 
 def area_totals(
@@ -164,22 +171,15 @@ def area_totals(
     x: str = "lng",
     y: str = "lat",
     band: float = DEFAULT_BAND,
-    max_broadcast_rows: int = MAX_EDGE_ROWS,
 ) -> DataFrame:
     """Trips per area with zero for areas without trips.
 
-    Points are first summed per coordinate (partial aggregation, so a hot
-    station is one row); the coordinate sums travel through the containment
-    test, so the points are read once. Totals are summed per community
-    (``sum(na.rm = TRUE)``), merged onto every area, and a missing total
-    becomes 0.
+    Points are tested where they are (map side, see ``within_join``); totals
+    are summed per community (``sum(na.rm = TRUE)``, partial aggregation),
+    merged onto every area, and a missing total becomes 0.
     """
-    per_coord = points.groupBy(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).agg(
-        F.sum(n).alias("__n")
-    )
-    inside = _tested(per_coord, areas, x, y, band, max_broadcast_rows, carry=("__n",))
-    named = inside.join(areas.select("area_id", "community"), "area_id")
-    totals = named.groupBy("community").agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(n))
+    hits = within_join(points.select(x, y, n), areas, x, y, how="inner", band=band)
+    totals = hits.groupBy("community").agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n))
     return left_merge(areas.select("area_id", "community"), totals, "community").fillna({n: 0})
 
 
