@@ -4,7 +4,6 @@ areas, parquet tables and checkpoints (S1-S5, S7-S15)."""
 from __future__ import annotations
 
 import posixpath
-import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -54,8 +53,22 @@ def type_errors(text_df: DataFrame, strict_cols: Sequence[str] | None = None) ->
 
 
 def _glob_of(pattern: str) -> str:
-    # A glob that admits every file the regular expression can admit.
-    return "*" + TRIP_FILE_SUFFIX if pattern == TRIP_FILE_REGEX else "*"
+    """A file-name glob admitting exactly the names the unanchored regular
+    expression admits (``?`` stands for the regex's ``.``), so files are
+    pruned when the folder is listed; other patterns fall back to ``*``."""
+    if pattern == TRIP_FILE_REGEX:
+        return "*202[4-5][0-1][0-9]-divvy-tripdata?csv*"
+    return "*"
+
+
+def month_names(first: str, last: str) -> list[str]:
+    """YYYYMM names from ``first`` to ``last`` inclusive."""
+    y, m = int(first[:4]), int(first[4:6])
+    out = []
+    while (y, m) <= (int(last[:4]), int(last[4:6])):
+        out.append(f"{y:04d}{m:02d}")
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
 
 
 def read_trips(
@@ -68,26 +81,37 @@ def read_trips(
     """All monthly trip files under ``path`` as one scan.
 
     ``pattern`` is the reference's unanchored file-name regex; ``source_month``
-    is the file name without its suffix; ``months=(first, last)`` keeps files
-    whose ``source_month`` is in that range. One multi-file scan replaces the
-    union of per-month tables; the files are split into tasks by size.
+    is the file name with the suffix removed (the reference's table name
+    without ``t_``); ``months=(first, last)`` keeps the named months of that
+    range, as the reference's union of named monthly tables does. The choice
+    of files is also given as a glob, so unwanted files are never opened;
+    the row filters keep it exact. One multi-file scan replaces the union of
+    per-month tables; the files are split into tasks by size.
     """
+    names = month_names(*months) if months is not None else None
+    glob = _glob_of(pattern)
+    if names is not None and pattern == TRIP_FILE_REGEX:
+        glob = "{" + ",".join(names) + "}-divvy-tripdata?csv"
     reader = (
         spark.read.schema(TRIPS_TEXT)
         .option("header", True)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .option("pathGlobFilter", _glob_of(pattern))
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
     )
-    raw = reader.csv(path)
+    return type_trip_text(select_trip_files(reader.csv(path), pattern, names), strict=strict)
+
+
+def select_trip_files(raw: DataFrame, pattern: str = TRIP_FILE_REGEX, names: Sequence[str] | None = None) -> DataFrame:
+    """Keep rows of files whose name matches ``pattern`` (and whose month is
+    in ``names``) and add ``source_month``: the file name with every match of
+    the suffix expression removed, as the reference names its tables."""
     fname = F.col("_metadata.file_name")
     raw = raw.withColumn("__file", fname).filter(F.col("__file").rlike(pattern))
-    raw = raw.withColumn("source_month", F.regexp_replace(F.col("__file"), re.escape(TRIP_FILE_SUFFIX) + "$", "")).drop(
-        "__file"
-    )
-    if months is not None:
-        raw = raw.filter(F.col("source_month").between(months[0], months[1]))
-    return type_trip_text(raw, strict=strict)
+    raw = raw.withColumn("source_month", F.regexp_replace(F.col("__file"), TRIP_FILE_SUFFIX, "")).drop("__file")
+    if names is not None:
+        raw = raw.filter(F.col("source_month").isin(list(names)))
+    return raw
 
 
 def union_months(frames: Mapping[str, DataFrame] | Sequence[DataFrame], by_position: bool = False) -> DataFrame:

@@ -12,17 +12,15 @@ which needs the whole table, so it stays a batch step over the loaded table.
 from __future__ import annotations
 
 import posixpath
-import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelens.operators.clean import clean_trips
 from ridelens.operators.derive import type_timestamps
-from ridelens.schema import TRIP_FILE_REGEX, TRIP_FILE_SUFFIX
+from ridelens.schema import TRIP_FILE_REGEX
 from ridelens.session import ensure_checkpoint_dir
-from ridelens.sources.files import TRIPS_TEXT, _glob_of, type_trip_text
+from ridelens.sources.files import TRIPS_TEXT, _glob_of, select_trip_files, type_trip_text
 
 
 def trip_file_stream(
@@ -40,12 +38,7 @@ def trip_file_stream(
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(src_dir)
     )
-    fname = F.col("_metadata.file_name")
-    raw = raw.withColumn("__file", fname).filter(F.col("__file").rlike(pattern))
-    raw = raw.withColumn(
-        "source_month", F.regexp_replace(F.col("__file"), re.escape(TRIP_FILE_SUFFIX) + "$", "")
-    ).drop("__file")
-    typed = type_timestamps(type_trip_text(raw))
+    typed = type_timestamps(type_trip_text(select_trip_files(raw, pattern)))
     return clean_trips(typed) if clean else typed
 
 

@@ -145,3 +145,13 @@ def test_type_errors_count_malformed(spark, trip_dir):
     # 'bad-time' is malformed; blank and NA coordinates are missing, not malformed.
     assert r.ended_at_malformed == 1
     assert r.start_lat_malformed == 0 and r.started_at_malformed == 0
+
+
+def test_unwanted_files_are_not_listed(spark, trip_dir):
+    _write(os.path.join(trip_dir, "202401-divvy-tripdata.csv.bak"), HEADER)
+    files = [os.path.basename(f) for f in read_trips(spark, trip_dir, months=("202501", "202512")).inputFiles()]
+    assert files == ["202501-divvy-tripdata.csv"]
+    every = sorted(os.path.basename(f) for f in read_trips(spark, trip_dir).inputFiles())
+    # The unanchored pattern admits the .bak copy as the reference's would; the
+    # 2026 file and notes.csv are never opened.
+    assert every == ["202401-divvy-tripdata.csv", "202401-divvy-tripdata.csv.bak", "202501-divvy-tripdata.csv"]
