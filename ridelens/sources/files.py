@@ -29,7 +29,8 @@ def type_trip_text(df: DataFrame, strict: bool = False) -> DataFrame:
         if f.name in TEXT_COLUMNS:
             c = blank_to_null_text(c)
         else:
-            c = F.when(c == "NA", F.lit(None)).otherwise(c)
+            # Blank and NA are missing values; only other text can be malformed.
+            c = F.when((c == "NA") | (F.trim(c) == ""), F.lit(None).cast("string")).otherwise(c)
             c = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     extra = [c for c in df.columns if c not in TRIPS_TEXT.fieldNames()]

@@ -155,3 +155,12 @@ def test_unwanted_files_are_not_listed(spark, trip_dir):
     # The unanchored pattern admits the .bak copy as the reference's would; the
     # 2026 file and notes.csv are never opened.
     assert every == ["202401-divvy-tripdata.csv", "202401-divvy-tripdata.csv.bak", "202501-divvy-tripdata.csv"]
+
+
+def test_strict_read_accepts_blank_numbers(spark, tmpdir_path):
+    _write(
+        os.path.join(tmpdir_path, "202403-divvy-tripdata.csv"),
+        HEADER + "C1,classic_bike,2024-03-01 08:00:00,2024-03-01 08:10:00,A,1,B,2,,-87.6,NA,-87.7,member\n",
+    )
+    r = read_trips(spark, tmpdir_path, strict=True).first()
+    assert (r.start_lat, r.end_lat, r.start_lng) == (None, None, -87.6)
