@@ -210,7 +210,7 @@ def canonical_name(
     how: str = "all",
 ) -> DataFrame:
     """Set each trip's name to its id's canonical name (J7; disabled in the
-    reference's pipeline). ``exclude`` keeps names matching the patterns out of
+    reference's main flow). ``exclude`` keeps names matching the patterns out of
     the choice of the canonical name."""
     src = exclude_like(df, name, exclude, how=how) if exclude else df
     main = _main_value(src, id_col, name, strategy, skip_blank=False)

@@ -32,7 +32,7 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
     """One row per (area, edge, band) with the area's bounding box.
 
     The bounding box comes from the coordinate arrays of the row itself, so
-    the whole edge table is one narrow pipeline: no shuffle, no join.
+    the whole edge table is one narrow chain of projections: no shuffle, no join.
     """
     points = F.flatten(F.flatten(F.col("polygon")))
     xs = F.transform(points, lambda p: p[0])

@@ -1 +1 @@
-"""Composite pipelines (C1-C7), report frames and the fixture views."""
+"""Composite plans (C1-C7), report frames and the fixture views."""

@@ -38,14 +38,14 @@ from ridelens.operators.rollup import (
 )
 from ridelens.operators.share import share_segments, share_within
 from ridelens.plans import fixtures
-from ridelens.plans.pipelines import (
-    area_pipeline,
+from ridelens.plans.composite import (
+    area_trips,
     clean_ledger,
-    clean_pipeline,
+    clean_trips_table,
     legacy_report,
     legacy_rides,
     rides_narrow,
-    rides_pipeline,
+    analysis_rides,
 )
 from ridelens.schema import (
     AUDIT_COLUMNS,
@@ -68,7 +68,7 @@ def _trips(spark, sf_dir):
 
 
 def _dedup(spark, sf_dir):
-    return clean_pipeline(_views(spark, sf_dir)["trips_raw"])
+    return clean_trips_table(_views(spark, sf_dir)["trips_raw"])
 
 
 def _rides_unfiltered(spark, sf_dir):
@@ -79,11 +79,11 @@ def _rides_unfiltered(spark, sf_dir):
 
 def _rides(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return rides_pipeline(v["trips_raw"], v["stations_raw"])
+    return analysis_rides(v["trips_raw"], v["stations_raw"])
 
 
 def _rides_plain(spark, sf_dir):
-    return rides_pipeline(_views(spark, sf_dir)["trips_raw"])
+    return analysis_rides(_views(spark, sf_dir)["trips_raw"])
 
 
 def _legacy_trimmed(spark, sf_dir):
@@ -139,12 +139,12 @@ def q_keep_in(spark, sf_dir):
 
 def q_null_audit(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return null_audit(clean_pipeline(v["trips_raw"], v["stations_raw"]), AUDIT_COLUMNS)
+    return null_audit(clean_trips_table(v["trips_raw"], v["stations_raw"]), AUDIT_COLUMNS)
 
 
 def q_conform_station(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return clean_pipeline(v["trips_raw"], v["stations_raw"])
+    return clean_trips_table(v["trips_raw"], v["stations_raw"])
 
 
 def q_span_rules(spark, sf_dir):
@@ -174,7 +174,7 @@ def q_type_trips(spark, sf_dir):
 
 def q_derive_rides(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return derive_rides(clean_pipeline(v["trips_raw"], v["stations_raw"]))
+    return derive_rides(clean_trips_table(v["trips_raw"], v["stations_raw"]))
 
 
 def q_derive_rides_legacy(spark, sf_dir):
@@ -213,9 +213,9 @@ def q_zscore_samp(spark, sf_dir):
     return drop_zscore(_rides_unfiltered(spark, sf_dir), "duration", k=3.0, sd="samp", strict=True)
 
 
-def q_rides_pipeline(spark, sf_dir):
+def q_analysis_rides(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return rides_pipeline(v["trips_raw"], v["stations_raw"])
+    return analysis_rides(v["trips_raw"], v["stations_raw"])
 
 
 # -- rollups ----------------------------------------------------------------
@@ -384,7 +384,7 @@ def q_canonical_name(spark, sf_dir):
     )
 
 
-def q_legacy_pipeline(spark, sf_dir):
+def q_legacy_rides(spark, sf_dir):
     return legacy_rides(_views(spark, sf_dir)["trips_raw"])
 
 
@@ -415,9 +415,9 @@ def q_area_totals(spark, sf_dir):
     return area_totals(pts, v["areas"])
 
 
-def q_area_pipeline(spark, sf_dir):
+def q_area_trips(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return area_pipeline(rides_pipeline(v["trips_raw"], v["stations_raw"]), v["areas"])
+    return area_trips(analysis_rides(v["trips_raw"], v["stations_raw"]), v["areas"])
 
 
 QUERIES: dict[str, Query] = {

@@ -1,4 +1,4 @@
-"""The reference's pipelines as DataFrame plans."""
+"""The reference's composite steps as DataFrame plans."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from ridelens.schema import LEGACY_REQUIRED_COLUMNS, CleanParams, ZScoreParams
 from ridelens.sources.files import checkpoint_table
 
 
-def clean_pipeline(
+def clean_trips_table(
     trips_raw: DataFrame,
     stations_raw: DataFrame | None = None,
     params: CleanParams = CleanParams(),
@@ -48,11 +48,11 @@ def rides_narrow(
     side of the anti join reads the trips again, so without the copy the
     scan, clean and anti join would run three or four times.
     """
-    rides = narrow(derive_rides(clean_pipeline(trips_raw, stations_raw, params)))
+    rides = narrow(derive_rides(clean_trips_table(trips_raw, stations_raw, params)))
     return checkpoint_table(rides, "rides_narrow") if materialize else rides
 
 
-def rides_pipeline(
+def analysis_rides(
     trips_raw: DataFrame,
     stations_raw: DataFrame | None = None,
     params: CleanParams = CleanParams(),
@@ -64,7 +64,7 @@ def rides_pipeline(
     return drop_zscore(rides, "duration", k=z.k, sd=z.sd, strict=z.strict)
 
 
-def rollup_pipeline(rides: DataFrame) -> dict[str, DataFrame]:
+def rollups(rides: DataFrame) -> dict[str, DataFrame]:
     """The two rollups built from the rides."""
     return {"time_rollup": time_rollup(rides), "od_rollup": od_rollup(rides)}
 
@@ -124,7 +124,7 @@ def legacy_report(legacy: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def area_pipeline(rides: DataFrame, areas: DataFrame) -> DataFrame:
+def area_trips(rides: DataFrame, areas: DataFrame) -> DataFrame:
     """Station rollup -> within-join -> trips per area, zero filled."""
     stations = station_trips(rides, by_member=True, drop_blank=False, min_trips=0)
     return area_totals(stations, areas)

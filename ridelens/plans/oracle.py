@@ -402,7 +402,7 @@ _q("to_minutes_half_even", ["lderived"], "SELECT trip_duration, round_even(trip_
 _q("to_minutes_half_up", ["lderived"], "SELECT trip_duration, round(trip_duration / 60.0, 0) AS minutes FROM lderived")
 _q("zscore_pop", ["rides_plain"], "SELECT * FROM rides_plain")
 _q("zscore_samp", ["rides_all"], zcut("rides_all", "duration", sd="stddev_samp", strict=True))
-_q("rides_pipeline", ["rides"], "SELECT * FROM rides")
+_q("analysis_rides", ["rides"], "SELECT * FROM rides")
 _q("time_rollup", ["time_rollup"], "SELECT * FROM time_rollup")
 _q(
     "time_rollup_decimal",
@@ -650,7 +650,7 @@ FROM ltrim t LEFT JOIN (
     FROM ltrim WHERE start_station_id IS NOT NULL GROUP BY start_station_name, start_station_id)
   WHERE rn = 1) m ON t.start_station_name = m.start_station_name""",
 )
-_q("legacy_pipeline", ["lfix_end"], "SELECT * FROM lfix_end")
+_q("legacy_rides", ["lfix_end"], "SELECT * FROM lfix_end")
 _q("legacy_report", ["lreport"], "SELECT * FROM lreport")
 _q(
     "within_join",
@@ -667,4 +667,4 @@ FROM rides r LEFT JOIN areas a ON CAST(r.start_lng AS DOUBLE) > a.x0 AND CAST(r.
   AND CAST(r.start_lat AS DOUBLE) > a.y0 AND CAST(r.start_lat AS DOUBLE) < a.y1""",
 )
 _q("area_totals", ["st_member_all", "areas"], area_totals("st_member_all"))
-_q("area_pipeline", ["st_member", "areas"], area_totals("st_member"))
+_q("area_trips", ["st_member", "areas"], area_totals("st_member"))

@@ -3,7 +3,7 @@ materialised ``rides`` table and one materialised ``time_rollup``.
 
 Every chart frame is an aggregate of those two tables; the rides are written
 once and the rollup (at most a few thousand rows) once, so no chart re-runs
-the cleaning pipeline.
+the cleaning steps.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ridelens.operators.distribution import boxplot_stats, histogram
 from ridelens.operators.geo import area_totals
 from ridelens.operators.rollup import avg_duration, frequency, station_trips, time_rollup, usage_by
 from ridelens.operators.share import share_segments, share_within
-from ridelens.plans.pipelines import legacy_report, legacy_rides, rides_pipeline
+from ridelens.plans.composite import legacy_report, legacy_rides, analysis_rides
 from ridelens.sources.files import checkpoint_table, write_report
 
 CHARTS = [
@@ -69,7 +69,7 @@ def build_report(
 ) -> dict[str, DataFrame]:
     """C2 + C3 + C5 + C6 + C7: materialise the shared tables once, build every
     chart frame, and write them to ``out_dir`` when given (S13)."""
-    rides = checkpoint_table(rides_pipeline(trips_raw, stations_raw), "rides")
+    rides = checkpoint_table(analysis_rides(trips_raw, stations_raw), "rides")
     rollup = checkpoint_table(time_rollup(rides), "time_rollup")
     legacy_data = legacy_report(legacy_rides(trips_raw))["data"]
     frames = report_frames(rides, rollup, legacy_data, areas)

@@ -1,4 +1,4 @@
-"""Composite pipelines and the report frames (C1-C7) on the driver tables."""
+"""Composite plans and the report frames (C1-C7) on the driver tables."""
 
 import os
 
@@ -6,25 +6,25 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridelens.plans import fixtures
-from ridelens.plans.pipelines import clean_ledger, legacy_report, legacy_rides, rides_pipeline, rollup_pipeline
+from ridelens.plans.composite import clean_ledger, legacy_report, legacy_rides, analysis_rides, rollups
 from ridelens.plans.report import CHARTS, build_report, chart_row_counts
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def test_rides_pipeline_materialized_equals_lazy(spark):
+def test_analysis_rides_materialized_equals_lazy(spark):
     v = fixtures.load(spark, SF)
-    a = rides_pipeline(v["trips_raw"], v["stations_raw"], materialize=True)
-    b = rides_pipeline(v["trips_raw"], v["stations_raw"], materialize=False)
+    a = analysis_rides(v["trips_raw"], v["stations_raw"], materialize=True)
+    b = analysis_rides(v["trips_raw"], v["stations_raw"], materialize=False)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_rollups_balance(spark):
     v = fixtures.load(spark, SF)
-    rides = rides_pipeline(v["trips_raw"])
-    r = rollup_pipeline(rides)
+    rides = analysis_rides(v["trips_raw"])
+    r = rollups(rides)
     n = rides.count()
     assert r["time_rollup"].agg(F.sum("n_trips")).first()[0] == n
     assert r["od_rollup"].agg(F.sum("n_trips")).first()[0] == n
@@ -34,7 +34,7 @@ def test_ledger_matches_counts(spark):
     v = fixtures.load(spark, SF)
     led = {r.step: r for r in clean_ledger(v["trips_raw"]).collect()}
     assert led["load"].rows_out == v["trips_raw"].count()
-    assert led["zscore"].rows_out == rides_pipeline(v["trips_raw"]).count()
+    assert led["zscore"].rows_out == analysis_rides(v["trips_raw"]).count()
     for r in led.values():
         if r.rows_in is not None:
             assert r.rows_in - r.removed == r.rows_out

@@ -29,7 +29,7 @@ def test_every_query_has_oracle():
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize(
     "key",
-    ["time_rollup", "conform_station", "legacy_pipeline", "boxplot_stats", "area_totals", "name_conflict_end", "share_segments"],
+    ["time_rollup", "conform_station", "legacy_rides", "boxplot_stats", "area_totals", "name_conflict_end", "share_segments"],
 )
 def test_query_matches_oracle(spark, key):
     con = duckdb.connect()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from ridelens.operators.rollup import time_rollup
 from ridelens.plans import fixtures
-from ridelens.plans.pipelines import clean_pipeline, rides_narrow, rides_pipeline
+from ridelens.plans.composite import clean_trips_table, rides_narrow, analysis_rides
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_clean_filters_reach_the_scan(spark):
     v = fixtures.load(spark, SF)
-    plan = plan_of(clean_pipeline(v["trips_raw"]))
+    plan = plan_of(clean_trips_table(v["trips_raw"]))
     pushed = re.findall(r"PushedFilters: \[(.*?)\]", plan)
     assert any("IsNotNull(ride_id)" in p and "IsNotNull(end_lng)" in p for p in pushed)
 
@@ -37,7 +37,7 @@ def test_station_dimension_is_broadcast(spark):
 
 def test_zscore_reads_one_column_for_its_statistics(spark):
     v = fixtures.load(spark, SF)
-    plan = plan_of(rides_pipeline(v["trips_raw"]))
+    plan = plan_of(analysis_rides(v["trips_raw"]))
     assert "ReadSchema: struct<duration:int>" in plan
     assert "BroadcastNestedLoopJoin" in plan
 
@@ -60,7 +60,7 @@ def _single_partition_inputs(plan: str) -> list[str]:
 
 def test_no_single_partition_step_on_rows(spark):
     v = fixtures.load(spark, SF)
-    for df in (rides_pipeline(v["trips_raw"]), time_rollup(rides_pipeline(v["trips_raw"]))):
+    for df in (analysis_rides(v["trips_raw"]), time_rollup(analysis_rides(v["trips_raw"]))):
         plan = plan_of(df)
         assert "Window" not in plan
         # Only global aggregates meet in one partition, as one partial row per task.
