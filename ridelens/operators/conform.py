@@ -27,19 +27,25 @@ def conform_stations(raw: DataFrame) -> DataFrame:
     return renamed.withColumn("lat", F.col("lat").cast("float")).withColumn("lng", F.col("lng").cast("float"))
 
 
-def unique_stations(stations: DataFrame) -> DataFrame:
+def unique_stations(stations: DataFrame, collation: str | None = None) -> DataFrame:
     """One row per name (T14): the row with a NULL short name first, then the
-    smallest (s_id, lat, lng)."""
+    smallest (s_id, lat, lng). With ``collation`` names equal under it count
+    as one name, so a case-insensitive join cannot fan out."""
     pick = F.min(
         F.struct(
             F.col("s_id").isNotNull().alias("has_id"),
             F.col("s_id").alias("s_id"),
             F.col("lat").alias("lat"),
             F.col("lng").alias("lng"),
+            F.col("s_name").alias("s_name"),
         )
     ).alias("w")
-    return stations.filter(F.col("s_name").isNotNull()).groupBy("s_name").agg(pick).select(
-        "s_name", F.col("w.s_id").alias("s_id"), F.col("w.lat").alias("lat"), F.col("w.lng").alias("lng")
+    key = F.col("s_name") if collation is None else F.collate(F.col("s_name"), collation)
+    return stations.filter(F.col("s_name").isNotNull()).groupBy(key.alias("__key")).agg(pick).select(
+        F.col("w.s_name").alias("s_name"),
+        F.col("w.s_id").alias("s_id"),
+        F.col("w.lat").alias("lat"),
+        F.col("w.lng").alias("lng"),
     )
 
 
@@ -58,7 +64,7 @@ def conform_station(
     broadcast: the trips are never shuffled.
     """
     name, sid, lat, lng = (f"{side}_station_name", f"{side}_station_id", f"{side}_lat", f"{side}_lng")
-    dim = unique_stations(stations).select(
+    dim = unique_stations(stations, collation).select(
         F.col("s_name").alias("__s_name"),
         F.col("s_id").alias("__s_id"),
         F.col("lat").alias("__s_lat"),

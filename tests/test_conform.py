@@ -115,3 +115,19 @@ def test_canonical_id_collation(spark):
     ci = {r.x: r.start_station_id for r in canonical_id(df, collation="UTF8_LCASE").collect()}
     assert binary == {1: "a", 2: "b"}
     assert ci == {1: "b", 2: "b"}
+
+
+def test_conform_station_collation(spark):
+    trips = spark.createDataFrame([("CLARK ST", "old", 1.0, 1.0, 1), ("Lake", "l", 2.0, 2.0, 2)], TRIPS)
+    st = _stations(spark, [("Clark St", "CS", 10.0, 20.0)])
+    binary = {r.x: r.start_station_id for r in conform_station(trips, st).collect()}
+    ci = {r.x: (r.start_station_name, r.start_station_id) for r in conform_station(trips, st, collation="UTF8_LCASE").collect()}
+    assert binary == {1: "old", 2: "l"}
+    assert ci == {1: ("Clark St", "CS"), 2: ("Lake", "l")}
+
+
+def test_conform_collation_does_not_fan_out(spark):
+    trips = spark.createDataFrame([("clark st", "old", 1.0, 1.0, 1)], TRIPS)
+    st = _stations(spark, [("Clark St", "CS", 10.0, 20.0), ("CLARK ST", "CS2", 11.0, 21.0)])
+    out = conform_station(trips, st, collation="UTF8_LCASE").collect()
+    assert len(out) == 1 and out[0].start_station_id == "CS"
