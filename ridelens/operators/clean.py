@@ -103,16 +103,25 @@ def null_audit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def cleaning_ledger(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows in, rows out and rows removed by each step.
-
-    ``steps`` are successive states of one table, first the input. The counts
-    are global aggregates unioned into one small frame; nothing is collected.
+def cleaning_ledger(steps: Sequence[tuple]) -> DataFrame:
+    """Rows in, rows out, rows removed and rows changed by each statement.
+
+    ``steps`` are successive states of one table, first the input, as
+    ``(name, frame)`` for a delete or ``(name, frame, flag)`` for an update
+    whose boolean column ``flag`` marks the rows it changed. Each step is one
+    global aggregate (partial per task); the small results are unioned.
+    Nothing is collected.
     """
-    parts = [
-        s.agg(F.count(F.lit(1)).alias("rows_out")).select(F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows_out")
-        for i, (name, s) in enumerate(steps)
-    ]
+    parts = []
+    for i, step in enumerate(steps):
+        name, frame = step[0], step[1]
+        flag = step[2] if len(step) > 2 else None
+        changed = F.sum(F.col(flag).cast("long")) if flag else F.lit(None).cast("long")
+        parts.append(
+            frame.agg(F.count(F.lit(1)).alias("rows_out"), changed.alias("changed")).select(
+                F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows_out", "changed"
+            )
+        )
     ledger = parts[0]
     for p in parts[1:]:
         ledger = ledger.unionByName(p)
@@ -124,4 +133,5 @@ def cleaning_ledger(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         F.lag("rows_out").over(w).alias("rows_in"),
         "rows_out",
         (F.lag("rows_out").over(w) - F.col("rows_out")).alias("removed"),
+        "changed",
     )

@@ -55,6 +55,7 @@ def conform_station(
     side: str = "start",
     collation: str | None = None,
     max_broadcast_rows: int = 200_000,
+    mark_changes: str | None = None,
 ) -> DataFrame:
     """UPDATE trips JOIN stations ON name.
 
@@ -78,14 +79,22 @@ def conform_station(
         cond = F.collate(F.col(name), collation) == F.collate(F.col("__s_name"), collation)
     joined = trips.join(dim, cond, "left")
     matched = F.col("__matched").isNotNull()
+    types = dict(trips.dtypes)
+    sources = {name: "__s_name", sid: "__s_id", lat: "__s_lat", lng: "__s_lng"}
     cols = []
     for c in trips.columns:
-        src = {name: "__s_name", sid: "__s_id", lat: "__s_lat", lng: "__s_lng"}.get(c)
+        src = sources.get(c)
         if src is None:
             cols.append(F.col(c))
         else:
-            target_type = dict(trips.dtypes)[c]
-            cols.append(F.when(matched, F.col(src).cast(target_type)).otherwise(F.col(c)).alias(c))
+            cols.append(F.when(matched, F.col(src).cast(types[c])).otherwise(F.col(c)).alias(c))
+    if mark_changes:
+        # Rows the UPDATE changes: matched and some value differs (NULL-safe).
+        differs = [~F.col(c).eqNullSafe(F.col(src).cast(types[c])) for c, src in sources.items()]
+        any_diff = differs[0]
+        for d in differs[1:]:
+            any_diff = any_diff | d
+        cols.append((matched & any_diff).alias(mark_changes))
     return joined.select(*cols)
 
 
@@ -185,6 +194,7 @@ def canonical_id(
     strategy: str = "max",
     skip_blank: bool = False,
     collation: str | None = None,
+    mark_changes: str | None = None,
 ) -> DataFrame:
     """Set each trip's id to its name's canonical id where it differs.
 
@@ -193,18 +203,20 @@ def canonical_id(
     without a non-NULL id stay as they are. The name -> id map has one row per
     name; it is joined on the name and broadcast by adaptive execution when
     small. ``collation`` (e.g. ``"UTF8_LCASE"``) groups names the way a
-    case-insensitive server collation would (T6).
+    case-insensitive server collation would (T6). ``mark_changes`` adds a
+    boolean column naming the rows the UPDATE rewrites.
     """
     if collation is not None:
         work = df.withColumn("__name_key", F.collate(F.col(name), collation))
         main = _main_value(work, name, id_col, strategy, skip_blank, key_col="__name_key")
         joined = work.join(main, on="__name_key", how="left")
-        fixed = F.when(F.col(id_col) != F.col("__main"), F.col("__main")).otherwise(F.col(id_col))
-        return joined.select(*[fixed.alias(c) if c == id_col else F.col(c) for c in df.columns])
-    main = _main_value(df, name, id_col, strategy, skip_blank)
-    joined = df.join(main, on=name, how="left")
-    fixed = F.when(F.col(id_col) != F.col("__main"), F.col("__main")).otherwise(F.col(id_col))
-    return joined.select(*[fixed.alias(c) if c == id_col else F.col(c) for c in df.columns])
+    else:
+        main = _main_value(df, name, id_col, strategy, skip_blank)
+        joined = df.join(main, on=name, how="left")
+    rewrite = F.coalesce(F.col(id_col) != F.col("__main"), F.lit(False))
+    fixed = F.when(rewrite, F.col("__main")).otherwise(F.col(id_col))
+    extra = [rewrite.alias(mark_changes)] if mark_changes else []
+    return joined.select(*[fixed.alias(c) if c == id_col else F.col(c) for c in df.columns], *extra)
 
 
 def canonical_name(

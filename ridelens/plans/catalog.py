@@ -42,9 +42,11 @@ from ridelens.plans.composite import (
     area_trips,
     clean_ledger,
     clean_trips_table,
+    legacy_ledger,
     legacy_report,
     legacy_rides,
     rides_narrow,
+    statement_ledger,
     analysis_rides,
 )
 from ridelens.schema import (
@@ -161,6 +163,15 @@ def q_cleaning_ledger(spark, sf_dir):
     return clean_ledger(_views(spark, sf_dir)["trips_raw"])
 
 
+def q_statement_ledger(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return statement_ledger(v["trips_raw"], v["stations_raw"])
+
+
+def q_legacy_ledger(spark, sf_dir):
+    return legacy_ledger(_views(spark, sf_dir)["trips_raw"])
+
+
 def q_preview(spark, sf_dir):
     return preview(_dedup(spark, sf_dir), 6, order_by="ride_id")
 

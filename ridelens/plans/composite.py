@@ -83,6 +83,58 @@ def clean_ledger(trips_raw: DataFrame, params: CleanParams = CleanParams(), mate
     )
 
 
+def statement_ledger(
+    trips_raw: DataFrame, stations_raw: DataFrame, params: CleanParams = CleanParams(), materialize: bool = True
+) -> DataFrame:
+    """A25 over the main script's statements in order: load, clean, drop
+    duplicated keys, conform start stations (rows changed), z-score cut;
+    the counts its comments record."""
+    typed = type_timestamps(trips_raw)
+    cleaned = clean_trips(typed, params)
+    deduped = drop_all_duplicates(cleaned, ["ride_id"])
+    conformed = conform_station(deduped, conform_stations(stations_raw), side="start", mark_changes="__changed")
+    rides = narrow(derive_rides(conformed.drop("__changed")))
+    if materialize:
+        rides = checkpoint_table(rides, "rides_narrow")
+    trimmed = drop_zscore(rides, "duration")
+    return cleaning_ledger(
+        [
+            ("load", typed),
+            ("clean", cleaned),
+            ("drop_duplicates", deduped),
+            ("conform_stations", conformed, "__changed"),
+            ("zscore", trimmed),
+        ]
+    )
+
+
+def legacy_ledger(trips_raw: DataFrame, materialize: bool = True) -> DataFrame:
+    """A25 over the legacy script's statements in order: load, drop
+    duplicated keys, drop missing values, z-score cut on seconds, then the
+    rows rewritten by the start-id and end-id updates."""
+    typed = type_trips(trips_raw.drop("source_month") if "source_month" in trips_raw.columns else trips_raw)
+    deduped = drop_all_duplicates(typed, ["ride_id"])
+    complete = drop_missing(deduped, LEGACY_REQUIRED_COLUMNS)
+    legacy = derive_rides_legacy(complete)
+    if materialize:
+        legacy = checkpoint_table(legacy, "legacy_derived")
+    trimmed = drop_zscore(legacy, "trip_duration")
+    start = canonical_id(trimmed, "start_station_name", "start_station_id", mark_changes="__start_changed")
+    end = canonical_id(
+        start.drop("__start_changed"), "end_station_name", "end_station_id", mark_changes="__end_changed"
+    )
+    return cleaning_ledger(
+        [
+            ("load", typed),
+            ("drop_duplicates", deduped),
+            ("drop_missing", complete),
+            ("zscore", trimmed),
+            ("start_ids", start, "__start_changed"),
+            ("end_ids", end, "__end_changed"),
+        ]
+    )
+
+
 def legacy_derived(trips_raw: DataFrame, materialize: bool = True) -> DataFrame:
     """C4 up to the derivation: type, drop duplicated keys, drop missing
     values, derive seconds and labels. Duplicates are removed *before* the

@@ -377,15 +377,72 @@ _q(
   AND NOT coalesce(date_sub('second', started_at, ended_at) < 60, FALSE)""",
 )
 _q("legacy_missing", ["lderived"], "SELECT * FROM lderived WHERE trip_duration > 0")
+def ledger_sql(steps: list[tuple[str, str, str | None]]) -> str:
+    """Union of (step, table, changed-row condition) counts with rows_in and removed."""
+    parts = []
+    for i, (name, table, cond) in enumerate(steps):
+        changed = f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)" if cond else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT {i} AS step_no, '{name}' AS step, count(*) AS rows_out, {changed} AS changed FROM {table}")
+    body = "\n  UNION ALL ".join(parts)
+    return f"""SELECT step_no, step, lag(rows_out) OVER (ORDER BY step_no) AS rows_in, rows_out,
+  lag(rows_out) OVER (ORDER BY step_no) - rows_out AS removed, changed FROM (
+  {body})"""
+
+
 _q(
     "cleaning_ledger",
     ["trips_raw", "clean", "dedup", "rides"],
-    """SELECT step_no, step, lag(rows_out) OVER (ORDER BY step_no) AS rows_in, rows_out,
-  lag(rows_out) OVER (ORDER BY step_no) - rows_out AS removed FROM (
-  SELECT 0 AS step_no, 'load' AS step, count(*) AS rows_out FROM trips_raw
-  UNION ALL SELECT 1, 'clean', count(*) FROM clean
-  UNION ALL SELECT 2, 'drop_duplicates', count(*) FROM dedup
-  UNION ALL SELECT 3, 'zscore', count(*) FROM rides)""",
+    ledger_sql([("load", "trips_raw", None), ("clean", "clean", None), ("drop_duplicates", "dedup", None), ("zscore", "rides", None)]),
+)
+_cte(
+    "conform_flag",
+    ["dedup", "ustations"],
+    """SELECT s.s_name IS NOT NULL AND (t.start_station_name IS DISTINCT FROM s.s_name
+    OR t.start_station_id IS DISTINCT FROM s.s_id
+    OR t.start_lat IS DISTINCT FROM CAST(s.lat AS DOUBLE)
+    OR t.start_lng IS DISTINCT FROM CAST(s.lng AS DOUBLE)) AS changed
+FROM dedup t LEFT JOIN ustations s ON t.start_station_name = s.s_name""",
+)
+_q(
+    "statement_ledger",
+    ["trips_raw", "clean", "dedup", "conform_flag", "rides"],
+    ledger_sql(
+        [
+            ("load", "trips_raw", None),
+            ("clean", "clean", None),
+            ("drop_duplicates", "dedup", None),
+            ("conform_stations", "conform_flag", "changed"),
+            ("zscore", "rides", None),
+        ]
+    ),
+)
+# The id updates count the rows their WHERE clause selects, written as the
+# reference writes it: id != (the name's MAX(id)).
+_cte(
+    "start_flag",
+    ["ltrim"],
+    """SELECT t.start_station_id != (SELECT max(i.start_station_id) FROM ltrim i
+    WHERE i.start_station_name = t.start_station_name) AS changed FROM ltrim t""",
+)
+_cte(
+    "end_flag",
+    ["lfix_start"],
+    """SELECT t.end_station_id != (SELECT max(i.end_station_id) FROM lfix_start i
+    WHERE i.end_station_name = t.end_station_name) AS changed FROM lfix_start t""",
+)
+_q(
+    "legacy_ledger",
+    ["ltyped", "ldedup", "lcomplete", "ltrim", "start_flag", "end_flag"],
+    ledger_sql(
+        [
+            ("load", "ltyped", None),
+            ("drop_duplicates", "ldedup", None),
+            ("drop_missing", "lcomplete", None),
+            ("zscore", "ltrim", None),
+            ("start_ids", "start_flag", "changed"),
+            ("end_ids", "end_flag", "changed"),
+        ]
+    ),
 )
 _q("preview", ["dedup"], "SELECT * FROM dedup ORDER BY ride_id LIMIT 6")
 _q("type_trips", ["ltyped"], "SELECT * FROM ltyped")
