@@ -13,10 +13,14 @@ from ridelens.schema import (
     BIKE_CODES,
     BIKE_LABELS,
     BIKE_OTHER_CODE,
+    CASUAL_VALUE,
     EARTH_RADIUS_M,
     FIRST_MONTH,
     LAST_MONTH,
     MEMBER_LABELS,
+    MEMBER_VALUE,
+    RAW_BIKE_TYPES,
+    SEGMENT_PREFIXES,
 )
 
 
@@ -49,7 +53,7 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 def member_flag(c: Column | str) -> Column:
     """'member' -> TRUE; anything else, NULL included, -> FALSE."""
-    return F.when(as_col(c) == "member", F.lit(True)).otherwise(F.lit(False))
+    return F.when(as_col(c) == MEMBER_VALUE, F.lit(True)).otherwise(F.lit(False))
 
 
 def bike_code(c: Column | str) -> Column:
@@ -82,19 +86,19 @@ def segment_label(member: Column | str, code: Column | str) -> Column:
     m = as_col(member).cast("int")
     code = as_col(code)
     expr = None
-    for prefix, flag in (("M-", 1), ("C-", 0)):
+    for prefix, flag in ((SEGMENT_PREFIXES[True], 1), (SEGMENT_PREFIXES[False], 0)):
         for value, label in BIKE_LABELS.items():
             cond = (m == flag) & (code == value)
             expr = (F.when if expr is None else expr.when)(cond, F.lit(prefix + label))
-    return expr.otherwise(F.lit("C-" + BIKE_LABELS[BIKE_OTHER_CODE]))
+    return expr.otherwise(F.lit(SEGMENT_PREFIXES[False] + BIKE_LABELS[BIKE_OTHER_CODE]))
 
 
 def segment_label_raw(member_casual: Column | str, rideable_type: Column | str) -> Column:
     """Segment label from the raw strings; unmatched -> NULL."""
     mc, rt = as_col(member_casual), as_col(rideable_type)
-    raw = {"electric_bike": 1, "classic_bike": 2, "electric_scooter": 3}
+    raw = {name: code for code, name in enumerate(RAW_BIKE_TYPES, start=1)}
     expr = None
-    for prefix, who in (("M-", "member"), ("C-", "casual")):
+    for prefix, who in ((SEGMENT_PREFIXES[True], MEMBER_VALUE), (SEGMENT_PREFIXES[False], CASUAL_VALUE)):
         for name, value in raw.items():
             cond = (mc == who) & (rt == name)
             expr = (F.when if expr is None else expr.when)(cond, F.lit(prefix + BIKE_LABELS[value]))

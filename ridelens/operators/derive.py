@@ -16,7 +16,7 @@ from ridelens.functions.scalar import (
     seconds_between,
     weekday_abbr,
 )
-from ridelens.schema import MAX_TEXT_LENGTH, RIDES_TYPES
+from ridelens.schema import LEGACY_MAX_TEXT_LENGTH, MAX_TEXT_LENGTH, RIDES_TYPES
 
 _INT_RANGES = {
     "tinyint": (-128, 127),
@@ -87,7 +87,7 @@ LEGACY_TYPES = {
 }
 
 
-def type_trips(df: DataFrame, max_len: int = 128) -> DataFrame:
+def type_trips(df: DataFrame, max_len: int = LEGACY_MAX_TEXT_LENGTH) -> DataFrame:
     """Legacy full typing of the trip columns (P3, P5): drops the loader's
     ``row_names``, texts checked to 128 characters, coordinates to FLOAT."""
     if "row_names" in df.columns:

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.operators._plan import one_row_broadcast
+from ridelens.schema import BOX_NOTCH_FACTOR, BOX_WHISKER_COEF, HISTOGRAM_WIDTH
 
 
 def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def histogram(df: DataFrame, col: str = "duration", width: float = 2.0, by: Sequence[str] = ()) -> DataFrame:
+def histogram(df: DataFrame, col: str = "duration", width: float = HISTOGRAM_WIDTH, by: Sequence[str] = ()) -> DataFrame:
     """Counts per bin of ``width``.
 
     Bins are right-closed, ``(c - w/2, c + w/2]``, with centres on multiples
@@ -84,7 +85,7 @@ def boxplot_stats(
     df: DataFrame,
     col: str = "duration",
     by: Sequence[str] = ("member", "rideable_type"),
-    coef: float = 1.5,
+    coef: float = BOX_WHISKER_COEF,
     approx: bool = False,
     accuracy: int = 10000,
 ) -> DataFrame:
@@ -92,7 +93,7 @@ def boxplot_stats(
 
     Quartiles interpolate linearly (type 7); whiskers are the furthest values
     within ``coef`` IQR of the box; ``n_outliers`` counts the rest; notches
-    are median +- 1.58 IQR / sqrt(n). ``approx=True`` uses
+    are median +- BOX_NOTCH_FACTOR IQR / sqrt(n). ``approx=True`` uses
     ``percentile_approx`` for continuous values with many distinct values.
     """
     by = list(by)
@@ -119,8 +120,8 @@ def boxplot_stats(
         "middle",
         "upper",
         "ymax",
-        (F.col("middle") - 1.58 * box_iqr / F.sqrt(F.col("n"))).alias("notchlower"),
-        (F.col("middle") + 1.58 * box_iqr / F.sqrt(F.col("n"))).alias("notchupper"),
+        (F.col("middle") - BOX_NOTCH_FACTOR * box_iqr / F.sqrt(F.col("n"))).alias("notchlower"),
+        (F.col("middle") + BOX_NOTCH_FACTOR * box_iqr / F.sqrt(F.col("n"))).alias("notchupper"),
         "n_outliers",
     )
 
@@ -129,7 +130,7 @@ def boxplot_outliers(
     df: DataFrame,
     col: str = "duration",
     by: Sequence[str] = ("member", "rideable_type"),
-    coef: float = 1.5,
+    coef: float = BOX_WHISKER_COEF,
     approx: bool = False,
     accuracy: int = 10000,
 ) -> DataFrame:

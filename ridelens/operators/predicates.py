@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.functions.scalar import as_col, minutes_between, seconds_between
+from ridelens.schema import MAX_TRIP_SECONDS, MIN_TRIP_SECONDS
 
 
 def keep_unless(predicate: Column) -> Column:
@@ -84,12 +85,12 @@ def drop_non_positive_span(df: DataFrame, start: str = "started_at", end: str =
     return delete_where(df, F.col(start) >= F.col(end))
 
 
-def drop_longer_than(df: DataFrame, seconds: int = 86400, start: str = "started_at", end: str = "ended_at") -> DataFrame:
+def drop_longer_than(df: DataFrame, seconds: int = MAX_TRIP_SECONDS, start: str = "started_at", end: str = "ended_at") -> DataFrame:
     """Delete trips over ``seconds``."""
     return delete_where(df, seconds_between(start, end) > seconds)
 
 
-def drop_shorter_than(df: DataFrame, seconds: int = 60, start: str = "started_at", end: str = "ended_at") -> DataFrame:
+def drop_shorter_than(df: DataFrame, seconds: int = MIN_TRIP_SECONDS, start: str = "started_at", end: str = "ended_at") -> DataFrame:
     """Delete trips under ``seconds``."""
     return delete_where(df, seconds_between(start, end) < seconds)
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelens.schema import MONTH_LEVELS, WEEKDAY_LEVELS
 from ridelens.functions.scalar import (
     bike_label,
     exact_ratio,
@@ -24,9 +25,6 @@ from ridelens.functions.scalar import (
     weekday_order,
 )
 
-_MONTH_LEVELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
-_WEEKDAY_LEVELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
-
 TIME_KEYS = ["year", "month", "weekday", "hour"]
 
 
@@ -71,8 +69,8 @@ def time_rollup_legacy(legacy: DataFrame, ordered: bool = False) -> DataFrame:
             F.count(F.lit(1)).alias("n_trips"),
             F.sum(F.col("trip_duration").cast("long")).alias("trip_duration"),
         )
-        .withColumn("month_level", _level_index(F.col("month"), _MONTH_LEVELS))
-        .withColumn("weekday_level", _level_index(F.col("day_of_week"), _WEEKDAY_LEVELS))
+        .withColumn("month_level", _level_index(F.col("month"), MONTH_LEVELS))
+        .withColumn("weekday_level", _level_index(F.col("day_of_week"), WEEKDAY_LEVELS))
     )
     if ordered:
         out = out.orderBy(

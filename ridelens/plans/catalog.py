@@ -51,6 +51,7 @@ from ridelens.plans.composite import (
 )
 from ridelens.schema import (
     AUDIT_COLUMNS,
+    HISTOGRAM_WIDTH,
     LEGACY_REQUIRED_COLUMNS,
     PUBLIC_RACK_PATTERN,
     PUBLIC_RACK_PREFIX,
@@ -151,7 +152,7 @@ def q_conform_station(spark, sf_dir):
 
 def q_span_rules(spark, sf_dir):
     t = _legacy_complete(spark, sf_dir)
-    return drop_shorter_than(drop_longer_than(drop_non_positive_span(t), 86400), 60)
+    return drop_shorter_than(drop_longer_than(drop_non_positive_span(t)))
 
 
 def q_legacy_missing(spark, sf_dir):
@@ -291,12 +292,12 @@ def q_share_segments(spark, sf_dir):
 
 
 def q_histogram(spark, sf_dir):
-    h = histogram(_rides(spark, sf_dir), "duration", 2.0, by=["member", "rideable_type"])
+    h = histogram(_rides(spark, sf_dir), "duration", HISTOGRAM_WIDTH, by=["member", "rideable_type"])
     return h.withColumn("member_label", member_label("member")).withColumn("bike_label", bike_label("rideable_type"))
 
 
 def q_histogram_facet(spark, sf_dir):
-    h = histogram(_rides(spark, sf_dir), "duration", 2.0, by=["rideable_type", "member"])
+    h = histogram(_rides(spark, sf_dir), "duration", HISTOGRAM_WIDTH, by=["rideable_type", "member"])
     return h.withColumn("panel", F.concat_ws(" / ", bike_label("rideable_type"), member_label("member")))
 
 

@@ -18,6 +18,7 @@ from ridelens.operators.rollup import avg_duration, frequency, station_trips, ti
 from ridelens.operators.share import share_segments, share_within
 from ridelens.plans.composite import legacy_report, legacy_rides, analysis_rides
 from ridelens.sources.files import checkpoint_table, write_report
+from ridelens.schema import HISTOGRAM_WIDTH
 
 CHARTS = [
     "histogram",
@@ -45,8 +46,8 @@ def report_frames(rides: DataFrame, rollup: DataFrame, legacy_data: DataFrame, a
     monthly = usage_by(rollup, ["date"])
     grid = usage_by(rollup, ["date", "weekday", "hour"], by=["member"])
     return {
-        "histogram": labelled(histogram(rides, "duration", 2.0, by=["member", "rideable_type"])),
-        "histogram_facet": labelled(histogram(rides, "duration", 2.0, by=["rideable_type", "member"])),
+        "histogram": labelled(histogram(rides, "duration", HISTOGRAM_WIDTH, by=["member", "rideable_type"])),
+        "histogram_facet": labelled(histogram(rides, "duration", HISTOGRAM_WIDTH, by=["rideable_type", "member"])),
         "frequency": frequency(rides),
         "boxplot": labelled(boxplot_stats(rides, "duration", ["member", "rideable_type"])),
         "share_segments": share_segments(legacy_data),

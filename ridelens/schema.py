@@ -107,25 +107,47 @@ AUDIT_COLUMNS = [
     "end_lng",
 ]
 
-# Fixed values that must equal the reference's for equal results.
-# File name pattern of the monthly trip files (unanchored regular expression).
+# ---------------------------------------------------------------------------
+# These must equal the reference's for equal results.
+#
+# File name pattern of the monthly trip files (unanchored regular expression)
+# and the suffix removed from a file name to name its month.
 TRIP_FILE_REGEX = "202[4-5]{1}[0-1]{1}[0-9]{1}-divvy-tripdata.csv"
 TRIP_FILE_SUFFIX = "-divvy-tripdata.csv"
+# Member and bike values as written in the trip files.
+MEMBER_VALUE = "member"
+CASUAL_VALUE = "casual"
+RAW_BIKE_TYPES = ("electric_bike", "classic_bike", "electric_scooter")
 # Bike codes: electric_bike 1, classic_bike 2, anything else 3.
 BIKE_CODES = {"electric_bike": 1, "classic_bike": 2}
 BIKE_OTHER_CODE = 3
 BIKE_LABELS = {1: "Electric Bike", 2: "Classic Bike", 3: "Electric Scooter"}
 MEMBER_LABELS = {True: "Member", False: "Casual"}
+SEGMENT_PREFIXES = {True: "M-", False: "C-"}
 # Label levels of the monthly charts: Jan.2024 .. Jan.2025.
 FIRST_MONTH = (2024, 1)
 LAST_MONTH = (2025, 1)
+# Factor levels of the legacy report.
+MONTH_LEVELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+WEEKDAY_LEVELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 # Radius of the sphere of the distance function, metres.
 EARTH_RADIUS_M = 6370986.0
 # Name patterns left out of the name-conflict audits.
 PUBLIC_RACK_PATTERN = "Public Rack - %"
 PUBLIC_RACK_PREFIX = "Public Rack%"
 TEMPORARY_SUFFIX = "%TEMPORARY)"
+# Text widths of the narrowed tables.
 MAX_TEXT_LENGTH = 64
+LEGACY_MAX_TEXT_LENGTH = 128
+# Span rules of the legacy script (disabled there): seconds.
+MIN_TRIP_SECONDS = 60
+MAX_TRIP_SECONDS = 86400
+# Chart statistics: histogram bin width; box-plot whisker reach in IQRs and
+# notch factor of the plotting library the reference uses.
+HISTOGRAM_WIDTH = 2.0
+BOX_WHISKER_COEF = 1.5
+BOX_NOTCH_FACTOR = 1.58
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

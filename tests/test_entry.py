@@ -27,10 +27,7 @@ def test_every_query_has_oracle():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize(
-    "key",
-    ["time_rollup", "conform_station", "legacy_rides", "boxplot_stats", "area_totals", "name_conflict_end", "share_segments"],
-)
+@pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_query_matches_oracle(spark, key):
     con = duckdb.connect()
     for t in TABLES:
