@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridelens.operators._plan import salted_join
 from ridelens.operators.predicates import both_blank, delete_where, outside_minutes
 from ridelens.schema import CleanParams
 
@@ -67,6 +68,7 @@ def drop_all_duplicates(
     keys: Sequence[str] = ("ride_id",),
     keep: str = "none",
     collation: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Remove *every* copy of a duplicated key (J1, J2, M2); ``keep="one"``
     keeps a single copy instead (D4).
@@ -76,6 +78,8 @@ def drop_all_duplicates(
     aggregate: adaptive execution measures it after its shuffle and broadcasts
     it when it is small, which it is when duplicates are rare; otherwise a
     sort-merge anti join runs with skewed left partitions split.
+    ``salt_buckets`` salts the anti join explicitly instead (see
+    ``salted_join``), for sessions without adaptive skew handling.
     """
     keys = list(keys)
     if keep == "one":
@@ -84,6 +88,8 @@ def drop_all_duplicates(
         raise ValueError(f"keep must be 'none' or 'one', not {keep!r}")
     if collation is None:
         dups = duplicate_keys(df, keys).select(*keys)
+        if salt_buckets:
+            return salted_join(df, dups, keys, "left_anti", salt_buckets)
         return df.join(dups, on=keys, how="left_anti")
     work, kcols = _with_collation(df, keys, collation)
     dups = work.groupBy(*kcols).count().filter(F.col("count") > 1).drop("count")

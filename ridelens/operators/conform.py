@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import broadcast_if_bounded
+from ridelens.operators._plan import broadcast_if_bounded, salted_join
 from ridelens.operators.predicates import exclude_like
 
 
@@ -195,6 +195,7 @@ def canonical_id(
     skip_blank: bool = False,
     collation: str | None = None,
     mark_changes: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Set each trip's id to its name's canonical id where it differs.
 
@@ -204,7 +205,8 @@ def canonical_id(
     name; it is joined on the name and broadcast by adaptive execution when
     small. ``collation`` (e.g. ``"UTF8_LCASE"``) groups names the way a
     case-insensitive server collation would (T6). ``mark_changes`` adds a
-    boolean column naming the rows the UPDATE rewrites.
+    boolean column naming the rows the UPDATE rewrites. ``salt_buckets``
+    salts the join to the name map (see ``salted_join``).
     """
     if collation is not None:
         work = df.withColumn("__name_key", F.collate(F.col(name), collation))
@@ -212,7 +214,10 @@ def canonical_id(
         joined = work.join(main, on="__name_key", how="left")
     else:
         main = _main_value(df, name, id_col, strategy, skip_blank)
-        joined = df.join(main, on=name, how="left")
+        if salt_buckets:
+            joined = salted_join(df, main, [name], "left", salt_buckets)
+        else:
+            joined = df.join(main, on=name, how="left")
     rewrite = F.coalesce(F.col(id_col) != F.col("__main"), F.lit(False))
     fixed = F.when(rewrite, F.col("__main")).otherwise(F.col(id_col))
     extra = [rewrite.alias(mark_changes)] if mark_changes else []

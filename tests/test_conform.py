@@ -131,3 +131,21 @@ def test_conform_collation_does_not_fan_out(spark):
     st = _stations(spark, [("Clark St", "CS", 10.0, 20.0), ("CLARK ST", "CS2", 11.0, 21.0)])
     out = conform_station(trips, st, collation="UTF8_LCASE").collect()
     assert len(out) == 1 and out[0].start_station_id == "CS"
+
+
+def test_salted_canonical_id_equals_plain(spark):
+    rows = [("N", "a", i) for i in range(200)] + [("N", "b", 1000), ("M", None, 1001), (None, "z", 1002)]
+    df = spark.createDataFrame(rows, "start_station_name string, start_station_id string, x int")
+    plain = sorted((r.x, r.start_station_id) for r in canonical_id(df).collect())
+    salted = sorted((r.x, r.start_station_id) for r in canonical_id(df, salt_buckets=5).collect())
+    assert plain == salted
+
+
+def test_conform_without_broadcast_equals_broadcast(spark):
+    trips = spark.createDataFrame(
+        [("A", "old", 1.0, 1.0, 1), ("B", "oldB", 2.0, 2.0, 2), ("", "x", 3.0, 3.0, 3)], TRIPS
+    )
+    st = _stations(spark, [("A", None, 10.0, 20.0), ("B", "SB", None, 21.0)])
+    a = sorted(tuple(r) for r in conform_station(trips, st).collect())
+    b = sorted(tuple(r) for r in conform_station(trips, st, max_broadcast_rows=0).collect())
+    assert a == b

@@ -110,3 +110,11 @@ def test_edges_and_broadcast(spark, areas):
     assert edges.select("area_id", "x1", "y1", "x2", "y2").distinct().count() == 8 + 8 + 4 + 4 + 3
     pts = spark.createDataFrame([(0.5, 0.5)], "lng double, lat double")
     assert "BroadcastHashJoin" in plan_of(point_areas(pts, areas))
+
+
+def test_within_join_without_broadcast_equals_broadcast(spark, areas):
+    rnd = random.Random(5)
+    pts = spark.createDataFrame([(i, rnd.uniform(-1, 14), rnd.uniform(-1, 5)) for i in range(500)], "id int, lng double, lat double")
+    a = sorted((r.id, r.area_id) for r in within_join(pts, areas).collect())
+    b = sorted((r.id, r.area_id) for r in within_join(pts, areas, max_broadcast_rows=0).collect())
+    assert a == b
