@@ -28,3 +28,20 @@ def test_ingest_is_exactly_once(spark, tmpdir_path):
     q.awaitTermination(120)
     df = spark.read.parquet(out)
     assert sorted((r.ride_id, str(r.source_month)) for r in df.collect()) == [("A", "202401"), ("B", "202402")]
+
+
+def test_ingest_with_stateless_clean(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    out = os.path.join(tmpdir_path, "out")
+    os.makedirs(src)
+    _write(
+        os.path.join(src, "202403-divvy-tripdata.csv"),
+        HEADER
+        + "A,electric_bike,2024-03-01 08:00:00,2024-03-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n"
+        + "B,electric_bike,2024-03-01 08:00:00,2024-03-01 08:00:30,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n"
+        + "C,NA,2024-03-01 08:00:00,2024-03-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n",
+    )
+    q = ingest_trip_files(spark, src, out, os.path.join(tmpdir_path, "ckpt"), clean=True)
+    q.awaitTermination(120)
+    # B is under two minutes and C has no bike type: the main clean drops both.
+    assert [r.ride_id for r in spark.read.parquet(out).collect()] == ["A"]
