@@ -56,13 +56,15 @@ def conform_station(
     collation: str | None = None,
     max_broadcast_rows: int = 200_000,
     mark_changes: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """UPDATE trips JOIN stations ON name.
 
     For a matching name the trip's name, id, lat and lng are overwritten with
     the station's, *even with NULL* (T5); other trips are unchanged. The
     station side is unique by name, so no trip is duplicated, and it is
-    broadcast: the trips are never shuffled.
+    broadcast: the trips are never shuffled. Above ``max_broadcast_rows`` the
+    join is a shuffle join on the name, salted when ``salt_buckets`` is given.
     """
     name, sid, lat, lng = (f"{side}_station_name", f"{side}_station_id", f"{side}_lat", f"{side}_lng")
     dim = unique_stations(stations, collation).select(
@@ -77,7 +79,12 @@ def conform_station(
         cond = F.col(name) == F.col("__s_name")
     else:
         cond = F.collate(F.col(name), collation) == F.collate(F.col("__s_name"), collation)
-    joined = trips.join(dim, cond, "left")
+    if salt_buckets and collation is None:
+        keyed = dim.withColumn(name, F.col("__s_name"))
+        joined = salted_join(trips, keyed, [name], "left", salt_buckets)
+        # salted_join keeps the trip's name column; the dimension's copy is __s_name.
+    else:
+        joined = trips.join(dim, cond, "left")
     matched = F.col("__matched").isNotNull()
     types = dict(trips.dtypes)
     sources = {name: "__s_name", sid: "__s_id", lat: "__s_lat", lng: "__s_lng"}

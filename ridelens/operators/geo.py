@@ -139,6 +139,9 @@ def within_join(
     appears once per area. Beyond the edge bound the band table is joined
     with a shuffle instead (adaptive execution splits a crowded band).
     """
+    clash = [c for c in ("area_id", *attrs) if c in points.columns]
+    if clash:
+        raise ValueError(f"points already have columns {clash}; rename them before the spatial join")
     n_edges = polygon_edges(areas, band).limit(max_broadcast_rows + 1).count()
     cands = band_candidates(areas, band, attrs).withColumnRenamed("band", "__band")
     if n_edges <= max_broadcast_rows:

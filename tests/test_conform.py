@@ -149,3 +149,14 @@ def test_conform_without_broadcast_equals_broadcast(spark):
     a = sorted(tuple(r) for r in conform_station(trips, st).collect())
     b = sorted(tuple(r) for r in conform_station(trips, st, max_broadcast_rows=0).collect())
     assert a == b
+
+
+def test_salted_conform_equals_plain(spark):
+    trips = spark.createDataFrame(
+        [("A", "old", 1.0, 1.0, i) for i in range(50)] + [("B", "oldB", 2.0, 2.0, 99), (None, "n", 0.0, 0.0, 100)], TRIPS
+    )
+    st = _stations(spark, [("A", None, 10.0, 20.0), ("B", "SB", None, 21.0)])
+    key = lambda t: tuple((v is None, repr(v)) for v in t)
+    a = sorted((tuple(r) for r in conform_station(trips, st, max_broadcast_rows=0).collect()), key=key)
+    b = sorted((tuple(r) for r in conform_station(trips, st, max_broadcast_rows=0, salt_buckets=4).collect()), key=key)
+    assert a == b and len(a) == 52
