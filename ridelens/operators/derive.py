@@ -26,9 +26,14 @@ _INT_RANGES = {
 
 
 def _round_to_second(c: Column) -> Column:
-    # DATETIME without fractional digits rounds to the nearest second.
-    shifted = c + F.make_dt_interval(secs=F.lit(0.5))
-    return F.date_trunc("second", shifted).cast("timestamp_ntz")
+    """DATETIME without fractional digits rounds to the nearest second.
+
+    Rebuilt from its own fields, so no time zone is involved: the seconds
+    (an exact decimal) are rounded half up, and a rounded 60 rolls over into
+    the next minute.
+    """
+    secs = F.round(F.extract(F.lit("SECOND"), c), 0)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), secs)
 
 
 def type_timestamps(df: DataFrame, cols=("started_at", "ended_at"), to_second: bool = False, strict: bool = False) -> DataFrame:

@@ -179,3 +179,18 @@ def test_narrow_checks_without_ansi(spark):
             narrow(spark.createDataFrame([(300, "a")], "hour int, start_station_name string")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_round_to_second_is_zone_free(spark):
+    df = spark.sql(
+        "select timestamp_ntz'2024-03-10 02:30:59.6' as started_at, timestamp_ntz'2024-12-31 23:59:59.5' as ended_at"
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Chicago"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = type_timestamps(df, to_second=True).first()
+            assert r.started_at == dt.datetime(2024, 3, 10, 2, 31, 0)
+            assert r.ended_at == dt.datetime(2025, 1, 1, 0, 0, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
