@@ -19,6 +19,8 @@ from ridelens.schema import (
     LAST_MONTH,
     MEMBER_LABELS,
     MEMBER_VALUE,
+    MONTH_LEVELS,
+    WEEKDAY_NAMES,
     RAW_BIKE_TYPES,
     SEGMENT_PREFIXES,
 )
@@ -110,6 +112,11 @@ def month_order(year: Column | str, month: Column | str) -> Column:
     return as_col(year).cast("int") * 12 + as_col(month).cast("int")
 
 
+def _label_of(number: Column, labels: list[str]) -> Column:
+    """labels[number - 1], NULL outside 1..len(labels); no time zone involved."""
+    return F.element_at(F.array(*[F.lit(v) for v in labels]), number.cast("int"))
+
+
 def month_label(
     year: Column | str,
     month: Column | str,
@@ -119,7 +126,9 @@ def month_label(
     """'Mon.YYYY' for months inside the label levels, else NULL."""
     key = month_order(year, month)
     lo, hi = first[0] * 12 + first[1], last[0] * 12 + last[1]
-    label = F.date_format(F.make_date(as_col(year).cast("int"), as_col(month).cast("int"), F.lit(1)), "MMM.yyyy")
+    label = F.concat(
+        _label_of(as_col(month), MONTH_LEVELS), F.lit("."), F.lpad(as_col(year).cast("string"), 4, "0")
+    )
     return F.when(key.between(lo, hi), label)
 
 
@@ -129,13 +138,15 @@ def weekday_order(dayofweek: Column | str) -> Column:
 
 
 def weekday_abbr(ts: Column | str) -> Column:
-    """Sun..Sat (E6)."""
-    return F.date_format(as_col(ts), "EEE")
+    """Sun..Sat from the day number, 1 = Sunday (E6). Zone-free, unlike a
+    formatted timestamp, which a daylight-saving gap of the session zone
+    can shift."""
+    return _label_of(F.dayofweek(as_col(ts)), WEEKDAY_NAMES)
 
 
 def month_abbr(ts: Column | str) -> Column:
-    """Jan..Dec (E7)."""
-    return F.date_format(as_col(ts), "MMM")
+    """Jan..Dec from the month number."""
+    return _label_of(F.month(as_col(ts)), MONTH_LEVELS)
 
 
 def to_minutes(seconds: Column | str, mode: str = "half_even") -> Column:

@@ -127,8 +127,10 @@ SEGMENT_PREFIXES = {True: "M-", False: "C-"}
 # Label levels of the monthly charts: Jan.2024 .. Jan.2025.
 FIRST_MONTH = (2024, 1)
 LAST_MONTH = (2025, 1)
-# Factor levels of the legacy report.
+# Month and weekday labels: the legacy table's labels by number (day 1 is
+# Sunday), and the weekday factor levels of the legacy report (Monday first).
 MONTH_LEVELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+WEEKDAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 WEEKDAY_LEVELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 # Radius of the sphere of the distance function, metres.
 EARTH_RADIUS_M = 6370986.0
