@@ -85,7 +85,9 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         F.when(e % 73 == 0, F.lit(None).cast("double")).otherwise(F.lit(41.65) + F.lit(0.02) * m).alias("end_lat"),
         (F.lit(-87.90) + F.lit(0.015) * m).alias("end_lng"),
         F.when(F.col("user_id") % 2 == 0, F.lit("member")).otherwise(F.lit("casual")).alias("member_casual"),
-        F.date_format(started, "yyyyMM").alias("source_month"),
+        F.concat(F.lpad(F.year(started).cast("string"), 4, "0"), F.lpad(F.month(started).cast("string"), 2, "0")).alias(
+            "source_month"
+        ),
     )
 
 
