@@ -22,9 +22,13 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
-def one_row_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast of a global aggregate (no grouping keys): exactly one row."""
-    return F.broadcast(df)
+def scalar_of(agg: DataFrame):
+    """The single value of a global aggregate (no grouping keys, so exactly
+    one row) as a scalar subquery column: computed once, before the query that
+    uses it, and read by every task without any join. Aggregate several
+    values into one struct and read its fields; the repeated subquery is
+    reused, not recomputed."""
+    return agg.scalar()
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, buckets: int) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import one_row_broadcast
+from ridelens.operators._plan import scalar_of
 from ridelens.schema import BOX_NOTCH_FACTOR, BOX_WHISKER_COEF, HISTOGRAM_WIDTH
 
 
@@ -30,20 +30,19 @@ def histogram(df: DataFrame, col: str = "duration", width: float = HISTOGRAM_WID
     lower edge (T10), which is where the global minimum goes when it sits
     exactly on an edge. Only non-empty bins are returned.
 
-    Each row is binned in place against the broadcast one-row minimum and
+    Each row is binned in place against the minimum (a scalar subquery) and
     the counts are aggregated once by (group, bin): partial aggregation
     leaves a few hundred rows per task whatever the number of trips or of
     distinct values.
     """
-    lowest = one_row_broadcast(df.agg(F.min(F.col(col).cast("double")).alias("__xmin")))
+    lowest = scalar_of(df.agg(F.min(F.col(col).cast("double"))))
     x = F.col(col).cast("double")
     w = float(width)
     centre = F.ceil((x - w / 2.0) / w) * w
-    on_lowest_edge = (x == F.col("__xmin")) & (((x - w / 2.0) / w) == F.floor((x - w / 2.0) / w))
+    on_lowest_edge = (x == lowest) & (((x - w / 2.0) / w) == F.floor((x - w / 2.0) / w))
     centre = F.when(on_lowest_edge, x + w / 2.0).otherwise(centre)
     return (
         df.filter(F.col(col).isNotNull())
-        .crossJoin(lowest)
         .groupBy(*by, centre.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("xmin", F.col("bin") - w / 2.0)
@@ -69,7 +68,7 @@ def _with_quartiles(df: DataFrame, col: str, by: list[str], approx: bool, accura
         q = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(
             F.percentile_approx(x, probs, accuracy).alias("__q")
         )
-        out = vc.join(q, on=by, how="inner") if by else vc.crossJoin(one_row_broadcast(q))
+        out = vc.join(q, on=by, how="inner") if by else vc.withColumn("__q", scalar_of(q.select("__q")))
     else:
         w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         out = vc.withColumn("__q", F.percentile(x, probs, F.col("__n")).over(w))

@@ -1,8 +1,9 @@
 """Z-score outlier cuts.
 
 The statistics are one global aggregate (partial per task, one tiny final
-step); the single-row result is broadcast to every task, so the rows are never
-moved. A global window would pull every row into one partition instead.
+step) read as a scalar subquery: computed once, then every task compares its
+rows with the two numbers, so the rows are never moved and nothing is joined.
+A global window would pull every row into one partition instead.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import one_row_broadcast
+from ridelens.operators._plan import scalar_of
 from ridelens.operators.predicates import delete_where
 
 
@@ -27,12 +28,9 @@ def zscore_stats(df: DataFrame, col: str, sd: str = "pop", mean_scale: int | Non
 
 def zscore(df: DataFrame, col: str, sd: str = "pop", out: str = "z", mean_scale: int | None = None) -> DataFrame:
     """Add the z-score of ``col``; SD 0 or NULL gives a NULL z."""
-    stats = one_row_broadcast(zscore_stats(df, col, sd, mean_scale))
-    return (
-        df.crossJoin(stats)
-        .withColumn(out, F.try_divide(F.col(col).cast("double") - F.col("__mean"), F.col("__sd")))
-        .drop("__mean", "__sd")
-    )
+    stats = scalar_of(zscore_stats(df, col, sd, mean_scale).select(F.struct("__mean", "__sd")))
+    z = F.try_divide(F.col(col).cast("double") - stats.getField("__mean"), stats.getField("__sd"))
+    return df.withColumn(out, z)
 
 
 def drop_zscore(

@@ -2,7 +2,7 @@
 
 These run on aggregates (segment counts, time rollups), never on row-level
 trips. A window with an empty partition spec moves its input to one task, so
-``share_of_total`` divides by a broadcast one-row total instead, and the
+``share_of_total`` divides by a scalar-subquery total instead, and the
 running sum of ``share_segments`` is over the six segment rows only.
 """
 
@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.functions.scalar import segment_label_raw
-from ridelens.operators._plan import one_row_broadcast
+from ridelens.operators._plan import scalar_of
 
 
 def share_of_total(df: DataFrame, n: str = "n_trips", out: str = "percent") -> DataFrame:
-    """n / total * 100 (W1); the total is a one-row aggregate, broadcast."""
-    total = one_row_broadcast(df.agg(F.sum(n).alias("__total")))
-    pct = F.try_divide(F.col(n).cast("double"), F.col("__total").cast("double")) * 100.0
-    return df.crossJoin(total).withColumn(out, pct).drop("__total")
+    """n / total * 100 (W1); the total is a global aggregate read as a scalar subquery."""
+    total = scalar_of(df.agg(F.sum(n)))
+    return df.withColumn(out, F.try_divide(F.col(n).cast("double"), total.cast("double")) * 100.0)
 
 
 def share_within(df: DataFrame, n: str, by: Sequence[str], out: str = "percentage", digits: int | None = 2) -> DataFrame:
