@@ -53,12 +53,16 @@ def type_errors(text_df: DataFrame, strict_cols: Sequence[str] | None = None) ->
     return text_df.agg(*aggs)
 
 
+# The suffix as a glob: the regular expression's "." matches any character.
+_SUFFIX_GLOB = TRIP_FILE_SUFFIX.replace(".", "?")
+
+
 def _glob_of(pattern: str) -> str:
     """A file-name glob admitting exactly the names the unanchored regular
     expression admits (``?`` stands for the regex's ``.``), so files are
     pruned when the folder is listed; other patterns fall back to ``*``."""
     if pattern == TRIP_FILE_REGEX:
-        return "*202[4-5][0-1][0-9]-divvy-tripdata?csv*"
+        return "*202[4-5][0-1][0-9]" + _SUFFIX_GLOB + "*"
     return "*"
 
 
@@ -92,7 +96,7 @@ def read_trips(
     names = month_names(*months) if months is not None else None
     glob = _glob_of(pattern)
     if names is not None and pattern == TRIP_FILE_REGEX:
-        glob = "{" + ",".join(names) + "}-divvy-tripdata?csv"
+        glob = "{" + ",".join(names) + "}" + _SUFFIX_GLOB
     reader = (
         spark.read.schema(TRIPS_TEXT)
         .option("header", True)

@@ -20,6 +20,8 @@ from ridelens.sources import (
     write_table,
 )
 
+from ridelens.schema import TRIP_FILE_SUFFIX as SUFFIX  # noqa: E402
+
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual\n"
 
 
@@ -31,16 +33,16 @@ def _write(path, text):
 @pytest.fixture()
 def trip_dir(tmpdir_path):
     _write(
-        os.path.join(tmpdir_path, "202401-divvy-tripdata.csv"),
+        os.path.join(tmpdir_path, "202401" + SUFFIX),
         HEADER
         + 'A1,electric_bike,2024-01-01 08:00:00.7,2024-01-01 08:10:00,,S1,"",E1,41.8,-87.6,41.9,-87.7,member\n'
         + "A2,NA,2024-01-02 09:00:00,bad-time,Name,NA,End,E2,,-87.6,41.9,-87.7,casual\n",
     )
     _write(
-        os.path.join(tmpdir_path, "202501-divvy-tripdata.csv"),
+        os.path.join(tmpdir_path, "202501" + SUFFIX),
         HEADER + "B1,classic_bike,2025-01-05 10:00:00,2025-01-05 10:20:00,X,S9,Y,E9,41.8,-87.6,41.9,-87.7,member\n",
     )
-    _write(os.path.join(tmpdir_path, "202613-divvy-tripdata.csv"), HEADER + "C1,x,2026-01-01 00:00:00,,,,,,,,,,\n")
+    _write(os.path.join(tmpdir_path, "202613" + SUFFIX), HEADER + "C1,x,2026-01-01 00:00:00,,,,,,,,,,\n")
     _write(os.path.join(tmpdir_path, "notes.csv"), "a,b\n1,2\n")
     return tmpdir_path
 
@@ -140,7 +142,7 @@ def test_type_errors_count_malformed(spark, trip_dir):
     from ridelens.sources import type_errors
     from ridelens.sources.files import TRIPS_TEXT
 
-    text = spark.read.schema(TRIPS_TEXT).option("header", True).csv(os.path.join(trip_dir, "2024*-divvy-tripdata.csv"))
+    text = spark.read.schema(TRIPS_TEXT).option("header", True).csv(os.path.join(trip_dir, "2024*" + SUFFIX))
     r = type_errors(text).first()
     # 'bad-time' is malformed; blank and NA coordinates are missing, not malformed.
     assert r.ended_at_malformed == 1
@@ -148,18 +150,18 @@ def test_type_errors_count_malformed(spark, trip_dir):
 
 
 def test_unwanted_files_are_not_listed(spark, trip_dir):
-    _write(os.path.join(trip_dir, "202401-divvy-tripdata.csv.bak"), HEADER)
+    _write(os.path.join(trip_dir, "202401" + SUFFIX + ".bak"), HEADER)
     files = [os.path.basename(f) for f in read_trips(spark, trip_dir, months=("202501", "202512")).inputFiles()]
-    assert files == ["202501-divvy-tripdata.csv"]
+    assert files == ["202501" + SUFFIX]
     every = sorted(os.path.basename(f) for f in read_trips(spark, trip_dir).inputFiles())
     # The unanchored pattern admits the .bak copy as the reference's would; the
     # 2026 file and notes.csv are never opened.
-    assert every == ["202401-divvy-tripdata.csv", "202401-divvy-tripdata.csv.bak", "202501-divvy-tripdata.csv"]
+    assert every == ["202401" + SUFFIX, "202401" + SUFFIX + ".bak", "202501" + SUFFIX]
 
 
 def test_strict_read_accepts_blank_numbers(spark, tmpdir_path):
     _write(
-        os.path.join(tmpdir_path, "202403-divvy-tripdata.csv"),
+        os.path.join(tmpdir_path, "202403" + SUFFIX),
         HEADER + "C1,classic_bike,2024-03-01 08:00:00,2024-03-01 08:10:00,A,1,B,2,,-87.6,NA,-87.7,member\n",
     )
     r = read_trips(spark, tmpdir_path, strict=True).first()

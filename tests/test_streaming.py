@@ -4,6 +4,8 @@ import os
 
 from ridelens.streaming import ingest_trip_files
 
+from ridelens.schema import TRIP_FILE_SUFFIX as SUFFIX  # noqa: E402
+
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual\n"
 
 
@@ -17,13 +19,13 @@ def test_ingest_is_exactly_once(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     ckpt = os.path.join(tmpdir_path, "ckpt")
     os.makedirs(src)
-    _write(os.path.join(src, "202401-divvy-tripdata.csv"), HEADER + "A,electric_bike,2024-01-01 08:00:00,2024-01-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n")
+    _write(os.path.join(src, "202401" + SUFFIX), HEADER + "A,electric_bike,2024-01-01 08:00:00,2024-01-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n")
     _write(os.path.join(src, "README.csv"), "x\n1\n")
     q = ingest_trip_files(spark, src, out, ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 1
     # A new month arrives; a rerun loads only the new file.
-    _write(os.path.join(src, "202402-divvy-tripdata.csv"), HEADER + "B,classic_bike,2024-02-01 08:00:00,2024-02-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,casual\n")
+    _write(os.path.join(src, "202402" + SUFFIX), HEADER + "B,classic_bike,2024-02-01 08:00:00,2024-02-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,casual\n")
     q = ingest_trip_files(spark, src, out, ckpt)
     q.awaitTermination(120)
     df = spark.read.parquet(out)
@@ -35,7 +37,7 @@ def test_ingest_with_stateless_clean(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     os.makedirs(src)
     _write(
-        os.path.join(src, "202403-divvy-tripdata.csv"),
+        os.path.join(src, "202403" + SUFFIX),
         HEADER
         + "A,electric_bike,2024-03-01 08:00:00,2024-03-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n"
         + "B,electric_bike,2024-03-01 08:00:00,2024-03-01 08:00:30,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n"
