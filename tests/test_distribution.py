@@ -58,3 +58,35 @@ def test_boxplot_approx_runs(spark):
     df = spark.range(1000).select((F.col("id") % 50).cast("double").alias("duration"), F.lit(True).alias("member"))
     r = boxplot_stats(df, "duration", ["member"], approx=True).first()
     assert 10 <= r.lower <= 14 and 23 <= r.middle <= 26
+
+
+@pytest.mark.parametrize("buckets", [4, 64])
+def test_bucketed_quantiles_equal_window(spark, buckets):
+    from ridelens.operators.distribution import bucketed_quantiles, value_counts
+
+    rng = np.random.default_rng(11)
+    ints = [int(v) for v in rng.gamma(2.0, 8.0, size=700)]
+    conts = [float(v) for v in rng.normal(0, 5, size=300)]
+    rows = [("a", float(v)) for v in ints] + [("b", v) for v in conts] + [("c", 7.0)] + [("d", 1.0), ("d", 3.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    vc = value_counts(df, "x", ["g"])
+    got = {r.g: (r.n, list(r["__q"])) for r in bucketed_quantiles(vc, ["g"], "x", buckets=buckets).collect()}
+    for g in ("a", "b", "c", "d"):
+        vals = [v for k, v in rows if k == g]
+        exp = list(np.quantile(np.array(vals), [0.25, 0.5, 0.75]))
+        assert got[g][0] == len(vals)
+        assert got[g][1] == pytest.approx(exp, rel=1e-12, abs=1e-12)
+    whole = bucketed_quantiles(value_counts(df, "x", []), [], "x", buckets=buckets).first()
+    assert list(whole["__q"]) == pytest.approx(list(np.quantile(np.array([v for _, v in rows]), [0.25, 0.5, 0.75])))
+
+
+def test_boxplot_methods_agree(spark):
+    rng = np.random.default_rng(3)
+    vals = [int(x) for x in rng.gamma(2.0, 8.0, size=500)] + [300, 400]
+    df = spark.createDataFrame([(v, v % 3 == 0) for v in vals], "duration int, member boolean")
+    a = sorted(tuple(r) for r in boxplot_stats(df, "duration", ["member"]).collect())
+    b = sorted(tuple(r) for r in boxplot_stats(df, "duration", ["member"], method="bucketed").collect())
+    assert a == b
+    oa = sorted(tuple(r) for r in boxplot_outliers(df, "duration", ["member"]).collect())
+    ob = sorted(tuple(r) for r in boxplot_outliers(df, "duration", ["member"], method="bucketed").collect())
+    assert oa == ob
