@@ -305,6 +305,10 @@ def q_boxplot_stats(spark, sf_dir):
     return boxplot_stats(_rides(spark, sf_dir), "duration", ["member", "rideable_type"])
 
 
+def q_boxplot_stats_bucketed(spark, sf_dir):
+    return boxplot_stats(_rides(spark, sf_dir), "duration", ["member", "rideable_type"], method="bucketed")
+
+
 def q_boxplot_outliers(spark, sf_dir):
     return boxplot_outliers(_rides(spark, sf_dir), "duration", ["member", "rideable_type"])
 

@@ -725,3 +725,6 @@ FROM rides r LEFT JOIN areas a ON CAST(r.start_lng AS DOUBLE) > a.x0 AND CAST(r.
 )
 _q("area_totals", ["st_member_all", "areas"], area_totals("st_member_all"))
 _q("area_trips", ["st_member", "areas"], area_totals("st_member"))
+
+# The bucketed method computes the same exact statistics.
+SQL["boxplot_stats_bucketed"] = SQL["boxplot_stats"]
