@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.operators._plan import salted_join
@@ -131,13 +131,14 @@ def cleaning_ledger(steps: Sequence[tuple]) -> DataFrame:
     ledger = parts[0]
     for p in parts[1:]:
         ledger = ledger.unionByName(p)
-    # At most a few dozen rows: a single ordered window is fine here.
-    w = Window.orderBy("step_no")
-    return ledger.select(
+    # Each step's input is the previous step's output: an equi-join on the
+    # step number, no ordered window.
+    previous = ledger.select((F.col("step_no") + 1).alias("step_no"), F.col("rows_out").alias("rows_in"))
+    return ledger.join(previous, on="step_no", how="left").select(
         "step_no",
         "step",
-        F.lag("rows_out").over(w).alias("rows_in"),
+        "rows_in",
         "rows_out",
-        (F.lag("rows_out").over(w) - F.col("rows_out")).alias("removed"),
+        (F.col("rows_in") - F.col("rows_out")).alias("removed"),
         "changed",
     )
