@@ -5,6 +5,7 @@ from ridelens.functions.scalar import (  # noqa: F401
     bike_code,
     bike_label,
     blank_to_null_text,
+    exact_ratio,
     haversine_m,
     member_flag,
     member_label,
