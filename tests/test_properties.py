@@ -86,3 +86,43 @@ def test_conflict_audit_matches_rule(spark, rows):
             least = min(ordered, key=lambda v: counts[v])
             expected[name] = (len(ordered), most, least)
     assert got == expected
+
+
+def _star(cx, cy, radii):
+    n = len(radii)
+    ring = [[cx + r * math.cos(2 * math.pi * i / n), cy + r * math.sin(2 * math.pi * i / n)] for i, r in enumerate(radii)]
+    return ring + [ring[0]]
+
+
+def _even_odd(px, py, polygon):
+    inside = False
+    for part in polygon:
+        for ring in part:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+                if (y1 > py) != (y2 > py) and px < x1 + (py - y1) * (x2 - x1) / (y2 - y1):
+                    inside = not inside
+    return inside
+
+
+@SETTINGS
+@given(
+    st.lists(st.floats(min_value=0.5, max_value=3.0), min_size=3, max_size=12),
+    st.lists(st.floats(min_value=0.5, max_value=3.0), min_size=3, max_size=12),
+    st.sampled_from([0.05, 0.3, 2.0]),
+    st.integers(min_value=0, max_value=10**6),
+)
+def test_within_join_matches_even_odd(spark, radii_a, radii_b, band, seed):
+    from ridelens.operators.geo import within_join
+
+    # Area 0: a concave star with a small hole; area 1: a two-part multipolygon.
+    hole = _star(0.0, 0.0, [0.2] * 5)[::-1]
+    polys = {0: [[_star(0.0, 0.0, radii_a), hole]], 1: [[_star(8.0, 0.0, radii_b)], [_star(8.0, 8.0, [1.0] * 4)]]}
+    areas = spark.createDataFrame(
+        [(k, f"a{k}", v) for k, v in polys.items()], "area_id long, community string, polygon array<array<array<array<double>>>>"
+    )
+    rnd = __import__("random").Random(seed)
+    pts = [(i, rnd.uniform(-4, 12), rnd.uniform(-4, 10)) for i in range(200)]
+    df = spark.createDataFrame(pts, "id int, lng double, lat double")
+    got = sorted((r.id, r.area_id) for r in within_join(df, areas, band=band).filter("area_id IS NOT NULL").collect())
+    exp = sorted((i, k) for i, x, y in pts for k, poly in polys.items() if _even_odd(x, y, poly))
+    assert got == exp
