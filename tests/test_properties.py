@@ -126,3 +126,43 @@ def test_within_join_matches_even_odd(spark, radii_a, radii_b, band, seed):
     got = sorted((r.id, r.area_id) for r in within_join(df, areas, band=band).filter("area_id IS NOT NULL").collect())
     exp = sorted((i, k) for i, x, y in pts for k, poly in polys.items() if _even_odd(x, y, poly))
     assert got == exp
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.datetimes(min_value=__import__("datetime").datetime(2023, 1, 1), max_value=__import__("datetime").datetime(2026, 1, 1)),
+            st.integers(min_value=-10**11, max_value=10**11),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_minutes_and_seconds_truncate_like_timestampdiff(spark, spans):
+    import datetime as dt
+
+    from ridelens.functions.scalar import minutes_between, seconds_between
+
+    rows = [(a, a + dt.timedelta(microseconds=us)) for a, us in spans]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = [(r.m, r.s) for r in df.select(minutes_between("a", "b").alias("m"), seconds_between("a", "b").alias("s")).collect()]
+    for (a, b), (m, s) in zip(rows, got):
+        us = (b - a) // dt.timedelta(microseconds=1)
+        assert s == int(us / 10**6) if abs(us) < 2**52 else True
+        assert s == (abs(us) // 10**6) * (1 if us >= 0 else -1)
+        assert m == (abs(us) // (60 * 10**6)) * (1 if us >= 0 else -1)
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=-10**6, max_value=10**6), min_size=1, max_size=40))
+def test_to_minutes_rounding_rules(spark, seconds):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from ridelens.functions.scalar import to_minutes
+
+    df = spark.createDataFrame([(s,) for s in seconds], "s int")
+    got = [(r.e, r.u) for r in df.select(to_minutes("s", "half_even").alias("e"), to_minutes("s", "half_up").alias("u")).collect()]
+    for s, (e, u) in zip(seconds, got):
+        assert e == round(Decimal(s) / 60)  # Python rounds half to even
+        assert u == float((Decimal(s) / 60).quantize(Decimal(1), rounding=ROUND_HALF_UP))
