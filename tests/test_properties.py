@@ -166,3 +166,46 @@ def test_to_minutes_rounding_rules(spark, seconds):
     for s, (e, u) in zip(seconds, got):
         assert e == round(Decimal(s) / 60)  # Python rounds half to even
         assert u == float((Decimal(s) / 60).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+
+
+def _gt(a, b):
+    return None if a is None or b is None else a > b
+
+
+def _or(p, q):
+    if p is True or q is True:
+        return True
+    if p is None or q is None:
+        return None
+    return False
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.one_of(st.none(), st.integers(0, 5))), max_size=40))
+def test_delete_where_matches_three_valued_logic(spark, rows):
+    from pyspark.sql import functions as F
+
+    from ridelens.operators.predicates import delete_where
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a int, b int")
+    got = sorted(r.i for r in delete_where(df, F.col("a") > F.col("b"), F.col("a") == 3).collect())
+    # DELETE WHERE a > b OR a = 3 keeps a row unless the predicate is TRUE.
+    exp = sorted(i for i, (a, b) in enumerate(rows) if _or(_gt(a, b), None if a is None else a == 3) is not True)
+    assert got == exp
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["N1", "N2", ""])), st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))), max_size=40))
+def test_canonical_id_matches_update(spark, rows):
+    from ridelens.operators.conform import canonical_id
+
+    df = spark.createDataFrame([(n, v, i) for i, (n, v) in enumerate(rows)], "start_station_name string, start_station_id string, x int")
+    got = {r.x: r.start_station_id for r in canonical_id(df).collect()}
+    main = {}
+    for n, v in rows:
+        if n is not None and v is not None:
+            main[n] = max(main.get(n, v), v)
+    # UPDATE ... SET id = main WHERE id != main: NULL ids, NULL names and
+    # names without a non-NULL id keep their value.
+    exp = {i: (main[n] if (n in main and v is not None and v != main[n]) else v) for i, (n, v) in enumerate(rows)}
+    assert got == exp
