@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelens.functions.scalar import exact_ratio
 from ridelens.operators._plan import scalar_of
 from ridelens.operators.predicates import delete_where
 
@@ -22,7 +23,14 @@ def zscore_stats(df: DataFrame, col: str, sd: str = "pop", mean_scale: int | Non
     sd_fn = {"pop": F.stddev_pop, "samp": F.stddev_samp}[sd]
     mean = F.avg(F.col(col).cast("double"))
     if mean_scale is not None:
-        mean = F.round(mean, mean_scale)
+        integral = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
+        # AVG of an integer column is an exact decimal rounded once; the sum
+        # and count are exact, so the rounding is done on them.
+        mean = (
+            exact_ratio(F.sum(F.col(col).cast("long")), F.count(col), mean_scale)
+            if integral
+            else F.round(mean, mean_scale)
+        )
     return df.agg(mean.alias("__mean"), sd_fn(F.col(col).cast("double")).alias("__sd"))
 
 

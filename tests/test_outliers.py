@@ -44,3 +44,12 @@ def test_plan_reads_stats_as_scalar_subquery(spark):
     plan = plan_of(drop_zscore(df, "x"))
     assert "Subquery" in plan
     assert "NestedLoopJoin" not in plan and "Window" not in plan
+
+
+def test_mean_scale_rounds_exact_average_once(spark):
+    # Mean 2/3 -> 0.6667 with four decimals, computed from the exact sum and count.
+    df = spark.createDataFrame([(0,), (1,), (1,)], "x int")
+    r = zscore_stats(df, "x", "pop", mean_scale=4).first()
+    assert r["__mean"] == 0.6667
+    d = spark.createDataFrame([(0.5,), (1.0,)], "x double")
+    assert zscore_stats(d, "x", "pop", mean_scale=4).first()["__mean"] == 0.75
