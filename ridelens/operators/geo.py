@@ -28,8 +28,9 @@ DEFAULT_BAND = 0.01  # degrees of latitude per band
 MAX_EDGE_ROWS = 500_000
 
 
-def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
-    """One row per (area, edge, band) with the area's bounding box.
+def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (area, edge, band) with the area's bounding box and the
+    ``attrs`` columns carried along.
 
     The bounding box comes from the coordinate arrays of the row itself, so
     the whole edge table is one narrow chain of projections: no shuffle, no join.
@@ -39,13 +40,14 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
     ys = F.transform(points, lambda p: p[1])
     parts = areas.select(
         "area_id",
+        *attrs,
         F.array_min(xs).alias("bx0"),
         F.array_max(xs).alias("bx1"),
         F.array_min(ys).alias("by0"),
         F.array_max(ys).alias("by1"),
         F.explode("polygon").alias("part"),
     )
-    rings = parts.select("area_id", "bx0", "bx1", "by0", "by1", F.explode("part").alias("ring"))
+    rings = parts.select("area_id", *attrs, "bx0", "bx1", "by0", "by1", F.explode("part").alias("ring"))
     # Close a ring that does not repeat its first point.
     closed = F.when(
         F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")
@@ -53,6 +55,7 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
     rings = rings.withColumn("ring", closed).filter(F.size("ring") >= 2)
     edges = rings.select(
         "area_id",
+        *attrs,
         "bx0",
         "bx1",
         "by0",
@@ -68,7 +71,7 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND) -> DataFrame:
                 ),
             )
         ).alias("e"),
-    ).select("area_id", "bx0", "bx1", "by0", "by1", "e.x1", "e.y1", "e.x2", "e.y2")
+    ).select("area_id", *attrs, "bx0", "bx1", "by0", "by1", "e.x1", "e.y1", "e.x2", "e.y2")
     lo = F.floor(F.least("y1", "y2") / band)
     hi = F.floor(F.greatest("y1", "y2") / band)
     return edges.withColumn("band", F.explode(F.sequence(lo, hi)))
@@ -81,7 +84,7 @@ def band_candidates(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[s
     Its size is set by the polygons (edges times bands crossed), never by
     the points; ``collect_list`` gathers at most one polygon's edges.
     """
-    edges = polygon_edges(areas, band).join(areas.select("area_id", *attrs), "area_id")
+    edges = polygon_edges(areas, band, attrs)
     per_area = edges.groupBy("band", "area_id", "bx0", "bx1", "by0", "by1", *attrs).agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
     )
