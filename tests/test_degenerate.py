@@ -1,7 +1,6 @@
 """Degenerate inputs: empty table, one row, all-NULL group."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from ridelens.operators.clean import drop_all_duplicates, null_audit
 from ridelens.operators.conform import conflict_audit, canonical_id
