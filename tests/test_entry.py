@@ -42,3 +42,12 @@ def test_query_matches_oracle(spark, key):
     exp = sorted((tuple(row[i] for i in order) for row in rel.fetchall()), key=_key)
     assert len(got) == len(exp)
     assert got == exp
+
+
+def test_readme_usage_imports_resolve():
+    readme = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")
+    text = open(readme).read()
+    block = text.split("## Usage", 1)[1].split("```python", 1)[1].split("```", 1)[0]
+    imports = [line for line in block.splitlines() if line.startswith(("from ", "import "))]
+    assert imports
+    exec("\n".join(imports), {})
