@@ -106,7 +106,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(some):
             at = offsets[:-1][some]
             # sets in groups of about 64k shingles keep the working array in cache
-            cuts = np.unique(np.searchsorted(at, np.arange(0, len(shingles), 1 << 16)))
+            cuts = np.unique(at >> 16, return_index=True)[1]
             for a, b in zip(cuts, [*cuts[1:], len(some)]):
                 end = at[b] if b < len(some) else len(shingles)
                 mins[:, a:b] = _minima(shingles[at[a] : end], np.append(at[a:b], end) - at[a])
