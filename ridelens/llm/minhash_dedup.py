@@ -8,11 +8,16 @@ collisions, estimate the similarity and drop the clear misses; the rest are
 confirmed on the full shingle sets.
 
 Documents with equal sets are one node, so copies cost nothing after the first
-pass. Candidates come in two rounds, so that a large bucket never yields all
-its pairs: first each member meets its bucket's smallest and largest id; after
-the links found so far are joined to components, only members that lie outside
-their bucket's main component meet the members of other components. Every pair
-of a bucket is thus either compared or already connected.
+pass. Candidates come in rounds, so that a large bucket never yields all its
+pairs. First each member meets its bucket's smallest and largest id, and the
+links found are joined to components. Buckets that still hold several
+components are open: their members get a finer signature, the low bit of 2,048
+minima, and each member outside its bucket's main component is compared by bit
+counts with the members of other components; its nearest goes to the exact
+check, round after round while that joins components, and at last every pair
+left above the floor. Every pair of a bucket is thus either compared or already
+connected. A large bucket is compared in blocks of ``BLOCK`` members by
+different tasks; a pair comes out once, in the first band that it shares.
 
 Edge cases: null, empty or wordless text has no shingles (n_shingles 0), links
 with nothing and stays; a null doc_id takes no part, has a null component and
@@ -40,6 +45,11 @@ PERMUTATIONS = BANDS * ROWS
 #: Estimates below this are dropped without a look at the sets: more than five
 #: standard deviations (0.046 at 128 minima of two bits) below 0.75.
 ESTIMATE_FLOOR = 0.5
+#: Minima of the finer signature, one bit each, and its floor: four standard
+#: deviations (0.0146) below 0.75.
+FINE, FINE_FLOOR = 2048, 0.69
+#: Members of an open bucket that one task compares with as many others.
+BLOCK = 4096
 #: Ids of candidate documents are broadcast to filter the text scan up to this
 #: many (8 bytes each); beyond it the scan is joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -53,6 +63,9 @@ _rng = np.random.Generator(np.random.PCG64(20240501))
 _XOR = _rng.integers(0, 1 << 64, PERMUTATIONS, np.uint64)
 _MUL = _rng.integers(0, 1 << 64, PERMUTATIONS, np.uint64) | np.uint64(1)
 
+_FINE_XOR = _rng.integers(0, 1 << 64, FINE, np.uint64)
+_FINE_MUL = _rng.integers(0, 1 << 64, FINE, np.uint64) | np.uint64(1)
+
 _SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
 
 
@@ -84,14 +97,18 @@ def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.empty(0, np.uint64)), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _minima(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _minima(shingles: np.ndarray, starts: np.ndarray, xor: np.ndarray = _XOR, mul: np.ndarray = _MUL) -> np.ndarray:
     """The minimum under each permutation, per set; all sets have members."""
-    out = np.empty((PERMUTATIONS, len(offsets) - 1), np.uint64)
-    work = np.empty(len(shingles), np.uint64)
-    for i in range(PERMUTATIONS):
-        np.bitwise_xor(shingles, _XOR[i], out=work)
-        np.multiply(work, _MUL[i], out=work)
-        np.minimum.reduceat(work, offsets[:-1], out=out[i])
+    out = np.empty((len(xor), len(starts)), np.uint64)
+    # sets in groups of about 64k shingles keep the working array in cache
+    cuts = [*np.unique(starts >> 16, return_index=True)[1], len(starts)]
+    for a, b in zip(cuts, cuts[1:]):
+        own = shingles[starts[a] : starts[b] if b < len(starts) else len(shingles)]
+        work, at = np.empty(len(own), np.uint64), starts[a:b] - starts[a]
+        for i in range(len(xor)):
+            np.bitwise_xor(own, xor[i], out=work)
+            np.multiply(work, mul[i], out=work)
+            np.minimum.reduceat(work, at, out=out[i, a:b])
     return out
 
 
@@ -105,11 +122,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, len(sizes)), np.uint64)
         if len(some):
             at = offsets[:-1][some]
-            # sets in groups of about 64k shingles keep the working array in cache
-            cuts = np.unique(at >> 16, return_index=True)[1]
-            for a, b in zip(cuts, [*cuts[1:], len(some)]):
-                end = at[b] if b < len(some) else len(shingles)
-                mins[:, a:b] = _minima(shingles[at[a] : end], np.append(at[a:b], end) - at[a])
+            mins = _minima(shingles, at)
             sums[0, some] = np.add.reduceat(mix64(shingles), at)
             sums[1, some] = np.add.reduceat(mix64(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at)
         mixed = mix64(mins)
@@ -131,6 +144,76 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, *(long_array(s) for s in signature), bands], names=names)
 
 
+def _fine_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, limit=1 << 20):
+        shingles, offsets = shingle_sets(batch.column("text"))
+        some = np.flatnonzero(np.diff(offsets))
+        if len(some):
+            low = (mix64(_minima(shingles, offsets[:-1][some], _FINE_XOR, _FINE_MUL)) & np.uint64(1)).astype(np.uint8)
+            packed = np.packbits(low, axis=0).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(some)), pa.array([row.tobytes() for row in packed], pa.binary())],
+                names=["node", "fine"],
+            )
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one (key, block) after another; they arrive in that order."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        key, block = table["key"].to_numpy(), table["block"].to_numpy()
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1), table.num_rows]
+        if held and (held[-1]["key"][-1].as_py(), held[-1]["block"][-1].as_py()) != (int(key[0]), int(block[0])):
+            yield pa.concat_tables(held)
+            held = []
+        for a, b in zip(cuts, cuts[1:-1]):
+            yield pa.concat_tables([*held, table.slice(a, b - a)])
+            held = []
+        held.append(table.slice(cuts[-2]))
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _compare(table: pa.Table, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of different components whose finer signatures agree:
+    for each member outside the main component its nearest, or all."""
+    node, component, size, side = (table[c].to_numpy() for c in ("node", "component", "n_shingles", "side"))
+    bands = np.stack(table["bands"].to_numpy())
+    fine = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint64).reshape(len(node), -1)
+    own_band = int(np.flatnonzero(bands[0] == table["key"][0].as_py())[0])
+    for i in np.flatnonzero(~table["in_main"].to_numpy(zero_copy_only=False)):
+        # blocks of two different chunks compare one with the other only
+        other = np.flatnonzero((component != component[i]) & ((side != side[i]) | (side == 2)))
+        small, large = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
+        other = other[100 * small >= PERCENT * large]
+        if own_band and len(other):
+            other = other[~(bands[other, :own_band] == bands[i, :own_band]).any(axis=1)]
+        if not len(other):
+            continue
+        agree = 1.0 - np.bitwise_count(fine[other] ^ fine[i]).sum(axis=1, dtype=np.int64) / FINE
+        similar = 2.0 * agree - 1.0  # less the half that agrees by chance
+        found = similar >= FINE_FLOOR
+        if best and found.any():
+            other = other[[int(np.argmax(similar))]]
+        else:
+            other = other[found]
+        yield np.minimum(node[other], node[i]), np.maximum(node[other], node[i])
+
+
+def _across(best: bool):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _blocks(batches):
+            found = list(_compare(table, best))
+            if found:
+                pairs = np.unique(np.concatenate([np.stack(x, axis=1) for x in found]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return compare
+
+
 def _similar(n_a, n_b):
     """Equal sizes within the threshold: the intersection is at most the
     smaller set, the union at least the larger."""
@@ -216,28 +299,54 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = materialise(confirm(best, docs).union(same), "links")
 
     component = connected_components(links)
+    fine = None
+    tried = best
+    while True:
+        open_ = materialise(_open_members(members, component), "open-members")
+        if open_.isEmpty():
+            return documents, links
+        if fine is None:  # later rounds have no other members
+            ids = materialise(open_.select(F.col("node").alias("doc_id")).distinct(), "open-ids")
+            texts = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+            fine = texts.mapInArrow(_fine_signatures, "node long, fine binary")
+            fine = materialise(fine.join(nodes.select("node", "n_shingles", "bands"), "node").dropDuplicates(["node"]), "fine")
+        rows = open_.join(fine, "node").repartition("key", "block").sortWithinPartitions("key", "block")
+        rows = rows.select("key", "block", "side", "node", "component", "in_main", "n_shingles", "bands", "fine")
+        found = rows.mapInArrow(_across(True), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+        nearest = materialise(found, "nearest")
+        found = materialise(confirm(nearest, docs), "links")
+        if found.isEmpty():
+            tried = tried.union(nearest)
+            break
+        tried = materialise(tried.union(nearest), "tried")
+        links = materialise(links.union(found), "links")
+        component = connected_components(links)
+    found = rows.mapInArrow(_across(False), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
+    links = materialise(links.union(confirm(materialise(found, "rest"), docs)), "links")
+    return documents, links
+
+
+def _open_members(members: DataFrame, component: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components: key, block, side,
+    node, component, in_main. A bucket of up to BLOCK members is one block of
+    side 2; a larger one is dealt into chunks, and each pair of chunks is a
+    block whose sides are 0 and 1 (2 for a chunk with itself)."""
     placed = members.select("key", "node").join(component, "node", "left")
     placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
     spread = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = spread.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = materialise(placed.join(main, "key").join(packed, "node").drop("parts"), "open-buckets")
-    x, y = open_.where("component <> main").alias("x"), open_.alias("y")
-    across = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") != F.col("y.component"))
-        & _similar(F.col("x.n_shingles"), F.col("y.n_shingles"))
-        & (estimate("x", "y") >= ESTIMATE_FLOOR),
-    ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    left = near.select("a", "b")
-    for end in "ab":
-        named = component.select(F.col("node").alias(end), F.col("component").alias(f"component_{end}"))
-        left = left.join(named, end, "left").withColumn(f"component_{end}", F.coalesce(f"component_{end}", end))
-    left = left.where("component_a <> component_b").select("a", "b")
-    rest = materialise(across.union(left).distinct().join(best, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = materialise(links.union(confirm(rest, docs)), "links")
-    return documents, links
+    main = spread.groupBy("key").agg(
+        F.max_by("component", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members")
+    )
+    main = materialise(main.where("parts > 1").drop("parts"), "open-buckets")
+    chunks = F.ceil(F.col("members") / BLOCK)
+    own = placed.join(main, "key").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return dealt.select(
+        "key", (low * F.col("chunks") + high).alias("block"), side.alias("side"), "node", "component",
+        (F.col("component") == F.col("main")).alias("in_main"),
+    )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
