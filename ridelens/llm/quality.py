@@ -115,7 +115,12 @@ def ftrl(rows: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.nda
 
 def _train_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["order", "label"], kind="stable").reset_index(drop=True)
-    weights, bias = ftrl(*features(pa.array(pdf.text, pa.string())), pdf.label.to_numpy(float))
+    parts, first = [], 0
+    for part in pieces([pa.RecordBatch.from_arrays([pa.array(pdf.text, pa.string())], names=["text"])]):
+        rows, slots, values = features(part.column("text"))
+        parts.append((rows + first, slots, values))
+        first += part.num_rows
+    weights, bias = ftrl(*(np.concatenate(x) for x in zip(*parts)), pdf.label.to_numpy(float))
     used = np.flatnonzero(weights)
     return pd.DataFrame({"slot": np.append(used, 1 << BITS), "weight": np.append(weights[used], bias)})
 

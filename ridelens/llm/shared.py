@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ridelens.session import ensure_checkpoint_dir
 
 #: Text bytes that a task holds as flat arrays at a time (one longer text stands alone).
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
