@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import tiktoken
 
 from ridelens.llm.hashing import rows_of, span_hashes
@@ -87,15 +88,19 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The pre-tokens of a batch: ``data`` and the byte spans of the distinct
-    ones, and for each pre-token of each text the number of its distinct one."""
+    """The pre-tokens of a batch: ``data`` and the byte spans and hashes of the
+    distinct ones, and for each pre-token the number of its distinct one;
+    ``at`` has the n + 1 places where the texts begin among the pre-tokens."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.data = data
         starts = cut(data, offsets)
         ends = np.append(starts[1:], data.size)
         self.at = rows_of(starts, offsets)
-        _, first, self.index = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        hashes = span_hashes(data, starts, ends)
+        self.index, self.hashes = pd.factorize(hashes)
+        first = np.empty(len(self.hashes), np.int64)
+        first[self.index[::-1]] = np.arange(len(starts))[::-1]
         self.starts, self.ends = starts[first], ends[first]
 
     def bytes(self) -> list[bytes]:
@@ -105,3 +110,11 @@ class Words:
 
 def words_of(column) -> Words:
     return Words(*text_buffer(column))
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The spans of ``values`` end to end."""
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return values[:0]
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridelens.llm import minhash_dedup, quality
+from ridelens.llm import byte_bpe, minhash_dedup, quality
 from ridelens.llm.shared import read
 
 
@@ -16,12 +16,17 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.encode_and_decode(read(spark, sf_dir, "documents")))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
