@@ -27,14 +27,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.llm.pretokens import gather, words_of
-from ridelens.llm.shared import id_and_text, pieces
+from ridelens.llm.pretokens import blocks, gather
+from ridelens.llm.shared import id_and_text
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
@@ -150,42 +149,14 @@ _BLOCK = "doc_ids array<long>, counts binary, index binary, words array<binary>"
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block: its doc_ids, the number of pre-tokens of each text,
     the distinct pre-tokens, and for each pre-token the number of its own."""
-    ids: list[pa.Array] = []
-    counts: list[np.ndarray] = []
-    index: list[np.ndarray] = []
-    hashes: list[np.ndarray] = []
-    words: list[bytes] = []
-    held = 0
-
-    def block() -> pa.RecordBatch:
-        # distinct words of several pieces meet here once more
-        code, distinct = pd.factorize(np.concatenate(hashes))
-        first = np.empty(len(distinct), np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
-        own = code[np.concatenate(index)].astype("<i4")
+    for block in blocks(batches, BLOCK_BYTES):
         row = [
-            pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
-            pa.array([np.concatenate(counts).astype("<i4").tobytes()], pa.binary()),
-            pa.array([own.tobytes()], pa.binary()),
-            pa.array([[words[i] for i in first]], pa.list_(pa.binary())),
+            pa.array([block.doc_ids.to_pylist()], pa.list_(pa.int64())),
+            pa.array([np.diff(block.at).astype("<i4").tobytes()], pa.binary()),
+            pa.array([block.index.astype("<i4").tobytes()], pa.binary()),
+            pa.array([block.words], pa.list_(pa.binary())),
         ]
-        return pa.RecordBatch.from_arrays(row, names=["doc_ids", "counts", "index", "words"])
-
-    for batch in pieces(batches):
-        cut = words_of(batch.column("text"))
-        if held and held + cut.data.size > BLOCK_BYTES:
-            yield block()
-            held = 0
-            for x in (ids, counts, index, hashes, words):
-                x.clear()
-        ids.append(batch.column("doc_id"))
-        counts.append(np.diff(cut.at))
-        index.append(cut.index + len(words))
-        hashes.append(cut.hashes)
-        words.extend(cut.bytes())
-        held += max(1, cut.data.size)
-    if held:
-        yield block()
+        yield pa.RecordBatch.from_arrays(row, names=["doc_ids", "counts", "index", "words"])
 
 
 def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,8 +216,9 @@ def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return decoded.mapInArrow(_to_documents, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
+def digests(encoded: DataFrame, *also: str) -> DataFrame:
+    """doc_id, n_tokens, the columns ``also``, ids_sha256 and decoded_sha256 of
+    encoded documents."""
     return encoded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id", "n_tokens", *also, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -9,14 +9,19 @@ from the library's own pattern engine, so that its Unicode version holds."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 
 from ridelens.llm.hashing import rows_of, span_hashes
-from ridelens.llm.shared import text_buffer
+from ridelens.llm.shared import pieces, text_buffer
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -87,16 +92,34 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[begins]
 
 
+def specials_in(data: np.ndarray, specials: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the special strings in the bytes."""
+    spans = []
+    if specials:
+        pattern = b"|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+        spans = [m.span() for m in re.finditer(pattern, data.tobytes())]
+    both = np.array(spans, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 class Words:
     """The pre-tokens of a batch: ``data`` and the byte spans and hashes of the
     distinct ones, and for each pre-token the number of its distinct one;
     ``at`` has the n + 1 places where the texts begin among the pre-tokens."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, specials: tuple[bytes, ...] = ()):
         self.data = data
-        starts = cut(data, offsets)
+        from_, to = specials_in(data, specials)
+        inside = np.searchsorted(offsets, from_, side="right") == np.searchsorted(offsets, to, side="left")
+        from_, to = from_[inside], to[inside]  # none across two texts
+        # a special string stands alone, and the text ends before it and begins after it
+        starts = cut(data, np.unique(np.concatenate([offsets, from_, to])) if len(from_) else offsets)
+        if len(from_):
+            before = np.searchsorted(from_, starts, side="right") - 1
+            starts = starts[(before < 0) | (starts == from_[before]) | (starts >= to[before])]
         ends = np.append(starts[1:], data.size)
         self.at = rows_of(starts, offsets)
+        self.n_bytes = np.diff(offsets)
         hashes = span_hashes(data, starts, ends)
         self.index, self.hashes = pd.factorize(hashes)
         first = np.empty(len(self.hashes), np.int64)
@@ -108,8 +131,55 @@ class Words:
         return [raw[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]
 
 
-def words_of(column) -> Words:
-    return Words(*text_buffer(column))
+def words_of(column, specials: tuple[bytes, ...] = ()) -> Words:
+    return Words(*text_buffer(column), specials)
+
+
+@dataclass
+class Block:
+    """Documents that share one list of distinct pre-tokens: doc_ids, the bytes
+    of each text, the n + 1 places where the texts begin among the pre-tokens,
+    the number of the word of each pre-token, and the words."""
+
+    doc_ids: pa.Array
+    n_bytes: np.ndarray
+    at: np.ndarray
+    index: np.ndarray
+    words: list[bytes]
+
+
+def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes, ...] = ()) -> Iterator[Block]:
+    """Blocks of about ``limit`` text bytes; one longer text stands alone."""
+    parts: list[tuple[pa.Array, Words]] = []
+    held = 0
+
+    def block() -> Block:
+        # distinct words of several pieces meet here once more
+        code, distinct = pd.factorize(np.concatenate([w.hashes for _, w in parts]))
+        first = np.empty(len(distinct), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        words = list(chain.from_iterable(w.bytes() for _, w in parts))
+        base = np.concatenate([[0], np.cumsum([len(w.hashes) for _, w in parts])])
+        index = code[np.concatenate([w.index + b for (_, w), b in zip(parts, base)])]
+        counts = np.concatenate([np.diff(w.at) for _, w in parts])
+        return Block(
+            pa.concat_arrays([ids for ids, _ in parts]),
+            np.concatenate([w.n_bytes for _, w in parts]),
+            np.concatenate([[0], np.cumsum(counts)]),
+            index.astype(np.int32),
+            [words[i] for i in first],
+        )
+
+    for batch in pieces(batches):
+        cuts = words_of(batch.column("text"), specials)
+        if held and held + cuts.data.size > limit:
+            yield block()
+            parts.clear()
+            held = 0
+        parts.append((batch.column("doc_id"), cuts))
+        held += max(1, cuts.data.size)
+    if parts:
+        yield block()
 
 
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -89,24 +89,44 @@ def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, slots, count / total[rows]
 
 
-def ftrl(rows: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias after ``epochs`` passes over the rows in their order."""
+def features_of(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``features``, of many texts, in pieces."""
+    parts, first = [], 0
+    for part in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]):
+        rows, slots, values = features(part.column("text"))
+        parts.append((rows + first, slots, values))
+        first += part.num_rows
+    rows, slots, values = (np.concatenate(x) for x in zip(*parts))
+    return rows, slots, values
+
+
+def by_share(shares: np.ndarray) -> np.ndarray:
+    """Values from slot shares: damped, and scaled so that one learning rate fits all."""
+    return np.sqrt(shares) * 4.0
+
+
+def by_presence(shares: np.ndarray) -> np.ndarray:
+    return np.ones(len(shares))
+
+
+def ftrl(
+    rows: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.ndarray, alpha: float = ALPHA, l1: float = L1
+) -> tuple[np.ndarray, float]:
+    """Weights and bias after ``EPOCHS`` passes over the rows in their order."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     at = np.searchsorted(rows, np.arange(len(labels) + 1))
-    # shares of a text are small numbers; scaled, one learning rate fits all
-    values = np.sqrt(values) * 4.0
 
     def weights(i):
         zi = z[i]
-        return np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
+        return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((BETA + np.sqrt(n[i])) / alpha + L2))
 
-    for _ in range(epochs):
+    for _ in range(EPOCHS):
         for k, y in enumerate(labels):
             i = np.append(slots[at[k] : at[k + 1]], 1 << BITS)
             x = np.append(values[at[k] : at[k + 1]], 1.0)
             w = weights(i)
             g = (1.0 / (1.0 + math.exp(-min(35.0, max(-35.0, float(w @ x))))) - y) * x
-            s = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / ALPHA
+            s = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
             z[i] += g - s * w
             n[i] += g * g
     w = weights(np.arange((1 << BITS) + 1))
@@ -115,12 +135,8 @@ def ftrl(rows: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.nda
 
 def _train_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["order", "label"], kind="stable").reset_index(drop=True)
-    parts, first = [], 0
-    for part in pieces([pa.RecordBatch.from_arrays([pa.array(pdf.text, pa.string())], names=["text"])]):
-        rows, slots, values = features(part.column("text"))
-        parts.append((rows + first, slots, values))
-        first += part.num_rows
-    weights, bias = ftrl(*(np.concatenate(x) for x in zip(*parts)), pdf.label.to_numpy(float))
+    rows, slots, shares = features_of(pdf.text)
+    weights, bias = ftrl(rows, slots, by_share(shares), pdf.label.to_numpy(float))
     used = np.flatnonzero(weights)
     return pd.DataFrame({"slot": np.append(used, 1 << BITS), "weight": np.append(weights[used], bias)})
 
@@ -138,8 +154,14 @@ def train(labelled: DataFrame) -> np.ndarray:
 
 def scores(column, model: np.ndarray) -> np.ndarray:
     """The probability of label 1 for each text of an Arrow column."""
-    rows, slots, values = features(column)
-    margin = np.bincount(rows, model[slots] * np.sqrt(values) * 4.0, len(column)) + model[-1]
+    return probabilities(column, model[None])[0]
+
+
+def probabilities(column, models: np.ndarray, valued=by_share) -> np.ndarray:
+    """As ``scores``, a row for each of several models."""
+    rows, slots, shares = features(column)
+    values = valued(shares)
+    margin = np.stack([np.bincount(rows, m[slots] * values, len(column)) + m[-1] for m in models])
     return 1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35)))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridelens.llm import byte_bpe, minhash_dedup, quality
+from ridelens.llm import byte_bpe, minhash_dedup, mixing, quality, token_counts
 from ridelens.llm.shared import read
 
 
@@ -20,6 +20,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_and_decode(read(spark, sf_dir, "documents")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.labelled_domains(read(spark, sf_dir, "labels"))
+    return mixing.mix(read(spark, sf_dir, "documents"), labelled).drop("order")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -27,6 +36,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_mixing": op3_mixing,
+    "op4_token_counts": op4_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
