@@ -7,9 +7,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridelens.llm import byte_bpe, minhash_dedup, mixing, quality, token_counts
-from ridelens.llm.shared import read
+from ridelens.llm import byte_bpe, kmeans_tree, minhash_dedup, mixing, quality, token_counts, token_files
+from ridelens.llm.shared import fresh_path, read
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), path)
+    return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -38,6 +49,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
+    "op8_token_files": op8_token_files,
+    "op9_kmeans_tree": op9_kmeans_tree,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

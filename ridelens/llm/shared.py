@@ -23,11 +23,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared checkpoint folder."""
+    return posixpath.join(ensure_checkpoint_dir(spark), "llm", f"{label}-{uuid.uuid4().hex}")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back:
     cuts lineage, survives lost executors, and gives later joins a plain scan."""
     spark = df.sparkSession
-    path = posixpath.join(ensure_checkpoint_dir(spark), "llm", f"{label}-{uuid.uuid4().hex}")
+    path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
