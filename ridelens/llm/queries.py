@@ -9,7 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelens.llm import byte_bpe, kmeans_tree, minhash_dedup, mixing, quality, token_counts, token_files
+from ridelens.llm import (
+    byte_bpe,
+    digest,
+    kmeans_tree,
+    license_scan,
+    minhash_dedup,
+    mixing,
+    page_text,
+    quality,
+    token_counts,
+    token_files,
+)
 from ridelens.llm.shared import fresh_path, read
 
 
@@ -30,6 +41,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(read(spark, sf_dir, "documents"), path)
@@ -49,6 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
+    "op5_license_scan": op5_license_scan,
+    "op6_digest": op6_digest,
+    "op7_page_text": op7_page_text,
     "op8_token_files": op8_token_files,
     "op9_kmeans_tree": op9_kmeans_tree,
     "op10_quality_classifier": op10_quality_classifier,
