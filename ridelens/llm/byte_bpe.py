@@ -37,7 +37,7 @@ from ridelens.llm.shared import id_and_text
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Small maps of the rank literal, a power of two; most hold one entry or none.
 MAPS = 65536
 _NONE = (1 << 31) - 1

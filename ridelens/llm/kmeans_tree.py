@@ -30,10 +30,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelens.llm.shared import materialise
+from ridelens.llm.shared import materialise, ship
 
 K = 20
 BRANCHES, LEAF_ROWS, MAX_DEPTH, ROUNDS = 8, 64, 8, 8
@@ -173,9 +173,7 @@ def _brute(trial_ids: np.ndarray, trials: np.ndarray, k: int):
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    """Each query's best k of the found rows, without gathering the others."""
-    from pyspark.sql import Window
-
+    """Each query's best k of the found rows."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -198,6 +196,7 @@ def search(
     """query_id, rank (from 1), vec_id and score: the k nearest rows found of
     each row of which ``is_query`` (on vec_id) is true, itself left out."""
     spark = vectors.sparkSession
+    ship(spark)
     rows = materialise(usable(vectors, id_col, vector_col), "vectors")
     n = rows.count()
     if not n:

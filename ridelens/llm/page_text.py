@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm.hashing import rows_of, runs, span_hashes
-from ridelens.llm.shared import materialise, pieces, text_buffer
+from ridelens.llm.shared import materialise, pieces, ship, text_buffer
 
 #: Tokens of a run that counts as repeated, a power of two.
 RUN = 8
@@ -246,6 +246,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``."""
+    ship(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")).withColumn("host", host)

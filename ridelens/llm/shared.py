@@ -4,8 +4,11 @@ tables in the shared folder, and Arrow text columns as flat byte arrays."""
 from __future__ import annotations
 
 import posixpath
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,26 @@ from ridelens.session import ensure_checkpoint_dir
 BATCH_BYTES = 1 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks
+    can import it wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="ridelens-")) / "ridelens_tasks.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(posixpath.join(sf_dir, f"{name}.parquet"))
 
 
@@ -40,6 +62,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns that an operator reads, under fixed names, so that
     other columns of the input, whatever their names, never meet its own."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
