@@ -355,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     documents, links = link(id_and_text(docs, id_col, text_col))
     component = connected_components(links)
     out = documents.join(component, "node", "left")
-    smallest = F.coalesce("component", "node", "doc_id")
+    smallest = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", smallest.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == smallest)).alias("kept")
     )
