@@ -37,7 +37,7 @@ from ridelens.llm.shared import id_and_text
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 20 << 20
 #: Small maps of the rank literal, a power of two; most hold one entry or none.
 MAPS = 65536
 _NONE = (1 << 31) - 1
@@ -94,25 +94,19 @@ def _encode_word(word: Column, maps: Column) -> Column:
         symbols, pairs = state["symbols"], state["pairs"]
 
         def merge(at: Column) -> Column:
-            def around(joined: Column) -> Column:
-                return F.struct(
-                    F.concat(F.slice(symbols, F.lit(1), at - 1), F.array(joined), F.slice(symbols, at + 2, F.size(symbols))).alias("symbols"),
-                    F.concat(
-                        F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                        F.when(at > 1, F.array(rank(F.concat(F.get(symbols, at - 2), joined)))).otherwise(F.array().cast("array<int>")),
-                        F.when(at < F.size(pairs), F.array(rank(F.concat(joined, F.get(symbols, at + 1))))).otherwise(
-                            F.array().cast("array<int>")
-                        ),
-                        F.slice(pairs, at + 2, F.size(pairs)),
-                    ).alias("pairs"),
-                )
-
-            return _let(F.concat(F.get(symbols, at - 1), F.get(symbols, at)), around)
-
-        def lowest(low: Column) -> Column:
-            return F.when(low >= none, state).otherwise(_let(F.array_position(pairs, low).cast("int"), merge))
-
-        return F.when(F.size(pairs) > 0, _let(F.array_min(pairs), lowest)).otherwise(state)
+            joined = F.concat(F.get(symbols, at - 1), F.get(symbols, at))
+            none_there = F.array().cast("array<int>")
+            before = F.when(at > 1, F.array(rank(F.concat(F.get(symbols, at - 2), joined)))).otherwise(none_there)
+            after = F.when(at < F.size(pairs), F.array(rank(F.concat(joined, F.get(symbols, at + 1))))).otherwise(none_there)
+            return F.struct(
+                F.concat(F.slice(symbols, F.lit(1), at - 1), F.array(joined), F.slice(symbols, at + 2, F.size(symbols))).alias("symbols"),
+                F.concat(
+                    F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(pairs, at + 2, F.size(pairs))
+                ).alias("pairs"),
+            )
+
+        low = F.array_min(pairs)
+        return F.when(low < none, _let(F.array_position(pairs, low).cast("int"), merge)).otherwise(state)
 
     def fold(hexed: Column) -> Column:
         n = F.length(hexed) / 2
