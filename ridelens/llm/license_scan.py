@@ -101,25 +101,24 @@ def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES) ->
     base = materialise(base.withColumn("hits", F.when(F.size("allowed") > 0, F.col("hits"))), "licence-places")
 
     spark = docs.sparkSession
-    rows = [(t, label, [(k, w, idf[w]) for k, w in enumerate(text.split())]) for t, (label, text, _) in enumerate(templates)]
-    known = spark.createDataFrame(rows, "template int, label string, parts array<struct<offset:int,word:string,weight:double>>")
-    postings = known.select("template", F.explode("parts").alias("p")).select("template", "p.word", "p.offset")
+    rows = [
+        (t, label, k, w, idf[w], sum(idf[x] for x in text.split()))
+        for t, (label, text, _) in enumerate(templates)
+        for k, w in enumerate(text.split())
+    ]
+    postings = spark.createDataFrame(rows, "template int, label string, offset int, word string, weight double, total double")
 
     weight = F.create_map(*(F.lit(x) for w in licence_words for x in (w, idf[w])))
     ranked = F.sort_array(F.transform("vocabulary", lambda w: F.struct((-F.element_at(weight, w)).alias("idf"), w.alias("word"))))
     rare = F.transform(F.slice(ranked, 1, RARE), lambda x: x["word"])
     files = base.where(F.size("allowed") > 0).select("row", "hits", "allowed", rare.alias("rare"))
-    hit = files.select("row", "allowed", "rare", F.explode("hits").alias("hit")).where(F.array_contains("rare", F.col("hit.word")))
-    hit = hit.select("row", "allowed", F.col("hit.pos").alias("pos"), F.col("hit.word").alias("word"))
-    aligned = hit.join(F.broadcast(postings), "word").where(F.array_contains("allowed", F.col("template")))
-    aligned = aligned.select("row", "template", (F.col("pos") - F.col("offset")).alias("start")).distinct()
-    by_file = aligned.groupBy("row").agg(F.collect_set(F.struct("template", "start")).alias("alignments"))
-    scored = by_file.join(files.select("row", "hits"), "row").select("row", "hits", F.explode("alignments").alias("a"))
-    scored = scored.join(F.broadcast(known), F.col("a.template") == F.col("template"))
-    sum_of = lambda parts, of: F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + of(p))
-    there = lambda p: F.array_contains("hits", F.struct((F.col("a.start") + p["offset"]).alias("pos"), p["word"].alias("word")))
-    share = sum_of("parts", lambda p: F.when(there(p), p["weight"]).otherwise(0.0)) / sum_of("parts", lambda p: p["weight"])
-    scored = scored.select("row", "label", F.round(share, 9).alias("score")).groupBy("row").agg(
+    hit = files.select("row", "allowed", "rare", F.explode("hits").alias("hit")).select("row", "allowed", "rare", "hit.*")
+    hit = hit.select("row", "allowed", "pos", "word", F.array_contains("rare", F.col("word")).alias("rare"))
+    # a place of the template in the file: its word k stands at start + k
+    met = hit.join(F.broadcast(postings), "word").where(F.array_contains("allowed", F.col("template")))
+    aligned = met.groupBy("row", "template", "label", "total", (F.col("pos") - F.col("offset")).alias("start"))
+    aligned = aligned.agg(F.sum("weight").alias("weight"), F.max("rare").alias("rare")).where("rare")
+    scored = aligned.select("row", "label", F.round(F.col("weight") / F.col("total"), 9).alias("score")).groupBy("row").agg(
         F.max("score").alias("score"), F.collect_set(F.when(F.col("score") >= LEAST, F.col("label"))).alias("own")
     )
 
