@@ -121,7 +121,8 @@ class Words:
         self.at = rows_of(starts, offsets)
         self.n_bytes = np.diff(offsets)
         hashes = span_hashes(data, starts, ends)
-        self.index, self.hashes = pd.factorize(hashes)
+        index, self.hashes = pd.factorize(hashes)
+        self.index = index.astype(np.int32)
         first = np.empty(len(self.hashes), np.int64)
         first[self.index[::-1]] = np.arange(len(starts))[::-1]
         self.starts, self.ends = starts[first], ends[first]
@@ -160,13 +161,14 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes,
         first[code[::-1]] = np.arange(len(code))[::-1]
         words = list(chain.from_iterable(w.bytes() for _, w in parts))
         base = np.concatenate([[0], np.cumsum([len(w.hashes) for _, w in parts])])
-        index = code[np.concatenate([w.index + b for (_, w), b in zip(parts, base)])]
+        code = code.astype(np.int32)
+        index = np.concatenate([code[b : b + len(w.hashes)][w.index] for (_, w), b in zip(parts, base)])
         counts = np.concatenate([np.diff(w.at) for _, w in parts])
         return Block(
             pa.concat_arrays([ids for ids, _ in parts]),
             np.concatenate([w.n_bytes for _, w in parts]),
             np.concatenate([[0], np.cumsum(counts)]),
-            index.astype(np.int32),
+            index,
             [words[i] for i in first],
         )
 
