@@ -259,13 +259,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     placed = placed.withColumn("shard", F.pmod("key", F.coalesce("shards", F.lit(1)))).drop("shards")
     placed = placed.repartition("host", "shard").sortWithinPartitions("host", "shard")
     decided = placed.mapInArrow(_decide, "page_id long, url string, host string, blocks array<string>, open boolean")
-    decided = materialise(decided, "page-blocks")
-    closed = decided.where("NOT open").select("page_id", "url", "blocks")
-    left = decided.where("open")
-    if not left.isEmpty():
-        closed = closed.unionByName(_across_shards(left))
+    has = lambda least: F.exists("zones", lambda z: z >= least)
+    if not parsed.where(has(OPEN) & ~has(MAIN)).isEmpty():
+        # some pages are left open: their blocks are counted over all shards
+        decided = materialise(decided, "page-blocks")
+        across = _across_shards(decided.where("open"))
+        decided = decided.where("NOT open").select("page_id", "url", "blocks").unionByName(across)
     text = F.array_join("blocks", "\n\n")
-    return closed.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    return decided.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
 def _across_shards(left: DataFrame) -> DataFrame:
