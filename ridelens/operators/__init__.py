@@ -39,7 +39,7 @@ from ridelens.operators.distribution import (  # noqa: F401
 )
 from ridelens.operators.geo import (  # noqa: F401
     area_totals,
-    band_candidates,
+    cell_candidates,
     left_merge,
     point_areas,
     polygon_edges,

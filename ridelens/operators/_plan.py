@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelens.sources.files import checkpoint_table
+
 # Largest dimension we broadcast without asking the optimizer: a station list
 # or a set of polygon edges, never a table that grows with the trips.
 DEFAULT_BROADCAST_ROWS = 200_000
@@ -22,6 +24,15 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def written_map(df: DataFrame, name: str) -> DataFrame:
+    """A key table (one row per key) written once and read back. An aggregate
+    joined directly sits on its own exchange, which adaptive execution does not
+    split; a scan does: a small map is broadcast from its known size and the
+    big side is not shuffled, and beside a large one a crowded key of the big
+    side is split over several tasks."""
+    return checkpoint_table(df, name)
+
+
 def scalar_of(agg: DataFrame):
     """The single value of a global aggregate (no grouping keys, so exactly
     one row) as a scalar subquery column: computed once, before the query that

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import salted_join
+from ridelens.operators._plan import salted_join, written_map
 from ridelens.operators.predicates import both_blank, delete_where, outside_minutes
 from ridelens.schema import CleanParams
 
@@ -67,32 +67,36 @@ def drop_all_duplicates(
     df: DataFrame,
     keys: Sequence[str] = ("ride_id",),
     keep: str = "none",
+    order_by: Sequence[str] | None = None,
     collation: str | None = None,
     salt_buckets: int | None = None,
 ) -> DataFrame:
     """Remove *every* copy of a duplicated key (J1, J2, M2); ``keep="one"``
-    keeps a single copy instead (D4).
+    keeps a single copy instead (D4): the first by ``order_by``, by default by
+    all other columns, so that the choice does not depend on the partitioning.
 
     ``keep="none"`` is a left-anti join against the duplicate keys, so a NULL
-    key is kept (as ``DELETE ... IN`` keeps it). The duplicate-key side is an
-    aggregate: adaptive execution measures it after its shuffle and broadcasts
-    it when it is small, which it is when duplicates are rare; otherwise a
-    sort-merge anti join runs with skewed left partitions split.
-    ``salt_buckets`` salts the anti join explicitly instead (see
-    ``salted_join``), for sessions without adaptive skew handling.
+    key is kept (as ``DELETE ... IN`` keeps it). The duplicate keys are written
+    once and read back (``written_map``): when they are few they are broadcast
+    and no row of ``df`` is shuffled; otherwise a sort-merge anti join runs with
+    skewed left partitions split. ``salt_buckets`` salts the anti join
+    explicitly instead (see ``salted_join``), for sessions without adaptive
+    skew handling.
     """
     keys = list(keys)
     if keep == "one":
-        return df.dropDuplicates(keys)
+        rest = [c for c in (order_by or df.columns) if c not in keys]
+        first = F.min_by(F.struct("*"), F.struct(*rest)) if rest else F.first(F.struct("*"))
+        return df.groupBy(*keys).agg(first.alias("__row")).select("__row.*")
     if keep != "none":
         raise ValueError(f"keep must be 'none' or 'one', not {keep!r}")
     if collation is None:
-        dups = duplicate_keys(df, keys).select(*keys)
+        dups = written_map(duplicate_keys(df, keys).select(*keys), "duplicate_keys")
         if salt_buckets:
             return salted_join(df, dups, keys, "left_anti", salt_buckets)
         return df.join(dups, on=keys, how="left_anti")
     work, kcols = _with_collation(df, keys, collation)
-    dups = work.groupBy(*kcols).count().filter(F.col("count") > 1).drop("count")
+    dups = written_map(work.groupBy(*kcols).count().filter(F.col("count") > 1).drop("count"), "duplicate_keys")
     return work.join(dups, on=kcols, how="left_anti").drop(*kcols)
 
 

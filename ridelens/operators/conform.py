@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelens.operators._plan import broadcast_if_bounded, salted_join
+from ridelens.operators._plan import broadcast_if_bounded, salted_join, written_map
 from ridelens.operators.predicates import exclude_like
 
 
@@ -74,7 +74,7 @@ def conform_station(
         F.col("lng").alias("__s_lng"),
         F.lit(True).alias("__matched"),
     )
-    dim = broadcast_if_bounded(dim, max_broadcast_rows)
+    dim = broadcast_if_bounded(written_map(dim, "stations"), max_broadcast_rows)
     if collation is None:
         cond = F.col(name) == F.col("__s_name")
     else:
@@ -209,18 +209,18 @@ def canonical_id(
     ``strategy="max"`` is the reference's ``MAX(id)``; ``"mode"`` the most
     common id its comment describes (D15). A NULL id, a NULL name and a name
     without a non-NULL id stay as they are. The name -> id map has one row per
-    name; it is joined on the name and broadcast by adaptive execution when
-    small. ``collation`` (e.g. ``"UTF8_LCASE"``) groups names the way a
+    name; it is written once, joined on the name, and broadcast when small
+    (``written_map``). ``collation`` (e.g. ``"UTF8_LCASE"``) groups names the way a
     case-insensitive server collation would (T6). ``mark_changes`` adds a
     boolean column naming the rows the UPDATE rewrites. ``salt_buckets``
     salts the join to the name map (see ``salted_join``).
     """
     if collation is not None:
         work = df.withColumn("__name_key", F.collate(F.col(name), collation))
-        main = _main_value(work, name, id_col, strategy, skip_blank, key_col="__name_key")
+        main = written_map(_main_value(work, name, id_col, strategy, skip_blank, key_col="__name_key"), "canonical_ids")
         joined = work.join(main, on="__name_key", how="left")
     else:
-        main = _main_value(df, name, id_col, strategy, skip_blank)
+        main = written_map(_main_value(df, name, id_col, strategy, skip_blank), "canonical_ids")
         if salt_buckets:
             joined = salted_join(df, main, [name], "left", salt_buckets)
         else:
@@ -243,7 +243,7 @@ def canonical_name(
     reference's main flow). ``exclude`` keeps names matching the patterns out of
     the choice of the canonical name."""
     src = exclude_like(df, name, exclude, how=how) if exclude else df
-    main = _main_value(src, id_col, name, strategy, skip_blank=False)
+    main = written_map(_main_value(src, id_col, name, strategy, skip_blank=False), "canonical_names")
     joined = df.join(main, on=id_col, how="left")
     fixed = F.when(F.col(name) != F.col("__main"), F.col("__main")).otherwise(F.col(name))
     return joined.select(*[fixed.alias(c) if c == name else F.col(c) for c in df.columns])

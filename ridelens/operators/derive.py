@@ -36,8 +36,9 @@ def _round_to_second(c: Column) -> Column:
     return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), secs)
 
 
-def type_timestamps(df: DataFrame, cols=("started_at", "ended_at"), to_second: bool = False, strict: bool = False) -> DataFrame:
-    """Zone-less timestamps (P2). Text that is not a timestamp becomes NULL,
+def type_timestamps(df: DataFrame, cols=("started_at", "ended_at"), to_second: bool = True, strict: bool = False) -> DataFrame:
+    """Zone-less timestamps (P2) of whole seconds, as the reference's column
+    type has them (T9); ``to_second=False`` keeps fractions. Text that is not a timestamp becomes NULL,
     or raises with ``strict=True`` (T16)."""
     out = []
     for f in df.schema.fields:
@@ -92,12 +93,17 @@ LEGACY_TYPES = {
 }
 
 
-def type_trips(df: DataFrame, max_len: int = LEGACY_MAX_TEXT_LENGTH) -> DataFrame:
+def type_trips(df: DataFrame, max_len: int = LEGACY_MAX_TEXT_LENGTH, to_second: bool = True) -> DataFrame:
     """Legacy full typing of the trip columns (P3, P5): drops the loader's
-    ``row_names``, texts checked to 128 characters, coordinates to FLOAT."""
+    ``row_names``, texts checked to 128 characters, coordinates to FLOAT,
+    timestamps to whole seconds (``to_second=False`` keeps fractions)."""
     if "row_names" in df.columns:
         df = df.drop("row_names")
-    return narrow(df, LEGACY_TYPES, max_len=max_len)
+    typed = narrow(df, LEGACY_TYPES, max_len=max_len)
+    if not to_second:
+        return typed
+    times = [c for c, kind in LEGACY_TYPES.items() if kind == "timestamp_ntz" and c in typed.columns]
+    return typed.withColumns({c: _round_to_second(F.col(c)) for c in times})
 
 
 def derive_rides(trips: DataFrame, strict_coordinates: bool = False) -> DataFrame:

@@ -6,15 +6,19 @@ GeoJSON MultiPolygon coordinate array ``ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>``
 part. No geometry library is needed:
 
 1. every ring becomes edge rows, each copied into the latitude bands its
-   y-range touches; per band, the candidate areas are gathered with their
-   bounding boxes and their edges inside the band (the band table);
-2. the band table depends on the polygons only, never on the points; after a
-   row-count proof on the edges it is broadcast;
-3. each point looks up its band (a broadcast hash join, so the points are
-   never shuffled) and keeps the candidates that contain it: an eastward ray
-   counts edge crossings (even-odd rule, which handles holes and the parts of
-   a MultiPolygon) and a point lying on an edge is not *within*. The test is
-   a higher-order function over the candidate's edges, inside codegen.
+   y-range touches; the bands are cut into square cells, one row per
+   (cell, area). A cell that no edge of the area passes is wholly inside (no
+   edges to test) or wholly outside (no row); a border cell carries the band's
+   edges from the cell eastwards;
+2. the cell table depends on the polygons only, never on the points; after a
+   row-count proof it is broadcast, so the points are not shuffled. Beyond the
+   bound it is written once and joined by shuffle, where adaptive execution
+   splits a crowded cell;
+3. each point meets the rows of its cell; in a border cell an eastward ray
+   counts edge crossings (even-odd rule, which handles holes and the parts of a
+   MultiPolygon) and a point lying on an edge is not *within*. The test is a
+   higher-order function over the row's edges; Spark interprets these, outside
+   generated code, for the points of border cells only.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelens.operators._plan import written_map
 
-DEFAULT_BAND = 0.01  # degrees of latitude per band
-# About 100 bytes per edge row: at most ~50 MB is broadcast to the executors.
+DEFAULT_BAND = 0.01  # degrees of a cell's side
+# Rows of the cell table and, apart, edges in it that are broadcast at most
+# (about 40 bytes an edge, 100 a row and its attributes).
 MAX_EDGE_ROWS = 500_000
 
 
@@ -77,24 +83,8 @@ def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str
     return edges.withColumn("band", F.explode(F.sequence(lo, hi)))
 
 
-def band_candidates(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ("community",)) -> DataFrame:
-    """One row per latitude band: the areas whose boundary touches the band,
-    each with its bounding box, attributes and the edges inside the band.
-
-    Its size is set by the polygons (edges times bands crossed), never by
-    the points; ``collect_list`` gathers at most one polygon's edges.
-    """
-    edges = polygon_edges(areas, band, attrs)
-    per_area = edges.groupBy("band", "area_id", "bx0", "bx1", "by0", "by1", *attrs).agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
-    )
-    return per_area.groupBy("band").agg(
-        F.collect_list(F.struct("area_id", *attrs, "bx0", "bx1", "by0", "by1", "edges")).alias("__cands")
-    )
-
-
-def _contains(px, py):
-    """Predicate on a candidate struct: strictly inside by the even-odd rule."""
+def _crossings(edges, px, py):
+    """How many edges an eastward ray from the point crosses."""
 
     def crosses(e):
         straddles = (e["y1"] > py) != (e["y2"] > py)
@@ -103,6 +93,34 @@ def _contains(px, py):
         x_cross = e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
         return F.coalesce(straddles & (px < x_cross), F.lit(False))
 
+    return F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
+
+
+def cell_candidates(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ("community",)) -> DataFrame:
+    """One row per (cell, area) for the cells that the area touches: band and
+    column of the cell, area_id, attributes, and ``edges`` of a border cell
+    (NULL: the cell is wholly inside).
+
+    ``collect_list`` gathers one polygon's edges of one band."""
+    edges = polygon_edges(areas, band, attrs)
+    per_band = edges.groupBy("band", "area_id", "bx0", "bx1", *attrs).agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
+    )
+    columns = F.sequence(F.floor(F.col("bx0") / band), F.floor(F.col("bx1") / band))
+    cells = per_band.withColumn("column", F.explode(columns))
+    low = lambda e: F.floor(F.least(e["x1"], e["x2"]) / band)
+    high = lambda e: F.floor(F.greatest(e["x1"], e["x2"]) / band)
+    border = F.exists("edges", lambda e: F.col("column").between(low(e), high(e)))
+    # without an edge in it, a cell is inside as its centre is
+    centre = _crossings(F.col("edges"), (F.col("column") + 0.5) * band, (F.col("band") + 0.5) * band) % 2 == 1
+    eastward = F.filter("edges", lambda e: high(e) >= F.col("column"))
+    cells = cells.withColumn("border", border).where(F.col("border") | centre)
+    return cells.select("band", "column", "area_id", *attrs, F.when(F.col("border"), eastward).alias("edges"))
+
+
+def _contains(edges, px, py):
+    """Strictly inside by the even-odd rule; NULL edges: a cell wholly inside."""
+
     def on_edge(e):
         return (
             ((e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"]))
@@ -110,16 +128,7 @@ def _contains(px, py):
             & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    def inside(a):
-        n = F.aggregate(a["edges"], F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
-        return (
-            px.between(a["bx0"], a["bx1"])
-            & py.between(a["by0"], a["by1"])
-            & (n % 2 == 1)
-            & ~F.exists(a["edges"], on_edge)
-        )
-
-    return inside
+    return edges.isNull() | ((_crossings(edges, px, py) % 2 == 1) & ~F.exists(edges, on_edge))
 
 
 def within_join(
@@ -134,28 +143,26 @@ def within_join(
 ) -> DataFrame:
     """Spatial join of points to the areas containing them.
 
-    Every point looks up its latitude band in the broadcast band table and
-    keeps the candidates that contain it, evaluated with higher-order
-    functions inside codegen: no shuffle, no grouping, and each point row is
-    tested where it is, so duplicates keep their multiplicity. ``how="left"``:
-    a point in no area keeps NULL attributes; a point in several areas
-    appears once per area. Beyond the edge bound the band table is joined
-    with a shuffle instead (adaptive execution splits a crowded band).
-    """
+    Every point meets the (cell, area) rows of its cell and keeps those that
+    contain it, as part of the join condition, so duplicates keep their
+    multiplicity. ``how="left"``: a point in no area keeps NULL attributes; a
+    point in several areas appears once per area."""
     clash = [c for c in ("area_id", *attrs) if c in points.columns]
     if clash:
         raise ValueError(f"points already have columns {clash}; rename them before the spatial join")
-    n_edges = polygon_edges(areas, band).limit(max_broadcast_rows + 1).count()
-    cands = band_candidates(areas, band, attrs).withColumnRenamed("band", "__band")
-    if n_edges <= max_broadcast_rows:
-        cands = F.broadcast(cands)
+    cells = cell_candidates(areas, band, attrs)
+    cells = written_map(cells.select(*[F.col(c).alias(f"__c_{c}") for c in cells.columns]), "area_cells")
+    size = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("__c_edges")).alias("edges")).first()
+    if max(size.rows, size.edges or 0) <= max_broadcast_rows:
+        cells = F.broadcast(cells)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    keyed = points.withColumn("__pband", F.floor(py / band))
-    joined = keyed.join(cands, keyed["__pband"] == cands["__band"], "left")
-    hits = F.filter(F.col("__cands"), _contains(px, py))
-    gen = F.explode_outer(hits) if how == "left" else F.explode(hits)
-    out = joined.select(*points.columns, gen.alias("__hit"))
-    return out.select(*points.columns, F.col("__hit.area_id").alias("area_id"), *[F.col(f"__hit.{a}").alias(a) for a in attrs])
+    met = (
+        (F.floor(py / band) == F.col("__c_band"))
+        & (F.floor(px / band) == F.col("__c_column"))
+        & _contains(F.col("__c_edges"), px, py)
+    )
+    joined = points.join(cells, met, "left" if how == "left" else "inner")
+    return joined.select(*points.columns, *[F.col(f"__c_{c}").alias(c) for c in ("area_id", *attrs)])
 
 
 def point_areas(
@@ -190,5 +197,6 @@ def area_totals(
 
 
 def left_merge(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """All rows of ``left`` with the matching ``right`` columns."""
-    return left.join(right, on=on, how="left")
+    """All rows of ``left`` with the matching ``right`` columns, sorted by the
+    key as R's ``merge`` returns them (J10)."""
+    return left.join(right, on=on, how="left").orderBy(on)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.schema import MONTH_LEVELS, WEEKDAY_LEVELS
@@ -134,8 +134,11 @@ def station_trips(
 
 
 def top_stations(stations: DataFrame, n: int | None = None, name: str = "start_station_name") -> DataFrame:
-    """Stations by trips, descending, name as tie-break; the first ``n`` (O3)."""
-    out = stations.orderBy(F.desc("n_trips"), F.asc(name))
+    """Stations by trips, descending, name as tie-break, with their ``rank``;
+    all of them, or the first ``n`` (O3). The window is over stations, one row
+    per name."""
+    order = Window.orderBy(F.desc("n_trips"), F.asc(name))
+    out = stations.withColumn("rank", F.row_number().over(order)).orderBy("rank")
     return out.limit(n) if n is not None else out
 
 

@@ -57,7 +57,7 @@ from ridelens.schema import (
     PUBLIC_RACK_PREFIX,
     TEMPORARY_SUFFIX,
 )
-from ridelens.sources.files import preview
+from ridelens.sources.files import month_names, preview, union_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,7 +112,8 @@ def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
 
 def q_union_months(spark, sf_dir):
     trips = _views(spark, sf_dir)["trips_raw"]
-    return trips.filter(F.col("source_month").between("202401", "202501"))
+    months = month_names("202401", "202501")
+    return union_months({m: trips.filter(F.col("source_month") == m).drop("source_month") for m in months})
 
 
 def q_delete_where_3vl(spark, sf_dir):
@@ -328,7 +329,7 @@ def q_station_trips_by_member(spark, sf_dir):
 
 def q_top_stations(spark, sf_dir):
     s = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["stations"]
-    return _round(top_stations(s, 10), ["lng", "lat"])
+    return _round(top_stations(s), ["lng", "lat"])
 
 
 def q_id_conflict_start(spark, sf_dir):

@@ -13,6 +13,7 @@ import os
 import posixpath
 import threading
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,17 +55,32 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     m = (F.col("user_id") + e) % 20
     copies = F.explode(F.sequence(F.lit(1), F.when(e % 101 == 0, F.lit(2)).otherwise(F.lit(1))))
     ev = events.select("event_id", "ts", "user_id", "event_type", "value", copies.alias("__copy"))
-    started = F.col("ts") + F.make_dt_interval(days=((e % 13) * 30).cast("int"))
-    ended = started + F.make_dt_interval(secs=F.round(F.col("value") * 60).cast("int"))
+    # months run on past the reference's range for some; starts and ends have
+    # different fractions of a second
+    later = F.when(e % 97 == 0, F.lit(150)).otherwise(F.lit(0))
+    started = F.col("ts") + F.make_dt_interval(days=((e % 13) * 30 + later).cast("int"))
+    span = (
+        F.when(e % 211 == 0, F.lit(-300))  # ends before it starts
+        .when(e % 223 == 0, F.lit(26 * 3600))  # over a day
+        .otherwise(F.round(F.col("value") * 60).cast("int"))
+    )
+    fraction = (e % 3).cast("decimal(3,0)") * F.lit(Decimal("0.4"))
+    ended = started + F.make_dt_interval(secs=(span.cast("decimal(9,0)") + fraction).cast("decimal(18,6)"))
+
+    def some(c, divisor: int):
+        """``c``, NULL for one event in ``divisor``."""
+        return F.when(e % divisor != 0, c)
+
     station_k = F.concat(F.lit("Station "), _txt(k))
+    station_m = F.concat(F.lit("Station "), _txt(m))
     return ev.select(
-        F.concat(F.lit("R"), _txt(e)).alias("ride_id"),
+        some(F.concat(F.lit("R"), _txt(e)), 499).alias("ride_id"),
         F.when(e % 61 == 0, F.lit(None).cast("string"))
         .when(F.col("event_type") == "click", F.lit("electric_bike"))
         .when(F.col("event_type") == "view", F.lit("classic_bike"))
         .otherwise(F.lit("electric_scooter"))
         .alias("rideable_type"),
-        started.alias("started_at"),
+        some(started, 541).alias("started_at"),
         F.when(e % 67 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(ended).alias("ended_at"),
         F.when(e % 7 == 0, F.lit(""))
         .when(e % 667 == 0, F.concat(F.lit("Public Rack - "), station_k, F.lit(" (TEMPORARY)")))
@@ -77,14 +93,17 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         .alias("start_station_id"),
         F.when(e % 14 == 0, F.lit(""))
         .when(e % 71 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Station "), _txt(m)))
+        .when(e % (37 * 11) == 0, F.concat(F.lit("Public Rack - "), station_m, F.lit(" (TEMPORARY)")))
+        .when(e % 37 == 0, F.concat(F.lit("Public Rack - "), station_m))
+        .when(e % 43 == 0, F.concat(station_m, F.lit(" (TEMPORARY)")))
+        .otherwise(station_m)
         .alias("end_station_name"),
         F.concat(F.lit("ID"), _txt(m), F.when(e % 17 == 0, F.lit("B")).otherwise(F.lit(""))).alias("end_station_id"),
-        (F.lit(41.65) + F.lit(0.02) * k + F.lit(0.0001) * (e % 5)).alias("start_lat"),
-        (F.lit(-87.90) + F.lit(0.015) * k).alias("start_lng"),
+        some(F.lit(41.65) + F.lit(0.02) * k + F.lit(0.0001) * (e % 5), 503).alias("start_lat"),
+        some(F.lit(-87.90) + F.lit(0.015) * k, 509).alias("start_lng"),
         F.when(e % 73 == 0, F.lit(None).cast("double")).otherwise(F.lit(41.65) + F.lit(0.02) * m).alias("end_lat"),
-        (F.lit(-87.90) + F.lit(0.015) * m).alias("end_lng"),
-        F.when(F.col("user_id") % 2 == 0, F.lit("member")).otherwise(F.lit("casual")).alias("member_casual"),
+        some(F.lit(-87.90) + F.lit(0.015) * m, 521).alias("end_lng"),
+        some(F.when(F.col("user_id") % 2 == 0, F.lit("member")).otherwise(F.lit("casual")), 523).alias("member_casual"),
         F.concat(F.lpad(F.year(started).cast("string"), 4, "0"), F.lpad(F.month(started).cast("string"), 2, "0")).alias(
             "source_month"
         ),

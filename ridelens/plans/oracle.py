@@ -38,7 +38,13 @@ def build(select: str, needs: list[str]) -> str:
 
 K = "(user_id % 20)"
 M = "((user_id + event_id) % 20)"
-START = "(ts + to_days(CAST((event_id % 13) * 30 AS INTEGER)))"
+START = "(ts + to_days(CAST((event_id % 13) * 30 + CASE WHEN event_id % 97 = 0 THEN 150 ELSE 0 END AS INTEGER)))"
+SPAN = "(CASE WHEN event_id % 211 = 0 THEN -300 WHEN event_id % 223 = 0 THEN 93600 ELSE round(value * 60) END)"
+
+
+def some(expression: str, divisor: int) -> str:
+    return f"CASE WHEN event_id % {divisor} <> 0 THEN {expression} END"
+
 
 _cte(
     "ev",
@@ -50,12 +56,12 @@ _cte(
     "trips_raw",
     ["ev"],
     f"""SELECT
-  'R' || CAST(event_id AS VARCHAR) AS ride_id,
+  {some("'R' || CAST(event_id AS VARCHAR)", 499)} AS ride_id,
   CASE WHEN event_id % 61 = 0 THEN NULL WHEN event_type = 'click' THEN 'electric_bike'
        WHEN event_type = 'view' THEN 'classic_bike' ELSE 'electric_scooter' END AS rideable_type,
-  {START} AS started_at,
+  {some(START, 541)} AS started_at,
   CASE WHEN event_id % 67 = 0 THEN NULL
-       ELSE {START} + to_seconds(CAST(round(value * 60) AS BIGINT)) END AS ended_at,
+       ELSE {START} + to_seconds(CAST({SPAN} AS BIGINT)) + to_milliseconds((event_id % 3) * 400) END AS ended_at,
   CASE WHEN event_id % 7 = 0 THEN ''
        WHEN event_id % 667 = 0 THEN 'Public Rack - Station ' || CAST({K} AS VARCHAR) || ' (TEMPORARY)'
        WHEN event_id % 23 = 0 THEN 'Public Rack - Station ' || CAST({K} AS VARCHAR)
@@ -64,22 +70,32 @@ _cte(
   CASE WHEN event_id % 31 = 0 THEN NULL
        ELSE 'ID' || CAST({K} AS VARCHAR) || CASE WHEN event_id % 19 = 0 THEN 'B' ELSE '' END END AS start_station_id,
   CASE WHEN event_id % 14 = 0 THEN '' WHEN event_id % 71 = 0 THEN NULL
+       WHEN event_id % 407 = 0 THEN 'Public Rack - Station ' || CAST({M} AS VARCHAR) || ' (TEMPORARY)'
+       WHEN event_id % 37 = 0 THEN 'Public Rack - Station ' || CAST({M} AS VARCHAR)
+       WHEN event_id % 43 = 0 THEN 'Station ' || CAST({M} AS VARCHAR) || ' (TEMPORARY)'
        ELSE 'Station ' || CAST({M} AS VARCHAR) END AS end_station_name,
   'ID' || CAST({M} AS VARCHAR) || CASE WHEN event_id % 17 = 0 THEN 'B' ELSE '' END AS end_station_id,
-  41.65::DOUBLE + 0.02::DOUBLE * {K} + 0.0001::DOUBLE * (event_id % 5) AS start_lat,
-  -87.90::DOUBLE + 0.015::DOUBLE * {K} AS start_lng,
+  {some(f"41.65::DOUBLE + 0.02::DOUBLE * {K} + 0.0001::DOUBLE * (event_id % 5)", 503)} AS start_lat,
+  {some(f"-87.90::DOUBLE + 0.015::DOUBLE * {K}", 509)} AS start_lng,
   CASE WHEN event_id % 73 = 0 THEN NULL ELSE 41.65::DOUBLE + 0.02::DOUBLE * {M} END AS end_lat,
-  -87.90::DOUBLE + 0.015::DOUBLE * {M} AS end_lng,
-  CASE WHEN user_id % 2 = 0 THEN 'member' ELSE 'casual' END AS member_casual,
+  {some(f"-87.90::DOUBLE + 0.015::DOUBLE * {M}", 521)} AS end_lng,
+  {some("CASE WHEN user_id % 2 = 0 THEN 'member' ELSE 'casual' END", 523)} AS member_casual,
   strftime({START}, '%Y%m') AS source_month
 FROM ev""",
 )
+# DATETIME columns hold whole seconds: fractions are rounded half up.
+_cte(
+    "typed",
+    ["trips_raw"],
+    """SELECT * REPLACE (date_trunc('second', started_at + INTERVAL 500 MILLISECOND) AS started_at,
+  date_trunc('second', ended_at + INTERVAL 500 MILLISECOND) AS ended_at) FROM trips_raw""",
+)
 # Main clean, written as the reference's DELETE: keep rows where the
 # predicate is FALSE or NULL.
 _cte(
     "clean",
-    ["trips_raw"],
-    """SELECT * FROM trips_raw WHERE NOT coalesce(
+    ["typed"],
+    """SELECT * FROM typed WHERE NOT coalesce(
   ride_id IS NULL OR rideable_type IS NULL OR started_at IS NULL OR ended_at IS NULL OR
   member_casual IS NULL OR start_lat IS NULL OR start_lng IS NULL OR end_lat IS NULL OR end_lng IS NULL OR
   start_station_name = NULL AND end_station_name = NULL OR
@@ -211,11 +227,11 @@ FROM time_rollup""",
 # Legacy path: type, drop duplicated keys, drop missing, derive, z-score on seconds.
 _cte(
     "ltyped",
-    ["trips_raw"],
+    ["typed"],
     """SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id,
   end_station_name, end_station_id, CAST(start_lat AS FLOAT) AS start_lat, CAST(start_lng AS FLOAT) AS start_lng,
   CAST(end_lat AS FLOAT) AS end_lat, CAST(end_lng AS FLOAT) AS end_lng, member_casual
-FROM trips_raw""",
+FROM typed""",
 )
 _cte(
     "ldedup",
@@ -342,8 +358,8 @@ def _q(name: str, needs: list[str], select: str) -> None:
 _q("union_months", ["trips_raw"], "SELECT * FROM trips_raw WHERE source_month BETWEEN '202401' AND '202501'")
 _q(
     "delete_where_3vl",
-    ["trips_raw"],
-    """SELECT * FROM trips_raw WHERE NOT coalesce(
+    ["typed"],
+    """SELECT * FROM typed WHERE NOT coalesce(
   start_station_name = NULL AND end_station_name = NULL OR start_station_name = '' AND end_station_name = '', FALSE)""",
 )
 _q("clean_trips", ["clean"], "SELECT * FROM clean")
@@ -633,8 +649,8 @@ _q(
 _q(
     "top_stations",
     ["lstations"],
-    "SELECT start_station_name, n_trips, round(lng, 6) AS lng, round(lat, 6) AS lat FROM lstations "
-    "ORDER BY n_trips DESC, start_station_name LIMIT 10",
+    "SELECT start_station_name, n_trips, round(lng, 6) AS lng, round(lat, 6) AS lat, "
+    "CAST(row_number() OVER (ORDER BY n_trips DESC, start_station_name) AS INTEGER) AS rank FROM lstations",
 )
 _q("id_conflict_start", ["ltrim"], audit("start_station_name", "start_station_id", "id"))
 _q("id_conflict_end", ["ltrim"], audit("end_station_name", "end_station_id", "id"))

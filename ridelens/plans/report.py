@@ -70,7 +70,7 @@ def build_report(
 ) -> dict[str, DataFrame]:
     """C2 + C3 + C5 + C6 + C7: materialise the shared tables once, build every
     chart frame, and write them to ``out_dir`` when given (S13)."""
-    rides = checkpoint_table(analysis_rides(trips_raw, stations_raw), "rides")
+    rides = analysis_rides(trips_raw, stations_raw)  # a filter over the table it has written
     rollup = checkpoint_table(time_rollup(rides), "time_rollup")
     legacy_data = legacy_report(legacy_rides(trips_raw))["data"]
     frames = report_frames(rides, rollup, legacy_data, areas)

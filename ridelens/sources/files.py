@@ -102,7 +102,6 @@ def read_trips(
         .option("header", True)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
     )
     return type_trip_text(select_trip_files(reader.csv(path), pattern, names), strict=strict)
 

@@ -11,15 +11,12 @@ which needs the whole table, so it stays a batch step over the loaded table.
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelens.operators.clean import clean_trips
 from ridelens.operators.derive import type_timestamps
 from ridelens.schema import TRIP_FILE_REGEX
-from ridelens.session import ensure_checkpoint_dir
 from ridelens.sources.files import TRIPS_TEXT, _glob_of, select_trip_files, type_trip_text
 
 
@@ -46,22 +43,23 @@ def ingest_trip_files(
     spark: SparkSession,
     src_dir: str,
     out_dir: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     pattern: str = TRIP_FILE_REGEX,
     clean: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append new monthly files to the parquet trip table at ``out_dir``.
 
+    ``checkpoint_location`` is a folder of this source and output alone: it
+    records the files that were loaded, so two ingests must not share one.
     ``available_now=True`` loads every file present and stops (a scheduled
     batch job with exactly-once file tracking); ``False`` keeps polling.
     """
-    ckpt = checkpoint_location or posixpath.join(ensure_checkpoint_dir(spark), "streams", "trip_ingest")
     stream = trip_file_stream(spark, src_dir, pattern, clean=clean)
     writer = (
         stream.writeStream.format("parquet")
         .option("path", out_dir)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint_location)
         .partitionBy("source_month")
         .outputMode("append")
     )

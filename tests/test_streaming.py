@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from ridelens.streaming import ingest_trip_files
 
 from ridelens.schema import TRIP_FILE_SUFFIX as SUFFIX  # noqa: E402
@@ -47,3 +49,15 @@ def test_ingest_with_stateless_clean(spark, tmpdir_path):
     q.awaitTermination(120)
     # B is under two minutes and C has no bike type: the main clean drops both.
     assert [r.ride_id for r in spark.read.parquet(out).collect()] == ["A"]
+
+
+def test_two_outputs_of_one_source_both_get_every_row(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(os.path.join(src, "202401" + SUFFIX), HEADER + "A,electric_bike,2024-01-01 08:00:00,2024-01-01 08:10:00,S,1,E,2,41.8,-87.6,41.9,-87.7,member\n")
+    for name in ("one", "two"):
+        out = os.path.join(tmpdir_path, name)
+        ingest_trip_files(spark, src, out, out + "-checkpoint").awaitTermination(120)
+        assert [r.ride_id for r in spark.read.parquet(out).collect()] == ["A"]
+    with pytest.raises(TypeError):  # no shared default folder
+        ingest_trip_files(spark, src, os.path.join(tmpdir_path, "three"))
