@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,9 +106,10 @@ def type_trips(df: DataFrame, max_len: int = LEGACY_MAX_TEXT_LENGTH, to_second:
     return typed.withColumns({c: _round_to_second(F.col(c)) for c in times})
 
 
-def derive_rides(trips: DataFrame, strict_coordinates: bool = False) -> DataFrame:
+def derive_rides(trips: DataFrame, strict_coordinates: bool = False, also: Sequence[str] = ()) -> DataFrame:
     """The analysis table (P7): member flag, bike code, whole minutes, metres,
-    calendar fields and eight passthrough columns; one projection."""
+    calendar fields and eight passthrough columns; one projection. ``also``
+    passes further columns on."""
     return trips.select(
         member_flag("member_casual").alias("member"),
         bike_code("rideable_type").alias("rideable_type"),
@@ -130,6 +131,7 @@ def derive_rides(trips: DataFrame, strict_coordinates: bool = False) -> DataFram
         "start_lng",
         "end_lat",
         "end_lng",
+        *also,
     )
 
 

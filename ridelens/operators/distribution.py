@@ -183,7 +183,7 @@ def boxplot_stats(
     ``method="approx"``.
     """
     by = list(by)
-    vq = _with_quartiles(df, col, by, method or ("approx" if approx else "window"), accuracy)
+    vq = _with_quartiles(df, col, by, method or ("approx" if approx else "bucketed"), accuracy)
     x = F.col(col).cast("double")
     iqr = F.col("upper") - F.col("lower")
     lo_fence = F.col("lower") - coef * iqr
@@ -224,7 +224,7 @@ def boxplot_outliers(
     """The outliers of each box, as (group, value, count): every outlying row
     is represented, multiplicity included, without moving the rows (A23)."""
     by = list(by)
-    vq = _with_quartiles(df, col, by, method or ("approx" if approx else "window"), accuracy)
+    vq = _with_quartiles(df, col, by, method or ("approx" if approx else "bucketed"), accuracy)
     x = F.col(col).cast("double")
     iqr = F.col("upper") - F.col("lower")
     return vq.filter((x < F.col("lower") - coef * iqr) | (x > F.col("upper") + coef * iqr)).select(
