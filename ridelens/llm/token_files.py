@@ -40,9 +40,11 @@ from ridelens.llm.shared import id_and_text
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Text bytes of a segment (one longer text stands alone).
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 #: Words whose ids a worker keeps from one segment to the next.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
+#: Words given to the library at a time.
+LIBRARY_BATCH = 4096
 
 _MAGIC = b"RLT1"
 _SEGMENT = "part int, seq int, n_tokens long, payload binary"
@@ -59,8 +61,11 @@ def word_ids(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of the words, and how many each has."""
     tokenizer, _, kept = _library(path)
     new = [w for w in words if w not in kept]
-    got = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-    fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, got)}
+    fresh = {}
+    for a in range(0, len(new), LIBRARY_BATCH):  # the library's own result objects are large
+        some = new[a : a + LIBRARY_BATCH]
+        got = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+        fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, got))
     each = [kept[w] if w in kept else fresh[w] for w in words]
     if len(kept) < KEPT_WORDS:
         kept.update(fresh)
