@@ -140,13 +140,14 @@ def words_of(column, specials: tuple[bytes, ...] = ()) -> Words:
 class Block:
     """Documents that share one list of distinct pre-tokens: doc_ids, the bytes
     of each text, the n + 1 places where the texts begin among the pre-tokens,
-    the number of the word of each pre-token, and the words."""
+    the number of the word of each pre-token, and the words and their hashes."""
 
     doc_ids: pa.Array
     n_bytes: np.ndarray
     at: np.ndarray
     index: np.ndarray
     words: list[bytes]
+    hashes: np.ndarray
 
 
 def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes, ...] = ()) -> Iterator[Block]:
@@ -170,6 +171,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes,
             np.concatenate([[0], np.cumsum(counts)]),
             index,
             [words[i] for i in first],
+            distinct,
         )
 
     for batch in pieces(batches):

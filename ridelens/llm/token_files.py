@@ -9,12 +9,12 @@ independently reset, checksummed blocks of a context-mixing range coder
 File format of a segment, little endian: 4 bytes ``RLT1``, u32 documents, for
 each document an i64 doc_id, for each one byte (1: the doc_id is null), for each
 a u32 number of ids, then the coded segment. Segments are rows of Parquet files
-(part, seq, n_tokens, payload): Spark writes them with its commit protocol to
-any store, and ``part`` and ``seq`` give their order.
+(part, before, n_tokens, payload): Spark writes them with its commit protocol to
+any store; ``before`` counts the ids of the part's earlier segments.
 
 Distribution: one range shuffle of the texts by doc_id; each task writes its
-range. Places in the whole stream come from the segments' token counts, summed
-by part and then over the parts.
+range. Places in the whole stream come from the token counts of the parts, one
+for each writing task.
 
 Edge cases: null and empty text hold the end id alone; null doc_ids come first;
 rows that repeat a doc_id stand next to each other, ordered by text; an empty
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ridelens.llm import range_coder
-from ridelens.llm.pretokens import blocks, gather
+from ridelens.llm.pretokens import Block, blocks, gather
 from ridelens.llm.shared import id_and_text
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,34 +42,65 @@ END_ID = 2
 #: Text bytes of a segment (one longer text stands alone).
 SEGMENT_BYTES = 4 << 20
 #: Words whose ids a worker keeps from one segment to the next.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 1_000_000
 #: Words given to the library at a time.
 LIBRARY_BATCH = 4096
 
 _MAGIC = b"RLT1"
-_SEGMENT = "part int, seq int, n_tokens long, payload binary"
+_SEGMENT = "part int, before long, n_tokens long, payload binary"
+
+
+class _Known:
+    """Ids of the words that a worker has met, by the words' hashes: sorted
+    hashes, and for each the span of its ids in one flat array."""
+
+    def __init__(self) -> None:
+        self.hashes = np.empty(0, np.uint64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.flat = np.empty(0, np.uint32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 for unknown ones."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, flat])
+        order = np.argsort(all_hashes := np.concatenate([self.hashes, hashes]), kind="stable")
+        self.hashes = all_hashes[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])[order]
 
 
 @cache
-def _library(path: str) -> tuple[Tokenizer, tuple[bytes, ...], dict[bytes, bytes]]:
+def _library(path: str) -> tuple[Tokenizer, tuple[bytes, ...], _Known]:
     tokenizer = Tokenizer.from_file(path)
     specials = tuple(t.content.encode() for t in tokenizer.get_added_tokens_decoder().values())
-    return tokenizer, specials, {}
+    return tokenizer, specials, _Known()
 
 
-def word_ids(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Flat ids of the words, and how many each has."""
-    tokenizer, _, kept = _library(path)
-    new = [w for w in words if w not in kept]
-    fresh = {}
+def word_ids(block: Block, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Flat ids, and where the ids of each word of the block start and how
+    many they are."""
+    tokenizer, _, known = _library(path)
+    new = np.flatnonzero(known.find(block.hashes) < 0)
+    flat, sizes = [np.empty(0, np.uint32)], []
     for a in range(0, len(new), LIBRARY_BATCH):  # the library's own result objects are large
-        some = new[a : a + LIBRARY_BATCH]
-        got = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-        fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, got))
-    each = [kept[w] if w in kept else fresh[w] for w in words]
-    if len(kept) < KEPT_WORDS:
-        kept.update(fresh)
-    return np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
+        words = [block.words[i].decode("utf-8", "replace") for i in new[a : a + LIBRARY_BATCH]]
+        for e in tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            flat.append(np.array(e.ids, np.uint32))
+            sizes.append(len(e.ids))
+    if len(new):
+        if len(known.hashes) + len(new) > KEPT_WORDS:  # start anew, with all words of this block
+            known.__init__()
+            if len(new) < len(block.hashes):
+                return word_ids(block, path)
+        known.add(block.hashes[new], np.concatenate(flat), np.array(sizes, np.int64))
+    at = known.find(block.hashes)
+    return known.flat, known.starts[at], known.sizes[at].astype(np.int64)
 
 
 def segment(doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -95,18 +126,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     tokenizer = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         specials = _library(tokenizer)[1]
         for block in blocks(batches, SEGMENT_BYTES, specials):
-            flat, sizes = word_ids(block.words, tokenizer)
-            starts, each = (np.cumsum(sizes) - sizes)[block.index], sizes[block.index]
+            flat, starts, sizes = word_ids(block, tokenizer)
+            starts, each = starts[block.index], sizes[block.index]
             ends = np.concatenate([[0], np.cumsum(each)])[block.at]
             ids = np.insert(gather(flat, starts, each), ends[1:], end_id)
             lengths = np.diff(ends) + 1
-            row = [[part], [seq], [len(ids)], [segment(block.doc_ids, lengths, ids)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "seq", "n_tokens", "payload"])
-            seq += 1
+            row = [[part], [before], [len(ids)], [segment(block.doc_ids, lengths, ids)]]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "before", "n_tokens", "payload"])
+            before += len(ids)
 
     ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, _SEGMENT).write.parquet(path)
@@ -116,15 +147,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids
     (little-endian unsigned 32-bit integers) of every document of the files."""
     files = spark.read.schema(_SEGMENT).parquet(path)
-    sizes = files.select("part", "seq", "n_tokens")
-    own = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    within = sizes.withColumn("within", F.coalesce(F.sum("n_tokens").over(own), F.lit(0))).drop("n_tokens")
     # a row for each part, that is for each task of the writing job
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = files.join(within.join(parts, "part"), ["part", "seq"])
-    placed = placed.select((F.col("base") + F.col("within")).alias("base"), "payload")
+    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    placed = files.join(F.broadcast(parts), "part").select((F.col("base") + F.col("before")).alias("base"), "payload")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
