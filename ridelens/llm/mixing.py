@@ -123,9 +123,9 @@ def fit(table: DataFrame, weights: list[float]) -> list[np.ndarray]:
     if not total:
         return []
     second = np.array(cells, float).reshape(len(p), len(p)) / total
-    scale = np.maximum(np.diag(second), 1e-12)
-    # the largest eigenvalue of the scaled second moments bounds the step
-    step = 1.0 / np.linalg.eigvalsh(second / np.sqrt(np.outer(scale, scale)))[-1]
+    # domains weigh by the inverse of their second moments; the steepest
+    # curvature is then 1, and so is the step
+    weight = np.linalg.pinv(second, rcond=1e-9, hermitian=True)
     target = np.array(weights, float) / sum(weights)
     gradients: list[np.ndarray] = []
     for _ in range(MAX_STEPS):
@@ -133,7 +133,7 @@ def fit(table: DataFrame, weights: list[float]) -> list[np.ndarray]:
         got = np.array(table.agg(*(F.sum(r * t * x).alias(f"s{i}") for i, x in enumerate(p))).first(), float) / total
         if np.abs(got - target).max() <= TOLERANCE:
             break
-        gradients.append(step * (got - target) / scale)
+        gradients.append(weight @ (got - target))
     return gradients
 
 

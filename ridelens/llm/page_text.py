@@ -227,20 +227,23 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         page = np.repeat(np.arange(len(blocks)), [len(p) for p in blocks])
         repeated = repeated_blocks(flat, page, table["key"].to_numpy())
         first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
-        stay, left = [], []
+        stay, gone, left = [], [], []
         for i, (own, kinds) in enumerate(zip(blocks, zones)):
             zone = max([OPEN, *kinds])
             flags = repeated[first[i] : first[i + 1]]
             kept = [b for b, z, r in zip(own, kinds, flags) if z >= 0 and (z == zone if zone else not r)]
             stay.append(kept)
             left.append(zone == OPEN and bool(kept))
+            # what other shards may hold but once
+            gone.append([] if zone else [b for b, z, r in zip(own, kinds, flags) if z >= 0 and r])
         yield pa.RecordBatch.from_arrays(
             [
                 *(table[c].combine_chunks() for c in ("page_id", "url", "host")),
                 pa.array(stay, pa.list_(pa.string())),
+                pa.array(gone, pa.list_(pa.string())),
                 pa.array(left, pa.bool_()),
             ],
-            names=["page_id", "url", "host", "blocks", "open"],
+            names=["page_id", "url", "host", "blocks", "gone", "open"],
         )
 
 
@@ -258,24 +261,28 @@ def main_text(pages: DataFrame) -> DataFrame:
     placed = parsed.withColumn("key", key).join(large, "host", "left")
     placed = placed.withColumn("shard", F.pmod("key", F.coalesce("shards", F.lit(1)))).drop("shards")
     placed = placed.repartition("host", "shard").sortWithinPartitions("host", "shard")
-    decided = placed.mapInArrow(_decide, "page_id long, url string, host string, blocks array<string>, open boolean")
+    decided = placed.mapInArrow(
+        _decide, "page_id long, url string, host string, blocks array<string>, gone array<string>, open boolean"
+    )
     has = lambda least: F.exists("zones", lambda z: z >= least)
     if not parsed.where(has(OPEN) & ~has(MAIN)).isEmpty():
         # some pages are left open: their blocks are counted over all shards
         decided = materialise(decided, "page-blocks")
-        across = _across_shards(decided.where("open"))
+        across = _across_shards(decided)
         decided = decided.where("NOT open").select("page_id", "url", "blocks").unionByName(across)
     text = F.array_join("blocks", "\n\n")
     return decided.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
-def _across_shards(left: DataFrame) -> DataFrame:
-    """Pages without article or main element, less the blocks that other pages
-    of their host have too."""
-    rows = left.withColumn("row", F.struct(F.xxhash64("page_id", "url").alias("key"), F.xxhash64("blocks").alias("content")))
+def _across_shards(decided: DataFrame) -> DataFrame:
+    """The open pages, less the blocks that other pages of their host have or
+    had too."""
+    key = F.xxhash64("page_id", "url")
+    met = decided.select("host", key.alias("key"), F.explode(F.when(F.col("open"), F.concat("blocks", "gone")).otherwise(F.col("gone"))).alias("block"))
+    rows = decided.where("open").withColumn("row", F.struct(key.alias("key"), F.xxhash64("blocks").alias("content")))
     blocks = rows.select("page_id", "url", "host", "row", F.posexplode("blocks").alias("at", "block"))
     block = [F.col("host"), F.xxhash64("block").alias("hash")]
-    several = blocks.groupBy(*block).agg(F.min("row.key").alias("a"), F.max("row.key").alias("b")).where("a < b")
+    several = met.groupBy(*block).agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b")
     several = materialise(several.select("host", "hash", F.lit(True).alias("gone")), "shared-blocks")
     marked = blocks.withColumn("hash", F.xxhash64("block")).join(several, ["host", "hash"], "left")
     kept = F.collect_list(F.when(F.col("gone").isNull(), F.struct("at", "block")))

@@ -12,7 +12,7 @@ alone does not move the score.
 
 Training: the labelled rows, or of more than ``MAX_LABELLED`` about that many
 chosen by a hash of their doc_id (the documented bound of the sample), go to
-``SHARDS`` shards. Each shard runs ``EPOCHS`` passes of FTRL over its rows, and
+``SHARDS`` shards. Each shard runs ``EPOCHS`` passes of FTRL over its rows (more over few rows), and
 the model is the mean of the shards' weights.
 
 The model is 2**BITS weights at most and goes to the tasks as such; the texts
@@ -39,6 +39,8 @@ from ridelens.llm.shared import id_and_text, pieces, text_buffer
 
 BITS = 18
 SHARDS, EPOCHS = 4, 3
+#: Small shards make more passes, for so many updates at least.
+UPDATES = 2000
 MAX_LABELLED = 20_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: Predicted 1 from this score on.
@@ -112,7 +114,8 @@ def by_presence(shares: np.ndarray) -> np.ndarray:
 def ftrl(
     rows: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.ndarray, alpha: float = ALPHA, l1: float = L1
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias after ``EPOCHS`` passes over the rows in their order."""
+    """Weights and bias after ``EPOCHS`` passes over the rows in their order,
+    or as many as ``UPDATES`` updates take."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     at = np.searchsorted(rows, np.arange(len(labels) + 1))
 
@@ -120,7 +123,7 @@ def ftrl(
         zi = z[i]
         return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((BETA + np.sqrt(n[i])) / alpha + L2))
 
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-UPDATES // max(1, len(labels))))):
         for k, y in enumerate(labels):
             i = np.append(slots[at[k] : at[k + 1]], 1 << BITS)
             x = np.append(values[at[k] : at[k + 1]], 1.0)

@@ -27,9 +27,9 @@ def test_articles_lose_all_but_their_text(spark):
 
 def test_without_article_repeated_runs_go_and_unique_ones_stay(spark):
     shared = "all that every page of this host says at its end"
-    bodies = [f"<div>{shared}</div><p>only page {k} has these words in it today</p>" for k in range(5)]
-    got = text(spark, [page(b) for b in bodies])
-    assert got == {k: f"only page {k} has these words in it today" for k in range(5)}
+    own = [" ".join(f"word{k}{j}" for j in range(9)) for k in range(5)]
+    got = text(spark, [page(f"<div>{shared}</div><p>{own[k]}</p>") for k in range(5)])
+    assert got == dict(enumerate(own))
 
 
 def test_shards_of_a_large_host_agree(spark, monkeypatch):
