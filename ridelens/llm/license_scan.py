@@ -3,10 +3,11 @@
 Method: all in DataFrame functions. One pass cuts each text into words and
 keeps the positions of the words that licence templates use. The inverse
 document frequencies of these words are counted over all documents. A file is
-compared with the templates whose mandatory key phrases it holds: its ``RARE``
-licence words of the highest frequencies' inverse look up the templates'
-postings (template, offset), and places of equal relative position give an
-alignment. An alignment's score is the share of the template's weight (the sum
+compared with the templates whose mandatory key phrases it holds: of each such
+template, the rarest words that the file holds look up the postings (template,
+offset), and places of equal relative position give an alignment. A template has
+``RARE`` look-up words, or as many more as it takes for the rest of its words to
+weigh less than ``LEAST``, so no alignment that gives a label is without one. An alignment's score is the share of the template's weight (the sum
 of its words' inverse frequencies) that stands at the expected places; a
 template whose best alignment reaches ``LEAST`` gives its label.
 
@@ -74,6 +75,16 @@ def places(phrase: str) -> Column:
     return F.when(there, reduce(F.array_intersect, each)).otherwise(F.array().cast("array<int>"))
 
 
+def look_ups(template: str, idf: dict[str, float]) -> Column:
+    """The rarest words of the template that the file holds, from ``vocabulary``."""
+    words = template.split()
+    ordered = sorted(set(words), key=lambda w: (-idf[w], w))
+    least = LEAST * sum(idf[w] for w in words)
+    many = next(n for n in range(len(ordered) + 1) if sum(idf[w] for w in words if w not in ordered[:n]) < least)
+    held = F.filter(F.array(*map(F.lit, ordered)), lambda w: F.array_contains("vocabulary", w))
+    return F.slice(held, 1, max(RARE, many))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and
     score of every row of ``docs``."""
@@ -108,14 +119,12 @@ def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES) ->
     ]
     postings = spark.createDataFrame(rows, "template int, label string, offset int, word string, weight double, total double")
 
-    weight = F.create_map(*(F.lit(x) for w in licence_words for x in (w, idf[w])))
-    ranked = F.sort_array(F.transform("vocabulary", lambda w: F.struct((-F.element_at(weight, w)).alias("idf"), w.alias("word"))))
-    rare = F.transform(F.slice(ranked, 1, RARE), lambda x: x["word"])
+    rare = F.array(*(F.when(F.array_contains("allowed", t), look_ups(text, idf)) for t, (_, text, _) in enumerate(templates)))
     files = base.where(F.size("allowed") > 0).select("row", "hits", "allowed", rare.alias("rare"))
     hit = files.select("row", "allowed", "rare", F.explode("hits").alias("hit")).select("row", "allowed", "rare", "hit.*")
-    hit = hit.select("row", "allowed", "pos", "word", F.array_contains("rare", F.col("word")).alias("rare"))
     # a place of the template in the file: its word k stands at start + k
     met = hit.join(F.broadcast(postings), "word").where(F.array_contains("allowed", F.col("template")))
+    met = met.withColumn("rare", F.array_contains(F.element_at("rare", F.col("template") + 1), F.col("word")))
     aligned = met.groupBy("row", "template", "label", "total", (F.col("pos") - F.col("offset")).alias("start"))
     aligned = aligned.agg(F.sum("weight").alias("weight"), F.max("rare").alias("rare")).where("rare")
     scored = aligned.select("row", "label", F.round(F.col("weight") / F.col("total"), 9).alias("score")).groupBy("row").agg(

@@ -39,3 +39,18 @@ def test_whole_templates_are_found_in_other_text_and_parts_are_not(spark):
     for t, (label, _, _) in enumerate(TEMPLATES):
         assert label in got[t].labels.split(",") and got[t].score > 0.99
     assert got[100].labels == got[101].labels == "" and got[100].score < 0.6 and got[101].score == 0
+
+
+def test_several_licences_in_one_file_and_in_a_long_one(spark):
+    whole = {label for label, _, _ in TEMPLATES}
+    every = ". Then. ".join(text for _, text, _ in TEMPLATES)
+    _, notice, _ = next(t for t in TEMPLATES if t[0] == "gpl")
+    rare = "redistribute foundation gnu published modify program mozilla unencumbered redistribution merchantable"
+    docs = [(0, every), (1, f"{notice}. Licensed under the Apache License Version 2.0"), (2, f"{notice}. All rights reserved."),
+            (3, f"{rare} {'plain words ' * 20_000} all rights reserved {'plain words ' * 20_000} {rare}")]
+    docs += [(k, "all rights reserved, licensed under the apache license version 2 0") for k in range(4, 40)]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert whole <= set(got[0].labels.split(","))
+    assert {"gpl", "apache-2.0"} <= set(got[1].labels.split(","))
+    assert {"gpl", "all-rights-reserved"} <= set(got[2].labels.split(","))
+    assert got[3].labels == "all-rights-reserved" and got[3].score > 0.99
