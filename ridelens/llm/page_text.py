@@ -12,8 +12,9 @@ element the suffix array decides for all blocks that the markup leaves open.
 
 Distribution: pages meet by host; a host of more than ``SHARD`` pages is dealt
 into shards of about that many, each with a suffix array of its own, so no task
-holds a whole large host. Blocks repeated on pages of different shards are
-found by a count per host and block hash, for the blocks left open only.
+holds a whole large host. The distinct runs of the shards, of all pages and
+zones, meet by host and hash bucket; their pages are added up and the totals go
+back to the shards, so that the result does not depend on the shard.
 
 Edge cases: null and empty html give an empty text; a null url belongs to the
 host without a name; repeated rows are extracted each and are no distinct pages
@@ -24,20 +25,24 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.llm.hashing import rows_of, runs, span_hashes
+from ridelens.llm.hashing import mix64, rows_of, runs, span_hashes
 from ridelens.llm.shared import materialise, pieces, ship, text_buffer
 
 #: Tokens of a run that counts as repeated, a power of two.
 RUN = 8
 #: Pages of a host that share a suffix array.
 SHARD = 512
+#: Shards whose runs fill a bucket of the count over all shards of a host.
+SHARDS_A_BUCKET = 8
 #: Hosts above SHARD pages are broadcast up to this many, else joined by shuffle.
 BROADCAST_HOSTS = 100_000
 
@@ -165,86 +170,144 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
-def repeated_blocks(blocks: list[str], page_of_block: np.ndarray, page_key: np.ndarray) -> np.ndarray:
-    """Which blocks of the pages are covered, by half at least, by runs of RUN
-    tokens that stand on several distinct pages. Blocks are in page order."""
+class Runs(NamedTuple):
+    """The runs of RUN tokens of a shard's pages, by its suffix array."""
+
+    at: np.ndarray  # first token of each block, and the number of tokens
+    page: np.ndarray  # page of each token
+    suffixes: np.ndarray  # first tokens of the runs, equal runs side by side
+    sizes: np.ndarray  # how many suffixes each distinct run has
+    hashes: np.ndarray  # a hash of each distinct run, the same in every shard
+    pages: np.ndarray  # on how many distinct pages of the shard each run stands
+
+
+def shard_runs(blocks: list[str], page_of_block: np.ndarray, page_key: np.ndarray) -> Runs:
+    """Blocks are in page order; pages of the same key count as one."""
     data, offsets = text_buffer(pa.array(blocks, pa.large_string()))
     starts, ends = runs(_WORD[data], offsets)
     at = rows_of(starts, offsets)
-    n_tokens = np.diff(at)
-    page = np.repeat(page_of_block, n_tokens)
+    page = np.repeat(page_of_block, np.diff(at))
     n = len(starts)
+    none = np.empty(0, np.int64)
     if n < RUN:
-        return np.zeros(len(blocks), bool)
+        return Runs(at, page, none, none, none.view(np.uint64), none)
     # prefix doubling: the rank of each suffix by its first 1, 2, 4, ... tokens
-    rank = np.unique(span_hashes(data, starts, ends), return_inverse=True)[1]
+    value = span_hashes(data, starts, ends)
+    rank = np.unique(value, return_inverse=True)[1]
     size = 1
     while size < RUN:
         rank = np.unique(rank[:-size] * np.int64(n + 1) + rank[size:], return_inverse=True)[1]
+        value = mix64(value[:-size] * _STEP + value[size:])
         size *= 2
-    inside = page[: len(rank)] == page[RUN - 1 :]  # no run crosses pages
-    where = np.flatnonzero(inside)
-    suffixes = where[np.argsort(rank[where], kind="stable")]  # the suffix array
-    key = page_key[page[suffixes]]
-    group = np.flatnonzero(np.append(True, rank[suffixes][1:] != rank[suffixes][:-1])) if len(suffixes) else suffixes
+    where = np.flatnonzero(page[: len(rank)] == page[RUN - 1 :])  # no run crosses pages
+    if not len(where):
+        return Runs(at, page, none, none, none.view(np.uint64), none)
+    key = page_key[page[where]]
+    order = np.lexsort((key, rank[where]))
+    suffixes, key = where[order], key[order]  # the suffix array
+    other = np.append(True, rank[suffixes][1:] != rank[suffixes][:-1])
+    group = np.flatnonzero(other)
+    pages = np.add.reduceat((other | np.append(True, key[1:] != key[:-1])).astype(np.int64), group)
+    return Runs(at, page, suffixes, np.diff(np.append(group, len(suffixes))), value[suffixes[group]], pages)
+
+
+def covered_blocks(own: Runs, hit: np.ndarray) -> np.ndarray:
+    """Which blocks are covered, by half at least, by the runs at ``hit``."""
+    n = len(own.page)
     covered = np.zeros(n + 1, np.int64)
-    if len(suffixes):
-        several = np.minimum.reduceat(key, group) != np.maximum.reduceat(key, group)
-        hit = suffixes[np.repeat(several, np.diff(np.append(group, len(suffixes))))]
-        np.add.at(covered, hit, 1)
-        np.add.at(covered, hit + RUN, -1)
+    np.add.at(covered, hit, 1)
+    np.add.at(covered, hit + RUN, -1)
     inner = np.concatenate([[0], np.cumsum(np.cumsum(covered)[:n] > 0)])
-    return 2 * (inner[at[1:]] - inner[at[:-1]]) >= np.maximum(n_tokens, 1)
+    return 2 * (inner[own.at[1:]] - inner[own.at[:-1]]) >= np.maximum(np.diff(own.at), 1)
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each key, which stand side by side."""
     held: list[pa.Table] = []
+    last = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        host, shard = table["host"].to_pylist(), table["shard"].to_pylist()
+        own = list(zip(*(table[k].to_pylist() for k in keys)))
         a = 0
-        for b in range(1, table.num_rows + 1):
-            if b < table.num_rows and (host[b], shard[b]) == (host[a], shard[a]):
+        for b in range(1, len(own) + 1):
+            if b < len(own) and own[b] == own[a]:
                 continue
-            if held and (held[0]["host"][0].as_py(), held[0]["shard"][0].as_py()) != (host[a], shard[a]):
+            if held and last != own[a]:
                 yield pa.concat_tables(held)
                 held = []
             held.append(table.slice(a, b - a))
-            a = b
+            last, a = own[a], b
     if held:
         yield pa.concat_tables(held)
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: the blocks that stay, and which of them are open still."""
-    for table in _shards(batches):
-        blocks, zones = table["blocks"].to_pylist(), table["zones"].to_pylist()
-        flat = [b for page in blocks for b in page]
-        page = np.repeat(np.arange(len(blocks)), [len(p) for p in blocks])
-        repeated = repeated_blocks(flat, page, table["key"].to_numpy())
-        first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
-        stay, gone, left = [], [], []
-        for i, (own, kinds) in enumerate(zip(blocks, zones)):
-            zone = max([OPEN, *kinds])
-            flags = repeated[first[i] : first[i + 1]]
-            kept = [b for b, z, r in zip(own, kinds, flags) if z >= 0 and (z == zone if zone else not r)]
-            stay.append(kept)
-            left.append(zone == OPEN and bool(kept))
-            # what other shards may hold but once
-            gone.append([] if zone else [b for b, z, r in zip(own, kinds, flags) if z >= 0 and r])
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(table[c].combine_chunks() for c in ("page_id", "url", "host")),
-                pa.array(stay, pa.list_(pa.string())),
-                pa.array(gone, pa.list_(pa.string())),
-                pa.array(left, pa.bool_()),
-            ],
-            names=["page_id", "url", "host", "blocks", "gone", "open"],
-        )
+def _runs_of(table: pa.Table) -> tuple[list[list[str]], Runs]:
+    blocks = table["blocks"].to_pylist()
+    page = np.repeat(np.arange(len(blocks)), [len(p) for p in blocks])
+    return blocks, shard_runs([b for own in blocks for b in own], page, table["key"].to_numpy())
+
+
+_COUNTS = pa.schema([("host", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("hashes", pa.binary()), ("pages", pa.binary())])
+
+
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each distinct run of a shard and its number of pages, in buckets of runs
+    that all shards of the host share. Pages of different shards are distinct."""
+    for table in _groups(batches, "host", "shard"):
+        host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
+        if shards == 1:
+            continue
+        own = _runs_of(table)[1]
+        buckets = -(-shards // SHARDS_A_BUCKET)
+        bucket = (own.hashes % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((own.hashes, bucket))
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if b > a:
+                part = order[a:b]
+                row = [host], [k], [shard], [own.hashes[part].tobytes()], [zlib.compress(own.pages[part].astype(np.int32).tobytes(), 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _COUNTS)], schema=_COUNTS)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each shard, its runs that other shards have too, and on how many
+    pages of the host they stand."""
+    for table in _groups(batches, "host", "bucket"):
+        hashes = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+        pages = [np.frombuffer(zlib.decompress(x), np.int32).astype(np.int64) for x in table["pages"].to_pylist()]
+        cuts = np.cumsum([0, *map(len, hashes)])
+        which = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+        total = np.bincount(which, weights=np.concatenate(pages)).astype(np.int64)
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            all_pages = total[which[a:b]]
+            more = all_pages > pages[k]
+            if more.any():
+                row = [table["host"][0].as_py()], [table["bucket"][0].as_py()], [table["shard"][k].as_py()], [hashes[k][more].tobytes()], [all_pages[more].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _COUNTS)], schema=_COUNTS)
+
+
+def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
+    """The blocks of each page that stay; ``met`` is what _merge gave the shard."""
+    blocks, own = _runs_of(table)
+    pages = own.pages.copy()
+    if met.num_rows:
+        order = np.argsort(own.hashes)
+        for hashes, total in zip(met["hashes"].to_pylist(), met["pages"].to_pylist()):
+            pages[order[np.searchsorted(own.hashes[order], np.frombuffer(hashes, np.uint64))]] = np.frombuffer(total, np.int64)
+    on = np.repeat(pages, own.sizes)  # of each suffix
+    repeated = covered_blocks(own, own.suffixes[on > 1])
+    first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
+    stay = []
+    for i, (page, kinds) in enumerate(zip(blocks, table["zones"].to_pylist())):
+        zone = max([OPEN, *kinds])
+        flags = repeated[first[i] : first[i + 1]]
+        stay.append([b for b, z, r in zip(page, kinds, flags) if z >= 0 and (z == zone if zone else not r)])
+    return pa.table([table["page_id"], table["url"], pa.array(stay, pa.list_(pa.string()))], names=["page_id", "url", "blocks"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -253,41 +316,17 @@ def main_text(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")).withColumn("host", host)
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / SHARD).alias("shards")).where("shards > 1")
+    large = rows.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") > SHARD)
     large = materialise(large, "large-hosts")
     large = F.broadcast(large) if large.count() <= BROADCAST_HOSTS else large
     parsed = rows.mapInArrow(_parse, "page_id long, url string, host string, blocks array<string>, zones array<byte>")
-    key = F.xxhash64("page_id", "url")
-    placed = parsed.withColumn("key", key).join(large, "host", "left")
-    placed = placed.withColumn("shard", F.pmod("key", F.coalesce("shards", F.lit(1)))).drop("shards")
-    placed = placed.repartition("host", "shard").sortWithinPartitions("host", "shard")
-    decided = placed.mapInArrow(
-        _decide, "page_id long, url string, host string, blocks array<string>, gone array<string>, open boolean"
-    )
-    has = lambda least: F.exists("zones", lambda z: z >= least)
-    if not parsed.where(has(OPEN) & ~has(MAIN)).isEmpty():
-        # some pages are left open: their blocks are counted over all shards
-        decided = materialise(decided, "page-blocks")
-        across = _across_shards(decided)
-        decided = decided.where("NOT open").select("page_id", "url", "blocks").unionByName(across)
+    placed = parsed.withColumn("key", F.xxhash64("page_id", "url")).join(large, "host", "left")
+    placed = placed.withColumn("shards", F.coalesce(F.ceil(F.col("host_pages") / SHARD), F.lit(1)))
+    placed = placed.withColumn("shard", F.pmod("key", "shards")).repartition("host", "shard")
+    counts = "host string, bucket long, shard long, hashes binary, pages binary"
+    met = placed.sortWithinPartitions("host", "shard").mapInArrow(_evidence, counts)
+    met = met.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_merge, counts)
+    decided = placed.groupBy("host", "shard").cogroup(met.groupBy("host", "shard"))
+    decided = decided.applyInArrow(_decide, "page_id long, url string, blocks array<string>")
     text = F.array_join("blocks", "\n\n")
     return decided.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
-
-
-def _across_shards(decided: DataFrame) -> DataFrame:
-    """The open pages, less the blocks that other pages of their host have or
-    had too."""
-    key = F.xxhash64("page_id", "url")
-    met = decided.select("host", key.alias("key"), F.explode(F.when(F.col("open"), F.concat("blocks", "gone")).otherwise(F.col("gone"))).alias("block"))
-    rows = decided.where("open").withColumn("row", F.struct(key.alias("key"), F.xxhash64("blocks").alias("content")))
-    blocks = rows.select("page_id", "url", "host", "row", F.posexplode("blocks").alias("at", "block"))
-    block = [F.col("host"), F.xxhash64("block").alias("hash")]
-    several = met.groupBy(*block).agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b")
-    several = materialise(several.select("host", "hash", F.lit(True).alias("gone")), "shared-blocks")
-    marked = blocks.withColumn("hash", F.xxhash64("block")).join(several, ["host", "hash"], "left")
-    kept = F.collect_list(F.when(F.col("gone").isNull(), F.struct("at", "block")))
-    # repeated rows are equal in every column; their number comes back at the end
-    one = marked.dropDuplicates(["page_id", "url", "row", "at"]).groupBy("page_id", "url", "row").agg(F.array_sort(kept).alias("own"))
-    times = rows.groupBy("row").agg(F.count("*").cast("int").alias("times"))
-    out = one.join(times, "row").withColumn("time", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
-    return out.select("page_id", "url", F.transform("own", lambda x: x["block"]).alias("blocks"))

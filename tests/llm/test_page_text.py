@@ -53,3 +53,18 @@ def test_very_long_and_broken_markup_ends():
     assert len(page_blocks("<div>" * 20_000 + "x")) == 1
     assert page_blocks("<p>a<script>never closed")[0][0] == "a"
     assert page_blocks("<p title=\"unclosed>a</p><p>b</p>")
+
+
+def test_the_result_does_not_depend_on_the_shard(spark, monkeypatch):
+    rng = random.Random(6)
+    own = [" ".join(str(rng.randrange(10_000)) for _ in range(30)) for _ in range(12)]
+    # a block that differs in a number, and one that otherwise stands on marked pages only
+    stamped = "{} pages like this one were served by the same old machine in the cellar"
+    marked = "what an unmarked footer says here and every marked page says outside its article"
+    pages = [page(f"<p>{own[k]}</p><p>{stamped.format(k)}</p>") for k in range(6)]
+    pages += [page(f"<article><p>{own[k]}</p></article><div>{marked}</div>") for k in range(6, 11)]
+    pages += [page(f"<p>{own[11]}</p><div>{marked}</div>")]
+    monkeypatch.setattr(page_text, "SHARD", 1)
+    assert text(spark, pages) == dict(enumerate(own))
+    monkeypatch.setattr(page_text, "SHARD", 512)
+    assert text(spark, pages) == dict(enumerate(own))
