@@ -2,9 +2,11 @@
 
 Method: a page is cut into blocks of text. The token streams of a host's pages
 are concatenated, and a suffix array over them, sorted by prefix doubling to
-``RUN`` tokens, shows the runs of that many tokens that stand on several
-distinct pages. A block that such runs cover by half is boilerplate; the unique
-runs stay. The page's own markup then has the last word: blocks inside menus,
+``RUN`` tokens, shows on how many distinct pages each run of that many tokens
+stands. Runs that stand on more pages than the page's own text does (its usual
+count, 1 unless the page has copies) are repeated among pages that differ; a
+block that such runs cover by half is boilerplate, and the other blocks stay, so
+copies of a page under several ids keep their text. The page's own markup then has the last word: blocks inside menus,
 headers, footers, sidebars, notices, adverts, forms and comments go though they
 be unique, and a passage inside the article stays though other pages quote it
 (two pages may hold the same article). On a page without an article or main
@@ -186,8 +188,9 @@ class Runs(NamedTuple):
     pages: np.ndarray  # on how many distinct pages of the shard each run stands
 
 
-def shard_runs(blocks: list[str], page_of_block: np.ndarray, page_key: np.ndarray) -> Runs:
-    """Blocks are in page order; pages of the same key count as one."""
+def shard_runs(blocks: list[str], page_of_block: np.ndarray, page_key: np.ndarray, left: np.ndarray) -> Runs:
+    """Blocks are in page order; pages of the same key count as one. No run
+    crosses pages, nor from blocks that the markup has dropped into those left."""
     data, offsets = text_buffer(pa.array(blocks, pa.large_string()))
     starts, ends = runs(_WORD[data], offsets)
     at = rows_of(starts, offsets)
@@ -204,7 +207,9 @@ def shard_runs(blocks: list[str], page_of_block: np.ndarray, page_key: np.ndarra
         rank = np.unique(rank[:-size] * np.int64(n + 1) + rank[size:], return_inverse=True)[1]
         value = mix64(value[:-size] * _STEP + value[size:])
         size *= 2
-    where = np.flatnonzero(page[: len(rank)] == page[RUN - 1 :])  # no run crosses pages
+    part = np.cumsum(np.append(True, (page_of_block[1:] != page_of_block[:-1]) | (left[1:] != left[:-1])))
+    part = np.repeat(part, np.diff(at))
+    where = np.flatnonzero(part[: len(rank)] == part[RUN - 1 :])
     if not len(where):
         return Runs(at, page, none, none, none.view(np.uint64), none)
     key = page_key[page[where]]
@@ -226,6 +231,23 @@ def covered_blocks(own: Runs, hit: np.ndarray) -> np.ndarray:
     return 2 * (inner[own.at[1:]] - inner[own.at[:-1]]) >= np.maximum(np.diff(own.at), 1)
 
 
+def usual_pages(own: Runs, on: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each suffix, on how many pages the text of its page stands: the
+    lower quartile of the counts of the page's runs, in the blocks that the
+    markup has left. It is 1 on a page of its own, and the number of copies on
+    a copied page; boilerplate stands on more pages, whose other text differs."""
+    token = np.repeat(left, np.diff(own.at))
+    inside = np.flatnonzero(token[own.suffixes]) if len(own.suffixes) else own.suffixes
+    page = own.page[own.suffixes]
+    usual = np.ones(len(own.page) and int(own.page[-1]) + 1, np.int64)
+    if len(inside):
+        order = inside[np.lexsort((on[inside], page[inside]))]
+        first = np.flatnonzero(np.append(True, page[order][1:] != page[order][:-1]))
+        n = np.diff(np.append(first, len(order)))
+        usual[page[order[first]]] = on[order[first + (n - 1) // 4]]
+    return usual[page]
+
+
 def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
     """The rows of each key, which stand side by side."""
     held: list[pa.Table] = []
@@ -246,10 +268,12 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]
         yield pa.concat_tables(held)
 
 
-def _runs_of(table: pa.Table) -> tuple[list[list[str]], Runs]:
+def _runs_of(table: pa.Table) -> tuple[list[list[str]], np.ndarray, Runs]:
+    """The blocks of each page, which of them the markup has left, and the runs."""
     blocks = table["blocks"].to_pylist()
     page = np.repeat(np.arange(len(blocks)), [len(p) for p in blocks])
-    return blocks, shard_runs([b for own in blocks for b in own], page, table["key"].to_numpy())
+    left = np.array([z >= 0 for zones in table["zones"].to_pylist() for z in zones], bool)
+    return blocks, left, shard_runs([b for own in blocks for b in own], page, table["key"].to_numpy(), left)
 
 
 _COUNTS = pa.schema([("host", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("hashes", pa.binary()), ("pages", pa.binary())])
@@ -262,7 +286,7 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
         if shards == 1:
             continue
-        own = _runs_of(table)[1]
+        own = _runs_of(table)[2]
         buckets = -(-shards // SHARDS_A_BUCKET)
         bucket = (own.hashes % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((own.hashes, bucket))
@@ -293,14 +317,14 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
     """The blocks of each page that stay; ``met`` is what _merge gave the shard."""
-    blocks, own = _runs_of(table)
+    blocks, left, own = _runs_of(table)
     pages = own.pages.copy()
     if met.num_rows:
         order = np.argsort(own.hashes)
         for hashes, total in zip(met["hashes"].to_pylist(), met["pages"].to_pylist()):
             pages[order[np.searchsorted(own.hashes[order], np.frombuffer(hashes, np.uint64))]] = np.frombuffer(total, np.int64)
     on = np.repeat(pages, own.sizes)  # of each suffix
-    repeated = covered_blocks(own, own.suffixes[on > 1])
+    repeated = covered_blocks(own, own.suffixes[on > usual_pages(own, on, left)])
     first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
     stay = []
     for i, (page, kinds) in enumerate(zip(blocks, table["zones"].to_pylist())):

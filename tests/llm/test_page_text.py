@@ -68,3 +68,15 @@ def test_the_result_does_not_depend_on_the_shard(spark, monkeypatch):
     assert text(spark, pages) == dict(enumerate(own))
     monkeypatch.setattr(page_text, "SHARD", 512)
     assert text(spark, pages) == dict(enumerate(own))
+
+
+def test_copies_of_unmarked_pages_keep_their_text(spark, monkeypatch):
+    rng = random.Random(7)
+    own = ["\n\n".join(" ".join(str(rng.randrange(10_000)) for _ in range(25)) for _ in range(4)) for _ in range(8)]
+    own += [own[0], own[0], own[1].replace(own[1].split()[40], "edited")]  # equal and nearly equal pages
+    notice = "one notice that stands on each and every page of the host"
+    pages = [page("".join(f"<p>{p}</p>" for p in ["Introduction", *t.split("\n\n"), notice])) for t in own]
+    want = {i: f"Introduction\n\n{t}" for i, t in enumerate(own)}
+    assert text(spark, pages) == want
+    monkeypatch.setattr(page_text, "SHARD", 2)
+    assert text(spark, pages) == want
