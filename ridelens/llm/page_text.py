@@ -8,9 +8,10 @@ count, 1 unless the page has copies) are repeated among pages that differ; a
 block that such runs cover by half is boilerplate, and the other blocks stay, so
 copies of a page under several ids keep their text. The page's own markup then has the last word: blocks inside menus,
 headers, footers, sidebars, notices, adverts, forms and comments go though they
-be unique, and a passage inside the article stays though other pages quote it
-(two pages may hold the same article). On a page without an article or main
-element the suffix array decides for all blocks that the markup leaves open.
+be unique. Inside an article or main element a passage stays though a few pages
+quote it; there it takes ``MANY`` pages, and ``MANY_SHARE`` of the host's, to
+make boilerplate. A page's text comes from its article or main element if it
+has one, else from all blocks that the markup leaves open.
 
 Distribution: pages meet by host; a host of more than ``SHARD`` pages is dealt
 into shards of about that many, each with a suffix array of its own, so no task
@@ -41,6 +42,8 @@ from ridelens.llm.shared import materialise, pieces, ship, text_buffer
 
 #: Tokens of a run that counts as repeated, a power of two.
 RUN = 8
+#: Pages, and share of its host's pages, that a run in an article or main element stands on to be boilerplate.
+MANY, MANY_SHARE = 5, 0.5
 #: Pages of a host that share a suffix array.
 SHARD = 512
 #: Shards whose runs fill a bucket of the count over all shards of a host.
@@ -324,13 +327,17 @@ def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
         for hashes, total in zip(met["hashes"].to_pylist(), met["pages"].to_pylist()):
             pages[order[np.searchsorted(own.hashes[order], np.frombuffer(hashes, np.uint64))]] = np.frombuffer(total, np.int64)
     on = np.repeat(pages, own.sizes)  # of each suffix
-    repeated = covered_blocks(own, own.suffixes[on > usual_pages(own, on, left)])
+    among_others = on > usual_pages(own, on, left)
+    repeated = covered_blocks(own, own.suffixes[among_others])
+    # a marked passage may be quoted: it takes a share of the host's pages
+    many = max(MANY, MANY_SHARE * (table["host_pages"][0].as_py() or table.num_rows))
+    everywhere = covered_blocks(own, own.suffixes[among_others & (on >= many)])
     first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
     stay = []
     for i, (page, kinds) in enumerate(zip(blocks, table["zones"].to_pylist())):
         zone = max([OPEN, *kinds])
-        flags = repeated[first[i] : first[i + 1]]
-        stay.append([b for b, z, r in zip(page, kinds, flags) if z >= 0 and (z == zone if zone else not r)])
+        flags = (everywhere if zone else repeated)[first[i] : first[i + 1]]
+        stay.append([b for b, z, r in zip(page, kinds, flags) if z == zone and not r])
     return pa.table([table["page_id"], table["url"], pa.array(stay, pa.list_(pa.string()))], names=["page_id", "url", "blocks"])
 
 

@@ -80,3 +80,16 @@ def test_copies_of_unmarked_pages_keep_their_text(spark, monkeypatch):
     assert text(spark, pages) == want
     monkeypatch.setattr(page_text, "SHARD", 2)
     assert text(spark, pages) == want
+
+
+def test_boilerplate_inside_articles_goes_and_quotes_stay(spark, monkeypatch):
+    rng = random.Random(8)
+    own = [" ".join(str(rng.randrange(10_000)) for _ in range(30)) for _ in range(12)]
+    legal = "read more of this in our weekly letter which comes at no charge to you"
+    quote = "a passage that two of the articles quote word by word from an older text"
+    bodies = [f"<p>{t}</p>" + (f"<p>{quote}</p>" if i < 2 else "") for i, t in enumerate(own)]
+    pages = [page(f"<{tag}>{b}<div class='x1'>{legal}</div></{tag}>") for b, tag in zip(bodies, ["article", "main"] * 6)]
+    want = {i: t + (f"\n\n{quote}" if i < 2 else "") for i, t in enumerate(own)}
+    assert text(spark, pages) == want
+    monkeypatch.setattr(page_text, "SHARD", 3)
+    assert text(spark, pages) == want
