@@ -10,8 +10,8 @@ copies of a page under several ids keep their text. The page's own markup then h
 headers, footers, sidebars, notices, adverts, forms and comments go though they
 be unique. Inside an article or main element a passage stays though a few pages
 quote it; there it takes ``MANY`` pages, and ``MANY_SHARE`` of the host's, to
-make boilerplate. A page's text comes from its article or main element if it
-has one, else from all blocks that the markup leaves open.
+make boilerplate. A page's text comes from its article or main elements if they
+hold half of what the markup leaves, else from all blocks that it leaves open.
 
 Distribution: pages meet by host; a host of more than ``SHARD`` pages is dealt
 into shards of about that many, each with a suffix array of its own, so no task
@@ -53,13 +53,14 @@ BROADCAST_HOSTS = 100_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|button)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/]|\Z)", re.I)
+#: One attribute after the other, so that no name is found within a value.
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -68,13 +69,26 @@ _BLOCKS = frozenset(
 )
 #: Elements whose text is never main text; a header is, inside an article.
 _DROPPED = frozenset("head nav footer aside form menu dialog".split())
-#: Words in a class, id or role that mark an element as such.
+#: Words in a class or role that mark an element as such.
 _MARKED = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer masthead comment comments disqus reply replies respond cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended "
     "recommendations widget toolbar pagination pager copyright disclaimer login search contentinfo complementary dialog".split()
 )
+#: Words of these that an article's own sections are named by, too.
+_AMBIGUOUS = frozenset("notice notices alert search social related menu banner overlay reply replies respond copyright disclaimer promotion dialog".split())
+#: Words that may stand beside a mark in a class of an article's part.
+_BESIDE = frozenset(
+    "area articles bar block bottom box buttons container content form inner item items left link links list panel posts right "
+    "section slot stories top unit widget wrap wrapper".split()
+)
+#: Whole ids that mark an element.
+_IDS = frozenset(
+    "ad ads advert advertisement sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comments disqus "
+    "disqus_thread respond cookie-banner cookie-notice cookie-consent newsletter pagination toolbar".split()
+)
+_PROSE = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 #: Elements that end where the next of their kind begins.
 _IMPLIED = {"p": _BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
             "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -82,6 +96,22 @@ _IMPLIED = {"p": _BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 OPEN, MAIN, ARTICLE = 0, 1, 2
 
 
+def _marked(key: str, value: str, name: str, in_article: bool) -> bool:
+    """Whether a class, id or role says that an element is no main text. Inside
+    an article only what cannot name a part of the article does."""
+    if key == "id":
+        return value in _IDS and not (in_article and (name in _PROSE or value == "header"))
+    if not in_article or key == "role":
+        words = re.split(r"[^a-z0-9]+", value)
+        return not _MARKED.isdisjoint(words) or ("header" in words and not in_article)
+    for own in value.split():
+        words = set(re.split(r"[^a-z0-9]+", own)) - {""}
+        marks = words & _MARKED
+        if marks - _AMBIGUOUS and words <= _MARKED | _BESIDE or marks and words - marks and words - marks <= _BESIDE:
+            return True
+    return False
+
+
 def _kind(name: str, attrs: str, in_article: bool) -> int | None:
     """None: dropped; else the zone that the element opens."""
     if name in _DROPPED or (name == "header" and not in_article):
@@ -89,21 +119,29 @@ def _kind(name: str, attrs: str, in_article: bool) -> int | None:
     zone = ARTICLE if name == "article" else MAIN if name == "main" else OPEN
     if attrs and not attrs.isspace():
         for m in _ATTR.finditer(attrs):
-            key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+            key, value = m[1].lower(), (m[2] or "").strip("\"'").strip().lower()
             if key == "hidden" or (key == "aria-hidden" and value == "true"):
                 return None
             if key == "itemprop":
                 zone = ARTICLE if value == "articlebody" else zone
-                continue
-            if key == "role" and value in ("main", "article"):
-                zone = max(zone, MAIN if value == "main" else ARTICLE)
-            words = re.split(r"[^a-z0-9]+", value)
-            if name not in ("article", "main", "body", "html") or "comment" in words:
-                if not _MARKED.isdisjoint(words) or ("header" in words and not in_article):
+            elif key in ("class", "id", "role"):
+                if key == "role" and value in ("main", "article"):
+                    zone = max(zone, MAIN if value == "main" else ARTICLE)
+                if name in ("article", "main", "body", "html"):
+                    if key == "class" and "comment" in re.split(r"[^a-z0-9]+", value):
+                        return None
+                elif _marked(key, value, name, in_article):
                     return None
     return zone
 
 
+def _zone(blocks: list[str], zones: list[int]) -> int:
+    """The least zone of the page's text: articles, if they hold half of the
+    text left by the markup, else articles and main, if these do, else all."""
+    sizes = [sum(len(b) for b, z in zip(blocks, zones) if z >= least) for least in (OPEN, MAIN, ARTICLE)]
+    return next(z for z in (ARTICLE, MAIN, OPEN) if 2 * sizes[z] >= sizes[OPEN] and (sizes[z] or z == OPEN))
+
+
 def page_blocks(page: str) -> list[tuple[str, int]]:
     """The text blocks of a page in order, and the zone of each; dropped
     blocks have the zone -1."""
@@ -335,9 +373,9 @@ def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
     first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
     stay = []
     for i, (page, kinds) in enumerate(zip(blocks, table["zones"].to_pylist())):
-        zone = max([OPEN, *kinds])
+        zone = _zone(page, kinds)
         flags = (everywhere if zone else repeated)[first[i] : first[i + 1]]
-        stay.append([b for b, z, r in zip(page, kinds, flags) if z == zone and not r])
+        stay.append([b for b, z, r in zip(page, kinds, flags) if z >= zone and not r])
     return pa.table([table["page_id"], table["url"], pa.array(stay, pa.list_(pa.string()))], names=["page_id", "url", "blocks"])
 
 

@@ -93,3 +93,17 @@ def test_boilerplate_inside_articles_goes_and_quotes_stay(spark, monkeypatch):
     assert text(spark, pages) == want
     monkeypatch.setattr(page_text, "SHARD", 3)
     assert text(spark, pages) == want
+
+
+def test_marks_do_not_drop_parts_of_an_article(spark):
+    parts = ["<h2 id='related-work'>Related</h2>", "<section id='search'><p>Search</p></section>", "<div id='social-costs'>Costs</div>",
+             "<div class='notice'>Notice</div>", "<div title='The hidden cost'>Title</div>", "<div data-title='a hidden gem of x'>Data</div>",
+             "<p>Let <math><mi>x</mi></math> be</p>", "<h2 id='comments'>Comments</h2>"]
+    out = ["<div class='ad'>no</div>", "<div class='share-buttons'>no</div>", "<div hidden>no</div>", "<div id='comments'>no</div>",
+           "<div class='x related-posts'>no</div>", "<div role=complementary>no</div>"]
+    body = "".join(f"<p>part {k}</p>{p}" for k, p in enumerate(parts))
+    teaser = "<main><p>The text of the page stands in its main element.</p><article>A teaser</article></main>"
+    got = text(spark, [page(f"<article title='a hidden thing'>{body}{''.join(out)}</article>"), page(teaser)])
+    names = ["Related", "Search", "Costs", "Notice", "Title", "Data", "Let x be", "Comments"]
+    assert got[0].split("\n\n") == [x for k, name in enumerate(names) for x in (f"part {k}", name)]
+    assert got[1] == "The text of the page stands in its main element.\n\nA teaser"
