@@ -11,9 +11,10 @@ leaves are visited. Scores are inner products in double precision on the
 original vectors.
 
 Distribution: queries travel to the leaves that they visit, and each leaf is
-dealt into shards of about ``SHARD`` rows by a hash of the id, so that many
-equal vectors, which no tree can part, do not meet in one task. A shard returns
-each query's best k; a second step merges them.
+dealt into shards of about ``SHARD`` rows by a hash of the id, and its queries
+into blocks of about as many, so that many equal vectors, which no tree can
+part, do not meet in one task. A shard returns each query's best k; a second
+step merges them.
 
 Edge cases: vectors that are null, empty, zero, of another length than most, or
 hold null or non-finite components take no part, as queries or candidates; rows
@@ -190,6 +191,20 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
+_DEALT = ["leaf", "shard", "block"]
+
+
+def deal(indexed: DataFrame, queries: DataFrame, shards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a leaf in shards and its queries in blocks, of about SHARD
+    each: a query meets every shard, a row every block, each pair once."""
+    blocks = queries.groupBy("leaf").agg(F.ceil(F.count("*") / SHARD).alias("blocks"))
+    sizes = F.broadcast(shards.join(F.broadcast(materialise(blocks, "leaf-queries")), "leaf"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    stored = indexed.join(sizes, "leaf").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards"))).withColumn("block", every("blocks"))
+    asked = queries.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("blocks"))).withColumn("shard", every("shards"))
+    return stored.select(*_DEALT, "vec_id", "vector"), asked.select(*_DEALT, "vec_id", "vector")
+
+
 def search(
     vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -243,10 +258,8 @@ def search(
                     [batch.column("vec_id"), batch.column("vector"), pa.array(seen, pa.list_(pa.int64()))], names=["vec_id", "vector", "seen"]
                 )
 
-    queries = asked.mapInArrow(to_visits, "vec_id long, vector array<double>, seen array<long>")
-    queries = queries.select("vec_id", "vector", F.explode("seen").alias("leaf")).join(F.broadcast(shards), "leaf")
-    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).drop("shards")
-    stored = indexed.join(F.broadcast(shards), "leaf").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")))
+    queries = materialise(asked.mapInArrow(to_visits, "vec_id long, vector array<double>, seen array<long>"), "visits")
+    stored, queries = deal(indexed, queries.select("vec_id", "vector", F.explode("seen").alias("leaf")), shards)
 
     def score(key: tuple, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(asked):
@@ -255,6 +268,5 @@ def search(
         found = [(int(q), *_best(ids, points, x, int(q), k)) for q, x in zip(asked.vec_id, asked.vector)]
         return _found([(q, ids[at], s) for q, at, s in found]).to_pandas()
 
-    by = ["leaf", "shard"]
-    found = stored.select(*by, "vec_id", "vector").groupBy(*by).cogroup(queries.groupBy(*by)).applyInPandas(score, _FOUND)
+    found = stored.groupBy(*_DEALT).cogroup(queries.groupBy(*_DEALT)).applyInPandas(score, _FOUND)
     return _top(found, k)

@@ -46,3 +46,15 @@ def test_vectors_that_take_no_part(spark):
     assert got == [(0, 1, 20, 0.5), (0, 2, 21, 0.5), (20, 1, 0, 0.5), (20, 2, 21, 0.5)]
     assert search(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert search(vectors.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_queries_of_a_leaf_are_dealt_into_blocks_and_meet_each_row_once(spark, monkeypatch):
+    monkeypatch.setattr(kmeans_tree, "SHARD", 32)
+    rows = spark.range(300).selectExpr("id as vec_id", "array(1.0D) as vector", "0L as leaf")
+    shards = spark.createDataFrame([(0, 10)], "leaf long, shards long")
+    stored, asked = kmeans_tree.deal(rows, rows.where("vec_id % 2 = 0"), shards)
+    by = ["leaf", "shard", "block"]
+    for side in (stored, asked):
+        assert max(r["count"] for r in side.groupBy(*by).count().collect()) <= 64
+    pairs = stored.withColumnRenamed("vec_id", "row").join(asked.withColumnRenamed("vec_id", "query"), by)
+    assert pairs.count() == pairs.select("row", "query").distinct().count() == 300 * 150
