@@ -12,7 +12,8 @@ the key: Spark searches the entries of a map one by one, so a single map of
 50,000 entries would cost that many comparisons a lookup.
 
 Blocks of at most ``BLOCK_BYTES`` text bytes (one longer text stands alone) are
-made and taken apart within a task; nothing is shuffled.
+made and taken apart within a task; nothing is shuffled. Between the steps a block
+travels as short rows in order, some words or some documents each.
 
 Edge cases: null and empty text have no tokens and decode to no bytes; repeated
 rows are encoded each; a null doc_id is kept; other columns of the input are
@@ -29,6 +30,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,9 @@ from ridelens.llm.shared import id_and_text
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
 BLOCK_BYTES = 16 << 20
+#: Distinct words, and pre-tokens of documents, that a row between the steps
+#: holds, so that the JVM never holds a block but only such rows.
+WORDS_ROW, DOCS_ROW = 64, 8192
 #: Small maps of the rank literal, a power of two; most hold one entry or none.
 MAPS = 65536
 _NONE = (1 << 31) - 1
@@ -137,67 +142,82 @@ def decode_each(words: Column, path: str) -> Column:
     return _let(table, lambda of: F.transform(words, lambda ids: one(ids, of)))
 
 
-_BLOCK = "doc_ids array<long>, counts binary, index binary, words array<binary>"
+_BLOCK = "words array<binary>, doc_ids array<long>, counts binary, index binary"
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block: its doc_ids, the number of pre-tokens of each text,
-    the distinct pre-tokens, and for each pre-token the number of its own."""
+    """The blocks as short rows: first the distinct pre-tokens of a block,
+    WORDS_ROW a row, then its documents in runs of about DOCS_ROW pre-tokens:
+    doc_ids, the number of pre-tokens of each, and for each pre-token the number
+    of its distinct one."""
+    kinds = [pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    names = [c.split()[0] for c in _BLOCK.split(", ")]
     for block in blocks(batches, BLOCK_BYTES):
-        row = [
-            pa.array([block.doc_ids.to_pylist()], pa.list_(pa.int64())),
-            pa.array([np.diff(block.at).astype("<i4").tobytes()], pa.binary()),
-            pa.array([block.index.astype("<i4").tobytes()], pa.binary()),
-            pa.array([block.words], pa.list_(pa.binary())),
-        ]
-        yield pa.RecordBatch.from_arrays(row, names=["doc_ids", "counts", "index", "words"])
-
-
-def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flat values, starts and sizes of the lists in the only row of a column
-    of arrays of arrays or of binaries."""
-    inner = column.values if isinstance(column, pa.ListArray) else column
-    inner = inner.slice(column.offsets[0].as_py(), column.offsets[1].as_py() - column.offsets[0].as_py())
-    if pa.types.is_binary(inner.type):
-        inner = inner.cast(pa.large_binary())
-        at = np.frombuffer(inner.buffers()[1], np.int64)[inner.offset : inner.offset + len(inner) + 1]
-        data = inner.buffers()[2]
-        flat = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    else:
-        at = inner.offsets.to_numpy().astype(np.int64)
-        flat = inner.values.to_numpy()
-    return flat, at[:-1], np.diff(at)
+        n = len(block.words)
+        if n:
+            at = pa.array(np.append(np.arange(0, n, WORDS_ROW), n).astype(np.int32))
+            words = pa.ListArray.from_arrays(at, pa.array(block.words, pa.binary()))
+            yield pa.RecordBatch.from_arrays([words, *(pa.nulls(len(words), k) for k in kinds[1:])], names=names)
+        counts, index = np.diff(block.at).astype("<i4"), block.index.astype("<i4", copy=False)
+        cuts = [0, *(np.flatnonzero(np.diff(block.at[:-1] // DOCS_ROW)) + 1), len(block.doc_ids)]
+        for a, b in zip(cuts, cuts[1:]):
+            row = [None], [block.doc_ids.slice(a, b - a)], [counts[a:b].tobytes()], [index[block.at[a] : block.at[b]].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=names)
+
+
+class _Pieces:
+    """What each distinct pre-token of a block became, filled row by row:
+    its values end to end, where they start, and how many they are."""
+
+    def __init__(self, kind: type):
+        self.kind, self.parts, self.sizes = kind, [], []
+
+    def add(self, row: pa.Array) -> None:
+        if pa.types.is_list(row.type):
+            sizes, flat = np.diff(row.offsets.to_numpy()), row.flatten().to_numpy(zero_copy_only=False)
+        else:  # binaries
+            sizes, flat = pc.binary_length(row).to_numpy(), np.frombuffer(b"".join(row.to_pylist()), np.uint8)
+        self.parts.append(flat.astype(self.kind))
+        self.sizes.append(sizes)
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int64)
+        sizes = np.concatenate(self.sizes).astype(np.int64)
+        return np.concatenate(self.parts), np.cumsum(sizes) - sizes, sizes
 
 
 def _to_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents from the rows of ``_to_blocks`` in their order, with the ids
+    and bytes of each pre-token filled in."""
+    tokens, letters, tables = _Pieces(np.dtype("<u4")), _Pieces(np.dtype(np.uint8)), None
     for whole in batches:
+        is_words = whole.column("doc_ids").is_null().to_numpy(zero_copy_only=False)
         for k in range(whole.num_rows):
-            row = whole.slice(k, 1)
-            doc_ids = row.column("doc_ids").flatten()
-            index = np.frombuffer(row.column("index")[0].as_py(), "<i4")
-            at = np.concatenate([[0], np.cumsum(np.frombuffer(row.column("counts")[0].as_py(), "<i4"), dtype=np.int64)])
-            if row.column("words_ids").values is None or not len(index):
-                tokens, starts, sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-                letters, from_, long = np.empty(0, np.uint8), starts, sizes
-            else:
-                tokens, starts, sizes = _ragged(row.column("words_ids"))
-                letters, from_, long = _ragged(row.column("words_bytes"))
-            tokens = tokens.astype("<u4")
-            # documents in runs of about 200,000 pre-tokens
-            cuts = [0, *(np.flatnonzero(np.diff(at[:-1] // 200_000)) + 1), len(doc_ids)]
-            for a, b in zip(cuts, cuts[1:]):
-                own = index[at[a] : at[b]]
-                local = at[a : b + 1] - at[a]
-                out = []
-                for flat, begin, size in ((tokens, starts, sizes), (letters, from_, long)):
-                    each = size[own] if len(own) else np.empty(0, np.int64)
-                    value = gather(flat, begin[own] if len(own) else each, each).tobytes()
-                    ends = np.concatenate([[0], np.cumsum(each)])[local] * flat.itemsize
-                    out.append(pa.array([value[x:y] for x, y in zip(ends, ends[1:])], pa.binary()))
-                n_tokens = pa.array([len(x) // 4 for x in out[0].to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(a, b - a), n_tokens, *out], names=["doc_id", "n_tokens", "ids", "decoded"]
-                )
+            if is_words[k]:
+                if tables is not None:  # the next block begins
+                    tokens, letters, tables = _Pieces(tokens.kind), _Pieces(letters.kind), None
+                tokens.add(whole.column("words_ids").slice(k, 1).flatten())
+                letters.add(whole.column("words_bytes").slice(k, 1).flatten())
+                continue
+            if tables is None:
+                tables = [tokens.table(), letters.table()]
+                tokens.parts, letters.parts = [], []
+            index = np.frombuffer(whole.column("index")[k].as_py(), "<i4")
+            at = np.concatenate([[0], np.cumsum(np.frombuffer(whole.column("counts")[k].as_py(), "<i4"), dtype=np.int64)])
+            out = []
+            for flat, starts, sizes in tables:
+                each = sizes[index]
+                value = gather(flat, starts[index], each).tobytes()
+                ends = np.concatenate([[0], np.cumsum(each)])[at] * flat.itemsize
+                out.append(pa.array([value[x:y] for x, y in zip(ends, ends[1:])], pa.binary()))
+            n_tokens = pa.array([len(x) // 4 for x in out[0].to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [whole.column("doc_ids").slice(k, 1).flatten(), n_tokens, *out], names=["doc_id", "n_tokens", "ids", "decoded"]
+            )
+            # a block without words has no row that begins it
+            if not len(tables[0][2]):
+                tables = None
 
 
 def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -1,11 +1,16 @@
 """Vectorised word spans and 64-bit hashes over flat byte arrays.
 
 A polynomial hash of every prefix gives the hash of any span by one
-subtraction and one multiplication (all modulo 2^64), so hashing each word of
-a batch costs a few array operations, whatever the number of words."""
+subtraction and one multiplication, so hashing each word of a batch costs a few
+array operations, whatever the number of words. ``span_hashes`` works modulo
+2^64: fast, for features and windows, but regular spans (Thue-Morse words of
+1,024 letters) share a hash. ``word_hashes`` works modulo the prime 2^61 - 1 and
+is for spans whose identity matters."""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,6 +67,62 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(raw ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+_P = np.uint64((1 << 61) - 1)
+_P_BASE = 0x1B5AD4A3C9E0F72B % ((1 << 61) - 1)
+_P_INVERSE = pow(_P_BASE, -1, (1 << 61) - 1)
+_P_POWERS: list[np.ndarray] = []
+#: Longer spans are hashed one by one.
+_LONGEST = 1 << 23
+
+
+def mul61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2^61 - 1, of numbers below it."""
+    low, half = np.uint64((1 << 31) - 1), np.uint64(31)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a1 * b0 + a0 * b1
+    carry = np.uint64((1 << 30) - 1)
+    total = (a1 * b1 << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & carry) << half) + a0 * b0
+    return _reduced(total)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _powers61(n: int) -> list[np.ndarray]:
+    if not _P_POWERS or len(_P_POWERS[0]) < n:
+        grown = []
+        for base in (_P_BASE, _P_INVERSE):
+            out = np.ones(1, np.uint64)
+            while len(out) < max(n, 1 << 16):
+                step = np.uint64(pow(base, len(out), (1 << 61) - 1))
+                out = np.concatenate([out, mul61(out, step)])
+            grown.append(out)
+        _P_POWERS[:] = grown
+    return _P_POWERS
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``data``, modulo a prime before it is
+    mixed, the same for the same bytes."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    n, sizes = data.size, (ends - starts).astype(np.uint64)
+    power, inverse = _powers61(n + 1)
+    value = data.astype(np.uint64) + np.uint64(1)
+    sums = []
+    for part in (power[:n] >> np.uint64(32), power[:n] & np.uint64(0xFFFFFFFF)):
+        prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(value * part, out=prefix[1:])  # wraps; a span's own sum does not
+        sums.append(_reduced(prefix[ends] - prefix[starts]))
+    whole = _reduced(mul61(sums[0], np.full(len(starts), 1 << 32, np.uint64)) + sums[1])
+    out = mul61(whole, inverse[starts])
+    for i in np.flatnonzero(sizes > _LONGEST):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little") >> 3
+    return mix64(out ^ mix64(sizes * np.uint64(0xD6E8FEB86659FD93)))
+
+
 def rows_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """For each of the n + 1 offsets, how many of the sorted starts lie before it."""
     return np.searchsorted(starts, offsets, side="left")

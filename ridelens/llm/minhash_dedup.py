@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm.components import connected_components
-from ridelens.llm.hashing import mix64, rows_of, runs, span_hashes
+from ridelens.llm.hashing import mix64, rows_of, runs, word_hashes
 from ridelens.llm.shared import id_and_text, long_array, materialise, pieces, text_buffer
 
 SHINGLE = 5
@@ -75,7 +75,7 @@ def shingle_sets(column) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_buffer(column)
     data = _LOWER[data]
     starts, ends = runs(_WORD[data], offsets)
-    words = span_hashes(data, starts, ends)
+    words = word_hashes(data, starts, ends)
     at = rows_of(starts, offsets)
     n_words = np.diff(at)
     full = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)

@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import tiktoken
 
-from ridelens.llm.hashing import rows_of, span_hashes
+from ridelens.llm.hashing import rows_of, word_hashes
 from ridelens.llm.shared import pieces, text_buffer
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -102,6 +102,29 @@ def specials_in(data: np.ndarray, specials: tuple[bytes, ...]) -> tuple[np.ndarr
     return both[:, 0], both[:, 1]
 
 
+def _first_of(index: np.ndarray, n: int) -> np.ndarray:
+    """Where each of the n numbers comes first."""
+    first = np.empty(n, np.int64)
+    first[index[::-1]] = np.arange(len(index))[::-1]
+    return first
+
+
+def same_spans(a: np.ndarray, a_starts, a_ends, b: np.ndarray, b_starts, b_ends) -> bool:
+    """Whether all spans of ``a`` have the bytes of those of ``b``."""
+    sizes = a_ends - a_starts
+    if not np.array_equal(sizes, b_ends - b_starts):
+        return False
+    other = np.flatnonzero(a_starts != b_starts) if a is b else np.arange(len(sizes))
+    step = 1 << 18
+    at = np.cumsum(sizes[other]) // step
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1), len(other)]
+    for x, y in zip(cuts, cuts[1:]):
+        some = other[x:y]
+        if not np.array_equal(gather(a, a_starts[some], sizes[some]), gather(b, b_starts[some], sizes[some])):
+            return False
+    return True
+
+
 class Words:
     """The pre-tokens of a batch: ``data`` and the byte spans and hashes of the
     distinct ones, and for each pre-token the number of its distinct one;
@@ -120,11 +143,14 @@ class Words:
         ends = np.append(starts[1:], data.size)
         self.at = rows_of(starts, offsets)
         self.n_bytes = np.diff(offsets)
-        hashes = span_hashes(data, starts, ends)
-        index, self.hashes = pd.factorize(hashes)
+        index, self.hashes = pd.factorize(word_hashes(data, starts, ends))
+        first = _first_of(index, len(self.hashes))
+        if not same_spans(data, starts, ends, data, starts[first][index], ends[first][index]):
+            # two words share a hash: tell them by their bytes
+            index, distinct = pd.factorize(np.array([data[a:b].tobytes() for a, b in zip(starts, ends)], object))
+            first = _first_of(index, len(distinct))
+            self.hashes = word_hashes(data, starts[first], ends[first])
         self.index = index.astype(np.int32)
-        first = np.empty(len(self.hashes), np.int64)
-        first[self.index[::-1]] = np.arange(len(starts))[::-1]
         self.starts, self.ends = starts[first], ends[first]
 
     def bytes(self) -> list[bytes]:
@@ -157,10 +183,15 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes,
 
     def block() -> Block:
         # distinct words of several pieces meet here once more
-        code, distinct = pd.factorize(np.concatenate([w.hashes for _, w in parts]))
-        first = np.empty(len(distinct), np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
         words = list(chain.from_iterable(w.bytes() for _, w in parts))
+        hashes = np.concatenate([w.hashes for _, w in parts])
+        code, distinct = pd.factorize(hashes)
+        first = _first_of(code, len(distinct))
+        if any(words[i] != word for i, word in zip(first[code].tolist(), words)):
+            # two words share a hash: tell them by their bytes
+            code, _ = pd.factorize(np.array([*words, None], object)[:-1])
+            first = _first_of(code, int(code.max()) + 1)
+            distinct = hashes[first]
         base = np.concatenate([[0], np.cumsum([len(w.hashes) for _, w in parts])])
         code = code.astype(np.int32)
         index = np.concatenate([code[b : b + len(w.hashes)][w.index] for (_, w), b in zip(parts, base)])

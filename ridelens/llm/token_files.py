@@ -42,7 +42,7 @@ END_ID = 2
 #: Text bytes of a segment (one longer text stands alone).
 SEGMENT_BYTES = 4 << 20
 #: Words whose ids a worker keeps from one segment to the next.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 #: Words given to the library at a time.
 LIBRARY_BATCH = 4096
 
@@ -51,28 +51,25 @@ _SEGMENT = "part int, before long, n_tokens long, payload binary"
 
 
 class _Known:
-    """Ids of the words that a worker has met, by the words' hashes: sorted
-    hashes, and for each the span of its ids in one flat array."""
+    """Ids of the words that a worker has met: a number for each word, and for
+    each number the span of its ids in one flat array."""
 
     def __init__(self) -> None:
-        self.hashes = np.empty(0, np.uint64)
+        self.numbers: dict[bytes, int] = {}
         self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int32)
         self.flat = np.empty(0, np.uint32)
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each hash, -1 for unknown ones."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for unknown ones."""
+        get = self.numbers.get
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
-    def add(self, hashes: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.numbers.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
         starts = len(self.flat) + np.cumsum(sizes) - sizes
         self.flat = np.concatenate([self.flat, flat])
-        order = np.argsort(all_hashes := np.concatenate([self.hashes, hashes]), kind="stable")
-        self.hashes = all_hashes[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])[order]
+        self.starts = np.concatenate([self.starts, starts])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
 
 
 @cache
@@ -86,7 +83,11 @@ def word_ids(block: Block, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Flat ids, and where the ids of each word of the block start and how
     many they are."""
     tokenizer, _, known = _library(path)
-    new = np.flatnonzero(known.find(block.hashes) < 0)
+    at = known.find(block.words)
+    new = np.flatnonzero(at < 0)
+    if len(known.numbers) + len(new) > KEPT_WORDS and len(new) < len(at):  # start anew, with all words of this block
+        known.__init__()
+        new = np.arange(len(at))
     flat, sizes = [np.empty(0, np.uint32)], []
     for a in range(0, len(new), LIBRARY_BATCH):  # the library's own result objects are large
         words = [block.words[i].decode("utf-8", "replace") for i in new[a : a + LIBRARY_BATCH]]
@@ -94,12 +95,8 @@ def word_ids(block: Block, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarra
             flat.append(np.array(e.ids, np.uint32))
             sizes.append(len(e.ids))
     if len(new):
-        if len(known.hashes) + len(new) > KEPT_WORDS:  # start anew, with all words of this block
-            known.__init__()
-            if len(new) < len(block.hashes):
-                return word_ids(block, path)
-        known.add(block.hashes[new], np.concatenate(flat), np.array(sizes, np.int64))
-    at = known.find(block.hashes)
+        known.add([block.words[i] for i in new], np.concatenate(flat), np.array(sizes, np.int64))
+        at = known.find(block.words)
     return known.flat, known.starts[at], known.sizes[at].astype(np.int64)
 
 

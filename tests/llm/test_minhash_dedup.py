@@ -96,3 +96,13 @@ def test_shingle_sets_count_distinct_shingles():
 
     _, at = shingle_sets(pa.array(["a b c d e f", "a a a a a a a", None, "one two"]))
     assert [int(x) for x in at] == [0, 2, 3, 3, 4]
+
+
+def test_regular_words_with_swapped_letters_are_different(spark):
+    """Words that share every polynomial hash modulo 2^64 are no copies."""
+    word = lambda n, a, b: "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+    values = [word(n, *ab) for n in (1024, 4096) for ab in ("ab", "ba")]
+    values += [values[0], " ".join([*"vwxyz", values[0]] * 3), " ".join([*"vwxyz", values[1]] * 3)]
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(rows).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0, 5: 5, 6: 6}

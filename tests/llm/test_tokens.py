@@ -11,8 +11,9 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from ridelens.llm import range_coder
+from ridelens.llm import byte_bpe, pretokens, range_coder
 from ridelens.llm.byte_bpe import digests, encode_and_decode
+from ridelens.llm.hashing import mul61, word_hashes
 from ridelens.llm.pretokens import words_of
 from ridelens.llm.shared import fresh_path
 from ridelens.llm.token_counts import count_tokens
@@ -105,3 +106,79 @@ def test_a_damaged_block_is_noticed():
     data[-900] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         range_coder.decode(bytes(data))
+
+
+def thue_morse(n, a="a", b="b"):
+    """Words of regular letters, for which every polynomial hash modulo 2^64 is the same when a and b swap."""
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_equal_hashes_of_regular_words_do_not_join_them(spark, monkeypatch):
+    values = [thue_morse(n, *ab) for n in (1024, 4096) for ab in ("ab", "ba")]
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in encode_and_decode(rows).collect():
+        assert (list(np.frombuffer(r.ids, "<u4")), r.decoded.decode()) == (library.encode_ordinary(values[r.doc_id]), values[r.doc_id])
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: other.encode(v, add_special_tokens=False).ids for i, v in enumerate(values)}
+    assert {r.doc_id: r.n_tokens for r in count_tokens(rows).collect()} == {i: len(x) for i, x in want.items()}
+    path = fresh_path(spark, "thue-morse")
+    write_token_files(rows, path)
+    assert {r.doc_id: list(np.frombuffer(r.ids, "<u4"))[:-1] for r in read_token_files(spark, path).collect()} == want
+    assert len(set(word_hashes_of(values))) == 4
+
+
+def word_hashes_of(values):
+    data = np.frombuffer("".join(values).encode(), np.uint8)
+    ends = np.cumsum([len(v) for v in values])
+    return word_hashes(data, ends - [len(v) for v in values], ends).tolist()
+
+
+def test_words_are_told_apart_by_bytes_whatever_their_hash(monkeypatch):
+    monkeypatch.setattr(pretokens, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    own = texts(9, 200)
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    batches = [pa.record_batch({"doc_id": pa.array([2 * i, 2 * i + 1]), "text": pa.array(own[2 * i : 2 * i + 2])}) for i in range(100)]
+    (block,) = pretokens.blocks(iter(batches), 1 << 20)
+    for i, text in enumerate(own):
+        assert [block.words[j].decode() for j in block.index[block.at[i] : block.at[i + 1]]] == pattern.findall(text)
+    assert len(set(block.words)) == len(block.words)
+
+
+def test_hashes_modulo_the_prime_are_those_of_plain_integers():
+    rng = np.random.Generator(np.random.PCG64(2))
+    a, b = (rng.integers(0, (1 << 61) - 1, 1000, np.uint64) for _ in range(2))
+    a[:3] = b[:3] = (1 << 61) - 2
+    assert [int(x) for x in mul61(a, b)] == [int(x) * int(y) % ((1 << 61) - 1) for x, y in zip(a, b)]
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    one = word_hashes(data, np.array([7, 4000]), np.array([900, 4000]))
+    other = word_hashes(np.concatenate([data[100:200], data[7:900]]), np.array([100, 3]), np.array([993, 3]))
+    assert one.tolist() == other.tolist()
+
+
+def test_texts_longer_than_a_block_and_many_small_rows(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(byte_bpe, "WORDS_ROW", 5)
+    monkeypatch.setattr(byte_bpe, "DOCS_ROW", 40)
+    values = [*texts(11, 80), "", "x y " * 5000, "z" * 9000, "", *texts(12, 20), None]
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").repartition(2)
+    batches = rows.toArrow().combine_chunks().to_batches()
+    names = ["words", "doc_ids", "counts", "index"]
+    through = [pa.record_batch([b.column(n) for n in names], names=names) for b in byte_bpe._to_blocks(iter(batches))]
+    filled = [
+        pa.record_batch(
+            [
+                b.column("doc_ids"), b.column("counts"), b.column("index"),
+                pa.array([w and [list(x) for x in w] for w in b.column("words").to_pylist()], pa.list_(pa.list_(pa.int32()))), b.column("words"),
+            ],
+            names=["doc_ids", "counts", "index", "words_ids", "words_bytes"],
+        )
+        for b in through
+    ]
+    got = {}
+    for out in byte_bpe._to_documents(iter(filled)):
+        for r in out.to_pylist():
+            got[r["doc_id"]] = (r["decoded"].decode(), bytes(np.frombuffer(r["ids"], "<u4").astype(np.uint8)).decode())
+    assert got == {i: (v or "", v or "") for i, v in enumerate(values)}
