@@ -39,12 +39,13 @@ from ridelens.operators.distribution import (  # noqa: F401
 )
 from ridelens.operators.geo import (  # noqa: F401
     area_totals,
-    cell_candidates,
     left_merge,
-    point_areas,
     polygon_edges,
+    quadtree_cover,
     within_join,
 )
+from ridelens.operators.identity import connected_components, station_identity, station_pairs, unify_stations  # noqa: F401
+from ridelens.operators.ordered import ordered, write_ordered  # noqa: F401
 from ridelens.operators.outliers import drop_zscore, zscore, zscore_stats  # noqa: F401
 from ridelens.operators.predicates import (  # noqa: F401
     delete_where,

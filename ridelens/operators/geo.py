@@ -5,20 +5,25 @@ GeoJSON MultiPolygon coordinate array ``ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>``
 (parts -> rings -> points -> [lng, lat]); a Polygon is a MultiPolygon with one
 part. No geometry library is needed:
 
-1. every ring becomes edge rows, each copied into the latitude bands its
-   y-range touches; the bands are cut into square cells, one row per
-   (cell, area). A cell that no edge of the area passes is wholly inside (no
-   edges to test) or wholly outside (no row); a border cell carries the band's
-   edges from the cell eastwards;
-2. the cell table depends on the polygons only, never on the points; after a
-   row-count proof it is broadcast, so the points are not shuffled. Beyond the
-   bound it is written once and joined by shuffle, where adaptive execution
-   splits a crowded cell;
-3. each point meets the rows of its cell; in a border cell an eastward ray
-   counts edge crossings (even-odd rule, which handles holes and the parts of a
-   MultiPolygon) and a point lying on an edge is not *within*. The test is a
-   higher-order function over the row's edges; Spark interprets these, outside
-   generated code, for the points of border cells only.
+1. every polygon is covered by quadtree cells. It starts with the few cells of
+   its own size (a power of two in degrees, at most 2 x 2 of them) and splits
+   those that more than ``MAX_EDGES`` of its edges pass, down to ``LEAST_SIDE``.
+   A cell without edges is wholly inside (kept, nothing to test) or outside (no
+   row). Only crowded cells split, so that the rows of the cover are bounded by
+   edges times depth, whatever the polygon's area. Splitting needs no shuffle;
+2. a cell also knows whether its upper right corner is inside: the point is
+   joined to that corner by a path inside the cell, east and then north, and each
+   local edge that the path crosses changes sides (even-odd, which handles holes
+   and the parts of a MultiPolygon). So a cell holds its own edges only. A point
+   on an edge is not *within*. Cell corners are exact binary fractions;
+3. points probe the few levels that the cover has, by one equi-join each on the
+   cell's number; a cell is one row, so that no join multiplies points. Below a
+   proven bound on its rows and edges the cover is broadcast and the points are
+   not shuffled. Beyond it the probes run on the distinct cells that hold points,
+   and the points join the result once on their own finest cell.
+
+The tests are higher-order functions over a cell's edges; Spark interprets these,
+outside generated code.
 """
 
 from __future__ import annotations
@@ -28,107 +33,143 @@ from pyspark.sql import functions as F
 
 from ridelens.operators._plan import written_map
 
-DEFAULT_BAND = 0.01  # degrees of a cell's side
-# Rows of the cell table and, apart, edges in it that are broadcast at most
+# Edges that a cell may hold before it splits.
+MAX_EDGES = 8
+# Sides of cells are powers of two between these exponents (degrees).
+LARGEST_SIDE, LEAST_SIDE = 9, -11
+# Splits that one pass plans before it writes the cover.
+_SPLITS = 4
+# Rows of the cover and, apart, edges in it that are broadcast at most
 # (about 40 bytes an edge, 100 a row and its attributes).
 MAX_EDGE_ROWS = 500_000
 
 
-def polygon_edges(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ()) -> DataFrame:
-    """One row per (area, edge, band) with the area's bounding box and the
-    ``attrs`` columns carried along.
-
-    The bounding box comes from the coordinate arrays of the row itself, so
-    the whole edge table is one narrow chain of projections: no shuffle, no join.
-    """
-    points = F.flatten(F.flatten(F.col("polygon")))
-    xs = F.transform(points, lambda p: p[0])
-    ys = F.transform(points, lambda p: p[1])
-    parts = areas.select(
-        "area_id",
-        *attrs,
-        F.array_min(xs).alias("bx0"),
-        F.array_max(xs).alias("bx1"),
-        F.array_min(ys).alias("by0"),
-        F.array_max(ys).alias("by1"),
-        F.explode("polygon").alias("part"),
+# The edges of a ring ``r``, closed if it does not repeat its first point. The
+# expressions here are SQL text: each is parsed at once, where Column calls, some
+# hundred of them, would be sent to the JVM one by one.
+_RING_EDGES = """zip_with(
+  slice(r, 1, size(r) - IF(r[0] = r[size(r) - 1], 1, 0)),
+  slice(concat(r, slice(r, 1, 1)), 2, size(r) - IF(r[0] = r[size(r) - 1], 1, 0)),
+  (p, q) -> named_struct('x1', p[0], 'y1', p[1], 'x2', q[0], 'y2', q[1]))"""
+
+
+def polygon_edges(areas: DataFrame, attrs: tuple[str, ...] = ()) -> DataFrame:
+    """area_id, the ``attrs`` columns and the edges of all rings of each area.
+    Rings of fewer than two points have none."""
+    edges = f"flatten(transform(filter(flatten(polygon), r -> size(r) >= 2), r -> {_RING_EDGES}))"
+    return areas.select("area_id", *attrs, F.expr(edges).alias("edges"))
+
+
+def _crossings(edges: str, px: str, py: str, ex: str, ey: str) -> str:
+    """How many edges the path from (px, py) east to x = ex and from there north
+    to y = ey crosses. Points count as a little right of and above where they
+    are, more to the right than above; both legs look at the same products, so
+    an edge through the bend is counted once."""
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    product = lambda x, y: f"(({x} - e.x1) * {dy} - ({y} - e.y1) * {dx})"
+    start, bend, end = product(px, py), product(ex, py), product(ex, ey)
+    up, right = f"({dy} > 0)", f"({dx} > 0)"
+    rising = f"({dy} <> 0 AND {up} = {right})"
+    east = f"(e.y1 > {py}) <> (e.y2 > {py}) AND IF({up}, {start} < 0, {start} > 0) AND IF({up}, {bend} >= 0, {bend} <= 0)"
+    north = (
+        f"(e.x1 > {ex}) <> (e.x2 > {ex}) AND IF({bend} = 0, {rising}, ({bend} > 0) = {right})"
+        f" AND IF({end} = 0, NOT {rising}, ({end} < 0) = {right})"
+    )
+    return f"aggregate({edges}, 0, (n, e) -> n + IF({east}, 1, 0) + IF({north}, 1, 0))"
+
+
+def _touching(edges: str) -> str:
+    """The edges that may meet the closed cell at (x, y) of a side: none that
+    does is left out."""
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    low = f"((x - e.x1) * {dy} - (y - e.y1) * {dx})"
+    # the corners' sides of the line, with room for rounding
+    room = f"((abs({dx}) + abs({dy})) * (abs(e.x1) + abs(e.y1) + abs(x) + abs(y) + side) * 1e-12D)"
+    return f"""filter({edges}, e -> greatest(e.x1, e.x2) >= x AND least(e.x1, e.x2) <= x + side
+      AND greatest(e.y1, e.y2) >= y AND least(e.y1, e.y2) <= y + side
+      AND {low} + least(side * {dy}, 0D) + least(-side * {dx}, 0D) <= {room}
+      AND {low} + greatest(side * {dy}, 0D) + greatest(-side * {dx}, 0D) >= -{room})"""
+
+
+def _cells(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Cells from rows with exponent, column and row, the edges ``within`` that
+    may touch them, a corner (cx, cy) and whether that is ``known`` inside. Rows
+    that ``stay`` are cells already."""
+    placed = rows.withColumn("side", F.expr("pow(2D, exponent)")).withColumns({"x": F.expr("column * side"), "y": F.expr("row * side")})
+    turns = _crossings("within", "(x + side)", "(y + side)", "cx", "cy")
+    return placed.select(
+        *keep,
+        "exponent",
+        "column",
+        "row",
+        F.expr(f"IF(stay, known, known <> ({turns} % 2 = 1))").alias("inside"),
+        F.expr(f"IF(stay, within, {_touching('within')})").alias("edges"),
     )
-    rings = parts.select("area_id", *attrs, "bx0", "bx1", "by0", "by1", F.explode("part").alias("ring"))
-    # Close a ring that does not repeat its first point.
-    closed = F.when(
-        F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")
-    ).otherwise(F.concat(F.col("ring"), F.array(F.element_at("ring", 1))))
-    rings = rings.withColumn("ring", closed).filter(F.size("ring") >= 2)
-    edges = rings.select(
-        "area_id",
-        *attrs,
-        "bx0",
-        "bx1",
-        "by0",
-        "by1",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("ring") - 1),
-                lambda i: F.struct(
-                    F.element_at("ring", i)[0].alias("x1"),
-                    F.element_at("ring", i)[1].alias("y1"),
-                    F.element_at("ring", i + 1)[0].alias("x2"),
-                    F.element_at("ring", i + 1)[1].alias("y2"),
-                ),
-            )
-        ).alias("e"),
-    ).select("area_id", *attrs, "bx0", "bx1", "by0", "by1", "e.x1", "e.y1", "e.x2", "e.y2")
-    lo = F.floor(F.least("y1", "y2") / band)
-    hi = F.floor(F.greatest("y1", "y2") / band)
-    return edges.withColumn("band", F.explode(F.sequence(lo, hi)))
-
-
-def _crossings(edges, px, py):
-    """How many edges an eastward ray from the point crosses."""
-
-    def crosses(e):
-        straddles = (e["y1"] > py) != (e["y2"] > py)
-        # Horizontal edges never straddle; try_divide keeps their crossing
-        # NULL instead of relying on short-circuit evaluation under ANSI.
-        x_cross = e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
-        return F.coalesce(straddles & (px < x_cross), F.lit(False))
-
-    return F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0))
-
 
-def cell_candidates(areas: DataFrame, band: float = DEFAULT_BAND, attrs: tuple[str, ...] = ("community",)) -> DataFrame:
-    """One row per (cell, area) for the cells that the area touches: band and
-    column of the cell, area_id, attributes, and ``edges`` of a border cell
-    (NULL: the cell is wholly inside).
 
-    ``collect_list`` gathers one polygon's edges of one band."""
-    edges = polygon_edges(areas, band, attrs)
-    per_band = edges.groupBy("band", "area_id", "bx0", "bx1", *attrs).agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
-    )
-    columns = F.sequence(F.floor(F.col("bx0") / band), F.floor(F.col("bx1") / band))
-    cells = per_band.withColumn("column", F.explode(columns))
-    low = lambda e: F.floor(F.least(e["x1"], e["x2"]) / band)
-    high = lambda e: F.floor(F.greatest(e["x1"], e["x2"]) / band)
-    border = F.exists("edges", lambda e: F.col("column").between(low(e), high(e)))
-    # without an edge in it, a cell is inside as its centre is
-    centre = _crossings(F.col("edges"), (F.col("column") + 0.5) * band, (F.col("band") + 0.5) * band) % 2 == 1
-    eastward = F.filter("edges", lambda e: high(e) >= F.col("column"))
-    cells = cells.withColumn("border", border).where(F.col("border") | centre)
-    return cells.select("band", "column", "area_id", *attrs, F.when(F.col("border"), eastward).alias("edges"))
+def quadtree_cover(areas: DataFrame, max_edges: int = MAX_EDGES, attrs: tuple[str, ...] = ("community",)) -> DataFrame:
+    """One row per (cell, area): ``exponent`` (the cell's side is 2^exponent
+    degrees), ``column`` and ``row``, ``inside`` (its upper right corner),
+    ``edges``, area_id and the attributes. Coordinates beyond 2^9 degrees in
+    size are refused."""
+    keep = ["area_id", *attrs]
+    rows = polygon_edges(areas, attrs).where("size(edges) > 0")
+    bounds = {
+        f"b{c}{k}": F.expr(f"array_{how}(flatten(transform(edges, e -> array(e.{c}1, e.{c}2))))") for c in "xy" for k, how in enumerate(("min", "max"))
+    }
+    rows = rows.withColumns(bounds)
+    refused = "raise_error('coordinates beyond 512 degrees')"
+    extent = f"greatest(bx1 - bx0, by1 - by0, {2.0**LEAST_SIDE!r}D)"
+    fits = f"greatest(abs(bx0), abs(bx1), abs(by0), abs(by1)) <= {2.0**LARGEST_SIDE!r}D"
+    rows = rows.withColumn("exponent", F.expr(f"IF({fits}, least(ceil(log2({extent})), {LARGEST_SIDE}), {refused})").cast("int"))
+    rows = rows.withColumn("side", F.expr("pow(2D, exponent)"))
+    span = lambda c: F.explode(F.expr(f"sequence(floor(b{c}0 / side), floor(b{c}1 / side))"))
+    rows = rows.withColumn("column", span("x")).withColumn("row", span("y"))
+    # beyond all edges every place is outside
+    far = F.lit(4.0 * 2**LARGEST_SIDE)
+    rows = rows.withColumns({"within": F.col("edges"), "cx": far, "cy": far, "known": F.lit(False), "stay": F.lit(False)})
+    cells = _cells(rows, keep)
+    open_ = f"(size(edges) > {max_edges} AND exponent > {LEAST_SIDE})"
+    while True:
+        cells = written_map(cells.where("inside OR size(edges) > 0"), "area_cells")
+        if not cells.where(open_).limit(1).count():
+            return cells
+        for _ in range(_SPLITS):
+            parts = cells.withColumn("part", F.explode(F.expr(f"IF({open_}, sequence(0, 3), array(-1))")))
+            quarters = parts.select(
+                *keep,
+                F.expr("IF(part < 0, exponent, exponent - 1)").alias("exponent"),
+                F.expr("IF(part < 0, column, column * 2 + part % 2)").alias("column"),
+                F.expr("IF(part < 0, row, row * 2 + part div 2)").alias("row"),
+                F.col("edges").alias("within"),
+                F.expr("(column + 1) * pow(2D, exponent)").alias("cx"),
+                F.expr("(row + 1) * pow(2D, exponent)").alias("cy"),
+                F.col("inside").alias("known"),
+                F.expr("part < 0").alias("stay"),
+            )
+            cells = _cells(quarters, keep).where("inside OR size(edges) > 0")
 
 
-def _contains(edges, px, py):
-    """Strictly inside by the even-odd rule; NULL edges: a cell wholly inside."""
+def _probe(points: DataFrame, levels: list[int], by_level: dict[int, DataFrame], cx: str, cy: str) -> DataFrame:
+    """The points with a column ``__at<k>`` for each level: the candidate areas
+    of their cell, or NULL. ``cx`` and ``cy`` place a point."""
+    for k, e in enumerate(levels):
+        side = f"{2.0**e!r}D"
+        cells = by_level[e].select(F.col("column").alias("__c"), F.col("row").alias("__r"), F.col("__areas").alias(f"__at{k}"))
+        met = F.expr(f"floor({cx} / {side}) = __c AND floor({cy} / {side}) = __r")
+        points = points.join(cells, met, "left").drop("__c", "__r")
+    return points
 
-    def on_edge(e):
-        return (
-            ((e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"]))
-            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
 
-    return edges.isNull() | ((_crossings(edges, px, py) % 2 == 1) & ~F.exists(edges, on_edge))
+def _hits(k: int, attrs: tuple[str, ...]) -> str:
+    """The candidate areas of a level that contain the point strictly, without
+    their edges."""
+    turns = _crossings("a.edges", "__px", "__py", f"__ex{k}", f"__ey{k}")
+    on_edge = """exists(a.edges, e -> (e.x2 - e.x1) * (__py - e.y1) = (e.y2 - e.y1) * (__px - e.x1)
+      AND __px BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND __py BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))"""
+    fields = ", ".join(f"'{c}', a.{c}" for c in ("area_id", *attrs))
+    inside = f"filter(__at{k}, a -> a.inside <> ({turns} % 2 = 1) AND NOT {on_edge})"
+    return f"transform({inside}, a -> named_struct({fields}))"
 
 
 def within_join(
@@ -137,44 +178,54 @@ def within_join(
     x: str = "lng",
     y: str = "lat",
     how: str = "left",
-    band: float = DEFAULT_BAND,
+    max_edges: int = MAX_EDGES,
     attrs: tuple[str, ...] = ("community",),
     max_broadcast_rows: int = MAX_EDGE_ROWS,
 ) -> DataFrame:
     """Spatial join of points to the areas containing them.
 
-    Every point meets the (cell, area) rows of its cell and keeps those that
-    contain it, as part of the join condition, so duplicates keep their
-    multiplicity. ``how="left"``: a point in no area keeps NULL attributes; a
-    point in several areas appears once per area."""
+    Every point keeps the areas of its cells that contain it, so duplicates keep
+    their multiplicity. ``how="left"``: a point in no area keeps NULL attributes;
+    a point in several areas appears once per area. A point with a NULL, infinite
+    or NaN coordinate is in no area."""
     clash = [c for c in ("area_id", *attrs) if c in points.columns]
     if clash:
         raise ValueError(f"points already have columns {clash}; rename them before the spatial join")
-    cells = cell_candidates(areas, band, attrs)
-    cells = written_map(cells.select(*[F.col(c).alias(f"__c_{c}") for c in cells.columns]), "area_cells")
-    size = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("__c_edges")).alias("edges")).first()
-    if max(size.rows, size.edges or 0) <= max_broadcast_rows:
-        cells = F.broadcast(cells)
+    cover = quadtree_cover(areas, max_edges, attrs)
+    facts = cover.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.size("edges")).alias("edges"), F.collect_set("exponent").alias("levels")
+    ).first()
+    levels = sorted(facts.levels)  # between LEAST_SIDE and LARGEST_SIDE
+    if not levels:
+        types = dict(areas.dtypes)
+        none = [F.lit(None).cast(types[c]).alias(c) for c in ("area_id", *attrs)]
+        return points.select(*points.columns, *none).where(F.lit(how == "left"))
+    area = F.struct("area_id", *attrs, "inside", "edges")
+    cells = written_map(cover.groupBy("exponent", "column", "row").agg(F.collect_list(area).alias("__areas")), "cover")
+    by_level = {e: cells.where(F.col("exponent") == e).drop("exponent") for e in levels}
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    met = (
-        (F.floor(py / band) == F.col("__c_band"))
-        & (F.floor(px / band) == F.col("__c_column"))
-        & _contains(F.col("__c_edges"), px, py)
-    )
-    joined = points.join(cells, met, "left" if how == "left" else "inner")
-    return joined.select(*points.columns, *[F.col(f"__c_{c}").alias(c) for c in ("area_id", *attrs)])
-
-
-def point_areas(
-    coords: DataFrame,
-    areas: DataFrame,
-    x: str = "lng",
-    y: str = "lat",
-    band: float = DEFAULT_BAND,
-) -> DataFrame:
-    """(x, y, area_id) for every distinct coordinate strictly inside an area."""
-    pts = coords.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).dropna().distinct()
-    return within_join(pts, areas, x, y, how="inner", band=band, attrs=()).select(x, y, "area_id")
+    fine = (F.abs(px) <= 2.0**LARGEST_SIDE) & (F.abs(py) <= 2.0**LARGEST_SIDE)
+    placed = points.withColumns({"__px": F.when(fine, px), "__py": F.when(fine, py)})
+    if max(facts.rows, facts.edges or 0) <= max_broadcast_rows:
+        probed = _probe(placed, levels, {e: F.broadcast(c) for e, c in by_level.items()}, "__px", "__py")
+    else:
+        # one row for each finest cell that holds points
+        least = f"{2.0 ** levels[0]!r}D"
+        own = placed.select(F.expr(f"floor(__px / {least})").alias("__x"), F.expr(f"floor(__py / {least})").alias("__y"))
+        own = own.where("__x IS NOT NULL AND __y IS NOT NULL").distinct()
+        found = _probe(own, levels, by_level, f"(__x * {least})", f"(__y * {least})")
+        some = " OR ".join(f"__at{k} IS NOT NULL" for k in range(len(levels)))
+        found = written_map(found.where(some), "point_cells")
+        probed = placed.join(found, F.expr(f"floor(__px / {least}) = __x AND floor(__py / {least}) = __y"), "left")
+    corners = {
+        f"__e{c}{k}": F.expr(f"(floor(__p{c} / {2.0**e!r}D) + 1) * {2.0**e!r}D") for k, e in enumerate(levels) for c in "xy"
+    }
+    types = dict(cover.dtypes)
+    nothing = F.array().cast("array<struct<" + ",".join(f"{c}:{types[c]}" for c in ("area_id", *attrs)) + ">>")
+    hits = F.concat(*(F.coalesce(F.expr(_hits(k, attrs)), nothing) for k in range(len(levels))))
+    opened = (F.explode_outer if how == "left" else F.explode)(hits)
+    found = probed.withColumns(corners).select(*points.columns, opened.alias("__area"))
+    return found.select(*points.columns, *[F.col(f"__area.{c}").alias(c) for c in ("area_id", *attrs)])
 
 
 def area_totals(
@@ -183,7 +234,7 @@ def area_totals(
     n: str = "n_trips",
     x: str = "lng",
     y: str = "lat",
-    band: float = DEFAULT_BAND,
+    max_edges: int = MAX_EDGES,
 ) -> DataFrame:
     """Trips per area with zero for areas without trips.
 
@@ -191,7 +242,7 @@ def area_totals(
     are summed per community (``sum(na.rm = TRUE)``, partial aggregation),
     merged onto every area, and a missing total becomes 0.
     """
-    hits = within_join(points.select(x, y, n), areas, x, y, how="inner", band=band)
+    hits = within_join(points.select(x, y, n), areas, x, y, how="inner", max_edges=max_edges)
     totals = hits.groupBy("community").agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n))
     return left_merge(areas.select("area_id", "community"), totals, "community").fillna({n: 0})
 

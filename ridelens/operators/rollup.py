@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.schema import MONTH_LEVELS, WEEKDAY_LEVELS
@@ -24,6 +24,7 @@ from ridelens.functions.scalar import (
     segment_label,
     weekday_order,
 )
+from ridelens.operators.ordered import ordered as ordered_rows
 
 TIME_KEYS = ["year", "month", "weekday", "hour"]
 
@@ -135,11 +136,10 @@ def station_trips(
 
 def top_stations(stations: DataFrame, n: int | None = None, name: str = "start_station_name") -> DataFrame:
     """Stations by trips, descending, name as tie-break, with their ``rank``;
-    all of them, or the first ``n`` (O3). The window is over stations, one row
-    per name."""
-    order = Window.orderBy(F.desc("n_trips"), F.asc(name))
-    out = stations.withColumn("rank", F.row_number().over(order)).orderBy("rank")
-    return out.limit(n) if n is not None else out
+    all of them, or the first ``n`` (O3). Ranked by ranges, not in one task."""
+    out = ordered_rows(stations, [F.desc("n_trips"), F.asc(name)], position="rank")
+    out = out.withColumn("rank", F.col("rank").cast("int")).orderBy("rank")
+    return out.where(F.col("rank") <= n) if n is not None else out
 
 
 def frequency(rides: DataFrame, keys: Sequence[str] = ("member", "rideable_type")) -> DataFrame:

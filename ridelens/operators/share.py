@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ridelens.functions.scalar import segment_label_raw
 from ridelens.operators._plan import scalar_of
+from ridelens.operators.ordered import ordered
 
 
 def share_of_total(df: DataFrame, n: str = "n_trips", out: str = "percent") -> DataFrame:
@@ -58,7 +59,8 @@ def share_segments(legacy: DataFrame) -> DataFrame:
     return out
 
 
-def cumulative(df: DataFrame, col: str, order: Sequence, out: str | None = None) -> DataFrame:
-    """Running total of ``col`` in ``order`` (W2), for small frames."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out or f"cum_{col}", F.sum(col).over(w))
+def cumulative(df: DataFrame, col: str, order: Sequence, out: str | None = None, before: str | None = None) -> DataFrame:
+    """Running total of ``col`` in ``order`` (W2) and, in ``before``, the total
+    of the rows before (W3), over a frame of any size: range partitions and
+    their totals, no window over the whole frame."""
+    return ordered(df, order, position=None, totals={out or f"cum_{col}": col}, lags={before: col} if before else None)

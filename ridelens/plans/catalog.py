@@ -8,17 +8,21 @@ change the value compared by the SQL oracle.
 
 from __future__ import annotations
 
+import posixpath
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelens.functions.scalar import bike_label, haversine_m, member_label, to_minutes
+from ridelens.functions.scalar import bike_label, haversine_m, member_label, minutes_between, to_minutes
 from ridelens.operators.clean import clean_trips, drop_all_duplicates, duplicate_keys, keep_in, null_audit
 from ridelens.operators.conform import canonical_id, canonical_name, conflict_audit, distinct_count
 from ridelens.operators.derive import derive_rides, derive_rides_legacy, type_timestamps, type_trips
 from ridelens.operators.distribution import boxplot_outliers, boxplot_stats, histogram
 from ridelens.operators.geo import area_totals, within_join
+from ridelens.operators.identity import station_identity, unify_stations
+from ridelens.operators.ordered import ordered, write_ordered
 from ridelens.operators.outliers import drop_zscore
 from ridelens.operators.predicates import (
     delete_where,
@@ -57,6 +61,7 @@ from ridelens.schema import (
     PUBLIC_RACK_PREFIX,
     TEMPORARY_SUFFIX,
 )
+from ridelens.session import ensure_checkpoint_dir
 from ridelens.sources.files import month_names, preview, union_months
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +294,32 @@ def q_share_segments(spark, sf_dir):
     return _round(share_segments(data), ["percent", "ymax", "ymin", "labpos"])
 
 
+# -- orders -------------------------------------------------------------------
+
+
+def q_running_minutes(spark, sf_dir):
+    t = _dedup(spark, sf_dir)
+    rows = t.select("ride_id", "started_at", minutes_between("started_at", "ended_at").alias("minutes"))
+    return ordered(rows, ["started_at", "ride_id"], totals={"cum_minutes": "minutes"}, lags={"minutes_before": "minutes"})
+
+
+def _in_order(spark, df, name, order):
+    path = posixpath.join(ensure_checkpoint_dir(spark), "ordered", f"{name}-{uuid.uuid4().hex}")
+    return write_ordered(df, path, order)
+
+
+def q_time_rollup_ordered(spark, sf_dir):
+    order = ["year", "month", "weekday", "hour", "type", "member", "rideable_type"]
+    return _in_order(spark, time_rollup(_rides(spark, sf_dir)), "time_rollup", order)
+
+
+def q_time_rollup_legacy_ordered(spark, sf_dir):
+    data_time = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["data_time"]
+    levels = [F.asc("year"), F.asc_nulls_last("month_level"), F.asc_nulls_last("weekday_level")]
+    order = [*levels, F.asc("hour_of_day"), F.asc("rideable_type"), F.asc("member_casual")]
+    return _in_order(spark, data_time, "time_rollup_legacy", order)
+
+
 # -- distributions ----------------------------------------------------------
 
 
@@ -402,6 +433,25 @@ def q_canonical_name(spark, sf_dir):
     )
 
 
+def q_canonical_name_end(spark, sf_dir):
+    return canonical_name(
+        _legacy_fixed(spark, sf_dir),
+        "end_station_id",
+        "end_station_name",
+        strategy="max",
+        exclude=[PUBLIC_RACK_PREFIX, TEMPORARY_SUFFIX],
+        how="all",
+    )
+
+
+def q_station_identity(spark, sf_dir):
+    return station_identity(_legacy_trimmed(spark, sf_dir), exclude=[PUBLIC_RACK_PREFIX, TEMPORARY_SUFFIX])
+
+
+def q_unify_stations(spark, sf_dir):
+    return unify_stations(_legacy_trimmed(spark, sf_dir), exclude=[PUBLIC_RACK_PREFIX, TEMPORARY_SUFFIX])
+
+
 def q_legacy_rides(spark, sf_dir):
     return legacy_rides(_views(spark, sf_dir)["trips_raw"])
 

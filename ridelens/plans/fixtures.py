@@ -3,7 +3,7 @@
 ``events`` becomes a month-spread trip log with the defects the cleaning
 operators exist for (NULLs, blanks, duplicated keys, suffixed station names,
 conflicting ids); ``nation`` becomes a published station list and ``region``
-a set of rectangular areas. Every row of ``events`` is used, so the work of
+a set of areas, holed, concave and in parts. Every row of ``events`` is used, so the work of
 every query grows with the table.
 """
 
@@ -127,19 +127,30 @@ def stations_raw_from_nation(nation: DataFrame) -> DataFrame:
 
 
 def areas_from_region(region: DataFrame) -> DataFrame:
-    """One rectangle per region: lng -88..-87, lat y0..y0+0.08 with
-    ``y0 = 41.64 + 0.08 r``; region 4 is moved 5 degrees north so that it
-    holds no station (the zero-fill case)."""
+    """One area per region between lng -88 and -87 and lat y0 and y1, with
+    ``y0 = 41.64 + 0.08 r`` and ``y1 = y0 + 0.08``, of a shape of its own:
+    r = 0 has a triangular hole, r = 1 a notch cut from the west (concave), r = 2
+    is two parts, a rectangle and a triangle, and others are rectangles. Region 4
+    is moved 5 degrees north so that it holds no station (the zero-fill case)."""
     r = F.col("r_regionkey")
     y0 = F.lit(41.64) + F.lit(0.08) * r + F.when(r == 4, F.lit(5.0)).otherwise(F.lit(0.0))
     y1 = y0 + F.lit(0.08)
+    at = lambda k: y0 + F.lit(k)
     pt = lambda x, y: F.array(F.lit(x), y)
     ring = F.array(pt(-88.0, y0), pt(-87.0, y0), pt(-87.0, y1), pt(-88.0, y1), pt(-88.0, y0))
-    return region.select(
-        r.cast("long").alias("area_id"),
-        F.col("r_name").alias("community"),
-        F.array(F.array(ring)).alias("polygon"),
+    hole = F.array(pt(-87.91, at(0.02)), pt(-87.86, at(0.02)), pt(-87.885, at(0.06)), pt(-87.91, at(0.02)))
+    notched = F.array(
+        pt(-88.0, y0), pt(-87.0, y0), pt(-87.0, y1), pt(-88.0, y1), pt(-88.0, at(0.06)), pt(-87.79, at(0.05)), pt(-88.0, at(0.04)), pt(-88.0, y0)
     )
+    low = F.array(pt(-88.0, y0), pt(-87.0, y0), pt(-87.0, at(0.04)), pt(-88.0, at(0.04)), pt(-88.0, y0))
+    high = F.array(pt(-87.75, at(0.06)), pt(-87.72, at(0.06)), pt(-87.735, y1), pt(-87.75, at(0.06)))
+    shape = (
+        F.when(r == 0, F.array(F.array(ring, hole)))
+        .when(r == 1, F.array(F.array(notched)))
+        .when(r == 2, F.array(F.array(low), F.array(high)))
+        .otherwise(F.array(F.array(ring)))
+    )
+    return region.select(r.cast("long").alias("area_id"), F.col("r_name").alias("community"), shape.alias("polygon"))
 
 
 TRIPS_TABLE_SCHEMA = T.StructType(TRIPS_RAW.fields + [T.StructField("source_month", T.StringType())])

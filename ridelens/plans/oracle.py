@@ -296,19 +296,42 @@ _cte(
 FROM lfix_end GROUP BY start_station_name HAVING start_station_name != ''""",
 )
 
-# Areas: rectangles built from the regions.
+# Areas, by half-planes: a box less a closed triangle, a box less a notch, two
+# parts, and plain boxes.
 _cte(
     "areas",
     [],
-    """SELECT CAST(r_regionkey AS BIGINT) AS area_id, r_name AS community,
-  41.64::DOUBLE + 0.08::DOUBLE * r_regionkey + CASE WHEN r_regionkey = 4 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS y0,
-  41.64::DOUBLE + 0.08::DOUBLE * r_regionkey + CASE WHEN r_regionkey = 4 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END
-    + 0.08::DOUBLE AS y1,
-  -88.0::DOUBLE AS x0, -87.0::DOUBLE AS x1
+    """SELECT CAST(r_regionkey AS BIGINT) AS area_id, r_name AS community, r_regionkey AS kind,
+  41.64::DOUBLE + 0.08::DOUBLE * r_regionkey + CASE WHEN r_regionkey = 4 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS y0
 FROM region""",
 )
 
 
+def left_of(x: str, y: str, a: tuple[float, float], b: tuple[float, float]) -> str:
+    """The point's side of the line from a to b (heights above the area's
+    foot): above 0 to the left."""
+    (ax, ay), (bx, by) = a, b
+    return f"(({bx - ax!r}::DOUBLE) * ({y} - a.y0 - {ay!r}::DOUBLE) - ({by - ay!r}::DOUBLE) * ({x} - ({ax!r}::DOUBLE)))"
+
+
+def within(x: str, y: str) -> str:
+    """Strictly inside area ``a``."""
+
+    def box(top: float) -> str:
+        return f"({x} > -88.0 AND {x} < -87.0 AND {y} > a.y0 AND {y} < a.y0 + {top}::DOUBLE)"
+
+    def turn(corners: list[tuple[float, float]], sign: str) -> str:
+        return " AND ".join(f"{left_of(x, y, p, q)} {sign} 0" for p, q in zip(corners, corners[1:]))
+
+    hole = [(-87.91, 0.02), (-87.86, 0.02), (-87.885, 0.06), (-87.91, 0.02)]
+    notch = [(-88.0, 0.04), (-87.79, 0.05), (-88.0, 0.06)]
+    part = [(-87.75, 0.06), (-87.72, 0.06), (-87.735, 0.08), (-87.75, 0.06)]
+    return f"""(CASE a.kind WHEN 0 THEN {box(0.08)} AND NOT ({turn(hole, ">=")})
+    WHEN 1 THEN {box(0.08)} AND NOT ({turn(notch, ">=")})
+    WHEN 2 THEN {box(0.04)} OR ({turn(part, ">")})
+    ELSE {box(0.08)} END)"""
+
+
 def station_rollup(src: str) -> str:
     return f"""SELECT start_station_name, member, count(*) AS n_trips,
   avg(CAST(start_lng AS DOUBLE)) AS lng, avg(CAST(start_lat AS DOUBLE)) AS lat, count(*) / 1000.0 AS n_trips_k
@@ -320,10 +343,9 @@ _cte("st_member_all", ["rides_all"], station_rollup("rides_all"))
 
 
 def area_totals(points: str) -> str:
-    # A point strictly inside a rectangle; a boundary point is not within.
     return f"""SELECT a.area_id, a.community, coalesce(t.n_trips, 0) AS n_trips FROM areas a LEFT JOIN (
   SELECT a.community, CAST(coalesce(sum(p.n_trips), 0) AS BIGINT) AS n_trips
-  FROM {points} p JOIN areas a ON p.lng > a.x0 AND p.lng < a.x1 AND p.lat > a.y0 AND p.lat < a.y1
+  FROM {points} p JOIN areas a ON {within("p.lng", "p.lat")}
   GROUP BY a.community) t ON a.community = t.community"""
 
 
@@ -581,6 +603,23 @@ FROM l""",
 )
 
 
+_q(
+    "running_minutes",
+    ["dedup"],
+    """SELECT ride_id, started_at, date_sub('minute', started_at, ended_at) AS minutes, row_number() OVER w AS position,
+  CAST(sum(date_sub('minute', started_at, ended_at)) OVER w AS BIGINT) AS cum_minutes,
+  CAST(sum(date_sub('minute', started_at, ended_at)) OVER w AS BIGINT) - date_sub('minute', started_at, ended_at) AS minutes_before
+FROM dedup WINDOW w AS (ORDER BY started_at, ride_id)""",
+)
+_q(
+    "time_rollup_ordered",
+    ["time_rollup"],
+    "SELECT *, row_number() OVER (ORDER BY year, month, weekday, hour, type, member, rideable_type) AS position FROM time_rollup",
+)
+SQL["time_rollup_legacy_ordered"] = f"""SELECT *, row_number() OVER (ORDER BY year, month_level NULLS LAST, weekday_level NULLS LAST,
+  hour_of_day, rideable_type NULLS FIRST, member_casual NULLS FIRST) AS position FROM ({SQL["time_rollup_legacy"]})"""
+
+
 def histogram_sql(by: list[str]) -> str:
     keys = ", ".join(by)
     return f"""SELECT {keys}, bin, CAST(sum(cnt) AS BIGINT) AS n, bin - 1.0 AS xmin, bin + 1.0 AS xmax FROM (
@@ -698,17 +737,19 @@ FROM dedup GROUP BY start_station_name""",
 )
 _q("canonical_id_start", ["lfix_start"], "SELECT * FROM lfix_start")
 _q("canonical_id_end", ["ltrim"], "SELECT * FROM (" + _fix_id("ltrim", "end_station_name", "end_station_id") + ")")
-_q(
-    "canonical_name",
-    ["lfix_end"],
-    """SELECT t.member_casual, t.rideable_type, t.trip_duration, t.hour_of_day, t.day_of_week, t.month, t.year,
-  CASE WHEN t.start_station_name != m.main THEN m.main ELSE t.start_station_name END AS start_station_name,
-  t.start_station_id, t.end_station_name, t.end_station_id, t.start_lat, t.start_lng, t.end_lat, t.end_lng
+
+
+def canonical_name_sql(side: str) -> str:
+    name, sid = f"{side}_station_name", f"{side}_station_id"
+    return f"""SELECT t.* REPLACE (CASE WHEN t.{name} != m.main THEN m.main ELSE t.{name} END AS {name})
 FROM lfix_end t LEFT JOIN (
-  SELECT start_station_id, max(start_station_name) AS main FROM lfix_end
-  WHERE start_station_name NOT LIKE 'Public Rack%' AND start_station_name NOT LIKE '%TEMPORARY)'
-  GROUP BY start_station_id) m ON t.start_station_id = m.start_station_id""",
-)
+  SELECT {sid}, max({name}) AS main FROM lfix_end
+  WHERE {name} NOT LIKE 'Public Rack%' AND {name} NOT LIKE '%TEMPORARY)'
+  GROUP BY {sid}) m ON t.{sid} = m.{sid}"""
+
+
+_q("canonical_name", ["lfix_end"], canonical_name_sql("start"))
+_q("canonical_name_end", ["lfix_end"], canonical_name_sql("end"))
 _q(
     "canonical_id_mode",
     ["ltrim"],
@@ -723,6 +764,56 @@ FROM ltrim t LEFT JOIN (
     FROM ltrim WHERE start_station_id IS NOT NULL GROUP BY start_station_name, start_station_id)
   WHERE rn = 1) m ON t.start_station_name = m.start_station_name""",
 )
+# Stations as sets of ids that some name joins: every pair of ids reached.
+_cte(
+    "stops",
+    ["ltrim"],
+    """SELECT start_station_name AS name, start_station_id AS id FROM ltrim
+  WHERE start_station_name != '' AND start_station_id != ''
+  UNION ALL SELECT end_station_name, end_station_id FROM ltrim WHERE end_station_name != '' AND end_station_id != ''""",
+)
+STATIONS = """WITH RECURSIVE pairs AS (SELECT DISTINCT name, id FROM stops),
+reach(id, other) AS (
+  SELECT id, id FROM pairs
+  UNION SELECT r.id, q.id FROM reach r JOIN pairs p ON p.id = r.other JOIN pairs q ON q.name = p.name),
+part AS (SELECT id, min(other) AS component FROM reach GROUP BY id),
+own AS (SELECT s.name, s.id, p.component FROM stops s JOIN part p ON p.id = s.id),
+best_id AS (
+  SELECT component, id AS canonical_id FROM (SELECT component, id, count(*) AS n FROM own GROUP BY component, id)
+  QUALIFY row_number() OVER (PARTITION BY component ORDER BY n DESC, id) = 1),
+best_name AS (
+  SELECT component, name AS canonical_name FROM (SELECT component, name, count(*) AS n FROM own GROUP BY component, name)
+  QUALIFY row_number() OVER (PARTITION BY component ORDER BY name LIKE 'Public Rack%' OR name LIKE '%TEMPORARY)', n DESC, name) = 1),
+known AS (SELECT DISTINCT name, id, component, canonical_id, canonical_name FROM own JOIN best_id USING (component) JOIN best_name USING (component))
+"""
+_q(
+    "station_identity",
+    ["stops"],
+    STATIONS
+    + """SELECT component, any_value(canonical_id) AS canonical_id, any_value(canonical_name) AS canonical_name,
+  count(DISTINCT id) AS n_ids, count(DISTINCT name) AS n_names,
+  (SELECT count(*) FROM own o WHERE o.component = k.component) AS n_trips
+FROM known k GROUP BY component""",
+)
+
+
+def unified(side: str) -> tuple[str, str]:
+    """The canonical id and name on one side: by name, else by id."""
+    name, sid = f"{side}_station_name", f"{side}_station_id"
+
+    def pick(c: str, own: str) -> str:
+        return f"""CASE WHEN t.{name} IN (SELECT name FROM known) THEN (SELECT min(k.{c}) FROM known k WHERE k.name = t.{name})
+    WHEN coalesce(t.{name}, '') = '' AND t.{sid} IN (SELECT id FROM known)
+    THEN (SELECT min(k.{c}) FROM known k WHERE k.id = t.{sid}) ELSE t.{own} END AS {own}"""
+
+    return pick("canonical_name", name), pick("canonical_id", sid)
+
+
+_q(
+    "unify_stations",
+    ["ltrim", "stops"],
+    STATIONS + f"SELECT t.* REPLACE ({', '.join([*unified('start'), *unified('end')])}) FROM ltrim t",
+)
 _q("legacy_rides", ["lfix_end"], "SELECT * FROM lfix_end")
 _q("legacy_report", ["lreport"], "SELECT * FROM lreport")
 _q(
@@ -730,14 +821,15 @@ _q(
     ["st_member", "areas"],
     """SELECT p.start_station_name, p.member, p.n_trips, round(p.lng, 6) AS lng, round(p.lat, 6) AS lat, p.n_trips_k,
   a.area_id, a.community
-FROM st_member p LEFT JOIN areas a ON p.lng > a.x0 AND p.lng < a.x1 AND p.lat > a.y0 AND p.lat < a.y1""",
+FROM st_member p LEFT JOIN areas a ON """
+    + within("p.lng", "p.lat"),
 )
 _q(
     "within_join_rides",
     ["rides", "areas"],
     """SELECT r.member, r.rideable_type, r.duration, r.start_station_name, r.start_lng, r.start_lat, a.area_id, a.community
-FROM rides r LEFT JOIN areas a ON CAST(r.start_lng AS DOUBLE) > a.x0 AND CAST(r.start_lng AS DOUBLE) < a.x1
-  AND CAST(r.start_lat AS DOUBLE) > a.y0 AND CAST(r.start_lat AS DOUBLE) < a.y1""",
+FROM rides r LEFT JOIN areas a ON """
+    + within("CAST(r.start_lng AS DOUBLE)", "CAST(r.start_lat AS DOUBLE)"),
 )
 _q("area_totals", ["st_member_all", "areas"], area_totals("st_member_all"))
 _q("area_trips", ["st_member", "areas"], area_totals("st_member"))

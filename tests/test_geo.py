@@ -1,12 +1,13 @@
 """Point-in-polygon join and area totals."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from ridelens.operators.geo import area_totals, point_areas, polygon_edges, within_join
+from ridelens.operators.geo import area_totals, polygon_edges, quadtree_cover, within_join
 
 SQUARE = [[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]]
 HOLE = [[1.0, 1.0], [3.0, 1.0], [3.0, 3.0], [1.0, 3.0], [1.0, 1.0]]
@@ -89,8 +90,8 @@ def test_random_points_match_brute_force(spark, areas):
     df = spark.createDataFrame(pts, "id int, lng double, lat double")
     polys = {r.area_id: r.polygon for r in areas.collect()}
     expected = sorted((i, a) for i, x, y in pts for a, poly in polys.items() if _brute(x, y, poly))
-    for band in (0.01, 0.37, 5.0):
-        got = sorted((r.id, r.area_id) for r in within_join(df, areas, band=band).filter(F.col("area_id").isNotNull()).collect())
+    for most in (2, 100):
+        got = sorted((r.id, r.area_id) for r in within_join(df, areas, max_edges=most).filter(F.col("area_id").isNotNull()).collect())
         assert got == expected
 
 
@@ -106,10 +107,11 @@ def test_area_totals_zero_fill_and_balance(spark, areas):
 
 
 def test_edges_and_broadcast(spark, areas):
-    edges = polygon_edges(areas)
-    assert edges.select("area_id", "x1", "y1", "x2", "y2").distinct().count() == 8 + 8 + 4 + 4 + 3
+    edges = {r.area_id: len(r.edges) for r in polygon_edges(areas).collect()}
+    assert edges == {0: 8, 1: 8, 2: 8, 3: 3}
     pts = spark.createDataFrame([(0.5, 0.5)], "lng double, lat double")
-    assert "BroadcastHashJoin" in plan_of(point_areas(pts, areas))
+    plan = plan_of(within_join(pts, areas))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
 def test_within_join_without_broadcast_equals_broadcast(spark, areas):
@@ -118,3 +120,50 @@ def test_within_join_without_broadcast_equals_broadcast(spark, areas):
     a = sorted((r.id, r.area_id) for r in within_join(pts, areas).collect())
     b = sorted((r.id, r.area_id) for r in within_join(pts, areas, max_broadcast_rows=0).collect())
     assert a == b
+
+
+def _circle(n, x, y, r):
+    return [[x + r * math.cos(2 * math.pi * k / n), y + r * math.sin(2 * math.pi * k / n)] for k in range(n)]
+
+
+def test_cover_grows_with_edges_not_with_area(spark):
+    schema = "area_id long, community string, polygon array<array<array<array<double>>>>"
+    for n, radius in ((4, 80.0), (600, 80.0), (600, 0.08)):
+        areas = spark.createDataFrame([(0, "round", [[_circle(n, 0.3, 0.7, radius)]])], schema)
+        cover = quadtree_cover(areas).collect()
+        depth = max(r.exponent for r in cover) - min(r.exponent for r in cover) + 1
+        assert len(cover) <= n * depth
+        assert max(len(r.edges) for r in cover) <= 8
+
+
+def test_deep_cover_matches_brute_force_on_grid_and_boundary(spark):
+    """Vertices and points on cell borders and corners, at every split depth."""
+    comb = [[0.0, 0.0], [8.0, 0.0]] + [p for k in range(15, 0, -1) for p in ([k / 2, 0.25 + 3.75 * (k % 2)],)] + [[0.0, 4.0]]
+    polys = [(0, "comb", [[comb]]), (1, "ring", [[_circle(200, 2.0, 2.0, 2.0), _circle(90, 2.0, 2.0, 1.0)]]), (2, "dot", [[[[5.0, 5.0]]]])]
+    areas = spark.createDataFrame(polys, "area_id long, community string, polygon array<array<array<array<double>>>>")
+    pts = [(i, x / 8, y / 8) for i, (x, y) in enumerate((x, y) for x in range(-9, 74) for y in range(-9, 42))]
+    df = spark.createDataFrame(pts, "id int, lng double, lat double")
+
+    def on_edge(px, py, poly):
+        for part in poly:
+            for ring in part:
+                for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                    flat = (x2 - x1) * (py - y1) == (y2 - y1) * (px - x1)
+                    if flat and min(x1, x2) <= px <= max(x1, x2) and min(y1, y2) <= py <= max(y1, y2):
+                        return True
+        return False
+
+    want = sorted((i, a) for i, x, y in pts for a, _, poly in polys if _brute(x, y, poly) and not on_edge(x, y, poly))
+    for most in (1,):
+        got = sorted((r.id, r.area_id) for r in within_join(df, areas, how="inner", max_edges=most).collect())
+        assert got == want
+    assert want
+
+
+def test_no_areas_and_strange_coordinates(spark, areas):
+    none = areas.where("area_id < 0")
+    pts = spark.createDataFrame([(1, 0.5, 0.5), (2, float("nan"), 0.5), (3, float("inf"), 0.5), (4, None, 0.5), (5, 1e300, 0.5)], "id int, lng double, lat double")
+    assert [r.area_id for r in within_join(pts, none).collect()] == [None] * 5
+    assert within_join(pts, none, how="inner").count() == 0
+    assert {r.id: r.area_id for r in within_join(pts, areas).collect()} == {1: 0, 2: None, 3: None, 4: None, 5: None}
+    assert {r.id: r.area_id for r in within_join(pts, areas, max_broadcast_rows=0).collect()} == {1: 0, 2: None, 3: None, 4: None, 5: None}
