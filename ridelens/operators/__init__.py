@@ -45,6 +45,14 @@ from ridelens.operators.geo import (  # noqa: F401
     within_join,
 )
 from ridelens.operators.identity import connected_components, station_identity, station_pairs, unify_stations  # noqa: F401
+from ridelens.operators.monthly import (  # noqa: F401
+    merged_sketches,
+    merged_stats,
+    merged_time_rollup,
+    month_sketches,
+    replace_months,
+    time_state,
+)
 from ridelens.operators.ordered import ordered, write_ordered  # noqa: F401
 from ridelens.operators.outliers import drop_zscore, zscore, zscore_stats  # noqa: F401
 from ridelens.operators.predicates import (  # noqa: F401
@@ -67,5 +75,6 @@ from ridelens.operators.rollup import (  # noqa: F401
     time_rollup_legacy,
     top_stations,
     usage_by,
+    usage_frames,
 )
 from ridelens.operators.share import cumulative, share_of_total, share_segments, share_within  # noqa: F401

@@ -74,6 +74,7 @@ def drop_all_duplicates(
     """Remove *every* copy of a duplicated key (J1, J2, M2); ``keep="one"``
     keeps a single copy instead (D4): the first by ``order_by``, by default by
     all other columns, so that the choice does not depend on the partitioning.
+    A row with a NULL key is no copy of another and is kept either way.
 
     ``keep="none"`` is a left-anti join against the duplicate keys, so a NULL
     key is kept (as ``DELETE ... IN`` keeps it). The duplicate keys are written
@@ -87,7 +88,11 @@ def drop_all_duplicates(
     if keep == "one":
         rest = [c for c in (order_by or df.columns) if c not in keys]
         first = F.min_by(F.struct("*"), F.struct(*rest)) if rest else F.first(F.struct("*"))
-        return df.groupBy(*keys).agg(first.alias("__row")).select("__row.*")
+        keyless = F.lit(False)
+        for k in keys:
+            keyless = keyless | F.col(k).isNull()
+        kept = df.where(~keyless).groupBy(*keys).agg(first.alias("__row")).select("__row.*")
+        return kept.unionByName(df.where(keyless))
     if keep != "none":
         raise ValueError(f"keep must be 'none' or 'one', not {keep!r}")
     if collation is None:

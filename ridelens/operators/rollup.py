@@ -182,6 +182,32 @@ def usage_by(
     return src.groupBy(*group).agg(F.sum("n_trips").alias(out))
 
 
+#: The usage frames by name: the columns that each is grouped by.
+USAGE_FRAMES = {
+    "frequency": ["member", "rideable_type"],
+    "monthly": ["date", "date_order", "member", "rideable_type"],
+    "weekday": ["weekday", "member", "rideable_type"],
+    "hour": ["hour", "member", "rideable_type"],
+    "heatmap": ["date", "date_order", "weekday", "hour", "member"],
+}
+
+
+def usage_frames(rollup: DataFrame, frames: dict[str, list[str]] = USAGE_FRAMES, out: str = "n") -> DataFrame:
+    """Several usage frames (A9-A13) from one aggregate over one scan, by
+    grouping sets: ``frame`` names the frame of a row, whose columns are those
+    of all frames, NULL where the frame is not grouped by them. ``grouping_id``
+    tells such a NULL from one of the data."""
+    columns = list(dict.fromkeys(c for keys in frames.values() for c in keys))
+    src = with_month_label(rollup) if "date" in columns and "date" not in rollup.columns else rollup
+    sets = [[F.col(c) for c in keys] for keys in frames.values()]
+    summed = src.groupingSets(sets, *columns).agg(F.grouping_id().alias("__id"), F.sum("n_trips").alias(out))
+    name = F.lit(None).cast("string")
+    for frame, keys in frames.items():
+        left_out = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        name = F.when(F.col("__id") == left_out, F.lit(frame)).otherwise(name)
+    return summed.select(name.alias("frame"), *columns, out)
+
+
 def avg_duration(rollup: DataFrame, mode: str = "weighted") -> DataFrame:
     """Average minutes by segment and weekday.
 

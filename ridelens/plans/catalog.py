@@ -8,8 +8,6 @@ change the value compared by the SQL oracle.
 
 from __future__ import annotations
 
-import posixpath
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +16,21 @@ from pyspark.sql import functions as F
 from ridelens.functions.scalar import bike_label, haversine_m, member_label, minutes_between, to_minutes
 from ridelens.operators.clean import clean_trips, drop_all_duplicates, duplicate_keys, keep_in, null_audit
 from ridelens.operators.conform import canonical_id, canonical_name, conflict_audit, distinct_count
-from ridelens.operators.derive import derive_rides, derive_rides_legacy, type_timestamps, type_trips
+from ridelens.operators.derive import derive_rides, derive_rides_legacy, narrow, type_timestamps, type_trips
 from ridelens.operators.distribution import boxplot_outliers, boxplot_stats, histogram
 from ridelens.operators.geo import area_totals, within_join
 from ridelens.operators.identity import station_identity, unify_stations
+from ridelens.operators.monthly import (
+    HLL_BOUND,
+    KLL_BOUND,
+    merged_sketches,
+    merged_time_rollup,
+    month_sketches,
+    replace_months,
+    time_state,
+)
 from ridelens.operators.ordered import ordered, write_ordered
-from ridelens.operators.outliers import drop_zscore
+from ridelens.operators.outliers import drop_zscore, zscore
 from ridelens.operators.predicates import (
     delete_where,
     drop_longer_than,
@@ -39,6 +46,7 @@ from ridelens.operators.rollup import (
     time_rollup,
     top_stations,
     usage_by,
+    usage_frames,
 )
 from ridelens.operators.share import share_segments, share_within
 from ridelens.plans import fixtures
@@ -46,12 +54,14 @@ from ridelens.plans.composite import (
     area_trips,
     clean_ledger,
     clean_trips_table,
+    drop_outliers,
+    fix_station_ids,
+    legacy_derived,
     legacy_ledger,
     legacy_report,
-    legacy_rides,
     rides_narrow,
     statement_ledger,
-    analysis_rides,
+    trim_legacy,
 )
 from ridelens.schema import (
     AUDIT_COLUMNS,
@@ -61,8 +71,16 @@ from ridelens.schema import (
     PUBLIC_RACK_PREFIX,
     TEMPORARY_SUFFIX,
 )
-from ridelens.session import ensure_checkpoint_dir
-from ridelens.sources.files import month_names, preview, union_months
+from ridelens.session import scratch_path
+from ridelens.sources.files import (
+    checkpoint_table,
+    month_names,
+    preview,
+    reject_counts,
+    split_rejected,
+    union_months,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,25 +100,27 @@ def _dedup(spark, sf_dir):
 def _rides_unfiltered(spark, sf_dir):
     # The reference derives its rides after the station-conformance update.
     v = _views(spark, sf_dir)
-    return rides_narrow(v["trips_raw"], v["stations_raw"])
+    return fixtures.shared_copy(spark, sf_dir, "rides_narrow", lambda: rides_narrow(v["trips_raw"], v["stations_raw"], materialize=False))
 
 
 def _rides(spark, sf_dir):
-    v = _views(spark, sf_dir)
-    return analysis_rides(v["trips_raw"], v["stations_raw"])
+    return drop_outliers(_rides_unfiltered(spark, sf_dir))
 
 
 def _rides_plain(spark, sf_dir):
-    return analysis_rides(_views(spark, sf_dir)["trips_raw"])
+    trips = _views(spark, sf_dir)["trips_raw"]
+    return drop_outliers(fixtures.shared_copy(spark, sf_dir, "rides_plain", lambda: rides_narrow(trips, materialize=False)))
 
 
 def _legacy_trimmed(spark, sf_dir):
-    return legacy_rides(_views(spark, sf_dir)["trips_raw"], fix_ids=False)
+    trips = _views(spark, sf_dir)["trips_raw"]
+    return trim_legacy(fixtures.shared_copy(spark, sf_dir, "legacy_derived", lambda: legacy_derived(trips, materialize=False)))
 
 
 def _legacy_fixed(spark, sf_dir):
     # The name audits and the name fix come after both id rewrites.
-    return legacy_rides(_views(spark, sf_dir)["trips_raw"], fix_ids=True)
+    trimmed = lambda: fix_station_ids(_legacy_trimmed(spark, sf_dir))
+    return fixtures.shared_copy(spark, sf_dir, "legacy_fixed", trimmed)
 
 
 def _legacy_complete(spark, sf_dir):
@@ -121,6 +141,16 @@ def q_union_months(spark, sf_dir):
     return union_months({m: trips.filter(F.col("source_month") == m).drop("source_month") for m in months})
 
 
+def q_load_text(spark, sf_dir):
+    """The load path: trip text, typed, malformed rows left out."""
+    good, _ = split_rejected(fixtures.load_trip_text(spark, sf_dir))
+    return type_timestamps(good)
+
+
+def q_load_rejects(spark, sf_dir):
+    return reject_counts(*split_rejected(fixtures.load_trip_text(spark, sf_dir)))
+
+
 def q_delete_where_3vl(spark, sf_dir):
     t = _trips(spark, sf_dir)
     a, b = F.col("start_station_name"), F.col("end_station_name")
@@ -232,8 +262,15 @@ def q_zscore_samp(spark, sf_dir):
 
 
 def q_analysis_rides(spark, sf_dir):
-    v = _views(spark, sf_dir)
-    return analysis_rides(v["trips_raw"], v["stations_raw"])
+    return _rides(spark, sf_dir)
+
+
+def q_zscore_columns(spark, sf_dir):
+    """Both z-scores of each ride's minutes and what either cut says at 2."""
+    rides = _rides_unfiltered(spark, sf_dir).select("member", "rideable_type", "duration")
+    both = zscore(zscore(rides, "duration", sd="pop", out="z_pop"), "duration", sd="samp", out="z_samp")
+    flags = {"kept_pop": ~F.coalesce(F.abs("z_pop") > 2, F.lit(False)), "kept_samp": F.coalesce(F.abs("z_samp") < 2, F.lit(False))}
+    return _round(both.withColumns(flags), ["z_pop", "z_samp"], 9)
 
 
 # -- rollups ----------------------------------------------------------------
@@ -247,6 +284,47 @@ def q_time_rollup_decimal(spark, sf_dir):
     return time_rollup(_rides(spark, sf_dir), scale=4)
 
 
+def _rides_by_month(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    rides = lambda: narrow(derive_rides(clean_trips_table(v["trips_raw"], v["stations_raw"]), also=("source_month",)))
+    return fixtures.shared_copy(spark, sf_dir, "rides_by_month", rides)
+
+
+def q_time_rollup_merged(spark, sf_dir):
+    """States stored by month: all months once, one of them at first without
+    half of its rides and then replaced, and the rollup merged from them."""
+    rides = _rides_by_month(spark, sf_dir)
+    path = scratch_path(spark, "tables", "time_state")
+    months = [r.source_month for r in rides.select("source_month").distinct().orderBy("source_month").collect()]
+    late = months[len(months) // 2 :][:1]
+    write_table(time_state(rides.where(~F.col("source_month").isin(late) | (F.col("hour") < 12))), path, ["source_month"])
+    if late:
+        replace_months(time_state(rides.where(F.col("source_month").isin(late))), path, late)
+    return merged_time_rollup(spark.read.schema(time_state(rides).schema).parquet(path))
+
+
+def q_month_sketches(spark, sf_dir):
+    """By member: distinct start stations and quartiles of the minutes, exact,
+    and whether the sketches merged over all months are within their bounds."""
+    rides = _rides_by_month(spark, sf_dir)
+    sketches = checkpoint_table(month_sketches(rides, ["member"], "start_station_name", "duration"), "month_sketches")
+    merged = checkpoint_table(merged_sketches(sketches, ["member"]), "merged_sketches")
+    exact = rides.groupBy("member").agg(
+        F.count(F.lit(1)).alias("n_trips"), F.count_distinct("start_station_name").alias("n_stations")
+    )
+    ranks = [
+        # the share of rides below, and up to, the sketch's quantile lies around the asked one
+        F.avg((F.col("duration") < F.col(f"q{q}")).cast("double")) <= q / 100 + KLL_BOUND for q in (25, 50, 75)
+    ] + [F.avg((F.col("duration") <= F.col(f"q{q}")).cast("double")) >= q / 100 - KLL_BOUND for q in (25, 50, 75)]
+    within = ranks[0]
+    for r in ranks[1:]:
+        within = within & r
+    placed = rides.join(F.broadcast(merged), "member").groupBy("member").agg(within.alias("quantiles_within"), F.max("n_distinct").alias("estimate"))
+    both = exact.join(placed, "member")
+    close = F.abs(F.col("estimate") - F.col("n_stations")) <= F.greatest(F.lit(1.0), HLL_BOUND * F.col("n_stations"))
+    return both.select("member", "n_trips", "n_stations", close.alias("distinct_within"), "quantiles_within")
+
+
 def q_od_rollup(spark, sf_dir):
     return _round(od_rollup(_rides(spark, sf_dir)), ["duration", "s_lat", "s_lng", "e_lat", "e_lng"])
 
@@ -267,6 +345,10 @@ def q_hour_usage(spark, sf_dir):
     return usage_by(time_rollup(_rides(spark, sf_dir)), ["hour"])
 
 
+def q_usage_frames(spark, sf_dir):
+    return usage_frames(time_rollup(_rides(spark, sf_dir)))
+
+
 def q_heatmap(spark, sf_dir):
     grid = usage_by(time_rollup(_rides(spark, sf_dir)), ["date", "weekday", "hour"], by=["member"])
     return share_within(grid, "n", ["date", "weekday", "hour"])
@@ -286,11 +368,11 @@ def q_avg_duration_weighted(spark, sf_dir):
 
 
 def q_time_rollup_legacy(spark, sf_dir):
-    return legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["data_time"]
+    return legacy_report(_legacy_fixed(spark, sf_dir))["data_time"]
 
 
 def q_share_segments(spark, sf_dir):
-    data = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["data"]
+    data = legacy_report(_legacy_fixed(spark, sf_dir))["data"]
     return _round(share_segments(data), ["percent", "ymax", "ymin", "labpos"])
 
 
@@ -304,8 +386,7 @@ def q_running_minutes(spark, sf_dir):
 
 
 def _in_order(spark, df, name, order):
-    path = posixpath.join(ensure_checkpoint_dir(spark), "ordered", f"{name}-{uuid.uuid4().hex}")
-    return write_ordered(df, path, order)
+    return write_ordered(df, scratch_path(spark, "ordered", name), order)
 
 
 def q_time_rollup_ordered(spark, sf_dir):
@@ -314,7 +395,7 @@ def q_time_rollup_ordered(spark, sf_dir):
 
 
 def q_time_rollup_legacy_ordered(spark, sf_dir):
-    data_time = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["data_time"]
+    data_time = legacy_report(_legacy_fixed(spark, sf_dir))["data_time"]
     levels = [F.asc("year"), F.asc_nulls_last("month_level"), F.asc_nulls_last("weekday_level")]
     order = [*levels, F.asc("hour_of_day"), F.asc("rideable_type"), F.asc("member_casual")]
     return _in_order(spark, data_time, "time_rollup_legacy", order)
@@ -350,7 +431,7 @@ def q_boxplot_outliers(spark, sf_dir):
 
 
 def q_station_trips(spark, sf_dir):
-    s = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["stations"]
+    s = legacy_report(_legacy_fixed(spark, sf_dir))["stations"]
     return _round(s, ["lng", "lat"])
 
 
@@ -360,7 +441,7 @@ def q_station_trips_by_member(spark, sf_dir):
 
 
 def q_top_stations(spark, sf_dir):
-    s = legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["stations"]
+    s = legacy_report(_legacy_fixed(spark, sf_dir))["stations"]
     return _round(top_stations(s), ["lng", "lat"])
 
 
@@ -453,11 +534,11 @@ def q_unify_stations(spark, sf_dir):
 
 
 def q_legacy_rides(spark, sf_dir):
-    return legacy_rides(_views(spark, sf_dir)["trips_raw"])
+    return _legacy_fixed(spark, sf_dir)
 
 
 def q_legacy_report(spark, sf_dir):
-    return legacy_report(legacy_rides(_views(spark, sf_dir)["trips_raw"]))["data"]
+    return legacy_report(_legacy_fixed(spark, sf_dir))["data"]
 
 
 # -- areas --------------------------------------------------------------------
@@ -485,7 +566,7 @@ def q_area_totals(spark, sf_dir):
 
 def q_area_trips(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return area_trips(analysis_rides(v["trips_raw"], v["stations_raw"]), v["areas"])
+    return area_trips(_rides(spark, sf_dir), v["areas"])
 
 
 QUERIES: dict[str, Query] = {

@@ -61,7 +61,11 @@ def analysis_rides(
     materialize: bool = True,
 ) -> DataFrame:
     """C1, derive, narrow, z-score cut on minutes."""
-    rides = rides_narrow(trips_raw, stations_raw, params, materialize)
+    return drop_outliers(rides_narrow(trips_raw, stations_raw, params, materialize), z)
+
+
+def drop_outliers(rides: DataFrame, z: ZScoreParams = ZScoreParams()) -> DataFrame:
+    """The z-score cut of C2 over rides that are already derived."""
     return drop_zscore(rides, "duration", k=z.k, sd=z.sd, strict=z.strict)
 
 
@@ -212,10 +216,18 @@ def legacy_derived(trips_raw: DataFrame, materialize: bool = True) -> DataFrame:
 def legacy_rides(trips_raw: DataFrame, fix_ids: bool = True, materialize: bool = True) -> DataFrame:
     """C4: legacy derivation, z-score cut on seconds, canonical start and end
     ids (each a per-name map joined back on the name)."""
-    trimmed = drop_zscore(legacy_derived(trips_raw, materialize), "trip_duration")
-    if not fix_ids:
-        return trimmed
-    fixed = canonical_id(trimmed, "start_station_name", "start_station_id", strategy="max")
+    trimmed = trim_legacy(legacy_derived(trips_raw, materialize))
+    return fix_station_ids(trimmed) if fix_ids else trimmed
+
+
+def trim_legacy(derived: DataFrame) -> DataFrame:
+    """The z-score cut of C4 over a derived legacy table."""
+    return drop_zscore(derived, "trip_duration")
+
+
+def fix_station_ids(legacy: DataFrame) -> DataFrame:
+    """The two id rewrites of C4."""
+    fixed = canonical_id(legacy, "start_station_name", "start_station_id", strategy="max")
     return canonical_id(fixed, "end_station_name", "end_station_id", strategy="max")
 
 

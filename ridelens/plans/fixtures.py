@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import posixpath
 import threading
-import uuid
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelens.schema import TRIPS_RAW
-from ridelens.session import ensure_checkpoint_dir
-from ridelens.sources.files import write_table
+from ridelens.session import is_scratch, scratch_path
+from ridelens.sources.files import read_trip_text, write_table
 
 
 # Columns of the driver tables that the views read; a declared schema skips
@@ -155,30 +155,65 @@ def areas_from_region(region: DataFrame) -> DataFrame:
 
 TRIPS_TABLE_SCHEMA = T.StructType(TRIPS_RAW.fields + [T.StructField("source_month", T.StringType())])
 
-# (application, folder, events file state) -> path of the loaded trip table
+# (application, folder, events file state, table) -> path of the written table
 _LOADED: dict[tuple, str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
-def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trip view written once per session as a parquet table partitioned
-    by ``source_month`` (the reference's load step, S5), then read with an
-    explicit schema. Queries on it get column pruning, pushed filters and
-    month partition pruning, as they would on a real trip table."""
-    events_path = posixpath.join(sf_dir, "events.parquet")
+def _shared(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of a table that is written once per session and input, the
+    first time that it is asked for. It goes with the session's other
+    intermediate tables (``session.clear_scratch``)."""
     try:
-        st = os.stat(events_path)
+        st = os.stat(posixpath.join(sf_dir, "events.parquet"))
         stamp = (st.st_size, st.st_mtime_ns)
     except OSError:
         stamp = None
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), stamp, name)
     with _LOCK:
         path = _LOADED.get(key)
-        if path is None:
-            path = posixpath.join(ensure_checkpoint_dir(spark), "tables", f"trips_raw-{uuid.uuid4().hex}")
-            write_table(trips_from_events(table(spark, sf_dir, "events")), path, partition_by=["source_month"])
+        if path is None or not is_scratch(path):
+            path = scratch_path(spark, "tables", name)
+            write(path)
             _LOADED[key] = path
-    return spark.read.schema(TRIPS_TABLE_SCHEMA).parquet(path)
+    return path
+
+
+def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip view written once per session as a parquet table partitioned
+    by ``source_month`` (the reference's load step, S5), then read with an
+    explicit schema. Queries on it get column pruning, pushed filters and
+    month partition pruning, as they would on a real trip table."""
+    write = lambda path: write_table(trips_from_events(table(spark, sf_dir, "events")), path, partition_by=["source_month"])
+    return spark.read.schema(TRIPS_TABLE_SCHEMA).parquet(_shared(spark, sf_dir, "trips_raw", write))
+
+
+def shared_copy(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the fixture views, written once per session and
+    input and shared by every query on it."""
+    frame = build()
+    return spark.read.schema(frame.schema).parquet(_shared(spark, sf_dir, name, frame.write.parquet))
+
+
+def trip_lines(events: DataFrame) -> DataFrame:
+    """The trip view as lines of comma-separated text, with ``source_month``.
+    Of rides with a number e, one in 89 has no time for a start, one in 83 no
+    number for a start latitude, one in 79 none for an end longitude, and one in
+    73 lacks its last fields."""
+    trips = trips_from_events(events)
+    e = F.substring("ride_id", 2, 20).cast("long")
+    text = {f.name: F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in TRIPS_RAW.fields}
+    for name, divisor, wrong in (("started_at", 89, "not a time"), ("start_lat", 83, "north"), ("end_lng", 79, "--")):
+        text[name] = F.when(e % divisor == 0, F.lit(wrong)).otherwise(text[name])
+    whole = F.concat_ws(",", *text.values())
+    return trips.select(F.when(e % 73 == 0, F.substring_index(whole, ",", 5)).otherwise(whole).alias("line"), "source_month")
+
+
+def load_trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines written once per session, a folder per month, and read as
+    trip text with ``source_month`` and the malformed lines."""
+    write = lambda path: trip_lines(table(spark, sf_dir, "events")).write.partitionBy("source_month").text(path)
+    return read_trip_text(spark, _shared(spark, sf_dir, "trip_lines", write))
 
 
 def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:

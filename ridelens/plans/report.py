@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ridelens.functions.scalar import bike_label, member_label
 from ridelens.operators.distribution import boxplot_stats, histogram
 from ridelens.operators.geo import area_totals
-from ridelens.operators.rollup import avg_duration, frequency, station_trips, time_rollup, usage_by
+from ridelens.operators.rollup import USAGE_FRAMES, avg_duration, station_trips, time_rollup, usage_frames
 from ridelens.operators.share import share_segments, share_within
 from ridelens.plans.composite import legacy_report, legacy_rides, analysis_rides
 from ridelens.sources.files import checkpoint_table, write_report
@@ -43,19 +43,20 @@ def report_frames(rides: DataFrame, rollup: DataFrame, legacy_data: DataFrame, a
         "bike_label", bike_label("rideable_type")
     )
     stations = station_trips(rides, by_member=True, drop_blank=False, min_trips=0)
-    monthly = usage_by(rollup, ["date"])
-    grid = usage_by(rollup, ["date", "weekday", "hour"], by=["member"])
+    # five frames from one aggregate
+    usage = checkpoint_table(usage_frames(rollup), "usage_frames")
+    frame = {name: usage.where(F.col("frame") == name).select(*keys, "n") for name, keys in USAGE_FRAMES.items()}
     return {
         "histogram": labelled(histogram(rides, "duration", HISTOGRAM_WIDTH, by=["member", "rideable_type"])),
         "histogram_facet": labelled(histogram(rides, "duration", HISTOGRAM_WIDTH, by=["rideable_type", "member"])),
-        "frequency": frequency(rides),
+        "frequency": labelled(frame["frequency"].withColumnRenamed("n", "n_trips")),
         "boxplot": labelled(boxplot_stats(rides, "duration", ["member", "rideable_type"])),
         "share_segments": share_segments(legacy_data),
-        "monthly_share": share_within(monthly, "n", ["date", "member"]),
-        "monthly_usage": monthly,
-        "weekday_usage": usage_by(rollup, ["weekday"]),
-        "hour_usage": usage_by(rollup, ["hour"]),
-        "heatmap": share_within(grid, "n", ["date", "weekday", "hour"]),
+        "monthly_share": share_within(frame["monthly"], "n", ["date", "member"]),
+        "monthly_usage": frame["monthly"],
+        "weekday_usage": frame["weekday"],
+        "hour_usage": frame["hour"],
+        "heatmap": share_within(frame["heatmap"], "n", ["date", "weekday", "hour"]),
         "station_map": stations,
         "area_map": area_totals(stations, areas),
         "avg_duration": avg_duration(rollup, mode="row"),

@@ -3,8 +3,12 @@ checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import posixpath
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -69,10 +73,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[(?!.*cluster)|$)", spark.sparkContext.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/ABFS) for checkpoints"
         )
     local = tempfile.mkdtemp(prefix="ridelens-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+# Folders of intermediate tables that this process wrote: path -> session.
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
+    """A new folder's path below the checkpoint folder, for an intermediate
+    table. It goes with ``clear_scratch``, at the latest when the process ends;
+    until then lazily built frames may read it."""
+    path = posixpath.join(ensure_checkpoint_dir(spark), kind, f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH[path] = spark
+    return path
+
+
+def is_scratch(path: str) -> bool:
+    """Whether an intermediate table is still there."""
+    return path in _SCRATCH
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system that Spark can write to."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    target = hadoop.fs.Path(path)
+    return target.getFileSystem(hadoop.conf.Configuration()).delete(target, True)
+
+
+def clear_scratch() -> int:
+    """Delete the intermediate tables written so far; call it when no frame
+    built from them is needed any more. Returns the number of folders."""
+    n = 0
+    while _SCRATCH:
+        path, spark = _SCRATCH.popitem()
+        n += bool(delete_path(spark, path))
+    return n
+
+
+def _clear_at_exit() -> None:
+    try:
+        clear_scratch()
+    except Exception:  # the JVM may be gone
+        pass
+
+
+atexit.register(_clear_at_exit)

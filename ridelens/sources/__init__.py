@@ -6,8 +6,11 @@ from ridelens.sources.files import (  # noqa: F401
     preview,
     read_areas,
     read_stations,
+    read_trip_text,
     read_trips,
-    type_errors,
+    read_trips_checked,
+    reject_counts,
+    split_rejected,
     type_trip_text,
     union_months,
     write_report,

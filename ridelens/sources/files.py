@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ridelens.functions.scalar import blank_to_null_text
 from ridelens.schema import STATIONS_RAW, TEXT_COLUMNS, TRIP_FILE_REGEX, TRIP_FILE_SUFFIX, TRIPS_RAW
-from ridelens.session import ensure_checkpoint_dir
+from ridelens.session import scratch_path
 
 # Every trip column is read as text and typed afterwards, so that blank, quoted
 # blank and 'NA' fields follow the reference's loader (T2) and a malformed value
@@ -37,20 +37,63 @@ def type_trip_text(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def type_errors(text_df: DataFrame, strict_cols: Sequence[str] | None = None) -> DataFrame:
-    """Per typed column, the rows whose text held a value (not blank, not
-    'NA') that typing turned into NULL: malformed numbers and timestamps
-    that a permissive read hides and the main clean would then delete (T16).
-    One global aggregate over the text columns."""
-    cols = strict_cols or [f.name for f in TRIPS_RAW.fields if f.name not in TEXT_COLUMNS]
-    aggs = []
-    for name in cols:
-        dtype = TRIPS_RAW[name].dataType
-        c = F.col(name)
-        present = c.isNotNull() & (F.trim(c) != "") & (c != "NA")
-        lost = present & c.try_cast(dtype).isNull()
-        aggs.append(F.sum(F.when(lost, 1).otherwise(0)).alias(f"{name}_malformed"))
-    return text_df.agg(*aggs)
+#: The text of a line that does not have the columns of a trip file.
+_CORRUPT = "__corrupt"
+# A line is judged by all its fields, whichever columns a query reads.
+_CHECKED = {"columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
+
+
+def split_rejected(text_df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed trips and rejected rows of trip text.
+
+    A row is rejected when its line has too few or too many fields, or when a
+    value that is neither blank nor 'NA' is no value of its column's type: such
+    a value would turn NULL and the main clean would drop the row unseen. The
+    rejected rows have ``reason`` (the columns at fault, comma-joined, or
+    'line'), ``value`` (the first faulty text, or the line), and the other
+    columns as text. Every row is in exactly one of the two frames."""
+    faults = []
+    for f in TRIPS_RAW.fields:
+        if f.name not in TEXT_COLUMNS:
+            c = F.col(f.name)
+            present = c.isNotNull() & (F.trim(c) != "") & (c != "NA")
+            faults.append(F.when(present & c.try_cast(f.dataType).isNull(), F.struct(F.lit(f.name).alias("column"), c.alias("value"))))
+    found = F.filter(F.array(*faults), lambda x: x.isNotNull())
+    if _CORRUPT in text_df.columns:
+        line = F.struct(F.lit("line").alias("column"), F.col(_CORRUPT).alias("value"))
+        found = F.when(F.col(_CORRUPT).isNotNull(), F.array(line)).otherwise(found)
+    marked = text_df.withColumn("__faults", found)
+    good = type_trip_text(marked.where(F.size("__faults") == 0).drop("__faults", _CORRUPT))
+    bad = marked.where(F.size("__faults") > 0).select(
+        F.array_join(F.transform("__faults", lambda x: x["column"]), ",").alias("reason"),
+        F.get("__faults", F.lit(0))["value"].alias("value"),
+        *[c for c in text_df.columns if c != _CORRUPT],
+    )
+    return good, bad
+
+
+def read_trips_checked(spark: SparkSession, path: str, quarantine: str | None = None, **where) -> tuple[DataFrame, DataFrame]:
+    """``read_trips`` with a channel for malformed rows: the typed trips, and
+    the rejected rows with reason, value, file and month. ``quarantine`` names a
+    folder that the rejected rows are appended to, by month and reason."""
+    text = _trip_text(spark, path, T.StructType([*TRIPS_TEXT.fields, T.StructField(_CORRUPT, T.StringType())]), **_CHECKED, **where)
+    good, bad = split_rejected(text)
+    if quarantine is not None:
+        bad.write.mode("append").partitionBy("source_month", "reason").parquet(quarantine)
+    return good, bad
+
+
+def read_trip_text(spark: SparkSession, path: str) -> DataFrame:
+    """Trip text without headers from a folder per ``source_month``, with the
+    malformed lines, for ``split_rejected``."""
+    schema = T.StructType([*TRIPS_TEXT.fields, T.StructField(_CORRUPT, T.StringType()), T.StructField("source_month", T.StringType())])
+    return spark.read.schema(schema).options(**_CHECKED).csv(path)
+
+
+def reject_counts(good: DataFrame, bad: DataFrame, by: str = "source_month") -> DataFrame:
+    """Accepted and rejected rows by month and reason (NULL: accepted)."""
+    rows = good.select(by, F.lit(None).cast("string").alias("reason")).unionByName(bad.select(by, "reason"))
+    return rows.groupBy(by, "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # The suffix as a glob: the regular expression's "." matches any character.
@@ -93,17 +136,25 @@ def read_trips(
     the row filters keep it exact. One multi-file scan replaces the union of
     per-month tables; the files are split into tasks by size.
     """
+    text = _trip_text(spark, path, TRIPS_TEXT, pattern, months, mode="FAILFAST" if strict else "PERMISSIVE")
+    return type_trip_text(text, strict=strict)
+
+
+def _trip_text(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    pattern: str = TRIP_FILE_REGEX,
+    months: tuple[str, str] | None = None,
+    **options,
+) -> DataFrame:
+    """The trip files as text, with ``source_month``."""
     names = month_names(*months) if months is not None else None
     glob = _glob_of(pattern)
     if names is not None and pattern == TRIP_FILE_REGEX:
         glob = "{" + ",".join(names) + "}" + _SUFFIX_GLOB
-    reader = (
-        spark.read.schema(TRIPS_TEXT)
-        .option("header", True)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .option("pathGlobFilter", glob)
-    )
-    return type_trip_text(select_trip_files(reader.csv(path), pattern, names), strict=strict)
+    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob).options(**options)
+    return select_trip_files(reader.csv(path), pattern, names)
 
 
 def select_trip_files(raw: DataFrame, pattern: str = TRIP_FILE_REGEX, names: Sequence[str] | None = None) -> DataFrame:
@@ -200,14 +251,14 @@ def checkpoint_table(df: DataFrame, name: str, base: str | None = None) -> DataF
     """Write ``df`` as parquet under the session's shared checkpoint folder
     and read it back: a reliable copy that cuts the lineage (S10).
 
-    Every call writes a fresh folder, so a frame read from an earlier call is
+    Every call writes a fresh folder (without ``base`` it is deleted by
+    ``session.clear_scratch`` or when the process ends), so a frame read from an earlier call is
     never overwritten by a later one. The copy survives the loss of any
     executor, unlike a local checkpoint, and later readers get column pruning
     and filter pushdown on it.
     """
     spark = df.sparkSession
-    root = base or ensure_checkpoint_dir(spark)
-    path = posixpath.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    path = posixpath.join(base, "tables", f"{name}-{uuid.uuid4().hex}") if base else scratch_path(spark, "tables", name)
     schema = df.schema
     df.write.mode("errorifexists").parquet(path)
     # The schema is known: reading it back needs no footer-inference job.

@@ -73,3 +73,11 @@ def test_salted_anti_join_equals_plain(spark):
     plain = sorted((r.k or "", r.v) for r in drop_all_duplicates(df, ["k"]).collect())
     salted = sorted((r.k or "", r.v) for r in drop_all_duplicates(df, ["k"], salt_buckets=8).collect())
     assert plain == salted and len(plain) == 601
+
+
+def test_keep_one_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 1), ("b", 3)], "k string, v int")
+    one = drop_all_duplicates(df, ["k"], keep="one")
+    assert sorted((r.k or "", r.v) for r in one.collect()) == [("", 1), ("", 2), ("a", 1), ("b", 3)]
+    none = drop_all_duplicates(df, ["k"])
+    assert sorted((r.k or "", r.v) for r in none.collect()) == [("", 1), ("", 2), ("b", 3)]

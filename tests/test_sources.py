@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,15 +139,27 @@ def test_union_months(spark):
     assert union_months([a, swapped]).count() == 2
 
 
-def test_type_errors_count_malformed(spark, trip_dir):
-    from ridelens.sources import type_errors
-    from ridelens.sources.files import TRIPS_TEXT
+def test_malformed_rows_are_set_aside(spark, trip_dir):
+    from ridelens.sources import read_trips_checked, reject_counts
 
-    text = spark.read.schema(TRIPS_TEXT).option("header", True).csv(os.path.join(trip_dir, "2024*" + SUFFIX))
-    r = type_errors(text).first()
+    with open(os.path.join(trip_dir, "202501" + SUFFIX), "a") as f:
+        f.write("Z1,classic_bike,soon,2025-01-01 08:10:00,A,1,B,2,north,-87.6,41.9,-87.7,member\n")
+        f.write("Z2,classic_bike,2025-01-01 08:00:00\n")
+        f.write("Z3,classic_bike,2025-01-01 08:00:00,2025-01-01 08:10:00,A,1,B,2,NA,,41.9,-87.7,member,more\n")
+    quarantine = os.path.join(tempfile.mkdtemp(prefix="ridelens-test-"), "quarantine")
+    good, bad = read_trips_checked(spark, trip_dir, quarantine=quarantine)
+    every = read_trips(spark, trip_dir)
+    assert good.columns == every.columns and good.dtypes == every.dtypes
+    got = {(r.reason, r.value, r.source_month) for r in bad.collect()}
     # 'bad-time' is malformed; blank and NA coordinates are missing, not malformed.
-    assert r.ended_at_malformed == 1
-    assert r.start_lat_malformed == 0 and r.started_at_malformed == 0
+    assert {("started_at,start_lat", "soon", "202501"), ("line", "Z2,classic_bike,2025-01-01 08:00:00", "202501")} <= got
+    assert {r[1] for r in got if r[0] == "ended_at"} == {"bad-time"}
+    assert {r[0] for r in got} == {"started_at,start_lat", "ended_at", "line"} and len(got) == 4
+    assert good.count() + bad.count() == every.count()
+    stored = spark.read.parquet(quarantine)
+    assert stored.count() == bad.count() and {"source_month", "reason", "value", "ride_id"} <= set(stored.columns)
+    counts = reject_counts(good, bad).collect()
+    assert sum(r.n_rows for r in counts) == every.count()
 
 
 def test_unwanted_files_are_not_listed(spark, trip_dir):
