@@ -71,8 +71,8 @@ _P = np.uint64((1 << 61) - 1)
 _P_BASE = 0x1B5AD4A3C9E0F72B % ((1 << 61) - 1)
 _P_INVERSE = pow(_P_BASE, -1, (1 << 61) - 1)
 _P_POWERS: list[np.ndarray] = []
-#: Longer spans are hashed one by one.
-_LONGEST = 1 << 23
+#: Bytes that are hashed side by side, and spans beyond which each stands alone.
+_CHUNK, _LONG = 1 << 18, 1 << 16
 
 
 def mul61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,22 +105,37 @@ def _powers61(n: int) -> list[np.ndarray]:
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of ``data``, modulo a prime before it is
-    mixed, the same for the same bytes."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    n, sizes = data.size, (ends - starts).astype(np.uint64)
+    mixed, the same for the same bytes. Memory does not grow with ``data``."""
+    if len(starts) and (np.diff(starts) < 0).any():
+        order = np.argsort(starts, kind="stable")
+        out = np.empty(len(starts), np.uint64)
+        out[order] = word_hashes(data, starts[order], ends[order])
+        return out
+    sizes = ends - starts
+    out = np.empty(len(starts), np.uint64)
+    for i in np.flatnonzero(sizes > _LONG):
+        whole = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(whole, "little") >> 3
+    short = np.flatnonzero(sizes <= _LONG)
+    cuts = [0, *(np.flatnonzero(np.diff(starts[short] // _CHUNK)) + 1), len(short)] if len(short) else [0]
+    for a, b in zip(cuts, cuts[1:]):
+        some = short[a:b]
+        first, last = int(starts[some[0]]), int(ends[some].max())
+        out[some] = _hashes61(data[first:last], starts[some] - first, ends[some] - first)
+    return mix64(out ^ mix64(sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
+def _hashes61(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = data.size
     power, inverse = _powers61(n + 1)
     value = data.astype(np.uint64) + np.uint64(1)
     sums = []
     for part in (power[:n] >> np.uint64(32), power[:n] & np.uint64(0xFFFFFFFF)):
         prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(value * part, out=prefix[1:])  # wraps; a span's own sum does not
+        np.cumsum(value * part, out=prefix[1:])
         sums.append(_reduced(prefix[ends] - prefix[starts]))
     whole = _reduced(mul61(sums[0], np.full(len(starts), 1 << 32, np.uint64)) + sums[1])
-    out = mul61(whole, inverse[starts])
-    for i in np.flatnonzero(sizes > _LONGEST):
-        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little") >> 3
-    return mix64(out ^ mix64(sizes * np.uint64(0xD6E8FEB86659FD93)))
+    return mul61(whole, inverse[starts])
 
 
 def rows_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -6,14 +6,17 @@ Features: a text is cut into words (letters, digits and non-ASCII characters)
 and runs of marks. Each gives its own lower-cased hash; a mark run also its
 mark, and a word its shape: whether it is shouted (two or more capitals, no
 small letter) and whether it repeats the word before it. The n-grams are the
-words, their shapes, and the pairs of neighbouring shapes; each is hashed into
+words, the pairs of neighbouring words, their shapes, and the pairs of
+neighbouring shapes (``GROUPS``); each is hashed into
 ``2**BITS`` slots, and a text's values are its slot shares, so that length
 alone does not move the score.
 
 Training: the labelled rows, or of more than ``MAX_LABELLED`` about that many
 chosen by a hash of their doc_id (the documented bound of the sample), go to
-``SHARDS`` shards. Each shard runs ``EPOCHS`` passes of FTRL over its rows (more over few rows), and
-the model is the mean of the shards' weights.
+``SHARDS`` shards. A labelled doc_id that several rows have trains once, with the
+smallest of their texts. Each shard runs ``EPOCHS`` passes of FTRL over its rows
+(more over few rows), and the model is the mean of the weights of the shards that
+have rows.
 
 The model is 2**BITS weights at most and goes to the tasks as such; the texts
 never leave their partitions.
@@ -43,6 +46,8 @@ SHARDS, EPOCHS = 4, 3
 UPDATES = 2000
 MAX_LABELLED = 20_000
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
+#: Groups of features that count.
+GROUPS = ("words", "word pairs", "shapes", "shape pairs")
 #: Predicted 1 from this score on.
 THRESHOLD = 0.3
 
@@ -80,10 +85,14 @@ def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.concatenate([[-1], last[:-1]])
     repeats = is_word & (before >= 0) & (row[before] == row) & (token[before] == token)
     shape = np.where(is_word, shouted + 2 * repeats, data[starts].astype(np.int64) + 4).astype(np.uint64)
-    pair = np.append(row[1:] == row[:-1], False)
-    pairs = shape[:-1] * np.uint64(512) + shape[1:] if len(row) > 1 else shape[:0]
-    hashes = np.concatenate([token, mix64(shape + np.uint64(1 << 40)), mix64(pairs[pair[:-1]] + np.uint64(1 << 50))])
-    rows = np.concatenate([row, row, row[:-1][pair[:-1]] if len(row) > 1 else row[:0]])
+    pair = np.flatnonzero(row[1:] == row[:-1])
+    groups = {
+        "words": (row, token),
+        "word pairs": (row[pair], mix64(token[pair] * np.uint64(0x9E3779B97F4A7C15) + token[pair + 1])),
+        "shapes": (row, mix64(shape + np.uint64(1 << 40))),
+        "shape pairs": (row[pair], mix64(shape[pair] * np.uint64(512) + shape[pair + 1] + np.uint64(1 << 50))),
+    }
+    rows, hashes = (np.concatenate(x) for x in zip(*(groups[g] for g in GROUPS)))
     slots = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
     cell, count = np.unique(rows << BITS | slots, return_counts=True)
     rows, slots = cell >> BITS, cell & ((1 << BITS) - 1)
@@ -149,10 +158,11 @@ def train(labelled: DataFrame) -> np.ndarray:
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), "label")
     rows = rows.withColumn("order", F.xxhash64("text", F.lit(7)))
     parts = rows.groupBy(F.pmod("order", F.lit(SHARDS)).alias("shard")).applyInPandas(_train_shard, "slot int, weight double")
-    mean = parts.groupBy("slot").agg((F.sum("weight") / SHARDS).alias("weight")).toPandas()  # 2**BITS + 1 rows at most
+    sums = parts.groupBy("slot").agg(F.sum("weight").alias("weight"), F.count("*").alias("n")).toPandas()  # 2**BITS + 1 rows at most
     model = np.zeros((1 << BITS) + 1)
-    model[mean.slot.to_numpy(int)] = mean.weight.to_numpy()
-    return model
+    model[sums.slot.to_numpy(int)] = sums.weight.to_numpy()
+    shards = sums.n[sums.slot == 1 << BITS]  # each shard with rows has a bias
+    return model / max(1, int(shards.sum()))
 
 
 def scores(column, model: np.ndarray) -> np.ndarray:
@@ -177,11 +187,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELL
     """(text, label) of the documents that may train: all, or about max_rows."""
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     own = own.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    own = own.where(F.col("doc_id").isNotNull())
+    own = own.where(F.col("doc_id").isNotNull()).distinct()
     share = max_rows / max(1, own.count())
     if share < 1:
         own = own.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.join(F.broadcast(own), "doc_id").select("text", "label")  # own has about max_rows rows at most
+    rows = docs.join(F.broadcast(own), "doc_id")  # own has about max_rows rows at most
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:

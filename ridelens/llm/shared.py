@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import posixpath
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -16,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelens.session import ensure_checkpoint_dir
+from ridelens.session import scratch_path
 
 #: Text bytes that a task holds as flat arrays at a time (one longer text stands alone).
 BATCH_BYTES = 1 << 20
@@ -46,8 +45,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new folder's path in the shared checkpoint folder."""
-    return posixpath.join(ensure_checkpoint_dir(spark), "llm", f"{label}-{uuid.uuid4().hex}")
+    """A new folder's path in the shared checkpoint folder, deleted by
+    ``session.clear_scratch`` or when the process ends."""
+    return scratch_path(spark, "llm", label)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
-from ridelens.llm.mixing import labelled_domains, mix, resample
+from ridelens.llm import quality
+from ridelens.llm.mixing import fit, labelled_domains, mix, rates, resample
 from ridelens.llm.quality import keep_good, score_documents
 
 GOOD, MARKS = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"], ["***", "%%%", "$$$"]
@@ -95,3 +97,109 @@ def test_resampling_repeats_rows_as_their_copies_say(tables):
     for r in out.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in copies.items() if v}
+
+
+def plain_totals(t, p, target, rounds=200_000):
+    """Shares of the domains after plain projected gradients on the squared
+    distance, with momentum, until they stand still."""
+    total, r = t.sum(), np.ones(len(t))
+    a = p * t / total
+    step = 1.0 / np.linalg.eigvalsh(a @ a.T)[-1]
+    y, k = r, 1.0
+    for _ in range(rounds):
+        after = np.maximum(0.0, y - step * ((a @ y - target) @ a))
+        grown = (1 + np.sqrt(1 + 4 * k * k)) / 2
+        y, k = after + (k - 1) / grown * (after - r), grown
+        if np.abs(after - r).max() < 1e-13:
+            break
+        r = after
+    return a @ r
+
+
+@pytest.mark.parametrize("target", [[0.7, 0.2, 0.1], [0.02, 0.08, 0.9], [0.0, 1.0, 0.0], [0.34, 0.33, 0.33]])
+def test_the_fit_is_plain_least_squares_whether_targets_can_be_met_or_not(spark, target):
+    rng = np.random.Generator(np.random.PCG64(6))
+    p = rng.dirichlet([6, 3, 2], 120).T
+    t = rng.integers(1, 50, 120).astype(float)
+    t[:5] = 0
+    rows = [(int(n), *map(float, x)) for n, x in zip(t, p.T)]
+    table = spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double, p2 double")
+    got = fit(table, target)
+    r = rates(p, got.steps)
+    shares = p @ (r * t) / t.sum()
+    assert (r >= 0).all() and got.converged
+    assert np.abs(shares - plain_totals(t, p, np.array(target))).max() < 1e-6
+    assert abs(got.residual - np.abs(shares - np.array(target)).max()) < 1e-9
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    docs = spark.createDataFrame([(i, "vile" if i % 100 == 0 else "kind") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 100 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = mix(docs, labelled_domains(labels), {"clean": 0.01, "toxic": 0.99}).collect()
+    p = np.array([[r.p_clean, r.p_toxic] for r in got]).T
+    shares = p @ np.array([r.rate for r in got]) / 400
+    assert np.abs(shares - plain_totals(np.ones(400), p, np.array([0.01, 0.99]))).max() < 1e-5
+    assert {(r.converged, round(r.residual, 9)) for r in got} == {(True, round(float(np.abs(shares - [0.01, 0.99]).max()), 9))}
+    assert got[0].residual > 0.05
+
+
+def test_one_labelled_row_a_hot_row_and_no_known_label(spark, tables):
+    docs, labels = tables
+    schema = "doc_id long, quality int, toxic int"
+    one = spark.createDataFrame([(1, 1, 0)], schema)
+    assert {r.score > 0.5 for r in score_documents(docs.where("doc_id = 1"), one).collect()} == {True}
+    unknown = spark.createDataFrame([(1, None, None), (2, None, 0)], schema)
+    assert {r.score for r in score_documents(docs, unknown).collect()} == {0.5}
+    hot = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(300)).drop("id"))
+    texts = hot.selectExpr("doc_id", "text")
+    repeated = labels.unionByName(labels.where("doc_id = 1")).unionByName(labels.where("doc_id = 1"))
+    rows = quality.labelled_rows(texts, repeated).count()
+    assert rows == quality.labelled_rows(docs.selectExpr("doc_id", "text"), labels).count()
+
+
+def plain_ftrl(rows, labels, alpha, beta, l1, l2, epochs):
+    """Follow the regularised leader, one weight at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in zip(rows, labels):
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                z[i] = z.get(i, 0.0) + g - ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_is_plain_ftrl():
+    rng = random.Random(3)
+    rows = [{i: rng.random() for i in rng.sample(range(40), 6)} for _ in range(800)]
+    labels = [int(sum(v for i, v in x.items() if i < 20) > 1.5) for x in rows]
+    at = np.array([k for k, x in enumerate(rows) for _ in x])
+    slots = np.array([i for x in rows for i in x])
+    values = np.array([v for x in rows for v in x.values()])
+    weights, bias = quality.ftrl(at, slots, values, np.array(labels, float))
+    want = plain_ftrl([{**x, "bias": 1.0} for x in rows], labels, quality.ALPHA, quality.BETA, quality.L1, quality.L2, 3)
+    assert abs(bias - want["bias"]) < 1e-9
+    assert all(abs(weights[i] - want[i]) < 1e-9 for i in range(40))
+
+
+def test_word_pairs_tell_what_words_alone_do_not(spark):
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(500):
+        good = i % 2
+        pairs = [("red", "fox"), ("old", "dog")] if good else [("red", "dog"), ("old", "fox")]
+        docs.append((i, " ".join(w for _ in range(12) for w in rng.choice(pairs))))
+        labels.append((i, good, 0))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    held = [r for r in score_documents(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect() if r.held_out]
+    good, bad = ([r.score for r in held if r.doc_id % 2 == k] for k in (1, 0))
+    assert sum(g > b for g in good for b in bad) >= 0.95 * len(good) * len(bad)
