@@ -5,11 +5,14 @@ keeps the positions of the words that licence templates use. The inverse
 document frequencies of these words are counted over all documents. A file is
 compared with the templates whose mandatory key phrases it holds: of each such
 template, the rarest words that the file holds look up the postings (template,
-offset), and places of equal relative position give an alignment. A template has
-``RARE`` look-up words, or as many more as it takes for the rest of its words to
-weigh less than ``LEAST``, so no alignment that gives a label is without one. An alignment's score is the share of the template's weight (the sum
-of its words' inverse frequencies) that stands at the expected places; a
-template whose best alignment reaches ``LEAST`` gives its label.
+offset), and each of their places says where the template would start. Only these
+starts are verified: the template's words are sought at their relative positions,
+``SLACK`` words early or late, so that a word put in or left out does not lose the
+rest. A template has ``RARE`` look-up words, or as many more as it takes for the
+rest of its words to weigh less than ``LEAST``, so no start that gives a label is
+without one. A start's score is the share of the template's weight (the sum of its
+words' inverse frequencies) that is found; a template whose best start reaches
+``LEAST`` gives its label.
 
 Base counts: every place where the words of a base phrase stand consecutively.
 
@@ -33,6 +36,8 @@ from ridelens.llm.shared import id_and_text, materialise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RARE, LEAST = 6, 0.6
+#: Words that a template's word may stand before or after its place.
+SLACK = 3
 
 # Phrases and labels of the contract.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -53,6 +58,17 @@ TEMPLATES = [
      "following conditions are met", "redistribution and use in source and binary forms"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+     "software the software is provided as is without warranty of any kind express or implied", "permission notice shall be included"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+     "you may not use this file except in compliance with the license"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+     "merchantability or fitness for a particular purpose see the gnu general public license for more details",
+     "see the gnu general public license for more details"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+     "redistributions in binary form must reproduce the above copyright notice", "redistributions of source code must retain"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+     "that the above copyright notice and this permission notice appear in all copies", "permission to use copy modify and or distribute"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 ]
 
@@ -121,12 +137,19 @@ def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES) ->
 
     rare = F.array(*(F.when(F.array_contains("allowed", t), look_ups(text, idf)) for t, (_, text, _) in enumerate(templates)))
     files = base.where(F.size("allowed") > 0).select("row", "hits", "allowed", rare.alias("rare"))
-    hit = files.select("row", "allowed", "rare", F.explode("hits").alias("hit")).select("row", "allowed", "rare", "hit.*")
-    # a place of the template in the file: its word k stands at start + k
-    met = hit.join(F.broadcast(postings), "word").where(F.array_contains("allowed", F.col("template")))
-    met = met.withColumn("rare", F.array_contains(F.element_at("rare", F.col("template") + 1), F.col("word")))
-    aligned = met.groupBy("row", "template", "label", "total", (F.col("pos") - F.col("offset")).alias("start"))
-    aligned = aligned.agg(F.sum("weight").alias("weight"), F.max("rare").alias("rare")).where("rare")
+    known = F.broadcast(postings)  # the words of the templates
+    # the rare words' places look up the postings: where a template would start
+    asked = F.filter("hits", lambda x: F.exists("rare", lambda own: F.coalesce(F.array_contains(own, x["word"]), F.lit(False))))
+    looked = files.select("row", "allowed", "rare", F.explode(asked).alias("hit")).select("row", "allowed", "rare", "hit.*").join(known, "word")
+    looked = looked.where(F.array_contains("allowed", F.col("template")) & F.array_contains(F.element_at("rare", F.col("template") + 1), F.col("word")))
+    starts = looked.select("row", "template", (F.col("pos") - F.col("offset")).alias("start")).distinct()
+    # the words of the file that these templates have, at about their places
+    hit = files.select("row", "allowed", F.explode("hits").alias("hit")).select("row", "allowed", "hit.*")
+    met = hit.join(known, "word").where(F.array_contains("allowed", F.col("template")))
+    about = F.explode(F.sequence(F.col("pos") - F.col("offset") - SLACK, F.col("pos") - F.col("offset") + SLACK))
+    met = met.select("row", "template", "label", "total", "offset", "weight", about.alias("start"))
+    met = met.join(starts, ["row", "template", "start"], "left_semi").distinct()  # a template's word counts once
+    aligned = met.groupBy("row", "template", "label", "total", "start").agg(F.sum("weight").alias("weight"))
     scored = aligned.select("row", "label", F.round(F.col("weight") / F.col("total"), 9).alias("score")).groupBy("row").agg(
         F.max("score").alias("score"), F.collect_set(F.when(F.col("score") >= LEAST, F.col("label"))).alias("own")
     )

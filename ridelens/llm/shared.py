@@ -3,6 +3,7 @@ tables in the shared folder, and Arrow text columns as flat byte arrays."""
 
 from __future__ import annotations
 
+import ctypes
 import posixpath
 import tempfile
 import zipfile
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ridelens.session import scratch_path
 
 #: Text bytes that a task holds as flat arrays at a time (one longer text stands alone).
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 
 _SHIPPED: set[str] = set()
@@ -82,6 +83,15 @@ def text_buffer(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give memory that Arrow and the allocator keep for later back to the
+    system, so that a worker's size follows what it holds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into row ranges of about ``limit`` text bytes."""
     for batch in batches:
@@ -93,6 +103,8 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+        del batch
+        release()
 
 
 def long_array(values: np.ndarray) -> pa.Array:

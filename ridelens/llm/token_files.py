@@ -12,13 +12,14 @@ a u32 number of ids, then the coded segment. Segments are rows of Parquet files
 (part, before, n_tokens, payload): Spark writes them with its commit protocol to
 any store; ``before`` counts the ids of the part's earlier segments.
 
-Distribution: one range shuffle of the texts by doc_id; each task writes its
-range. Places in the whole stream come from the token counts of the parts, one
+Distribution: one range shuffle of the texts by doc_id, and by a hash of the text
+and a row tag, so that one doc_id (or none) with very many rows does not make one
+range; each task writes its range. Places in the whole stream come from the token counts of the parts, one
 for each writing task.
 
 Edge cases: null and empty text hold the end id alone; null doc_ids come first;
-rows that repeat a doc_id stand next to each other, ordered by text; an empty
-table gives an empty file; other columns are ignored."""
+rows that repeat a doc_id stand next to each other, ordered by a hash of the text;
+an empty table gives an empty file; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -136,8 +137,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "before", "n_tokens", "payload"])
             before += len(ids)
 
-    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(encode, _SEGMENT).write.parquet(path)
+    # rows that share a doc_id, or none, are dealt over ranges by their text and a tag
+    keyed = id_and_text(docs).withColumn("tie", F.xxhash64("text")).withColumn("tag", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange("doc_id", "tie", "tag").sortWithinPartitions("doc_id", "tie", "tag")
+    ordered.select("doc_id", "text").mapInArrow(encode, _SEGMENT).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

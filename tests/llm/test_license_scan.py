@@ -1,7 +1,8 @@
+import math
 import random
 import re
 
-from ridelens.llm.license_scan import BASE, TEMPLATES, scan
+from ridelens.llm.license_scan import BASE, LEAST, RARE, SLACK, TEMPLATES, scan
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -54,3 +55,60 @@ def test_several_licences_in_one_file_and_in_a_long_one(spark):
     assert {"gpl", "apache-2.0"} <= set(got[1].labels.split(","))
     assert {"gpl", "all-rights-reserved"} <= set(got[2].labels.split(","))
     assert got[3].labels == "all-rights-reserved" and got[3].score > 0.99
+
+
+def plain_scan(texts):
+    """labels and score of each text by trying every start of every template."""
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER)) for t in texts]
+    seen = {}
+    for own in words:
+        for w in set(own):
+            seen[w] = seen.get(w, 0) + 1
+    idf = lambda w: math.log((len(texts) + 1) / (seen.get(w, 0) + 0.5)) + 1e-6
+    out = []
+    for text, own in zip(texts, words):
+        base, labels, best = set(filter(None, base_by_hand(text)[4].split(","))), set(), 0.0
+        held = set(own)
+        for label, template, key in TEMPLATES:
+            parts, phrase = template.split(), key.split()
+            if not any(own[i : i + len(phrase)] == phrase for i in range(len(own))):
+                continue
+            total = sum(map(idf, parts))
+            ordered = sorted(set(parts), key=lambda w: (-idf(w), w))
+            many = next(n for n in range(len(ordered) + 1) if sum(idf(w) for w in parts if w not in ordered[:n]) < LEAST * total)
+            rare = [w for w in ordered if w in held][: max(RARE, many)]
+            for start in {i - k for i, w in enumerate(own) if w in rare for k, p in enumerate(parts) if p == w}:
+                found = sum(idf(w) for k, w in enumerate(parts) if w in own[max(0, start + k - SLACK) : max(0, start + k + SLACK + 1)])
+                score = round(found / total, 9)
+                best = max(best, score)
+                labels |= {label} if score >= LEAST else set()
+        out.append((",".join(sorted(base | labels)), best))
+    return out
+
+
+def test_labels_and_scores_are_those_of_every_start_tried(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            own = rng.choice(TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, 4)):
+                k = rng.randrange(len(own) + 1)
+                own[k : k + rng.randint(0, 1)] = [rng.choice(["any", "one", "the", "license", "zebra"])] * rng.randint(0, 1)
+            parts += [*own, *rng.choices(["plain", "words", "of", "the", "public", "software"], k=rng.randint(0, 9))]
+        texts.append(" ".join(parts))
+    texts += [None, "", "plain words"]
+    got = {r.doc_id: (r.labels, r.score) for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, (labels, score) in enumerate(plain_scan(texts)):
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-6
+
+
+def test_an_inserted_word_does_not_lose_the_rest(spark):
+    _, mit, _ = TEMPLATES[1]
+    texts = [mit.replace("any person", "any one person"), mit.replace(" this software", ""), "Licensed under the Mozilla Public License, v. 2.0"]
+    texts += ["plain words"] * 20
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert "mit" in got[0].labels and got[0].score > 0.99
+    assert "mit" in got[1].labels and got[1].score > 0.85
+    assert all(r.score == 0 for i, r in got.items() if i > 2)

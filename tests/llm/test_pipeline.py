@@ -1,5 +1,6 @@
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ridelens.llm.byte_bpe import ranks
@@ -35,7 +36,7 @@ def test_each_stage_acts_on_what_its_predecessor_kept(spark):
 
 
 def test_the_registered_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -44,3 +45,23 @@ def test_empty_documents_go_through(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = materialise(stage(spark, docs, SF), name)
         assert docs.count() == 0
+
+
+def test_odd_rows_and_clashing_columns_go_through(spark):
+    own = read(spark, SF, "documents")
+    extra = ["order", "copies", "key", "label", "rate", "score", "place", "component_id", "doc", "id", "id_order"]
+    docs = own.select("*", *(F.lit(k).alias(name) for k, name in enumerate(extra)))
+    one = own.orderBy("doc_id").first()
+    long = "word " * 60_000 + "x" * 150_000
+    odd = [(None, None), (None, "a null id"), (900_001, None), (900_002, ""), (900_003, long), (900_003, "the same id, another text")]
+    odd += [(one.doc_id, one.text)] * 3
+    rows = spark.createDataFrame(odd, "doc_id long, text string")
+    docs = docs.unionByName(rows, allowMissingColumns=True)
+    columns, dtypes = docs.columns, docs.dtypes
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, SF), name)
+        assert docs.columns == columns and docs.dtypes == dtypes
+        assert docs.where("score = 5").count() > 0  # the values of the extra columns go with their rows
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert out.count() == docs.count()
+    assert docs.where(F.col("doc_id") == one.doc_id).select("text").distinct().count() <= 1

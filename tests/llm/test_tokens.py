@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ridelens.llm import byte_bpe, pretokens, range_coder
@@ -182,3 +183,18 @@ def test_texts_longer_than_a_block_and_many_small_rows(spark, monkeypatch):
         for r in out.to_pylist():
             got[r["doc_id"]] = (r["decoded"].decode(), bytes(np.frombuffer(r["ids"], "<u4").astype(np.uint8)).decode())
     assert got == {i: (v or "", v or "") for i, v in enumerate(values)}
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_dealt_out(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(None if i % 3 else 7, f"text {i % 50}") for i in range(600)] + [(3, "first"), (9, "last")]
+    path = fresh_path(spark, "hot-ids")
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path)
+    got = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 400 + [3] + [7] * 200 + [9]
+    coded = lambda text: np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4").tobytes()
+    assert sorted((r.doc_id or 0, bytes(r.ids)) for r in got) == sorted((i or 0, coded(text)) for i, text in rows)
+    ends = [0, *np.cumsum([r.n_tokens for r in got])]
+    assert [r.start for r in got] == ends[:-1]
+    parts = spark.read.parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    assert parts.count() > 3  # 400 rows without an id are not one range
