@@ -105,9 +105,8 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], max_row
     if share < 1:
         own = own.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < int(share * 1_000_000))
     sample = texts.join(F.broadcast(own), "doc_id")  # own has about max_rows rows at most
-    # a doc_id that several rows have trains once, with the smallest of their texts
-    sample = sample.groupBy("doc_id", "domain").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
-    model = _train(sample.select("text", "domain"), domains)
+    sample = quality.once(sample, own, "domain")
+    model = _train(sample.select(F.coalesce("text", F.lit("")).alias("text"), "domain"), domains)
     names = [f"p{k}" for k in range(len(domains))]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

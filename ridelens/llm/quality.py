@@ -191,8 +191,16 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELL
     share = max_rows / max(1, own.count())
     if share < 1:
         own = own.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.join(F.broadcast(own), "doc_id")  # own has about max_rows rows at most
-    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
+    return once(docs.join(F.broadcast(own), "doc_id"), own, "label")  # own has about max_rows rows at most
+
+
+def once(rows: DataFrame, own: DataFrame, label: str) -> DataFrame:
+    """text and label of the labelled rows, a doc_id that several rows have
+    once, with the smallest of their texts. Texts are grouped only if some are
+    to be dropped."""
+    if rows.select("doc_id").count() > own.count():
+        rows = rows.groupBy("doc_id", label).agg(F.min("text").alias("text"))
+    return rows.select("text", label)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED) -> DataFrame:
