@@ -53,3 +53,13 @@ def test_readme_usage_imports_resolve():
     imports = [line for line in block.splitlines() if line.startswith(("from ", "import "))]
     assert imports
     exec("\n".join(imports), {})
+
+
+def test_missing_optional_libraries_leave_the_trip_queries():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import sys; sys.modules['public_tokenizers'] = sys.modules['tokenizers'] = None; import __spark_entry__ as e; print(*e.queries())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert set(out) == set(QUERIES)

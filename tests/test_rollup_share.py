@@ -125,3 +125,22 @@ def test_cluster_conf():
     c = cluster_conf(100 * 1024**4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_usage_frames_equal_the_frames_one_by_one(spark):
+    from conftest import plan_of, rows
+    from ridelens.operators.rollup import USAGE_FRAMES, usage_by, usage_frames
+
+    data = [(2024, m, w, h, b, k, 1 + m + h) for m in (1, 2) for w in (1, 7) for h in (0, 23) for b in (True, False) for k in (1, 3)]
+    data += [(2030, 5, 1, 0, None, 1, 9)]  # a month without a label, a NULL of the data
+    rollup = spark.createDataFrame(data, "year int, month int, weekday int, hour int, member boolean, rideable_type int, n_trips long")
+    out = usage_frames(rollup)
+    assert plan_of(out).count("Scan ExistingRDD") <= 2  # one node, named twice in the plan's text
+    keys = {"monthly": ["date"], "weekday": ["weekday"], "hour": ["hour"], "heatmap": ["date", "weekday", "hour"], "frequency": []}
+    for name, columns in USAGE_FRAMES.items():
+        by = ["member"] if name == "heatmap" else ["member", "rideable_type"]
+        want = usage_by(rollup, keys[name], by=by)
+        got = out.where(out.frame == name).select(*want.columns)
+        key = lambda t: tuple((v is None, v) for v in t)
+        assert sorted((tuple(r) for r in got.collect()), key=key) == sorted((tuple(r) for r in want.collect()), key=key)
+    assert out.where("frame IS NULL").count() == 0 and rows(out.select("frame").distinct()) == [(n,) for n in sorted(USAGE_FRAMES)]
