@@ -52,7 +52,7 @@ def test_odd_rows_and_clashing_columns_go_through(spark):
     extra = ["order", "copies", "key", "label", "rate", "score", "place", "component_id", "doc", "id", "id_order"]
     docs = own.select("*", *(F.lit(k).alias(name) for k, name in enumerate(extra)))
     one = own.orderBy("doc_id").first()
-    long = "word " * 60_000 + "x" * 150_000
+    long = "word " * 60_000 + "x" * 1500
     odd = [(None, None), (None, "a null id"), (900_001, None), (900_002, ""), (900_003, long), (900_003, "the same id, another text")]
     odd += [(one.doc_id, one.text)] * 3
     rows = spark.createDataFrame(odd, "doc_id long, text string")
