@@ -16,8 +16,11 @@ hold half of what the markup leaves, else from all blocks that it leaves open.
 Distribution: pages meet by host; a host of more than ``SHARD`` pages is dealt
 into shards of about that many, each with a suffix array of its own, so no task
 holds a whole large host. The distinct runs of the shards, of all pages and
-zones, meet by host and hash bucket; their pages are added up and the totals go
-back to the shards, so that the result does not depend on the shard.
+zones, meet by host and hash bucket: first ``MARK_BITS`` bits of each, as gaps, of
+which a shard learns those that another shard has too; then only such runs with
+their whole hashes and pages, which are added up, and the totals go back to the
+shards. So the result does not depend on the shard, nor on the marks: runs that
+share a mark by chance are told apart by their hashes. Pages travel compressed.
 
 Edge cases: null and empty html give an empty text; a null url belongs to the
 host without a name; repeated rows are extracted each and are no distinct pages
@@ -48,6 +51,8 @@ MANY, MANY_SHARE = 5, 0.5
 SHARD = 512
 #: Shards whose runs fill a bucket of the count over all shards of a host.
 SHARDS_A_BUCKET = 8
+#: Bits of a run's hash that the shards compare first, 32 at most.
+MARK_BITS = 28
 #: Hosts above SHARD pages are broadcast up to this many, else joined by shuffle.
 BROADCAST_HOSTS = 100_000
 
@@ -200,16 +205,24 @@ def page_blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
+def _pack(blocks: list[tuple[str, int]]) -> bytes:
+    """The blocks of a page, which hold no line feeds, and their zones."""
+    zones = np.array([z for _, z in blocks], np.int8).tobytes()
+    return zlib.compress(np.array([len(blocks)], "<u4").tobytes() + zones + "\n".join(b for b, _ in blocks).encode(), 1)
+
+
+def _unpack(packed: bytes) -> tuple[list[str], list[int]]:
+    raw = zlib.decompress(packed)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    return (raw[4 + n :].decode().split("\n") if n else []), np.frombuffer(raw, np.int8, n, 4).tolist()
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "html"):
-        parsed = [page_blocks(page or "") for page in batch.column("html").to_pylist()]
+        parsed = [_pack(page_blocks(page or "")) for page in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [
-                *(batch.column(c) for c in ("page_id", "url", "host")),
-                pa.array([[b for b, _ in p] for p in parsed], pa.list_(pa.string())),
-                pa.array([[z for _, z in p] for p in parsed], pa.list_(pa.int8())),
-            ],
-            names=["page_id", "url", "host", "blocks", "zones"],
+            [*(batch.column(c) for c in ("page_id", "url", "host")), pa.array(parsed, pa.binary())],
+            names=["page_id", "url", "host", "packed"],
         )
 
 
@@ -309,34 +322,81 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]
         yield pa.concat_tables(held)
 
 
-def _runs_of(table: pa.Table) -> tuple[list[list[str]], np.ndarray, Runs]:
-    """The blocks of each page, which of them the markup has left, and the runs."""
-    blocks = table["blocks"].to_pylist()
+def _runs_of(table: pa.Table) -> tuple[list[list[str]], list[list[int]], np.ndarray, Runs]:
+    """The blocks of each page and their zones, which of them the markup has
+    left, and the runs."""
+    pages = [_unpack(x) for x in table["packed"].to_pylist()]
+    blocks, zones = [b for b, _ in pages], [z for _, z in pages]
     page = np.repeat(np.arange(len(blocks)), [len(p) for p in blocks])
-    left = np.array([z >= 0 for zones in table["zones"].to_pylist() for z in zones], bool)
-    return blocks, left, shard_runs([b for own in blocks for b in own], page, table["key"].to_numpy(), left)
+    left = np.array([z >= 0 for own in zones for z in own], bool)
+    return blocks, zones, left, shard_runs([b for own in blocks for b in own], page, table["key"].to_numpy(), left)
 
 
+_MARKS = pa.schema([("host", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("marks", pa.binary())])
 _COUNTS = pa.schema([("host", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("hashes", pa.binary()), ("pages", pa.binary())])
 
 
-def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each distinct run of a shard and its number of pages, in buckets of runs
-    that all shards of the host share. Pages of different shards are distinct."""
+def _row(schema: pa.Schema, *values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
+
+
+def _pack_marks(marks: np.ndarray) -> bytes:
+    """Ascending numbers below 2^32 as compressed gaps, byte by byte."""
+    gaps = np.diff(marks, prepend=np.uint64(0)).astype("<u4")
+    return zlib.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack_marks(packed: bytes) -> np.ndarray:
+    gaps = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view("<u4").ravel(), dtype=np.uint64)
+
+
+def _buckets(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The buckets of runs, which all shards of a host share, and their runs by hash."""
+    buckets = -(-shards // SHARDS_A_BUCKET)
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((hashes, bucket))
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return ((k, order[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
+
+
+def _mark_of(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - MARK_BITS)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The marks of the distinct runs of a shard, by bucket."""
     for table in _groups(batches, "host", "shard"):
         host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
-        if shards == 1:
-            continue
-        own = _runs_of(table)[2]
-        buckets = -(-shards // SHARDS_A_BUCKET)
-        bucket = (own.hashes % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((own.hashes, bucket))
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if b > a:
-                part = order[a:b]
-                row = [host], [k], [shard], [own.hashes[part].tobytes()], [zlib.compress(own.pages[part].astype(np.int32).tobytes(), 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _COUNTS)], schema=_COUNTS)
+        if shards > 1:
+            own = _runs_of(table)[3]
+            for k, part in _buckets(own.hashes, shards):
+                yield _row(_MARKS, host, k, shard, _pack_marks(np.unique(_mark_of(own.hashes[part]))))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each shard, its marks that other shards have too."""
+    for table in _groups(batches, "host", "bucket"):
+        each = [_unpack_marks(x) for x in table["marks"].to_pylist()]
+        found, which, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        for k, (marks, own) in enumerate(zip(each, np.split(n[which] > 1, np.cumsum([len(x) for x in each])[:-1]))):
+            if own.any():
+                yield _row(_MARKS, table["host"][0].as_py(), table["bucket"][0].as_py(), table["shard"][k].as_py(), _pack_marks(marks[own]))
+
+
+def _evidence(table: pa.Table, met: pa.Table) -> pa.Table:
+    """Of a shard's distinct runs those whose marks, in ``met``, another shard
+    has too: hashes and numbers of pages by bucket. Pages of different shards are
+    distinct."""
+    rows = []
+    if table.num_rows and met.num_rows:
+        host, shard, shards = (table[c][0].as_py() for c in ("host", "shard", "shards"))
+        own, marks = _runs_of(table)[3], dict(zip(met["bucket"].to_pylist(), met["marks"].to_pylist()))
+        for k, part in _buckets(own.hashes, shards):
+            if k in marks:
+                part = part[np.isin(_mark_of(own.hashes[part]), _unpack_marks(marks[k]))]
+                rows.append(_row(_COUNTS, host, k, shard, own.hashes[part].tobytes(), zlib.compress(own.pages[part].astype(np.int32).tobytes(), 1)))
+    return pa.Table.from_batches(rows, schema=_COUNTS)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,18 +412,18 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             all_pages = total[which[a:b]]
             more = all_pages > pages[k]
             if more.any():
-                row = [table["host"][0].as_py()], [table["bucket"][0].as_py()], [table["shard"][k].as_py()], [hashes[k][more].tobytes()], [all_pages[more].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _COUNTS)], schema=_COUNTS)
+                place = (table["host"][0].as_py(), table["bucket"][0].as_py(), table["shard"][k].as_py())
+                yield _row(_COUNTS, *place, hashes[k][more].tobytes(), zlib.compress(all_pages[more].tobytes(), 1))
 
 
 def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
     """The blocks of each page that stay; ``met`` is what _merge gave the shard."""
-    blocks, left, own = _runs_of(table)
+    blocks, zones, left, own = _runs_of(table)
     pages = own.pages.copy()
     if met.num_rows:
         order = np.argsort(own.hashes)
         for hashes, total in zip(met["hashes"].to_pylist(), met["pages"].to_pylist()):
-            pages[order[np.searchsorted(own.hashes[order], np.frombuffer(hashes, np.uint64))]] = np.frombuffer(total, np.int64)
+            pages[order[np.searchsorted(own.hashes[order], np.frombuffer(hashes, np.uint64))]] = np.frombuffer(zlib.decompress(total), np.int64)
     on = np.repeat(pages, own.sizes)  # of each suffix
     among_others = on > usual_pages(own, on, left)
     repeated = covered_blocks(own, own.suffixes[among_others])
@@ -372,7 +432,7 @@ def _decide(table: pa.Table, met: pa.Table) -> pa.Table:
     everywhere = covered_blocks(own, own.suffixes[among_others & (on >= many)])
     first = np.concatenate([[0], np.cumsum([len(p) for p in blocks])])
     stay = []
-    for i, (page, kinds) in enumerate(zip(blocks, table["zones"].to_pylist())):
+    for i, (page, kinds) in enumerate(zip(blocks, zones)):
         zone = _zone(page, kinds)
         flags = (everywhere if zone else repeated)[first[i] : first[i + 1]]
         stay.append([b for b, z, r in zip(page, kinds, flags) if z >= zone and not r])
@@ -388,14 +448,16 @@ def main_text(pages: DataFrame) -> DataFrame:
     large = rows.groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") > SHARD)
     large = materialise(large, "large-hosts")
     large = F.broadcast(large) if large.count() <= BROADCAST_HOSTS else large
-    parsed = rows.mapInArrow(_parse, "page_id long, url string, host string, blocks array<string>, zones array<byte>")
+    parsed = rows.mapInArrow(_parse, "page_id long, url string, host string, packed binary")
     placed = parsed.withColumn("key", F.xxhash64("page_id", "url")).join(large, "host", "left")
     placed = placed.withColumn("shards", F.coalesce(F.ceil(F.col("host_pages") / SHARD), F.lit(1)))
     placed = placed.withColumn("shard", F.pmod("key", "shards")).repartition("host", "shard")
-    counts = "host string, bucket long, shard long, hashes binary, pages binary"
-    met = placed.sortWithinPartitions("host", "shard").mapInArrow(_evidence, counts)
-    met = met.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_merge, counts)
-    decided = placed.groupBy("host", "shard").cogroup(met.groupBy("host", "shard"))
+    marks, counts = "host string, bucket long, shard long, marks binary", "host string, bucket long, shard long, hashes binary, pages binary"
+    met = placed.sortWithinPartitions("host", "shard").mapInArrow(_marks, marks)
+    met = met.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_met, marks)
+    total = placed.groupBy("host", "shard").cogroup(met.groupBy("host", "shard")).applyInArrow(_evidence, counts)
+    total = total.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_merge, counts)
+    decided = placed.groupBy("host", "shard").cogroup(total.groupBy("host", "shard"))
     decided = decided.applyInArrow(_decide, "page_id long, url string, blocks array<string>")
     text = F.array_join("blocks", "\n\n")
     return decided.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))

@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+
 from ridelens.llm import page_text
 from ridelens.llm.page_text import main_text, page_blocks
 
@@ -107,3 +110,28 @@ def test_marks_do_not_drop_parts_of_an_article(spark):
     names = ["Related", "Search", "Costs", "Notice", "Title", "Data", "Let x be", "Comments"]
     assert got[0].split("\n\n") == [x for k, name in enumerate(names) for x in (f"part {k}", name)]
     assert got[1] == "The text of the page stands in its main element.\n\nA teaser"
+
+
+def test_only_runs_that_shards_share_travel_whole(spark, monkeypatch):
+    rng = random.Random(9)
+    shared = "one line of twelve words that all the pages of this host repeat"
+    blocks = [[(" ".join(str(rng.randrange(10**6)) for _ in range(300)), page_text.OPEN), (shared, page_text.OPEN)] for _ in range(8)]
+    assert [page_text._unpack(page_text._pack(b)) for b in [*blocks, []]] == [tuple(map(list, zip(*b))) if b else ([], []) for b in [*blocks, []]]
+
+    def shard(k):
+        own = blocks[2 * k : 2 * k + 2]
+        columns = {"host": ["h"] * 2, "shard": [k] * 2, "shards": [4] * 2, "packed": [page_text._pack(b) for b in own], "key": [2 * k, 2 * k + 1]}
+        return pa.table(columns)
+
+    sent = pa.Table.from_batches([b for k in range(4) for b in page_text._marks(iter(shard(k).to_batches()))])
+    met = pa.Table.from_batches(page_text._met(iter(sent.to_batches())))
+    runs_of_line = len(shared.split()) - page_text.RUN + 1
+    for k in range(4):
+        whole = page_text._evidence(shard(k), met.filter(pa.compute.equal(met["shard"], k)))
+        assert [len(x) // 8 for x in whole["hashes"].to_pylist()] == [runs_of_line]  # of about 600 runs
+    assert sum(map(len, sent["marks"].to_pylist())) < 4 * 600 * 4.5
+    # marks that many runs share by chance change nothing
+    pages = [page("".join(f"<p>{b}</p>" for b, _ in own)) for own in blocks]
+    monkeypatch.setattr(page_text, "MARK_BITS", 4)
+    monkeypatch.setattr(page_text, "SHARD", 3)
+    assert text(spark, pages) == {i: own[0][0] for i, own in enumerate(blocks)}
