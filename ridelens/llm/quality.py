@@ -102,13 +102,17 @@ def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def features_of(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As ``features``, of many texts, in pieces."""
-    parts, first = [], 0
+    columns, first = ([], [], []), 0
     for part in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]):
         rows, slots, values = features(part.column("text"))
-        parts.append((rows + first, slots, values))
+        for column, own in zip(columns, ((rows + first).astype(np.int32), slots.astype(np.int32), values)):
+            column.append(own)
         first += part.num_rows
-    rows, slots, values = (np.concatenate(x) for x in zip(*parts))
-    return rows, slots, values
+    out = []
+    for column in columns:  # one after the other, so that few are there twice
+        out.append(np.concatenate(column))
+        column.clear()
+    return tuple(out)
 
 
 def by_share(shares: np.ndarray) -> np.ndarray:
@@ -126,7 +130,7 @@ def ftrl(
     """Weights and bias after ``EPOCHS`` passes over the rows in their order,
     or as many as ``UPDATES`` updates take."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    at = np.searchsorted(rows, np.arange(len(labels) + 1))
+    at = np.searchsorted(rows, np.arange(len(labels) + 1, dtype=rows.dtype))
 
     def weights(i):
         zi = z[i]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import ctypes
 import posixpath
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -20,6 +21,10 @@ from ridelens.session import scratch_path
 
 #: Text bytes that a task holds as flat arrays at a time (one longer text stands alone).
 BATCH_BYTES = 1 << 18
+#: Bytes of an Arrow batch on its way from the JVM to a task's Python, at most (one
+#: longer row stands alone); both sides hold a batch whole.
+ARROW_BYTES = 4 << 20
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 _SHIPPED: set[str] = set()
@@ -27,7 +32,10 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that tasks
-    can import it wherever the driver found it."""
+    can import it wherever the driver found it; and hold the session's Arrow
+    batches to ``ARROW_BYTES``, unless they are smaller."""
+    if int(re.sub(r"\D", "", spark.conf.get(_ARROW_LIMIT))) > ARROW_BYTES:
+        spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

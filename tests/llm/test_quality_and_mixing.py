@@ -1,7 +1,10 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ridelens.llm import quality
@@ -203,3 +206,16 @@ def test_word_pairs_tell_what_words_alone_do_not(spark):
     held = [r for r in score_documents(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect() if r.held_out]
     good, bad = ([r.score for r in held if r.doc_id % 2 == k] for k in (1, 0))
     assert sum(g > b for g in good for b in bad) >= 0.95 * len(good) * len(bad)
+
+
+def test_features_of_many_texts_are_held_once():
+    rng = np.random.Generator(np.random.PCG64(3))
+    texts = pd.Series([" ".join(map(str, rng.integers(0, 10**6, 300))) for _ in range(1500)])
+    quality.features_of(texts)  # fills the tables of powers
+    tracemalloc.start()
+    rows, slots, values = quality.features_of(texts)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert now < 17 * len(rows) + 1e6 and peak < 2 * 16 * len(rows) + 10e6
+    whole = quality.features(pa.array(texts))
+    assert all(np.array_equal(a, b) for a, b in zip((rows, slots, values), whole))
