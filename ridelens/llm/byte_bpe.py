@@ -2,14 +2,13 @@
 
 Method: texts are cut into pre-tokens, and blocks of texts carry each distinct
 pre-token once. Spark higher-order functions hold such a word as an array of
-hex symbols, one per byte, and fold merges over it: each step looks up the rank
-of every neighbouring pair in a literal rank map and joins the leftmost pair of
-the lowest rank, until no pair has one. A word that is itself in the map is one
-token. Decoding looks up the binary piece of every id and concatenates them.
+symbols, first one per byte, and fold merges over it: each step takes the least
+rank of all neighbouring pairs, joins the leftmost pair that has it, and looks up
+the ranks of the two pairs that this makes, until no pair has one. Decoding looks
+up the binary piece of every id and concatenates them.
 
-The rank map is a foldable literal, an array of small maps chosen by a hash of
-the key: Spark searches the entries of a map one by one, so a single map of
-50,000 entries would cost that many comparisons a lookup.
+The ranks of pairs are literals, two flat lists (``PairTable``): a pair's place is
+worked out from the ids of its two symbols, so that a look-up reads two entries.
 
 Blocks of at most ``BLOCK_BYTES`` text bytes (one longer text stands alone) are
 made and taken apart within a task; nothing is shuffled. Between the steps a block
@@ -23,8 +22,10 @@ from __future__ import annotations
 
 import base64
 import json
+import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -36,16 +37,18 @@ from pyspark.sql import functions as F
 
 from ridelens.llm.pretokens import blocks, gather
 from ridelens.llm.shared import id_and_text
+from ridelens.llm.token_counts import Merges, merged_sizes
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Distinct words, and pre-tokens of documents, that a row between the steps
 #: holds, so that the JVM never holds a block but only such rows.
 WORDS_ROW, DOCS_ROW = 64, 8192
-#: Small maps of the rank literal, a power of two; most hold one entry or none.
-MAPS = 65536
-_NONE = (1 << 31) - 1
+#: Bits of an id, and of a place in a word.
+SHIFT, PLACE = 20, 23
+_NO_ID = (1 << SHIFT) - 1
+_PLACES = (1 << PLACE) - 1 << SHIFT
 
 
 @cache
@@ -55,12 +58,56 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+@dataclass(frozen=True)
+class PairTable:
+    """The ranks of pairs of symbols in two flat lists: the pair (left, right)
+    stands, if it merges, in ``entries`` at ``first[key % len(first)] + right``,
+    as key << SHIFT | rank, where key is left << SHIFT | right."""
+
+    letters: list[int]  # the ids of the 256 bytes, at the first byte of their crc32
+    first: list[int]
+    entries: list[int | None]
+    apart: dict[str, int]  # tokens, as hex digits, that the merges do not make
+
+
+def _prime_above(n: int) -> int:
+    while any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
 @cache
-def _rank_json(path: str) -> str:
-    maps: list[list[str]] = [[] for _ in range(MAPS)]
-    for token, rank in ranks(path).items():
-        maps[zlib.crc32(token.hex().encode()) % MAPS].append(f'"{token.hex()}":{rank}')
-    return "[" + ",".join("{" + ",".join(m) + "}" for m in maps) + "]"
+def pair_table(path: str) -> PairTable:
+    ids = ranks(path)
+    if max(ids.values()) >= _NO_ID or any(bytes([i]) not in ids for i in range(256)):
+        raise ValueError(f"{path}: ranks for every byte, below {1 << SHIFT}, are needed")
+    cuts = ((ids.get(token[:i]), ids.get(token[i:]), rank) for token, rank in ids.items() for i in range(1, len(token)))
+    pairs = np.array([c for c in cuts if c[0] is not None and c[1] is not None], np.int64).reshape(-1, 3)
+    keys = pairs[:, 0] << SHIFT | pairs[:, 1]
+    # two pairs of one bucket never share the right symbol, so that some shift always finds free places
+    buckets = _prime_above(max(ids.values()) + 1)
+    members: dict[int, list[int]] = {}
+    for i, bucket in enumerate((keys % buckets).tolist()):
+        members.setdefault(bucket, []).append(i)
+    room = 2 * len(pairs) + 1
+    first, entries = [0] * buckets, [None] * (room + buckets)
+    right, packed = pairs[:, 1].tolist(), (keys << SHIFT | pairs[:, 2]).tolist()
+    at = 0
+    for bucket, own in sorted(members.items(), key=lambda x: -len(x[1])):
+        while any(entries[at + right[i]] is not None for i in own):
+            at = (at + 1) % room
+        first[bucket] = at
+        for i in own:
+            entries[at + right[i]] = packed[i]
+        at = (at + 7919) % room
+    tokens = list(ids)
+    order = np.argsort(keys)
+    alone = np.array([ids[bytes([i])] for i in range(256)], np.int64)
+    left = merged_sizes(tokens, Merges(alone, keys[order] >> SHIFT << 32 | pairs[order, 1], pairs[order, 2].astype(np.int32), pairs[order, 2], ()))
+    letters = [0] * 256
+    for i in range(256):
+        letters[zlib.crc32(bytes([i])) >> 24] = ids[bytes([i])]
+    return PairTable(letters, first, entries, {tokens[i].hex(): ids[tokens[i]] for i in np.flatnonzero(left > 1)})
 
 
 @cache
@@ -76,58 +123,71 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def rank_maps(path: str) -> Column:
-    """The rank map; the optimizer folds it to a literal."""
-    return F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")
-
-
 def encode_words(words: Column, path: str) -> Column:
-    """The ids of each of an array of pre-tokens (binary)."""
-    return _let(rank_maps(path), lambda maps: F.transform(words, lambda word: _encode_word(word, maps)))
+    """The ids of each of an array of pre-tokens (binary, none empty)."""
+    table = pair_table(path)
+    known = [F.from_json(F.lit(json.dumps(x)), kind) for x, kind in ((table.letters, "array<long>"), (table.first, "array<int>"), (table.entries, "array<long>"))]
+    apart = F.from_json(F.lit(json.dumps(table.apart)), "map<string,int>") if table.apart else None
 
+    def encode(letters: Column, first: Column, entries: Column) -> Column:
+        def one(word: Column) -> Column:
+            ids = _encode_word(word, letters, first, entries, len(table.first))
+            if apart is None:
+                return ids
+            return _let(F.element_at(apart, F.lower(F.hex(word))), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(ids))
 
-def _encode_word(word: Column, maps: Column) -> Column:
-    """The ids of one pre-token: merges of the lowest rank, leftmost first,
-    folded over its bytes."""
-    none = F.lit(_NONE)
+        return F.transform(words, one)
 
-    def rank(symbol: Column) -> Column:
-        slot = F.crc32(symbol.cast("binary")).bitwiseAND(F.lit(MAPS - 1)).cast("int")
-        return F.coalesce(F.element_at(F.get(maps, slot), symbol), none)
+    # the optimizer folds the lists to literals, of which a lambda's variable is one copy
+    return _let(known[0], lambda a: _let(known[1], lambda b: _let(known[2], lambda c: encode(a, b, c))))
 
-    def step(state: Column, _: Column) -> Column:
-        symbols, pairs = state["symbols"], state["pairs"]
-
-        def merge(at: Column) -> Column:
-            joined = F.concat(F.get(symbols, at - 1), F.get(symbols, at))
-            none_there = F.array().cast("array<int>")
-            before = F.when(at > 1, F.array(rank(F.concat(F.get(symbols, at - 2), joined)))).otherwise(none_there)
-            after = F.when(at < F.size(pairs), F.array(rank(F.concat(joined, F.get(symbols, at + 1))))).otherwise(none_there)
-            return F.struct(
-                F.concat(F.slice(symbols, F.lit(1), at - 1), F.array(joined), F.slice(symbols, at + 2, F.size(symbols))).alias("symbols"),
-                F.concat(
-                    F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(pairs, at + 2, F.size(pairs))
-                ).alias("pairs"),
-            )
 
-        low = F.array_min(pairs)
-        return F.when(low < none, _let(F.array_position(pairs, low).cast("int"), merge)).otherwise(state)
+def _encode_word(word: Column, letters: Column, first: Column, entries: Column, buckets: int) -> Column:
+    """The ids of one pre-token: merges of the lowest rank, leftmost first,
+    folded over its bytes. A symbol is one number, the rank of its pair with the
+    next symbol, its first byte in the word and its id, so that the least number
+    is the next merge; the rank of a pair is the id that it becomes. A symbol
+    that makes no pair stands at either end."""
+    none, no_pair = F.lit(_NO_ID).cast("long"), F.lit(_NO_ID << SHIFT + PLACE)
 
-    def fold(hexed: Column) -> Column:
-        n = F.length(hexed) / 2
+    def end(place: int) -> Column:
+        return F.array(F.lit(_NO_ID << SHIFT + PLACE | place | _NO_ID))
 
-        def start(symbols: Column) -> Column:
-            tail = F.slice(symbols, F.lit(2), F.size(symbols))
-            pairs = F.zip_with(F.slice(symbols, F.lit(1), F.size(symbols) - 1), tail, lambda a, b: rank(F.concat(a, b)))
-            return F.struct(symbols.alias("symbols"), pairs.alias("pairs"))
+    def id_of(symbol: Column) -> Column:
+        return symbol.bitwiseAND(none)
 
-        steps = F.sequence(F.lit(1), n.cast("int"))
-        symbols = F.transform(steps, lambda i: F.substring(hexed, i * 2 - 1, F.lit(2)))
-        merged = F.aggregate(steps, _let(symbols, start), step, lambda state: state["symbols"])
-        whole = _let(rank(hexed), lambda r: F.when(r < none, F.array(r)).otherwise(F.transform(merged, rank)))
-        return whole
+    def packed(left: Column, right: Column, place: Column) -> Column:
+        """The symbol ``left`` before ``right``; place has its bits where they belong."""
+        key = F.shiftleft(left, SHIFT) + right
+        entry = F.get(entries, (F.get(first, (key % buckets).cast("int")) + right).cast("int"))
+        rank = F.when(F.shiftright(entry, SHIFT) == key, entry.bitwiseAND(none)).otherwise(none)
+        return F.shiftleft(rank, SHIFT + PLACE) + place + left
 
-    return _let(F.lower(F.hex(word)), fold)
+    def step(state: Column, _: Column) -> Column:
+        def merge(low: Column) -> Column:
+            def at_place(at: Column) -> Column:
+                made = F.shiftright(low, SHIFT + PLACE)
+                before = F.get(state, at - 2)
+                both = F.array(
+                    packed(id_of(before), made, before.bitwiseAND(F.lit(_PLACES))),
+                    packed(made, id_of(F.get(state, at + 1)), low.bitwiseAND(F.lit(_PLACES))),
+                )
+                return F.concat(F.slice(state, F.lit(1), at - 2), both, F.slice(state, at + 2, F.size(state)))
+
+            # symbols are in the order of their places
+            earlier = F.filter(state, lambda x: x.bitwiseAND(F.lit(_PLACES)) < low.bitwiseAND(F.lit(_PLACES)))
+            return F.when(low < no_pair, _let(F.size(earlier) + 1, at_place)).otherwise(state)
+
+        return _let(F.array_min(state), merge)
+
+    def start(ids: Column) -> Column:
+        one = lambda left, i: packed(left, F.coalesce(F.get(ids, i + 1), none), F.shiftleft((i + 1).cast("long"), SHIFT))
+        return F.concat(end(0), F.transform(ids, one), end(_PLACES))
+
+    steps = F.sequence(F.lit(1), F.length(word))
+    ids = F.transform(steps, lambda i: F.get(letters, F.shiftright(F.crc32(F.substring(word, i, F.lit(1))), 24).cast("int")))
+    left = F.aggregate(steps, _let(ids, start), step)
+    return _let(left, lambda state: F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda x: id_of(x).cast("int")))
 
 
 def decode_ids(ids: Column, path: str) -> Column:

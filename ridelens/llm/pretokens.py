@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -166,52 +165,36 @@ def words_of(column, specials: tuple[bytes, ...] = ()) -> Words:
 class Block:
     """Documents that share one list of distinct pre-tokens: doc_ids, the bytes
     of each text, the n + 1 places where the texts begin among the pre-tokens,
-    the number of the word of each pre-token, and the words and their hashes."""
+    the number of the word of each pre-token, and the words."""
 
     doc_ids: pa.Array
     n_bytes: np.ndarray
     at: np.ndarray
     index: np.ndarray
     words: list[bytes]
-    hashes: np.ndarray
 
 
 def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes, ...] = ()) -> Iterator[Block]:
     """Blocks of about ``limit`` text bytes; one longer text stands alone."""
-    parts: list[tuple[pa.Array, Words]] = []
+    numbers: dict[bytes, int] = {}  # of the block's words, in the order in which they come
+    parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
 
     def block() -> Block:
-        # distinct words of several pieces meet here once more
-        words = list(chain.from_iterable(w.bytes() for _, w in parts))
-        hashes = np.concatenate([w.hashes for _, w in parts])
-        code, distinct = pd.factorize(hashes)
-        first = _first_of(code, len(distinct))
-        if any(words[i] != word for i, word in zip(first[code].tolist(), words)):
-            # two words share a hash: tell them by their bytes
-            code, _ = pd.factorize(np.array([*words, None], object)[:-1])
-            first = _first_of(code, int(code.max()) + 1)
-            distinct = hashes[first]
-        base = np.concatenate([[0], np.cumsum([len(w.hashes) for _, w in parts])])
-        code = code.astype(np.int32)
-        index = np.concatenate([code[b : b + len(w.hashes)][w.index] for (_, w), b in zip(parts, base)])
-        counts = np.concatenate([np.diff(w.at) for _, w in parts])
-        return Block(
-            pa.concat_arrays([ids for ids, _ in parts]),
-            np.concatenate([w.n_bytes for _, w in parts]),
-            np.concatenate([[0], np.cumsum(counts)]),
-            index,
-            [words[i] for i in first],
-            distinct,
-        )
+        ids, n_bytes, counts, index = zip(*parts)
+        at = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return Block(pa.concat_arrays(ids), np.concatenate(n_bytes), at, np.concatenate(index), list(numbers))
 
     for batch in pieces(batches):
         cuts = words_of(batch.column("text"), specials)
         if held and held + cuts.data.size > limit:
             yield block()
             parts.clear()
+            numbers = {}
             held = 0
-        parts.append((batch.column("doc_id"), cuts))
+        words = cuts.bytes()
+        number = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+        parts.append((batch.column("doc_id"), cuts.n_bytes, np.diff(cuts.at), number[cuts.index]))
         held += max(1, cuts.data.size)
     if parts:
         yield block()

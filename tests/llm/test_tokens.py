@@ -16,7 +16,7 @@ from ridelens.llm import byte_bpe, pretokens, range_coder
 from ridelens.llm.byte_bpe import digests, encode_and_decode
 from ridelens.llm.hashing import mul61, word_hashes
 from ridelens.llm.pretokens import words_of
-from ridelens.llm.shared import fresh_path
+from ridelens.llm.shared import ARROW_BYTES, fresh_path, id_and_text
 from ridelens.llm.token_counts import count_tokens
 from ridelens.llm.token_files import read_token_files, write_token_files
 
@@ -198,3 +198,32 @@ def test_rows_that_share_a_doc_id_or_have_none_are_dealt_out(spark):
     assert [r.start for r in got] == ends[:-1]
     parts = spark.read.parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("n"))
     assert parts.count() > 3  # 400 rows without an id are not one range
+
+
+def test_the_pair_table_has_every_pair_and_no_other():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids, table, shift = byte_bpe.ranks(path), byte_bpe.pair_table(path), byte_bpe.SHIFT
+
+    def found(left, right):
+        key = left << shift | right
+        entry = table.entries[table.first[key % len(table.first)] + right]
+        return entry & (1 << shift) - 1 if entry is not None and entry >> shift == key else None
+
+    cuts = [(ids.get(t[:i]), ids.get(t[i:]), rank) for t, rank in ids.items() for i in range(1, len(t))]
+    cuts = [c for c in cuts if c[0] is not None and c[1] is not None]
+    assert all(found(left, right) == rank for left, right, rank in cuts)
+    assert sum(e is not None for e in table.entries) == len(cuts)
+    tokens, rng = list(ids), random.Random(4)
+    for a, b in (rng.sample(tokens, 2) for _ in range(2000)):
+        assert found(ids[a], ids[b]) == ids.get(a + b)
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    own = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("text "), 2000).alias("text"))  # 30 MB
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.nbytes])})
+
+    most = id_and_text(own).mapInArrow(sizes, "n long").agg(F.max("n"), F.sum("n")).first()
+    assert most[0] < 1.1 * ARROW_BYTES < most[1]
