@@ -139,7 +139,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 
     # rows that share a doc_id, or none, are dealt over ranges by their text and a tag
     keyed = id_and_text(docs).withColumn("tie", F.xxhash64("text")).withColumn("tag", F.monotonically_increasing_id())
-    ordered = keyed.repartitionByRange("doc_id", "tie", "tag").sortWithinPartitions("doc_id", "tie", "tag")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that small ranges are not joined again
+    ordered = keyed.repartitionByRange(parts, "doc_id", "tie", "tag").sortWithinPartitions("doc_id", "tie", "tag")
     ordered.select("doc_id", "text").mapInArrow(encode, _SEGMENT).write.parquet(path)
 
 
