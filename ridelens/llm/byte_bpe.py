@@ -1,18 +1,23 @@
 """Byte-level BPE encoding and decoding by ranks.
 
 Method: texts are cut into pre-tokens, and blocks of texts carry each distinct
-pre-token once. Spark higher-order functions hold such a word as an array of
-symbols, first one per byte, and fold merges over it: each step takes the least
+pre-token once. Such a word starts as an array of symbols, one per byte, and
+Spark higher-order functions fold merges over it: each step takes the least
 rank of all neighbouring pairs, joins the leftmost pair that has it, and looks up
 the ranks of the two pairs that this makes, until no pair has one. Decoding looks
 up the binary piece of every id and concatenates them.
 
+In a table of more than ``KNOWN_FROM`` text bytes, the words of a sample of rows
+are folded once beforehand and given to all tasks (``known_words``); blocks then
+carry only the words that are not among them. The sample decides what is folded
+twice and nothing else.
+
 The ranks of pairs are literals, two flat lists (``PairTable``): a pair's place is
 worked out from the ids of its two symbols, so that a look-up reads two entries.
 
 Blocks of at most ``BLOCK_BYTES`` text bytes (one longer text stands alone) are
-made and taken apart within a task; nothing is shuffled. Between the steps a block
-travels as short rows in order, some words or some documents each.
+made and taken apart within a task; only the sample's words are shuffled. Between
+the steps a block travels as short rows in order, some words or some documents each.
 
 Edge cases: null and empty text have no tokens and decode to no bytes; repeated
 rows are encoded each; a null doc_id is kept; other columns of the input are
@@ -23,7 +28,6 @@ from __future__ import annotations
 import base64
 import json
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -35,13 +39,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelens.llm.pretokens import blocks, gather
-from ridelens.llm.shared import id_and_text
+from ridelens.llm.hashing import word_hashes
+from ridelens.llm.pretokens import Words, blocks, gather, words_of
+from ridelens.llm.shared import id_and_text, materialise, pieces, release
 from ridelens.llm.token_counts import Merges, merged_sizes
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Text bytes of the documents that share one set of distinct words.
 BLOCK_BYTES = 16 << 20
+#: Text bytes of a table from which words are folded beforehand; the share of its
+#: rows that they are taken from, and the bytes of these at most; the longest of them.
+KNOWN_FROM = 8 * BLOCK_BYTES
+KNOWN_SHARE, KNOWN_BYTES, KNOWN_LENGTH = 1 / 24, 32 << 20, 48
+#: Known words that the driver puts in order at a time.
+KNOWN_STEP = 1 << 15
 #: Distinct words, and pre-tokens of documents, that a row between the steps
 #: holds, so that the JVM never holds a block but only such rows.
 WORDS_ROW, DOCS_ROW = 64, 8192
@@ -49,6 +60,7 @@ WORDS_ROW, DOCS_ROW = 64, 8192
 SHIFT, PLACE = 20, 23
 _NO_ID = (1 << SHIFT) - 1
 _PLACES = (1 << PLACE) - 1 << SHIFT
+_NO_PAIR = _NO_ID << SHIFT + PLACE
 
 
 @cache
@@ -64,10 +76,9 @@ class PairTable:
     stands, if it merges, in ``entries`` at ``first[key % len(first)] + right``,
     as key << SHIFT | rank, where key is left << SHIFT | right."""
 
-    letters: list[int]  # the ids of the 256 bytes, at the first byte of their crc32
     first: list[int]
     entries: list[int | None]
-    apart: dict[str, int]  # tokens, as hex digits, that the merges do not make
+    apart: dict[bytes, int]  # tokens that the merges do not make
 
 
 def _prime_above(n: int) -> int:
@@ -104,10 +115,7 @@ def pair_table(path: str) -> PairTable:
     order = np.argsort(keys)
     alone = np.array([ids[bytes([i])] for i in range(256)], np.int64)
     left = merged_sizes(tokens, Merges(alone, keys[order] >> SHIFT << 32 | pairs[order, 1], pairs[order, 2].astype(np.int32), pairs[order, 2], ()))
-    letters = [0] * 256
-    for i in range(256):
-        letters[zlib.crc32(bytes([i])) >> 24] = ids[bytes([i])]
-    return PairTable(letters, first, entries, {tokens[i].hex(): ids[tokens[i]] for i in np.flatnonzero(left > 1)})
+    return PairTable(first, entries, {tokens[i]: ids[tokens[i]] for i in np.flatnonzero(left > 1)})
 
 
 @cache
@@ -123,71 +131,93 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_words(words: Column, path: str) -> Column:
-    """The ids of each of an array of pre-tokens (binary, none empty)."""
-    table = pair_table(path)
-    known = [F.from_json(F.lit(json.dumps(x)), kind) for x, kind in ((table.letters, "array<long>"), (table.first, "array<int>"), (table.entries, "array<long>"))]
-    apart = F.from_json(F.lit(json.dumps(table.apart)), "map<string,int>") if table.apart else None
+@dataclass(frozen=True)
+class Start:
+    """What words start from: the ids of the 256 bytes, the ranks of their pairs,
+    and the tokens that the merges do not make."""
+
+    letters: np.ndarray
+    pairs: np.ndarray
+    apart: dict[bytes, int]
+
+    def symbols(self, words: list[bytes]) -> pa.ListArray:
+        """Each word as ``encode_symbols`` takes it."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(sizes)
+        rank, own = np.full(len(data), _NO_ID, np.int64), self.letters[data].astype(np.int64)
+        rank[:-1] = self.pairs[data[:-1], data[1:]]
+        rank[ends - 1] = _NO_ID
+        place = np.arange(1, len(data) + 1) - np.repeat(ends - sizes, sizes)
+        if self.apart:
+            alone = [(i, self.apart[w]) for i, w in enumerate(words) if w in self.apart]
+            at = np.array([i for i, _ in alone], np.int64)
+            own[ends[at] - 1] = [rank for _, rank in alone]
+            stays = ~np.isin(np.repeat(np.arange(len(words)), sizes), at)
+            stays[ends[at] - 1] = True
+            rank, place, own = rank[stays], place[stays], own[stays]
+            sizes[at] = 1
+            ends = np.cumsum(sizes)
+        behind = 2 * np.arange(len(words))
+        out = np.full(len(own) + 2 * len(words), _NO_PAIR | _NO_ID, np.int64)
+        out[np.arange(1, len(own) + 1) + np.repeat(behind, sizes)] = rank << SHIFT + PLACE | place << SHIFT | own
+        out[ends + behind + 1] |= _PLACES
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends + behind + 2).astype(np.int32)), pa.array(out))
 
-    def encode(letters: Column, first: Column, entries: Column) -> Column:
-        def one(word: Column) -> Column:
-            ids = _encode_word(word, letters, first, entries, len(table.first))
-            if apart is None:
-                return ids
-            return _let(F.element_at(apart, F.lower(F.hex(word))), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(ids))
 
-        return F.transform(words, one)
+@cache
+def start_of(path: str) -> Start:
+    ids = ranks(path)
+    single = [bytes([i]) for i in range(256)]
+    pairs = np.array([[ids.get(a + b, _NO_ID) for b in single] for a in single], np.int32)
+    return Start(np.array([ids[a] for a in single], np.int32), pairs, pair_table(path).apart)
 
+
+def encode_symbols(words: Column, path: str) -> Column:
+    """The ids of each of an array of words as ``Start.symbols`` has them."""
+    table = pair_table(path)
+    known = [F.from_json(F.lit(json.dumps(x)), kind) for x, kind in ((table.first, "array<int>"), (table.entries, "array<long>"))]
+    one = lambda first, entries: F.transform(words, lambda word: _encode_word(word, first, entries, len(table.first)))
     # the optimizer folds the lists to literals, of which a lambda's variable is one copy
-    return _let(known[0], lambda a: _let(known[1], lambda b: _let(known[2], lambda c: encode(a, b, c))))
+    return _let(known[0], lambda first: _let(known[1], lambda entries: one(first, entries)))
 
 
-def _encode_word(word: Column, letters: Column, first: Column, entries: Column, buckets: int) -> Column:
+def _encode_word(word: Column, first: Column, entries: Column, buckets: int) -> Column:
     """The ids of one pre-token: merges of the lowest rank, leftmost first,
-    folded over its bytes. A symbol is one number, the rank of its pair with the
+    folded over its symbols. A symbol is one number, the rank of its pair with the
     next symbol, its first byte in the word and its id, so that the least number
     is the next merge; the rank of a pair is the id that it becomes. A symbol
     that makes no pair stands at either end."""
-    none, no_pair = F.lit(_NO_ID).cast("long"), F.lit(_NO_ID << SHIFT + PLACE)
-
-    def end(place: int) -> Column:
-        return F.array(F.lit(_NO_ID << SHIFT + PLACE | place | _NO_ID))
-
-    def id_of(symbol: Column) -> Column:
-        return symbol.bitwiseAND(none)
+    none, no_pair, places = F.lit(_NO_ID).cast("long"), F.lit(_NO_PAIR), F.lit(_PLACES)
 
-    def packed(left: Column, right: Column, place: Column) -> Column:
-        """The symbol ``left`` before ``right``; place has its bits where they belong."""
-        key = F.shiftleft(left, SHIFT) + right
+    def rank(left: Column, right: Column) -> Column:
+        """The rank of a pair, where it stands in a symbol."""
+        key = F.shiftleft(left, SHIFT).bitwiseOR(right)
         entry = F.get(entries, (F.get(first, (key % buckets).cast("int")) + right).cast("int"))
-        rank = F.when(F.shiftright(entry, SHIFT) == key, entry.bitwiseAND(none)).otherwise(none)
-        return F.shiftleft(rank, SHIFT + PLACE) + place + left
+        # an entry of another key leaves more than an id has; least() passes over nulls
+        return F.shiftleft(F.least(entry.bitwiseXOR(F.shiftleft(key, SHIFT)), none), SHIFT + PLACE)
 
     def step(state: Column, _: Column) -> Column:
         def merge(low: Column) -> Column:
             def at_place(at: Column) -> Column:
                 made = F.shiftright(low, SHIFT + PLACE)
-                before = F.get(state, at - 2)
+                before = F.get(state, at - 2).bitwiseAND(F.lit(_PLACES | _NO_ID))
+                after = F.get(state, at + 1).bitwiseAND(none)
                 both = F.array(
-                    packed(id_of(before), made, before.bitwiseAND(F.lit(_PLACES))),
-                    packed(made, id_of(F.get(state, at + 1)), low.bitwiseAND(F.lit(_PLACES))),
+                    rank(before.bitwiseAND(none), made).bitwiseOR(before),
+                    rank(made, after).bitwiseOR(low.bitwiseAND(places)).bitwiseOR(made),
                 )
                 return F.concat(F.slice(state, F.lit(1), at - 2), both, F.slice(state, at + 2, F.size(state)))
 
             # symbols are in the order of their places
-            earlier = F.filter(state, lambda x: x.bitwiseAND(F.lit(_PLACES)) < low.bitwiseAND(F.lit(_PLACES)))
+            earlier = F.filter(state, lambda x: x.bitwiseAND(places) < low.bitwiseAND(places))
             return F.when(low < no_pair, _let(F.size(earlier) + 1, at_place)).otherwise(state)
 
         return _let(F.array_min(state), merge)
 
-    def start(ids: Column) -> Column:
-        one = lambda left, i: packed(left, F.coalesce(F.get(ids, i + 1), none), F.shiftleft((i + 1).cast("long"), SHIFT))
-        return F.concat(end(0), F.transform(ids, one), end(_PLACES))
-
-    steps = F.sequence(F.lit(1), F.length(word))
-    ids = F.transform(steps, lambda i: F.get(letters, F.shiftright(F.crc32(F.substring(word, i, F.lit(1))), 24).cast("int")))
-    left = F.aggregate(steps, _let(ids, start), step)
-    return _let(left, lambda state: F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda x: id_of(x).cast("int")))
+    # a word of n symbols, with the two at its ends, merges n - 1 times at most
+    left = F.aggregate(F.slice(word, F.lit(4), F.size(word)), word, step)
+    return _let(left, lambda state: F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda x: x.bitwiseAND(none).cast("int")))
 
 
 def decode_ids(ids: Column, path: str) -> Column:
@@ -202,26 +232,58 @@ def decode_each(words: Column, path: str) -> Column:
     return _let(table, lambda of: F.transform(words, lambda ids: one(ids, of)))
 
 
-_BLOCK = "words array<binary>, doc_ids array<long>, counts binary, index binary"
-
-
-def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The blocks as short rows: first the distinct pre-tokens of a block,
-    WORDS_ROW a row, then its documents in runs of about DOCS_ROW pre-tokens:
-    doc_ids, the number of pre-tokens of each, and for each pre-token the number
-    of its distinct one."""
-    kinds = [pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+@dataclass(frozen=True)
+class Known:
+    """Words that were encoded beforehand, in the order of their hashes; where
+    the bytes of each begin in ``data``."""
+
+    hashes: np.ndarray
+    data: np.ndarray
+    at: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, cuts: Words) -> np.ndarray:
+        """The number of each distinct word of ``cuts``, -1 for unknown ones."""
+        out = np.full(len(cuts.hashes), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, cuts.hashes), len(self) - 1)
+        sizes = cuts.ends - cuts.starts
+        own = np.flatnonzero((self.hashes[at] == cuts.hashes) & (self.at[at + 1] - self.at[at] == sizes))
+        out[own] = at[own]
+        other = gather(self.data, self.at[at[own]].astype(np.int64), sizes[own]) != gather(cuts.data, cuts.starts[own], sizes[own])
+        if other.any():  # another word has the hash
+            out[np.repeat(own, sizes[own])[other]] = -1
+        return out
+
+
+_WORDS = "words array<binary>, symbols array<array<long>>"
+_BLOCK = f"{_WORDS}, doc_ids array<long>, counts binary, index binary"
+
+
+def _word_rows(words: list[bytes], start: Start) -> list[pa.Array]:
+    """The columns of ``_WORDS``, WORDS_ROW words a row."""
+    at = pa.array(np.append(np.arange(0, len(words), WORDS_ROW), len(words)).astype(np.int32))
+    return [pa.ListArray.from_arrays(at, x) for x in (pa.array(words, pa.binary()), start.symbols(words))]
+
+
+def _to_blocks(batches: Iterator[pa.RecordBatch], start: Start | None = None, known: Known | None = None) -> Iterator[pa.RecordBatch]:
+    """The blocks as short rows: first the distinct pre-tokens of a block that
+    are not known, WORDS_ROW a row, then its documents in runs of about DOCS_ROW
+    pre-tokens: doc_ids, the number of pre-tokens of each, and for each pre-token
+    the number of its distinct one, after the known ones."""
+    start = start or start_of(public_tokenizers.path(RANKS))
+    kinds = [pa.list_(pa.binary()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64()), pa.binary(), pa.binary()]
     names = [c.split()[0] for c in _BLOCK.split(", ")]
-    for block in blocks(batches, BLOCK_BYTES):
-        n = len(block.words)
-        if n:
-            at = pa.array(np.append(np.arange(0, n, WORDS_ROW), n).astype(np.int32))
-            words = pa.ListArray.from_arrays(at, pa.array(block.words, pa.binary()))
-            yield pa.RecordBatch.from_arrays([words, *(pa.nulls(len(words), k) for k in kinds[1:])], names=names)
+    for block in blocks(batches, BLOCK_BYTES, known=known):
+        if block.words:
+            for a in range(0, len(block.words), 64 * WORDS_ROW):
+                words = _word_rows(block.words[a : a + 64 * WORDS_ROW], start)
+                yield pa.RecordBatch.from_arrays([*words, *(pa.nulls(len(words[0]), k) for k in kinds[2:])], names=names)
         counts, index = np.diff(block.at).astype("<i4"), block.index.astype("<i4", copy=False)
         cuts = [0, *(np.flatnonzero(np.diff(block.at[:-1] // DOCS_ROW)) + 1), len(block.doc_ids)]
         for a, b in zip(cuts, cuts[1:]):
-            row = [None], [block.doc_ids.slice(a, b - a)], [counts[a:b].tobytes()], [index[block.at[a] : block.at[b]].tobytes()]
+            row = [None], [None], [block.doc_ids.slice(a, b - a)], [counts[a:b].tobytes()], [index[block.at[a] : block.at[b]].tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=names)
 
 
@@ -229,8 +291,9 @@ class _Pieces:
     """What each distinct pre-token of a block became, filled row by row:
     its values end to end, where they start, and how many they are."""
 
-    def __init__(self, kind: type):
-        self.kind, self.parts, self.sizes = kind, [], []
+    def __init__(self, kind: type, before: _Pieces | None = None):
+        self.kind = kind
+        self.parts, self.sizes = ([], []) if before is None else ([*before.parts], [*before.sizes])
 
     def add(self, row: pa.Array) -> None:
         if pa.types.is_list(row.type):
@@ -242,21 +305,25 @@ class _Pieces:
 
     def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self.parts:
-            return np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int64)
-        sizes = np.concatenate(self.sizes).astype(np.int64)
-        return np.concatenate(self.parts), np.cumsum(sizes) - sizes, sizes
+            return np.empty(0, self.kind), np.empty(0, np.int64), np.empty(0, np.int32)
+        sizes = np.concatenate(self.sizes).astype(np.int32, copy=False)
+        return np.concatenate(self.parts), np.cumsum(sizes, dtype=np.int64) - sizes, sizes
 
 
-def _to_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_KINDS = np.dtype("<u4"), np.dtype(np.uint8)  # of ids and bytes
+
+
+def _to_documents(batches: Iterator[pa.RecordBatch], known: tuple[_Pieces, _Pieces] | None = None) -> Iterator[pa.RecordBatch]:
     """Documents from the rows of ``_to_blocks`` in their order, with the ids
     and bytes of each pre-token filled in."""
-    tokens, letters, tables = _Pieces(np.dtype("<u4")), _Pieces(np.dtype(np.uint8)), None
+    fresh = lambda: [_Pieces(*x) for x in zip(_KINDS, known or (None, None))]
+    (tokens, letters), tables = fresh(), None
     for whole in batches:
         is_words = whole.column("doc_ids").is_null().to_numpy(zero_copy_only=False)
         for k in range(whole.num_rows):
             if is_words[k]:
                 if tables is not None:  # the next block begins
-                    tokens, letters, tables = _Pieces(tokens.kind), _Pieces(letters.kind), None
+                    (tokens, letters), tables = fresh(), None
                 tokens.add(whole.column("words_ids").slice(k, 1).flatten())
                 letters.add(whole.column("words_bytes").slice(k, 1).flatten())
                 continue
@@ -267,7 +334,7 @@ def _to_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             at = np.concatenate([[0], np.cumsum(np.frombuffer(whole.column("counts")[k].as_py(), "<i4"), dtype=np.int64)])
             out = []
             for flat, starts, sizes in tables:
-                each = sizes[index]
+                each = sizes[index].astype(np.int64)
                 value = gather(flat, starts[index], each).tobytes()
                 ends = np.concatenate([[0], np.cumsum(each)])[at] * flat.itemsize
                 out.append(pa.array([value[x:y] for x, y in zip(ends, ends[1:])], pa.binary()))
@@ -280,14 +347,74 @@ def _to_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 tables = None
 
 
+def known_words(docs: DataFrame, path: str) -> tuple[Known, tuple[_Pieces, _Pieces]] | None:
+    """The words of a sample of ``docs`` (doc_id, text), and their ids and bytes;
+    nothing for a table that is too small to repay them."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total <= KNOWN_FROM:
+        return None
+    start, parts = start_of(path), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: set[bytes] = set()
+        for batch in pieces(batches):
+            words.update(w for w in words_of(batch.column("text")).bytes() if len(w) <= KNOWN_LENGTH)
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary())], names=["word"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(_word_rows(batch.column("word").to_pylist(), start), names=["words", "symbols"])
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            filled = [_Pieces(k) for k in _KINDS]
+            for piece, column in zip(filled, ("words_ids", "words_bytes")):
+                piece.add(batch.column(column).flatten())
+            (ids, _, ids_sizes), (data, starts, sizes) = (piece.table() for piece in filled)
+            values = word_hashes(data, starts, starts + sizes), ids, ids_sizes, data, sizes
+            row = [pa.array([v.astype(k).tobytes()], pa.binary()) for v, k in zip(values, kinds)]
+            yield pa.RecordBatch.from_arrays(row, names=names)
+
+    kinds, names = ("<u8", "<u4", "u1", "u1", "u1"), ["hashes", "ids", "ids_sizes", "data", "sizes"]
+    sample = docs.select("text").sample(min(KNOWN_SHARE, KNOWN_BYTES / total), 1)
+    words = sample.mapInArrow(distinct, "word binary").repartition(parts, "word").dropDuplicates(["word"])
+    # a job without a shuffle: each change of a plan is told to the driver with all literals
+    got = _filled(materialise(words, "known-words").mapInArrow(rows, _WORDS), path).mapInArrow(flat, ", ".join(f"{x} binary" for x in names)).collect()
+    if not got:
+        return None
+    hashes, ids, ids_sizes, data, sizes = (np.concatenate([np.frombuffer(r[i], k) for r in got]) for i, k in enumerate(kinds))
+    del got
+    hashes, order = np.unique(hashes, return_index=True)  # one word of a hash
+    out = []
+    for flat_, each in ((ids, ids_sizes), (data, sizes)):
+        starts, each = (np.cumsum(each, dtype=np.int64) - each)[order], each[order].astype(np.int32)
+        out.append(_Pieces(flat_.dtype))
+        some = [slice(a, a + KNOWN_STEP) for a in range(0, len(each), KNOWN_STEP)]  # the driver is small
+        out[-1].parts.append(np.concatenate([gather(flat_, starts[x], each[x].astype(np.int64)) for x in some]))
+        out[-1].sizes.append(each)
+    known = Known(hashes, out[1].parts[0], np.append(0, np.cumsum(each, dtype=np.int64)).astype(np.int32))
+    del ids, data
+    release()
+    return known, (out[0], out[1])
+
+
+def _filled(rows: DataFrame, path: str, *also: str) -> DataFrame:
+    """Rows with symbols, and the ids and bytes of their words."""
+    encoded = rows.select(*also, encode_symbols(F.col("symbols"), path).alias("words_ids"))
+    return encoded.withColumn("words_bytes", decode_each(F.col("words_ids"), path))
+
+
 def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids (little-endian unsigned 32-bit
     integers) and decoded (the bytes that the ids stand for)."""
     path = path or public_tokenizers.path(RANKS)
-    blocks = id_and_text(docs).mapInArrow(_to_blocks, _BLOCK)
-    encoded = blocks.select("doc_ids", "counts", "index", encode_words(F.col("words"), path).alias("words_ids"))
-    decoded = encoded.withColumn("words_bytes", decode_each(F.col("words_ids"), path))
-    return decoded.mapInArrow(_to_documents, "doc_id long, n_tokens long, ids binary, decoded binary")
+    docs, context = id_and_text(docs), docs.sparkSession.sparkContext
+    start, found = start_of(path), known_words(docs, path)
+    words, filled = (context.broadcast(x) for x in found or (None, None))
+    blocks = docs.mapInArrow(lambda batches: _to_blocks(batches, start, words.value), _BLOCK)
+    rows = _filled(blocks, path, "doc_ids", "counts", "index")
+    return rows.mapInArrow(lambda batches: _to_documents(batches, filled.value), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def digests(encoded: DataFrame, *also: str) -> DataFrame:

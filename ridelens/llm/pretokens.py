@@ -152,9 +152,9 @@ class Words:
         self.index = index.astype(np.int32)
         self.starts, self.ends = starts[first], ends[first]
 
-    def bytes(self) -> list[bytes]:
+    def bytes(self, some: np.ndarray | slice = slice(None)) -> list[bytes]:
         raw = self.data.tobytes()
-        return [raw[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]
+        return [raw[a:b] for a, b in zip(self.starts[some].tolist(), self.ends[some].tolist())]
 
 
 def words_of(column, specials: tuple[bytes, ...] = ()) -> Words:
@@ -165,7 +165,8 @@ def words_of(column, specials: tuple[bytes, ...] = ()) -> Words:
 class Block:
     """Documents that share one list of distinct pre-tokens: doc_ids, the bytes
     of each text, the n + 1 places where the texts begin among the pre-tokens,
-    the number of the word of each pre-token, and the words."""
+    the number of the word of each pre-token, and the words; known words have the
+    first numbers and are not among these."""
 
     doc_ids: pa.Array
     n_bytes: np.ndarray
@@ -174,8 +175,10 @@ class Block:
     words: list[bytes]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes, ...] = ()) -> Iterator[Block]:
-    """Blocks of about ``limit`` text bytes; one longer text stands alone."""
+def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes, ...] = (), known=None) -> Iterator[Block]:
+    """Blocks of about ``limit`` text bytes; one longer text stands alone.
+    ``known`` tells the numbers of the words that it has (``find``)."""
+    before = len(known) if known else 0
     numbers: dict[bytes, int] = {}  # of the block's words, in the order in which they come
     parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
     held = 0
@@ -192,8 +195,9 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes,
             parts.clear()
             numbers = {}
             held = 0
-        words = cuts.bytes()
-        number = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+        number = known.find(cuts) if before else np.full(len(cuts.hashes), -1, np.int32)
+        new = np.flatnonzero(number < 0)
+        number[new] = np.fromiter((before + numbers.setdefault(w, len(numbers)) for w in cuts.bytes(new)), np.int32, len(new))
         parts.append((batch.column("doc_id"), cuts.n_bytes, np.diff(cuts.at), number[cuts.index]))
         held += max(1, cuts.data.size)
     if parts:

@@ -227,3 +227,39 @@ def test_texts_go_to_python_in_small_batches(spark):
 
     most = id_and_text(own).mapInArrow(sizes, "n long").agg(F.max("n"), F.sum("n")).first()
     assert most[0] < 1.1 * ARROW_BYTES < most[1]
+
+
+def test_words_folded_beforehand_change_nothing_but_what_blocks_carry(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN_FROM", 0)
+    monkeypatch.setattr(byte_bpe, "KNOWN_SHARE", 0.4)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    values = [*texts(21, 300), *ODD]
+    docs = frame(spark, values).repartition(3)
+    known, _ = byte_bpe.known_words(id_and_text(docs), path)
+    batches = [pa.record_batch({"doc_id": pa.array(range(len(values))), "text": pa.array(values, pa.string())})]
+    every, rest = (
+        {w for b in byte_bpe._to_blocks(iter(batches), known=k) for words in b.column("words").to_pylist() for w in words or ()}
+        for k in (None, known)
+    )
+    own = known.data.tobytes()
+    given = {own[a:b] for a, b in zip(known.at, known.at[1:])}
+    assert given and rest and rest == every - given
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks(path), special_tokens={})
+    got = encode_and_decode(docs).collect()
+    assert len(got) == len(values) + 1
+    for r in got:
+        text = values[r.doc_id or 0] or ""
+        assert (list(np.frombuffer(r.ids, "<u4")), r.decoded.decode()) == (library.encode_ordinary(text), text)
+
+
+def test_an_unknown_word_with_a_known_hash_is_not_taken_for_it(monkeypatch):
+    monkeypatch.setattr(pretokens, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    known = byte_bpe.Known(np.array([3, 4], np.uint64), np.frombuffer(b"abcabcd", np.uint8), np.array([0, 3, 7], np.int32))
+    assert known.find(words_of(pa.array(["abd", None, "abcd", "abcde"]))).tolist() == [-1, 1, -1]
+
+
+def test_a_token_that_merges_do_not_make_starts_whole():
+    start = byte_bpe.start_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain, whole = start.symbols([b"xyz", b"ab"]).to_pylist(), byte_bpe.Start(start.letters, start.pairs, {b"xyz": 7}).symbols([b"xyz", b"ab"]).to_pylist()
+    assert plain[1] == whole[1] and len(plain[0]) == 5 and len(whole[0]) == 3
+    assert whole[0][1] & byte_bpe._NO_ID == 7 and min(whole[0]) >= byte_bpe._NO_PAIR
