@@ -25,6 +25,12 @@ BATCH_BYTES = 1 << 18
 #: longer row stands alone); both sides hold a batch whole.
 ARROW_BYTES = 4 << 20
 _ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows that Spark's Parquet reader decodes at a time, at most: it holds their texts in
+#: arrays of one column, which at its default of 4,096 rows take tens of MB a task.
+READ_ROWS = 512
+_READ_LIMIT = "spark.sql.parquet.columnarReaderBatchSize"
+#: Bytes of a row group of tables between the steps: a writer holds one in memory.
+GROUP_BYTES = 8 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -33,9 +39,12 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that tasks
     can import it wherever the driver found it; and hold the session's Arrow
-    batches to ``ARROW_BYTES``, unless they are smaller."""
+    batches to ``ARROW_BYTES`` and its Parquet batches to ``READ_ROWS``, unless
+    they are smaller."""
     if int(re.sub(r"\D", "", spark.conf.get(_ARROW_LIMIT))) > ARROW_BYTES:
         spark.conf.set(_ARROW_LIMIT, str(ARROW_BYTES))
+    if int(spark.conf.get(_READ_LIMIT)) > READ_ROWS:
+        spark.conf.set(_READ_LIMIT, str(READ_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -64,7 +73,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     cuts lineage, survives lost executors, and gives later joins a plain scan."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
