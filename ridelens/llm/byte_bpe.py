@@ -26,7 +26,6 @@ ignored; an empty table gives an empty table."""
 from __future__ import annotations
 
 import base64
-import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +35,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelens.llm.hashing import word_hashes
@@ -119,11 +118,18 @@ def pair_table(path: str) -> PairTable:
 
 
 @cache
-def _piece_json(path: str) -> str:
-    pieces_ = [""] * (max(ranks(path).values()) + 1)
+def _token_hex(path: str) -> list[str]:
+    """The bytes of each id, in hexadecimal digits."""
+    out = [""] * (max(ranks(path).values()) + 1)
     for token, rank in ranks(path).items():
-        pieces_[rank] = token.hex()
-    return json.dumps(pieces_)
+        out[rank] = token.hex()
+    return out
+
+
+def _given(spark: SparkSession, values: list, kind: pa.DataType) -> Column:
+    """A list as a column, by a subquery of one row: a literal would stand with all
+    its values in every text of a plan, and the driver keeps those of many queries."""
+    return spark.createDataFrame(pa.table({"list": pa.array([values], pa.list_(kind))})).scalar()
 
 
 def _let(value: Column, body) -> Column:
@@ -173,13 +179,12 @@ def start_of(path: str) -> Start:
     return Start(np.array([ids[a] for a in single], np.int32), pairs, pair_table(path).apart)
 
 
-def encode_symbols(words: Column, path: str) -> Column:
-    """The ids of each of an array of words as ``Start.symbols`` has them."""
-    table = pair_table(path)
-    known = [F.from_json(F.lit(json.dumps(x)), kind) for x, kind in ((table.first, "array<int>"), (table.entries, "array<long>"))]
-    one = lambda first, entries: F.transform(words, lambda word: _encode_word(word, first, entries, len(table.first)))
-    # the optimizer folds the lists to literals, of which a lambda's variable is one copy
-    return _let(known[0], lambda first: _let(known[1], lambda entries: one(first, entries)))
+def encode_symbols(words: Column, first: Column, entries: Column, buckets: int) -> Column:
+    """The ids of each of an array of words as ``Start.symbols`` has them, by the
+    lists of a pair table."""
+    one = lambda first, entries: F.transform(words, lambda word: _encode_word(word, first, entries, buckets))
+    # a lambda's variable is one copy of a list
+    return _let(first, lambda first: _let(entries, lambda entries: one(first, entries)))
 
 
 def _encode_word(word: Column, first: Column, entries: Column, buckets: int) -> Column:
@@ -220,16 +225,10 @@ def _encode_word(word: Column, first: Column, entries: Column, buckets: int) ->
     return _let(left, lambda state: F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda x: x.bitwiseAND(none).cast("int")))
 
 
-def decode_ids(ids: Column, path: str) -> Column:
-    """The bytes of an array of ids: their binary pieces end to end."""
-    return decode_each(F.array(ids), path)[0]
-
-
-def decode_each(words: Column, path: str) -> Column:
-    """The bytes of each of an array of arrays of ids."""
-    table = F.from_json(F.lit(_piece_json(path)), "array<string>")
+def decode_each(words: Column, token_hex: Column) -> Column:
+    """The bytes of each of an array of arrays of ids, by the list of all tokens."""
     one = lambda ids, of: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(of, i)), ""))
-    return _let(table, lambda of: F.transform(words, lambda ids: one(ids, of)))
+    return _let(token_hex, lambda of: F.transform(words, lambda ids: one(ids, of)))
 
 
 @dataclass(frozen=True)
@@ -379,7 +378,6 @@ def known_words(docs: DataFrame, path: str) -> tuple[Known, tuple[_Pieces, _Piec
     kinds, names = ("<u8", "<u4", "u1", "u1", "u1"), ["hashes", "ids", "ids_sizes", "data", "sizes"]
     sample = docs.select("text").sample(min(KNOWN_SHARE, KNOWN_BYTES / total), 1)
     words = sample.mapInArrow(distinct, "word binary").repartition(parts, "word").dropDuplicates(["word"])
-    # a job without a shuffle: each change of a plan is told to the driver with all literals
     got = _filled(materialise(words, "known-words").mapInArrow(rows, _WORDS), path).mapInArrow(flat, ", ".join(f"{x} binary" for x in names)).collect()
     if not got:
         return None
@@ -401,8 +399,13 @@ def known_words(docs: DataFrame, path: str) -> tuple[Known, tuple[_Pieces, _Piec
 
 def _filled(rows: DataFrame, path: str, *also: str) -> DataFrame:
     """Rows with symbols, and the ids and bytes of their words."""
-    encoded = rows.select(*also, encode_symbols(F.col("symbols"), path).alias("words_ids"))
-    return encoded.withColumn("words_bytes", decode_each(F.col("words_ids"), path))
+    table = pair_table(path)
+    lists = {"first": (table.first, pa.int32()), "entries": (table.entries, pa.int64()), "token_hex": (_token_hex(path), pa.string())}
+    given = rows.select(*also, "symbols", *(_given(rows.sparkSession, *x).alias(name) for name, x in lists.items()))
+    ids = encode_symbols(F.col("symbols"), F.col("first"), F.col("entries"), len(table.first))
+    # each list stands once in one expression, into which the optimizer puts its subquery, so that no row holds a list
+    words = _let(ids, lambda ids: F.struct(ids.alias("ids"), decode_each(ids, F.col("token_hex")).alias("bytes")))
+    return given.select(*also, words.alias("words")).select(*also, F.col("words.ids").alias("words_ids"), F.col("words.bytes").alias("words_bytes"))
 
 
 def encode_and_decode(docs: DataFrame, path: str | None = None) -> DataFrame:

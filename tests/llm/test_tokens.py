@@ -19,6 +19,7 @@ from ridelens.llm.pretokens import words_of
 from ridelens.llm.shared import ARROW_BYTES, fresh_path, id_and_text
 from ridelens.llm.token_counts import count_tokens
 from ridelens.llm.token_files import read_token_files, write_token_files
+from tests.conftest import plan_of
 
 PIECES = ["a", "B", "'s", "'", "'ll", "'t", "re", " ", "  ", "\n", "\t", " ", "1", "٠", "é", "ñ", "!", "?", "字", "😀", " ", "\r\n",
           "the", " and", "tion", "'ve", "\x1c", "́"]
@@ -263,3 +264,9 @@ def test_a_token_that_merges_do_not_make_starts_whole():
     plain, whole = start.symbols([b"xyz", b"ab"]).to_pylist(), byte_bpe.Start(start.letters, start.pairs, {b"xyz": 7}).symbols([b"xyz", b"ab"]).to_pylist()
     assert plain[1] == whole[1] and len(plain[0]) == 5 and len(whole[0]) == 3
     assert whole[0][1] & byte_bpe._NO_ID == 7 and min(whole[0]) >= byte_bpe._NO_PAIR
+
+
+def test_plans_do_not_hold_the_tables_of_the_tokenizer(spark):
+    encoded = encode_and_decode(frame(spark, texts(31, 20)))
+    assert len(plan_of(encoded)) < 50_000  # the driver keeps such texts of a thousand queries
+    assert encoded.count() == 21
