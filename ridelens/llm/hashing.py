@@ -72,7 +72,7 @@ _P_BASE = 0x1B5AD4A3C9E0F72B % ((1 << 61) - 1)
 _P_INVERSE = pow(_P_BASE, -1, (1 << 61) - 1)
 _P_POWERS: list[np.ndarray] = []
 #: Bytes that are hashed side by side, and spans beyond which each stands alone.
-_CHUNK, _LONG = 1 << 18, 1 << 16
+_CHUNK, _LONG = 1 << 15, 1 << 16
 
 
 def mul61(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -91,6 +91,7 @@ def _reduced(x: np.ndarray) -> np.ndarray:
 
 
 def _powers61(n: int) -> list[np.ndarray]:
+    """The powers of the base, high and low halves, and of its inverse."""
     if not _P_POWERS or len(_P_POWERS[0]) < n:
         grown = []
         for base in (_P_BASE, _P_INVERSE):
@@ -99,7 +100,7 @@ def _powers61(n: int) -> list[np.ndarray]:
                 step = np.uint64(pow(base, len(out), (1 << 61) - 1))
                 out = np.concatenate([out, mul61(out, step)])
             grown.append(out)
-        _P_POWERS[:] = grown
+        _P_POWERS[:] = [grown[0] >> np.uint64(32), grown[0] & np.uint64(0xFFFFFFFF), grown[1]]
     return _P_POWERS
 
 
@@ -127,14 +128,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def _hashes61(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = data.size
-    power, inverse = _powers61(n + 1)
+    *halves, inverse = _powers61(n + 1)
     value = data.astype(np.uint64) + np.uint64(1)
     sums = []
-    for part in (power[:n] >> np.uint64(32), power[:n] & np.uint64(0xFFFFFFFF)):
+    for half in halves:
         prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(value * part, out=prefix[1:])
+        np.cumsum(value * half[:n], out=prefix[1:])
         sums.append(_reduced(prefix[ends] - prefix[starts]))
-    whole = _reduced(mul61(sums[0], np.full(len(starts), 1 << 32, np.uint64)) + sums[1])
+    high = (sums[0] << np.uint64(32) & _P) | sums[0] >> np.uint64(29)  # times 2^32
+    whole = _reduced(high + sums[1])
     return mul61(whole, inverse[starts])
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -114,7 +114,7 @@ def same_spans(a: np.ndarray, a_starts, a_ends, b: np.ndarray, b_starts, b_ends)
     if not np.array_equal(sizes, b_ends - b_starts):
         return False
     other = np.flatnonzero(a_starts != b_starts) if a is b else np.arange(len(sizes))
-    step = 1 << 18
+    step = 1 << 15
     at = np.cumsum(sizes[other]) // step
     cuts = [0, *(np.flatnonzero(np.diff(at)) + 1), len(other)]
     for x, y in zip(cuts, cuts[1:]):
@@ -124,8 +124,29 @@ def same_spans(a: np.ndarray, a_starts, a_ends, b: np.ndarray, b_starts, b_ends)
     return True
 
 
+#: Spans of up to so many bytes are their own key.
+SHORT = 7
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each span: its bytes and size if it is short, else a hash
+    with the highest bit set."""
+    sizes = ends - starts
+    raw = np.zeros((data.size >> 3) + 2 << 3, np.uint8)
+    raw[: data.size] = data
+    eight = raw.view("<u8")
+    at, shift = starts >> 3, (starts & 7).astype(np.uint64) << np.uint64(3)
+    bits = np.minimum(sizes, SHORT).astype(np.uint64) << np.uint64(3)
+    # the eight bytes from the start on, from two neighbours
+    key = eight[at] >> shift | eight[at + 1] << np.uint64(1) << np.uint64(63) - shift
+    key = key & (np.uint64(1) << bits) - np.uint64(1) | bits << np.uint64(53)
+    long = np.flatnonzero(sizes > SHORT)
+    key[long] = word_hashes(data, starts[long], ends[long]) | np.uint64(1 << 63)
+    return key
+
+
 class Words:
-    """The pre-tokens of a batch: ``data`` and the byte spans and hashes of the
+    """The pre-tokens of a batch: ``data`` and the byte spans and keys of the
     distinct ones, and for each pre-token the number of its distinct one;
     ``at`` has the n + 1 places where the texts begin among the pre-tokens."""
 
@@ -142,16 +163,22 @@ class Words:
         ends = np.append(starts[1:], data.size)
         self.at = rows_of(starts, offsets)
         self.n_bytes = np.diff(offsets)
-        index, self.hashes = pd.factorize(word_hashes(data, starts, ends))
-        first = _first_of(index, len(self.hashes))
-        if not same_spans(data, starts, ends, data, starts[first][index], ends[first][index]):
+        index, self.keys = pd.factorize(word_keys(data, starts, ends))
+        first = _first_of(index, len(self.keys))
+        long = np.flatnonzero(ends - starts > SHORT)
+        other = first[index[long]]
+        if not same_spans(data, starts[long], ends[long], data, starts[other], ends[other]):
             # two words share a hash: tell them by their bytes
             index, distinct = pd.factorize(np.array([data[a:b].tobytes() for a, b in zip(starts, ends)], object))
             first = _first_of(index, len(distinct))
-            self.hashes = word_hashes(data, starts[first], ends[first])
+            self.keys = word_keys(data, starts[first], ends[first])
         self.index = index.astype(np.int32)
         self.starts, self.ends = starts[first], ends[first]
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return word_hashes(self.data, self.starts, self.ends)
+
     def bytes(self, some: np.ndarray | slice = slice(None)) -> list[bytes]:
         raw = self.data.tobytes()
         return [raw[a:b] for a, b in zip(self.starts[some].tolist(), self.ends[some].tolist())]
@@ -195,7 +222,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int, specials: tuple[bytes,
             parts.clear()
             numbers = {}
             held = 0
-        number = known.find(cuts) if before else np.full(len(cuts.hashes), -1, np.int32)
+        number = known.find(cuts) if before else np.full(len(cuts.starts), -1, np.int32)
         new = np.flatnonzero(number < 0)
         number[new] = np.fromiter((before + numbers.setdefault(w, len(numbers)) for w in cuts.bytes(new)), np.int32, len(new))
         parts.append((batch.column("doc_id"), cuts.n_bytes, np.diff(cuts.at), number[cuts.index]))

@@ -4,10 +4,14 @@ Every block starts from an empty model. For each id the model has up to three
 predictions: order 2 (what followed the last two ids), order 1 (what followed
 the last id) and order 0 (the id that leads a running vote). Those that have
 come true before are offered in that order, each as one coded bit, hit or miss,
-and an id that none predicts follows as uniform digits of 16 bits. The probability of a hit is mixed from
-two adaptive estimates, one by the prediction's own record and one by the
-order's last three outcomes; the weight moves to the estimate that was nearer.
-Everything is integer arithmetic, so a block decodes alike anywhere.
+and an id that none predicts stands in full, in 16 or 32 bits, among the block's
+other such ids. The probability of a hit is mixed from two adaptive estimates,
+one by the prediction's own record and one by the order's last three outcomes;
+the weight moves to the estimate that was nearer. Everything is integer
+arithmetic, so a block decodes alike anywhere.
+
+The coder moves out 16 bits at a time, once at most for a bit; carries are kept
+with the words that were moved out and added at the end.
 
 Many blocks are coded in step, one array element each."""
 
@@ -20,8 +24,9 @@ import numpy as np
 #: Ids of a block; a multiple of blocks makes up a segment.
 BLOCK = 512
 _SLOTS = 256
-_TOP, _BOT, _ALL = 1 << 24, 1 << 16, (1 << 32) - 1
+_BOT, _LOW, _ALL = 1 << 16, (1 << 16) - 1, (1 << 32) - 1
 _RATE, _LEAST = 4, 64  # of the adaptive estimates (12 bits)
+_ONE, _TWO = 40503, 60493
 
 
 class _Model:
@@ -29,196 +34,206 @@ class _Model:
         # order 1 and order 2: prediction * 4 + how often it came true in a row (3 at most)
         self.table = np.full((2, lanes * _SLOTS), -4, kind)
         self.vote = np.full(lanes, -1, kind)
-        self.votes = np.zeros(lanes, np.int32)
-        self.own = np.full((3, lanes * 4), 1 << 11, np.int32)  # by order and record
-        self.late = np.full((3, lanes * 8), 1 << 11, np.int32)  # by order and last outcomes
-        self.past = np.zeros((3, lanes), np.int8)
+        self.votes = np.zeros(lanes, np.int8)
+        # estimates by order, for each lane 4 by record and 8 by the last outcomes
+        self.estimates = np.full((3, lanes * 12), 1 << 11, np.int32)
+        self.past = np.zeros((3, lanes), np.int32)
         self.weight = np.full((3, lanes), 128, np.int32)
-        self.last = np.zeros((2, lanes), np.int64)
-        self.lane = np.arange(lanes)
-
-    def look(self, n: int) -> None:
-        """The slots and predictions of the next id of the first n lanes."""
-        one, two = self.last[0, :n] + 1, self.last[1, :n] + 1
-        lane = self.lane[:n]
-        self.at = [
-            lane * _SLOTS + ((one * 40503 >> 8) & (_SLOTS - 1)),
-            lane * _SLOTS + (((one * 40503 + two * 60493) >> 8) & (_SLOTS - 1)),
-        ]
-        one, two = (table[at] for table, at in zip(self.table, self.at))
-        self.offer = [(two >> 2, two & 3), (one >> 2, one & 3), (self.vote[:n], np.minimum(self.votes[:n] >> 1, 3))]
-
-    def chance(self, order: int, who: np.ndarray) -> np.ndarray:
+        self.last = np.ones((2, lanes), np.int64)  # the last two ids, plus one
+        self.first = np.arange(lanes) * _SLOTS
+
+    def look(self, n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By order: the lanes among the first n whose prediction of the next id
+        is offered, what it is, and its record."""
+        near = self.last[0, :n] * _ONE
+        both = near + self.last[1, :n] * _TWO
+        self.at = [self.first[:n] + (x >> 8 & (_SLOTS - 1)) for x in (near, both)]
+        self.entries = [table.take(at) for table, at in zip(self.table, self.at)]
+        # only one that has come true before, and no earlier one has made and missed
+        who = np.flatnonzero((((self.entries[0] | self.entries[1]) & 3) > 0) | (self.votes[:n] > 1))
+        one, two = (e.take(who) for e in self.entries)
+        vote, votes = self.vote.take(who), self.votes.take(who)
+        record1, record2 = one & 3, two & 3
+        one, two = one >> 2, two >> 2
+        true1, true2 = record1 > 0, record2 > 0
+        fresh1 = true1 & ~(true2 & (one == two))
+        fresh0 = (votes > 1) & ~(true2 & (vote == two)) & ~(true1 & (vote == one))
+        record0 = np.minimum(votes >> 1, 3)
+        offers = (true2, two, record2), (fresh1, one, record1), (fresh0, vote, record0)
+        return [(who[fresh], guess[fresh], record[fresh]) for fresh, guess, record in offers]
+
+    def chance(self, order: int, who: np.ndarray, record: np.ndarray) -> np.ndarray:
         """The probability (12 bits) that the lanes' prediction of the order hits."""
-        self.cell = who * 4 + self.offer[order][1][who]
-        self.spot = who * 8 + self.past[order][who]
-        self.p_own, self.p_late = self.own[order][self.cell], self.late[order][self.spot]
-        w = self.weight[order][who]
-        return np.clip((w * self.p_own + (256 - w) * self.p_late) >> 8, _LEAST, 4096 - _LEAST).astype(np.int64)
+        self.late, self.w = self.past[order].take(who), self.weight[order].take(who)
+        self.cells = np.stack([record, self.late + 4]) + who * 12
+        self.p = self.estimates[order].take(self.cells)
+        own, late = self.p
+        mixed = (self.w * (own - late) >> 8) + late
+        return np.minimum(np.maximum(mixed, _LEAST), 4096 - _LEAST)
 
     def learn(self, order: int, who: np.ndarray, hit: np.ndarray) -> None:
-        goal = np.where(hit, 4095, 0).astype(np.int32)
-        self.own[order][self.cell] = self.p_own + ((goal - self.p_own) >> _RATE)
-        self.late[order][self.spot] = self.p_late + ((goal - self.p_late) >> _RATE)
-        w = self.weight[order][who]
-        nearer = np.abs(goal - self.p_own) <= np.abs(goal - self.p_late)
-        self.weight[order][who] = np.where(nearer, w + ((256 - w) >> 4), w - (w >> 4))
-        self.past[order][who] = (self.past[order][who] << 1 & 7) | hit
+        off = hit * np.int32(4095) - self.p
+        self.estimates[order][self.cells] = self.p + (off >> _RATE)
+        own, late = np.abs(off)
+        self.weight[order][who] = np.where(own <= late, self.w + ((256 - self.w) >> 4), self.w - (self.w >> 4))
+        self.past[order][who] = (self.late << 1 & 7) | hit
 
     def update(self, n: int, ids: np.ndarray) -> None:
         """Take in the ids of the first n lanes."""
-        for table, at, (guess, record) in zip(self.table, self.at, (self.offer[1], self.offer[0])):
-            table[at] = ids << 2 | np.where(guess == ids, np.minimum(record + 1, 3), 0)
+        new = ids << 2
+        for table, at, entry in zip(self.table, self.at, self.entries):
+            table[at] = new + np.minimum((entry & 3) + 1, 3) * (entry >> 2 == ids)
         vote, votes = self.vote[:n], self.votes[:n]
-        same = vote == ids
-        fresh = ~same & (votes <= 0)
-        self.vote[:n] = np.where(fresh, ids, vote)
-        self.votes[:n] = np.where(same | fresh, np.minimum(votes + 1, 64), votes - 1)
+        np.copyto(vote, ids, where=votes <= 0)
+        votes += 2 * (vote == ids).view(np.int8)
+        votes -= 1
+        np.minimum(votes, 64, out=votes)
         self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = ids
+        np.add(ids, 1, out=self.last[0, :n])
 
 
-class _Coder:
-    def __init__(self, lanes: int):
+class _Writer:
+    def __init__(self, lanes: int, own: np.ndarray):
         self.low = np.zeros(lanes, np.int64)
-        self.range = np.full(lanes, _ALL, np.int64)
+        self.span = np.full(lanes, _ALL, np.int64)
         self.at = np.zeros(lanes, np.int64)
-
-    def settle(self, who: np.ndarray) -> None:
-        """Move out the leading bytes that no longer change."""
-        while len(who):
-            low, span = self.low[who], self.range[who]
-            same = (low ^ (low + span)) < _TOP
-            short = ~same & (span < _BOT)
-            go = same | short
-            if not go.any():
-                return
-            who, low = who[go], low[go]
-            span = np.where(short[go], -low & (_BOT - 1), span[go])
-            self.shift(who, low >> 24)
-            self.low[who] = low << 8 & _ALL
-            self.range[who] = span << 8
-
-
-class _Writer(_Coder):
-    def __init__(self, lanes: int, digits: int):
-        super().__init__(lanes)
-        self.out = np.zeros((lanes, BLOCK * (4 + 3 * digits) + 16), np.uint8)
-
-    def shift(self, who: np.ndarray, top: np.ndarray) -> None:
-        self.out[who, self.at[who]] = top
-        self.at[who] += 1
-
-    def bit(self, who: np.ndarray, p: np.ndarray, hit: np.ndarray) -> np.ndarray:
-        bound = (self.range[who] >> 12) * p
-        self.low[who] += np.where(hit, 0, bound)
-        self.range[who] = np.where(hit, bound, self.range[who] - bound)
-        self.settle(who)
+        self.moved: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # lanes, places and words
+        self.out = own
+        self.kept = np.ones(own.shape, bool)  # ids that stand in full
+
+    def move(self, who: np.ndarray, low: np.ndarray) -> np.ndarray:
+        at = self.at[who]
+        self.moved.append((who, at, low >> 16))
+        self.at[who] = at + 1
+        return (low & _LOW) << 16
+
+    def bit(self, who: np.ndarray, p: np.ndarray, guess: np.ndarray, true: np.ndarray) -> np.ndarray:
+        hit = guess == true.take(who)
+        span, low = self.span.take(who), self.low.take(who)
+        bound = (span >> 12) * p
+        low += np.where(hit, 0, bound)
+        span = np.where(hit, bound, span - bound)
+        short = np.flatnonzero(span < _BOT)
+        if len(short):
+            low[short] = self.move(who[short], low[short])
+            span[short] <<= 16
+        self.low[who], self.span[who] = low, span
         return hit
 
-    def digit(self, who: np.ndarray, value: np.ndarray) -> np.ndarray:
-        step = self.range[who] >> 16
-        self.low[who] += step * value
-        self.range[who] = step
-        self.settle(who)
-        return value
-
-
-class _Reader(_Coder):
-    def __init__(self, data: np.ndarray, starts: np.ndarray):
-        super().__init__(len(starts))
-        self.data = np.append(data, np.zeros(8, np.uint8))
-        self.at = starts.astype(np.int64).copy()
-        self.code = np.zeros(len(starts), np.int64)
-        for _ in range(4):
-            self.code = self.code << 8 | self.data[self.at]
-            self.at += 1
-
-    def shift(self, who: np.ndarray, top: np.ndarray) -> None:
-        at = np.minimum(self.at[who], len(self.data) - 1)  # a damaged block may run over; its checksum tells
-        self.code[who] = (self.code[who] << 8 | self.data[at]) & _ALL
-        self.at[who] += 1
-
-    def bit(self, who: np.ndarray, p: np.ndarray, _) -> np.ndarray:
-        bound = (self.range[who] >> 12) * p
-        hit = self.code[who] - self.low[who] < bound
-        self.low[who] += np.where(hit, 0, bound)
-        self.range[who] = np.where(hit, bound, self.range[who] - bound)
-        self.settle(who)
+    def begin(self, step: int, n: int) -> np.ndarray:
+        """The ids of a step, and none of them predicted."""
+        self.step = step
+        return self.out[step, :n]
+
+    def predicted(self, who: np.ndarray) -> None:
+        self.kept[self.step, who] = False
+
+    def words(self) -> np.ndarray:
+        """The words of all lanes, one lane after the other."""
+        every = np.arange(len(self.at))
+        for _ in range(2):
+            self.low = self.move(every, self.low)
+        starts = np.cumsum(self.at) - self.at
+        words = np.zeros(int(self.at.sum()), np.int64)
+        for who, at, word in self.moved:
+            words[starts[who] + at] = word
+        while len(over := np.flatnonzero(words > _LOW)):  # a lane's first word never is
+            words[over] &= _LOW
+            words[over - 1] += 1
+        return words.astype("<u2")
+
+
+class _Reader:
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, plain: np.ndarray, counts: np.ndarray, out: np.ndarray):
+        self.data = np.append(words, [0, 0]).astype(np.int64)
+        self.at = np.cumsum(sizes) - sizes
+        self.code = self.data.take(self.at, mode="clip") << 16 | self.data.take(self.at + 1, mode="clip")
+        self.at += 2
+        self.span = np.full(len(sizes), _ALL, np.int64)
+        self.plain, self.next = np.append(plain, 0).astype(out.dtype), np.cumsum(counts) - counts
+        self.out = out
+
+    def bit(self, who: np.ndarray, p: np.ndarray, guess: np.ndarray, true: np.ndarray) -> np.ndarray:
+        span, code = self.span.take(who), self.code.take(who)
+        bound = (span >> 12) * p
+        hit = code < bound
+        code -= np.where(hit, 0, bound)
+        span = np.where(hit, bound, span - bound)
+        short = np.flatnonzero(span < _BOT)
+        if len(short):
+            few = who[short]
+            at = self.at[few]
+            code[short] = code[short] << 16 | self.data.take(at, mode="clip")  # a damaged block may run over; its checksum tells
+            self.at[few] = at + 1
+            span[short] <<= 16
+        self.code[who], self.span[who] = code, span
+        true[who[hit]] = guess[hit]
         return hit
 
-    def digit(self, who: np.ndarray, _) -> np.ndarray:
-        step = self.range[who] >> 16
-        value = np.minimum((self.code[who] - self.low[who]) // np.maximum(step, 1), 65535)
-        self.low[who] += step * value
-        self.range[who] = step
-        self.settle(who)
-        return value
-
-
-def _run(coder: _Coder, lanes: int, total: int, digits: int, ids: np.ndarray | None) -> np.ndarray:
-    """One pass over all blocks in step: writing ``ids``, or reading them."""
-    kind = np.int32 if digits == 1 else np.int64
-    model = _Model(lanes, kind)
-    out = np.zeros((BLOCK, lanes), np.int64)  # in the order of the steps
-    if ids is not None:
-        own = np.zeros(lanes * BLOCK, np.int64)
-        own[: len(ids)] = ids
-        own = np.ascontiguousarray(own.reshape(lanes, BLOCK).T)
+    def begin(self, step: int, n: int) -> np.ndarray:
+        """The ids of a step, if none of them were predicted."""
+        now = self.out[step, :n]
+        self.plain.take(self.next[:n], out=now, mode="clip")
+        self.next[:n] += 1
+        return now
+
+    def predicted(self, who: np.ndarray) -> None:
+        self.next[who] -= 1
+
+
+def _run(coder: _Writer | _Reader, total: int) -> None:
+    """One pass over all blocks in step: writing the ids of ``coder.out``, or reading them into it."""
+    lanes = coder.out.shape[1]
+    model = _Model(lanes, coder.out.dtype)
+    left = np.ones(lanes, bool)
     last = total - (lanes - 1) * BLOCK
     for step in range(min(BLOCK, total)):
         n = lanes if step < last else lanes - 1
-        now = out[step, :n]
-        true = None if ids is None else own[step, :n]
-        model.look(n)
-        who = np.arange(n)
-        for order, (guess, record) in enumerate(model.offer):
-            # only one that has come true before, and no earlier one has made and missed
-            fresh = (record > 0)[who]
-            if not fresh.any():
-                continue
-            for earlier, before in model.offer[:order]:
-                fresh &= ((guess != earlier) | (before == 0))[who]
-            asked = who[fresh]
-            if not len(asked):
-                continue
-            hit = coder.bit(asked, model.chance(order, asked), None if true is None else guess[asked] == true[asked])
-            model.learn(order, asked, hit)
-            now[asked[hit]] = guess[asked[hit]]
-            left = ~fresh
-            left[fresh] = ~hit
-            who = who[left]
-        value = np.zeros(len(who), np.int64)
-        for d in reversed(range(digits)):
-            part = None if true is None else true[who] >> (16 * d) & 65535
-            value = value << 16 | coder.digit(who, part) if len(who) else value
-        now[who] = value
-        model.update(n, now.astype(kind))
-    return out.T
-
-
-def checksum(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+        now = coder.begin(step, n)
+        for order, (who, guess, record) in enumerate(model.look(n)):
+            if order:
+                more = left[who]
+                who, guess, record = who[more], guess[more], record[more]
+            if len(who):
+                hit = coder.bit(who, model.chance(order, who, record), guess, now)
+                model.learn(order, who, hit)
+                got = who[hit]
+                left[got] = False
+                coder.predicted(got)
+        left[:] = True
+        model.update(n, now)
+
+
+def _kinds(digits: int) -> tuple[type, str]:
+    """How ids of so many times 16 bits are held and stored."""
+    return (np.int32, "<u2") if digits == 1 else (np.int64, "<u4")
+
+
+def checksums(ids: np.ndarray) -> np.ndarray:
+    """The crc32 of each block."""
+    raw = memoryview(ids.astype("<u4").tobytes())
+    return np.array([zlib.crc32(raw[i : i + 4 * BLOCK]) for i in range(0, len(raw), 4 * BLOCK)], "<u4")
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """A segment: number of ids, digits, number of blocks; the checksum and
-    size of each block; the blocks."""
-    ids = ids.astype(np.int64)
+    """A segment: number of ids, digits of 16 bits of each, number of blocks; of
+    each block the checksum, how many words of 16 bits the coder made and how
+    many ids stand in full; all words; all ids in full."""
     lanes = -(-len(ids) // BLOCK)
     digits = 1 if not len(ids) or int(ids.max()) < 1 << 16 else 2
     head = np.array([len(ids), digits, lanes], "<u4").tobytes()
     if not lanes:
         return head
-    writer = _Writer(lanes, digits)
-    _run(writer, lanes, len(ids), digits, ids)
-    every = np.arange(lanes)
-    for _ in range(4):
-        writer.shift(every, writer.low >> 24)
-        writer.low = writer.low << 8 & _ALL
-    sums = np.array([checksum(ids[i * BLOCK : (i + 1) * BLOCK]) for i in range(lanes)], "<u4")
-    body = b"".join(row[:size].tobytes() for row, size in zip(writer.out, writer.at))
-    return head + sums.tobytes() + writer.at.astype("<u4").tobytes() + body
+    kind, stored = _kinds(digits)
+    own = np.zeros(lanes * BLOCK, kind)
+    own[: len(ids)] = ids
+    own = own.reshape(lanes, BLOCK)
+    writer = _Writer(lanes, np.ascontiguousarray(own.T))  # in the order of the steps
+    writer.kept[len(ids) - (lanes - 1) * BLOCK :, -1] = False
+    _run(writer, len(ids))
+    words, kept = writer.words(), writer.kept.T
+    parts = [checksums(ids), writer.at.astype("<u2"), kept.sum(1).astype("<u2"), words, own[kept].astype(stored)]
+    return head + b"".join(x.tobytes() for x in parts)
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -226,12 +241,16 @@ def decode(data: bytes) -> np.ndarray:
     total, digits, lanes = np.frombuffer(data, "<u4", 3).tolist()
     if not lanes:
         return np.empty(0, np.uint32)
+    kind, stored = _kinds(digits)
     sums = np.frombuffer(data, "<u4", lanes, 12)
-    sizes = np.frombuffer(data, "<u4", lanes, 12 + 4 * lanes).astype(np.int64)
-    body = np.frombuffer(data, np.uint8, offset=12 + 8 * lanes)
-    out = _run(_Reader(body, np.cumsum(sizes) - sizes), lanes, total, digits, None)
-    ids = out.ravel()[:total].astype(np.uint32)
-    for i in range(lanes):
-        if checksum(ids[i * BLOCK : (i + 1) * BLOCK]) != sums[i]:
-            raise ValueError(f"block {i} does not match its checksum")
+    sizes, counts = np.frombuffer(data, "<u2", 2 * lanes, 12 + 4 * lanes).reshape(2, lanes).astype(np.int64)
+    at = 12 + 8 * lanes
+    words = np.frombuffer(data, "<u2", int(sizes.sum()), at)
+    plain = np.frombuffer(data, stored, int(counts.sum()), at + words.nbytes)
+    reader = _Reader(words, sizes, plain, counts, np.zeros((BLOCK, lanes), kind))
+    _run(reader, total)
+    ids = reader.out.T.ravel()[:total].astype(np.uint32)
+    wrong = np.flatnonzero(checksums(ids) != sums)
+    if len(wrong):
+        raise ValueError(f"block {wrong[0]} does not match its checksum")
     return ids

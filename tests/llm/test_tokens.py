@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ridelens.llm import byte_bpe, pretokens, range_coder
+from ridelens.llm import byte_bpe, pretokens, range_coder, token_files
 from ridelens.llm.byte_bpe import digests, encode_and_decode
 from ridelens.llm.hashing import mul61, word_hashes
 from ridelens.llm.pretokens import words_of
@@ -270,3 +270,71 @@ def test_plans_do_not_hold_the_tables_of_the_tokenizer(spark):
     encoded = encode_and_decode(frame(spark, texts(31, 20)))
     assert len(plan_of(encoded)) < 50_000  # the driver keeps such texts of a thousand queries
     assert encoded.count() == 21
+
+
+def test_ids_that_no_context_predicts_stand_in_full():
+    ids = np.random.Generator(np.random.PCG64(6)).permutation(3000)
+    assert range_coder.encode(ids).endswith(ids.astype("<u2").tobytes())
+    ids[7] = 1 << 16
+    assert range_coder.encode(ids).endswith(ids.astype("<u4").tobytes())
+
+
+def test_carries_go_through_all_words_of_a_block():
+    rng = np.random.Generator(np.random.PCG64(7))
+    for n in (2, 3, 5):  # many coded bits, hits and misses
+        ids = rng.integers(0, n, 40_000)
+        assert (range_coder.decode(range_coder.encode(ids)) == ids).all()
+
+
+def test_keys_of_short_words_are_their_bytes():
+    data = np.frombuffer(bytes(range(97, 122)) + b"abcdefg" + b"abcdefgh\0\0", np.uint8)
+    starts = np.array([0, 1, 3, 25, 0, 25, 32, 40, 40, 41, 42])
+    ends = np.array([7, 8, 3, 32, 8, 27, 40, 41, 42, 42, 42])
+    words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    keys = pretokens.word_keys(data, starts, ends).tolist()
+    assert [keys.index(k) for k in keys] == [words.index(w) for w in words]
+    assert [int.from_bytes(w, "little") | len(w) << 56 for w in words if len(w) < 8] == [k for k, w in zip(keys, words) if len(w) < 8]
+
+
+@pytest.mark.parametrize("kept", [1_000_000, 40])
+def test_words_met_before_have_the_librarys_ids_whatever_their_key(monkeypatch, kept):
+    monkeypatch.setattr(pretokens, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    monkeypatch.setattr(token_files, "KEPT_WORDS", kept)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    token_files._library.cache_clear()
+    own = [*texts(41, 150), *ODD, "long words, longer words: abcdefghij abcdefghik", "abcdefghij bcdefghijk abcdefghi"]
+    calls = []
+    by_library = token_files.library_ids
+    monkeypatch.setattr(token_files, "library_ids", lambda words, path: calls.extend(words) or by_library(words, path))
+    for a in [*range(0, len(own), 9), 0, 9]:
+        some = own[a : a + 9]
+        ids, lengths = token_files.document_ids(pa.array(some, pa.string()), path, 2)
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in some]
+        assert (ids.tolist(), lengths.tolist()) == (sum(want, []), [*map(len, want)])
+    assert calls and (kept == 40 or len([w for w in calls if len(w) < 8]) == len({w for w in calls if len(w) < 8}))
+    token_files._library.cache_clear()
+
+
+def test_bytes_that_are_no_text_are_replaced_as_before():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    words = [b"ab\xff", b" caf\xc3\xa9", b"\xe2\x82", b"<|endoftext|>", b"word"]
+    for some in (words, [w for w in words if w[:1] != b"<"]):
+        flat, sizes = token_files.library_ids(some, path)
+        want = [library.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids for w in some]
+        assert (flat.tolist(), sizes.tolist()) == (sum(want, []), [*map(len, want)])
+
+
+def test_a_short_last_segment_joins_the_one_before(spark):
+    n = token_files.SEGMENT_BYTES // 5
+    docs = spark.createDataFrame([(0, "word " * n), (1, "a b c " * (n // 9)), (2, "last words")], "doc_id long, text string")
+    path, parts = fresh_path(spark, "short"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        write_token_files(docs, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert [r.before for r in spark.read.parquet(path).collect()] == [0]
+    got = [(r.doc_id, r.start, r.n_tokens) for r in read_token_files(spark, path).orderBy("doc_id").collect()]
+    assert got == [(0, 0, n + 2), (1, n + 2, n // 9 * 3 + 2), (2, n + n // 9 * 3 + 4, 3)]
